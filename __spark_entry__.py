@@ -97,7 +97,7 @@ def element_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     elements = rank_facts(spark, sf_dir).select(text.alias("element")).distinct()
     seeds = elements.select("element", string_hash32(F.col("element")).alias("seed"))
     a, b = COMPAT_COEFFICIENTS[0]
-    return seeds.withColumn("hash", compat_hash("seed", a, b, COMPAT_MODULUS))
+    return seeds.withColumn("hash", F.expr(compat_hash("seed", a, b, COMPAT_MODULUS)))
 
 
 def element_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -77,17 +77,30 @@ def coefficients(k: int, seed: int = 1) -> tuple[tuple[int, int], ...]:
     return tuple((draw("a", i) % (PRIME - 1) + 1, draw("b", i) % PRIME) for i in range(k))
 
 
-def affine_hash(element_id: str, a: int, b: int) -> Column:
-    """One 60-bit hash value of a 60-bit element id; cannot overflow a BIGINT."""
-    high = F.shiftright(F.col(element_id), LOW_BITS)
-    low = F.col(element_id).bitwiseAND(F.lit(2**LOW_BITS - 1))
-    return F.shiftleft((high * F.lit(a) + F.lit(b)) % F.lit(PRIME), LOW_BITS) + low
+def split_id(element_id: Column) -> tuple[Column, Column]:
+    """The two parts of a 60-bit element id that ``affine_hash`` works on."""
+    low = element_id.bitwiseAND(F.lit(2**LOW_BITS - 1))
+    return F.shiftright(element_id, LOW_BITS), low
+
+
+def affine_hash(high: str, low: str, a: int, b: int) -> str:
+    """SQL text of one 60-bit hash value; no step of it can overflow a BIGINT.
+
+    Text, as a signature takes a hundred of these and one parsed expression is
+    much quicker to hand to Spark than a tree of columns.
+    """
+    return f"shiftleft(({high} * {a}L + {b}L) % {PRIME}L, {LOW_BITS}) + {low}"
+
+
+def compat_hash(seed: str, a: int, b: int, modulus: int) -> str:
+    """SQL text of an affine hash in wrapping 32-bit arithmetic, its sign folded away."""
+    wrapped = f"(({seed} * {a}L + {b}L + {2**31}L) & {2**32 - 1}L) - {2**31}L"
+    return f"abs(({wrapped}) % {modulus}L)"
 
 
 def wrap_int32(value: Column) -> Column:
     """The signed 32-bit integer that ``value`` overflows to."""
-    low = value.bitwiseAND(F.lit(2**32 - 1))
-    return F.when(low >= 2**31, low - 2**32).otherwise(low)
+    return (value + 2**31).bitwiseAND(F.lit(2**32 - 1)) - 2**31
 
 
 def string_hash32(text: Column) -> Column:
@@ -106,7 +119,3 @@ def string_hash32(text: Column) -> Column:
     folded = F.aggregate(F.split(text, ""), F.lit(0).cast("bigint"), add_character)
     return wrap_int32(F.when(F.length(text) == 0, F.lit(0).cast("bigint")).otherwise(folded))
 
-
-def compat_hash(seed: str, a: int, b: int, modulus: int) -> Column:
-    """Affine hash in wrapping 32-bit arithmetic with the sign folded away."""
-    return F.abs(wrap_int32(F.col(seed) * F.lit(a) + F.lit(b)) % F.lit(modulus))

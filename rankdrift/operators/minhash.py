@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankdrift.functions.hashing import (
@@ -14,6 +14,7 @@ from rankdrift.functions.hashing import (
     coefficients,
     compat_hash,
     element_text,
+    split_id,
     string_hash32,
 )
 from rankdrift.functions.signatures import signature_similarity
@@ -22,17 +23,19 @@ from rankdrift.schema import DEVICES, RANK_COLUMNS, RankColumns
 K = 100
 
 
-def _minima(hashed: DataFrame, hashes: Sequence[Column], cols: RankColumns) -> DataFrame:
+def _minima(rows: DataFrame, hashes: Sequence[str], cols: RankColumns) -> DataFrame:
     """Element-wise minimum per date and group as plain columns, then one array.
 
-    Separate columns keep the aggregation in fixed-width buffers that combine
-    before the shuffle; what is shuffled does not grow with the sets.
+    ``hashes`` are SQL texts. Separate columns keep the aggregation in
+    fixed-width buffers that combine before the shuffle; what is shuffled does
+    not grow with the sets.
     """
-    names = [f"_h{i}" for i in range(len(hashes))]
-    minima = hashed.groupBy(cols.date, cols.group).agg(
-        *[F.min(h).alias(name) for h, name in zip(hashes, names)]
+    minima = rows.groupBy(cols.date, cols.group).agg(
+        *[F.expr(f"min({h}) AS _h{i}") for i, h in enumerate(hashes)]
     )
-    return minima.select(cols.date, cols.group, F.array(*names).alias("sig"))
+    signature = ", ".join(f"_h{i}" for i in range(len(hashes)))
+    return minima.select(cols.date, cols.group, F.expr(f"array({signature}) AS sig"))
+
 
 def minhash_signatures(
     df: DataFrame,
@@ -49,7 +52,9 @@ def minhash_signatures(
     """
     pairs = coefficients(k) if pairs is None else pairs
     ids = df.select(cols.date, cols.group, ELEMENT_IDS[element_id](cols.element).alias("_id"))
-    return _minima(ids, [affine_hash("_id", a, b) for a, b in pairs], cols)
+    high, low = split_id(F.col("_id"))
+    parts = ids.select(cols.date, cols.group, high.alias("_high"), low.alias("_low"))
+    return _minima(parts, [affine_hash("_high", "_low", a, b) for a, b in pairs], cols)
 
 def compat_signatures(
     df: DataFrame,
@@ -119,9 +124,7 @@ def merge_signature_rows(
     Empty signatures are skipped; a key that has only empty ones keeps an empty one.
     """
     minima = signatures.groupBy(cols.date, cols.group).agg(
-        *[F.min(F.get("sig", F.lit(i))).alias(f"_h{i}") for i in range(k)]
-    )
-    merged = F.array(*[f"_h{i}" for i in range(k)])
-    return minima.select(
-        cols.date, cols.group, F.filter(merged, lambda h: h.isNotNull()).alias("sig")
+        *[F.expr(f"min(get(sig, {i})) AS _h{i}") for i in range(k)]
     )
+    merged = ", ".join(f"_h{i}" for i in range(k))
+    return minima.select(cols.date, cols.group, F.expr(f"array_compact(array({merged})) AS sig"))

@@ -2,53 +2,67 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankdrift.schema import RANK_SCHEMA
 
-BAD_ROW = "_corrupt_record"
+BAD_ROW = "_bad_row"
 
+# Fields are read as text and parsed below: Spark's own CSV type errors are only
+# noticed in columns that the query happens to use.
+TEXT_SCHEMA = T.StructType([T.StructField(f.name, T.StringType()) for f in RANK_SCHEMA])
+CSV_OPTIONS = {
+    "header": "true",
+    "sep": ",",
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "true",
+    "ignoreTrailingWhiteSpace": "true",
+}
+
+
+def _parsed(field: T.StructField) -> Column:
+    value = F.trim(field.name) if field.name == "url" else F.col(field.name)
+    return value.try_cast(field.dataType).alias(field.name)
 
-def _csv_options(on_bad: str) -> dict[str, str]:
-    if on_bad not in ("fail", "keep"):
-        raise ValueError(f"unknown way with bad rows: {on_bad}")
-    return {
-        "header": "true",
-        "sep": ",",
-        "quote": '"',
-        "escape": '"',
-        "dateFormat": "yyyy-MM-dd",
-        "ignoreLeadingWhiteSpace": "true",
-        "ignoreTrailingWhiteSpace": "true",
-        "mode": "FAILFAST" if on_bad == "fail" else "PERMISSIVE",
-        "columnNameOfCorruptRecord": BAD_ROW,
-    }
 
+def parse_rows(text: DataFrame, on_bad: str = "fail") -> DataFrame:
+    """Typed rank facts from seven text columns.
 
-def _csv_schema(on_bad: str) -> T.StructType:
-    if on_bad == "fail":
-        return RANK_SCHEMA
-    return T.StructType([*RANK_SCHEMA.fields, T.StructField(BAD_ROW, T.StringType())])
+    A row is bad if a date or rank does not parse or a required field is
+    missing. ``on_bad="fail"`` stops at the first one; ``"keep"`` returns its
+    text in ``_bad_row``, which ``good_rows`` and ``bad_rows`` tell apart.
+    """
+    if on_bad not in ("fail", "keep"):
+        raise ValueError(f"unknown way with bad rows: {on_bad}")
+    good = F.lit(True)
+    for field in RANK_SCHEMA:
+        if not field.nullable:
+            good = good & _parsed(field).isNotNull()
+    fields = [_parsed(field) for field in RANK_SCHEMA]
+    original = F.to_csv(F.struct(*RANK_SCHEMA.names))
+    if on_bad == "keep":
+        return text.select(*fields, F.when(~good, original).alias(BAD_ROW))
+    stop = F.raise_error(F.concat(F.lit("bad row in rank report: "), original))
+    return text.where(F.when(good, True).otherwise(stop.cast("boolean"))).select(*fields)
 
 
 def read_rank_csv(spark: SparkSession, path: str, on_bad: str = "fail") -> DataFrame:
     """Rank facts of one or more report files, with the header names replaced.
 
-    ``on_bad="fail"`` stops at a row that does not parse; ``"keep"`` returns it
-    with its text in ``_corrupt_record``, for ``good_rows`` and ``bad_rows``.
     Give Spark uncompressed files: a gzip file is read by a single task.
     """
-    raw = spark.read.options(**_csv_options(on_bad)).schema(_csv_schema(on_bad)).csv(path)
-    return raw.withColumn("url", F.trim("url"))
+    return parse_rows(spark.read.options(**CSV_OPTIONS).schema(TEXT_SCHEMA).csv(path), on_bad)
 
 
-def stream_rank_csv(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
+def stream_rank_csv(
+    spark: SparkSession, folder: str, files_per_batch: int = 1000, on_bad: str = "fail"
+) -> DataFrame:
     """``read_rank_csv`` for report files that keep arriving in a folder."""
-    reader = spark.readStream.options(**_csv_options("fail")).schema(RANK_SCHEMA)
-    raw = reader.option("maxFilesPerTrigger", files_per_batch).csv(folder)
-    return raw.withColumn("url", F.trim("url"))
+    reader = spark.readStream.options(**CSV_OPTIONS).schema(TEXT_SCHEMA)
+    return parse_rows(reader.option("maxFilesPerTrigger", files_per_batch).csv(folder), on_bad)
 
 
 def good_rows(df: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ import __spark_entry__ as spark_entry
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 QUERIES = spark_entry.queries()
 ORACLES = spark_entry.oracle_sql()
+SLOW_NODES = ("EvalPython", "InPandas", "InArrow", "CartesianProduct", "BroadcastNestedLoopJoin")
 
 
 @pytest.fixture(scope="module")
@@ -41,6 +42,8 @@ def test_same_rows_as_duckdb(spark, duck, name):
     assert sorted(result.columns) == sorted(columns)
     expected = sorted_rows(columns, oracle.fetchall())
     actual = sorted_rows(result.columns, [tuple(r) for r in result.collect()])
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert not any(node in plan for node in SLOW_NODES)
     assert len(expected) > 0
     assert actual == expected
 

@@ -120,6 +120,24 @@ def minhash_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.minhash_similarity(_clean(spark, sf_dir), element_id="md5")
 
 
+def minhash_signatures_binned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    facts = _clean(spark, sf_dir)
+    return _signature_text(minhash.minhash_signatures(facts, K, element_id="md5", method="bins"))
+
+
+def minhash_similarity_binned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    facts = _clean(spark, sf_dir)
+    return minhash.minhash_similarity(facts, element_id="md5", method="bins")
+
+
+def pairwise_minhash_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
+    signatures = minhash.minhash_signatures(
+        rank_facts(spark, sf_dir), element_id="md5", cols=BY_KEYWORD
+    )
+    return minhash.pairwise_signature_similarity(signatures, KEYWORDS, cols=BY_KEYWORD)
+
+
 def minhash_similarity_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
     tune(spark)
     facts = rank_facts(spark, sf_dir)
@@ -234,6 +252,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "minhash_signatures_xxhash": minhash_signatures_xxhash,
         "minhash_similarity": minhash_similarity,
         "minhash_similarity_compat": minhash_similarity_compat,
+        "minhash_signatures_binned": minhash_signatures_binned,
+        "minhash_similarity_binned": minhash_similarity_binned,
+        "pairwise_minhash_similarity": pairwise_minhash_similarity,
         "signature_merge": signature_merge,
         "signature_merge_pairwise": signature_merge_pairwise,
         "signature_table_parts": signature_table_parts,
@@ -320,18 +341,32 @@ _STRING_HASH = """
           lambda s, c: (s * 31 + c) % 4294967296) AS h"""
 
 
+_MINIMA = ", ".join(
+    f"min(((x >> 29) * {a} + {b}) % 2147483647 * 536870912 + (x & 536870911))"
+    for a, b in coefficients(K)
+)
+
+
 def _signatures(source: str, name: str = "sigs") -> str:
-    minima = ", ".join(
-        f"min(((x >> 29) * {a} + {b}) % 2147483647 * 536870912 + (x & 536870911))"
-        for a, b in coefficients(K)
-    )
     return f"""
 {name} AS (
-  SELECT crawl_date, device, [{minima}] AS sig
+  SELECT crawl_date, device, [{_MINIMA}] AS sig
   FROM (SELECT crawl_date, device, {_MD5_ID} AS x FROM {source})
   GROUP BY crawl_date, device)"""
 
 
+# Empty bins hold the largest BIGINT.
+_BINNED = f"""
+bins AS (
+  SELECT crawl_date, device, x % {K} AS bin, min(x) AS low
+  FROM (SELECT crawl_date, device, {_MD5_ID} AS x FROM cl) GROUP BY ALL),
+sigs AS (
+  SELECT d.crawl_date, d.device, list(coalesce(low, 9223372036854775807) ORDER BY i) AS sig
+  FROM (SELECT DISTINCT crawl_date, device FROM bins) d, range({K}) r(i)
+  LEFT JOIN bins b ON b.crawl_date = d.crawl_date AND b.device = d.device AND b.bin = r.i
+  GROUP BY ALL)"""
+
+
 def _signature_rows(source: str) -> str:
     return (
         f"WITH {_R}, {_kept('event_id, url')}, {_signatures(source)} "
@@ -351,6 +386,28 @@ est AS (
     len(list_filter(list_zip(a, b), lambda p: p[1] = p[2])) * 100 // {K}, 0) AS INTEGER) AS similarity
   FROM ({_PAIRED}))"""
 
+_BINNED_ESTIMATE = f"""
+est AS (
+  SELECT crawl_date, CAST(coalesce(
+    len(list_filter(list_zip(a, b), lambda p: p[1] = p[2] AND p[1] < 9223372036854775807)) * 100
+    // len(list_filter(list_zip(a, b), lambda p: least(p[1], p[2]) < 9223372036854775807)), 0)
+    AS INTEGER) AS similarity
+  FROM ({_PAIRED}))"""
+
+_KEYWORD_ELEMENT = """concat_ws(chr(1), market, coalesce(loc, ''), CAST("rank" AS VARCHAR), url)"""
+_KEYWORD_PAIRS = f"""
+sigs AS (
+  SELECT crawl_date, keyword, [{_MINIMA}] AS sig
+  FROM (SELECT crawl_date, keyword, CAST('0x' || substr(md5({_KEYWORD_ELEMENT}), 1, 15) AS BIGINT) AS x FROM r)
+  GROUP BY crawl_date, keyword),
+pairs AS (
+  SELECT d.crawl_date, ka.k AS keyword_a, kb.k AS keyword_b, a.sig AS a, b.sig AS b
+  FROM (SELECT DISTINCT crawl_date FROM sigs) d
+  JOIN (SELECT unnest({list(KEYWORDS)}) AS k) ka ON true
+  JOIN (SELECT unnest({list(KEYWORDS)}) AS k) kb ON ka.k < kb.k
+  LEFT JOIN sigs a ON a.crawl_date = d.crawl_date AND a.keyword = ka.k
+  LEFT JOIN sigs b ON b.crawl_date = d.crawl_date AND b.keyword = kb.k)"""
+
 
 def _compat_similarity() -> str:
     wrapped = "(CASE WHEN {0} % 4294967296 >= 2147483648 THEN {0} % 4294967296 - 4294967296 ELSE {0} % 4294967296 END)"
@@ -461,6 +518,13 @@ compared AS (
         "minhash_signatures": _signature_rows("cl"),
         "minhash_similarity": f"{_CLEAN}, {_signatures('cl')}, {_ESTIMATE} SELECT * FROM est",
         "minhash_similarity_compat": _compat_similarity(),
+        "minhash_signatures_binned": f"""{_CLEAN}, {_BINNED}
+            SELECT crawl_date, device, array_to_string(sig, ',') AS sig FROM sigs""",
+        "minhash_similarity_binned": f"{_CLEAN}, {_BINNED}, {_BINNED_ESTIMATE} SELECT * FROM est",
+        "pairwise_minhash_similarity": f"""{_RAW}, {_KEYWORD_PAIRS}
+            SELECT crawl_date, keyword_a, keyword_b, CAST(coalesce(
+              len(list_filter(list_zip(a, b), lambda p: p[1] = p[2])) * 100 // {K}, 0) AS INTEGER) AS similarity
+            FROM pairs""",
         "signature_merge": _signature_rows("r"),
         "signature_merge_pairwise": _signature_rows("r"),
         "signature_table_parts": _signature_rows("r"),

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Larger than any hash value: an empty position of a binned signature.
+EMPTY = 2**63 - 1
+
 
 def merge_signatures(a: Column, b: Column) -> Column:
     """Element-wise minimum of two signatures; an empty or NULL one changes nothing."""
@@ -14,9 +17,10 @@ def merge_signatures(a: Column, b: Column) -> Column:
 
 
 def positional_similarity(a: Column, b: Column) -> Column:
-    """Percent of positions on which two signatures agree."""
-    agree = F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda same: same))
-    return percent(agree, F.size(a))
+    """Percent of positions on which two signatures agree, not counting empty ones."""
+    both = F.zip_with(a, b, lambda x, y: F.struct(F.least(x, y).alias("low"), (x == y).alias("same")))
+    filled = F.filter(both, lambda p: p["low"] < EMPTY)
+    return percent(F.size(F.filter(filled, lambda p: p["same"])), F.size(filled))
 
 
 def value_set_similarity(a: Column, b: Column) -> Column:

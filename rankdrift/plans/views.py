@@ -6,24 +6,19 @@ Users of events stand in for keywords, the payload ``k`` for rank and URL.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def rank_facts_of(events: DataFrame) -> DataFrame:
     """The seven rank columns plus ``event_id`` and ``ts``, the order of arrival."""
-    kind = F.col("event_type")
-    k = F.col("k")
-    events = events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
-    return events.select(
-        F.concat(F.lit("kw"), F.col("user_id") % 5).alias("keyword"),
-        F.when(kind.isin("signup", "click"), "US-en").otherwise("CA-en").alias("market"),
-        F.when(~kind.isin("signup", "view"), kind).alias("loc"),
-        F.when(F.col("event_id") % 2 == 0, "desktop").otherwise("smartphone").alias("device"),
-        F.col("ts").cast("date").alias("crawl_date"),
-        (k % 20 + 1).alias("rank"),
-        F.concat(
-            F.lit("site"), F.when(k >= 50, "1").otherwise("0"), F.lit(".example/p")
-        ).alias("url"),
+    payload = "cast(get_json_object(props, '$.k') as int) AS k"
+    return events.selectExpr("event_id", "ts", "user_id", "event_type", payload).selectExpr(
+        "concat('kw', user_id % 5) AS keyword",
+        "if(event_type IN ('signup', 'click'), 'US-en', 'CA-en') AS market",
+        "if(event_type IN ('signup', 'view'), NULL, event_type) AS loc",
+        "if(event_id % 2 = 0, 'desktop', 'smartphone') AS device",
+        "cast(ts AS date) AS crawl_date",
+        "k % 20 + 1 AS rank",
+        "concat('site', if(k >= 50, 1, 0), '.example/p') AS url",
         "event_id",
         "ts",
     )

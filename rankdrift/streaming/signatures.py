@@ -20,6 +20,7 @@ def maintain_signatures(
     k: int = K,
     pairs: Sequence[tuple[int, int]] | None = None,
     element_id: str = "xxhash64",
+    method: str = "functions",
     once: bool = False,
     cols: RankColumns = RANK_COLUMNS,
 ) -> StreamingQuery:
@@ -32,7 +33,7 @@ def maintain_signatures(
     """
 
     def add_part(batch: DataFrame, number: int) -> None:
-        signatures = minhash_signatures(batch, k, pairs, element_id, cols)
+        signatures = minhash_signatures(batch, k, pairs, element_id, method, cols)
         write_signature_part(signatures, path, f"{name}-{number}")
 
     writer = facts.writeStream.foreachBatch(add_part).option("checkpointLocation", checkpoint)

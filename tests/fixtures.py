@@ -39,4 +39,4 @@ def edge_facts(spark, extra=()):
 
 
 def rows(df, *columns):
-    return [tuple(r) for r in df.select(*columns or df.columns).collect()]
+    return [tuple(r) for r in (df.select(*columns) if columns else df).collect()]

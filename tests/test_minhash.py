@@ -95,6 +95,22 @@ def test_signatures_against_brute_force(spark, element_id):
     assert {(d, g): list(s) for d, g, s in rows(got)} == expected
 
 
+def test_binned_signatures_against_brute_force(spark):
+    df = edge_facts(spark)
+    k, expected = 5, {}
+    for *values, device, crawl_date in rows(df, *RANK_COLUMNS.element, "device", "crawl_date"):
+        x = element_ids(values)[1]
+        sig = expected.setdefault((crawl_date, device), [signatures.EMPTY] * k)
+        sig[x % k] = min(sig[x % k], x)
+    got = minhash.minhash_signatures(df, k, method="bins")
+    assert {(d, g): list(s) for d, g, s in rows(got)} == expected
+
+
+def test_unknown_method(spark):
+    with pytest.raises(ValueError):
+        minhash.minhash_signatures(edge_facts(spark), method="other")
+
+
 def test_extreme_ids_do_not_overflow(spark):
     df = spark.createDataFrame([(0,), (2**60 - 1,), (2**59,)], "id bigint")
     high, low = hashing.split_id(F.col("id"))
@@ -138,8 +154,9 @@ def test_estimate_is_near_the_exact_value_for_large_sets(spark):
         F.col("id"),
     ).where("(id < 80000 AND i < 60000) OR (id >= 80000 AND i >= 20000)")
     assert rows(exact.exact_similarity(df)) == [(day(1), 50)]
-    estimate = rows(minhash.minhash_similarity(df, k=400))[0][1]
-    assert abs(estimate - 50) <= 8
+    for method in ("functions", "bins"):
+        estimate = rows(minhash.minhash_similarity(df, k=400, method=method))[0][1]
+        assert abs(estimate - 50) <= 8
     sketched = rows(exact.sketch_similarity(df, log_entries=14))[0][1]
     assert abs(sketched - 50) <= 2
 
@@ -188,13 +205,14 @@ def test_pairwise_merge(spark):
     assert got == [[4, 2, 9], [5, 2, 9], [4, 7, 9], [], [1], [1]]
 
 
-def test_signature_of_a_union_is_the_merge(spark):
+@pytest.mark.parametrize("method", ["functions", "bins"])
+def test_signature_of_a_union_is_the_merge(spark, method):
     df = rank_facts(spark, "/root/testdata/sf0.001")
-    split = F.col("value") > 10
-    parts = minhash.minhash_signatures(df.where(split)).union(
-        minhash.minhash_signatures(df.where(~split))
+    split = F.col("rank") > 7
+    parts = minhash.minhash_signatures(df.where(split), method=method).union(
+        minhash.minhash_signatures(df.where(~split), method=method)
     )
-    whole = minhash.minhash_signatures(df)
+    whole = minhash.minhash_signatures(df, method=method)
     assert sorted(rows(minhash.merge_signature_rows(parts))) == sorted(rows(whole))
 
 
@@ -205,6 +223,28 @@ def test_estimators(spark):
     assert similar("value_set") == [(60,)]
 
 
+def test_empty_bins_do_not_count(spark):
+    e = signatures.EMPTY
+    df = spark.createDataFrame(
+        [([1, e, 3, e], [1, 2, e, e]), ([e, e], [e, e])], "a array<bigint>, b array<bigint>"
+    )
+    similar = signatures.positional_similarity(F.col("a"), F.col("b"))
+    assert rows(df.select(similar)) == [(33,), (0,)]
+
+
+def test_every_pair_of_three_devices(spark):
+    df = edge_facts(spark, [("tablet", 1, 1, "u1"), ("tablet", 1, 2, "u5"), ("watch", 1, 1, "u1")])
+    groups = ("desktop", "smartphone", "tablet")
+    sigs = minhash.minhash_signatures(df, k=400)
+    pairs = minhash.pairwise_signature_similarity(sigs, groups)
+    exactly = exact.pairwise_exact_similarity(df, groups)
+    both = pairs.withColumnRenamed("similarity", "estimate").join(
+        exactly, ["crawl_date", "device_a", "device_b"]
+    )
+    assert pairs.count() == exactly.count() == both.count() == 12
+    assert both.where("abs(estimate - similarity) > 8").count() == 0
+
+
 def test_row_order_and_partitions_do_not_matter(spark):
     df = rank_facts(spark, "/root/testdata/sf0.001")
     shuffled = df.repartition(7).orderBy(F.rand(1))

@@ -1,0 +1,99 @@
+"""Analyses of daily search-rank reports as plain Spark DataFrame jobs."""
+
+from rankdrift.operators.cleaning import (
+    clean_ranks,
+    date_range,
+    drop_duplicate_keys,
+    duplicate_keys,
+    fill_location,
+)
+from rankdrift.operators.compare import estimate_error, estimate_vs_exact
+from rankdrift.operators.exact import (
+    distinct_elements,
+    exact_similarity,
+    pairwise_exact_similarity,
+    sketch_similarity,
+)
+from rankdrift.operators.minhash import (
+    compat_signatures,
+    merge_signature_rows,
+    minhash_signatures,
+    minhash_similarity,
+    pairwise_signature_similarity,
+    signature_pairs,
+)
+from rankdrift.operators.top_spot import (
+    departure_counts,
+    departure_days,
+    departure_days_anti_join,
+    prev_day_url,
+    top_spot_changes,
+    top_spot_departures,
+)
+from rankdrift.operators.urls import top_urls, url_counts
+from rankdrift.plans.report import analyses, report_lines, run_report, similarity_report
+from rankdrift.schema import DEVICES, RANK_COLUMNS, RANK_SCHEMA, SIGNATURE_SCHEMA, RankColumns
+from rankdrift.session import tune
+from rankdrift.sources.csv_report import bad_rows, good_rows, read_rank_csv, stream_rank_csv
+from rankdrift.sources.rank_table import (
+    load_ranks,
+    read_rank_table,
+    upsert_rank_table,
+    write_rank_table,
+)
+from rankdrift.sources.signature_table import (
+    compact_signatures,
+    read_signatures,
+    write_signature_part,
+)
+from rankdrift.streaming.signatures import maintain_signatures
+
+__all__ = [
+    "DEVICES",
+    "RANK_COLUMNS",
+    "RANK_SCHEMA",
+    "RankColumns",
+    "SIGNATURE_SCHEMA",
+    "analyses",
+    "bad_rows",
+    "clean_ranks",
+    "compact_signatures",
+    "compat_signatures",
+    "date_range",
+    "departure_counts",
+    "departure_days",
+    "departure_days_anti_join",
+    "distinct_elements",
+    "drop_duplicate_keys",
+    "duplicate_keys",
+    "estimate_error",
+    "estimate_vs_exact",
+    "exact_similarity",
+    "fill_location",
+    "good_rows",
+    "load_ranks",
+    "maintain_signatures",
+    "merge_signature_rows",
+    "minhash_signatures",
+    "minhash_similarity",
+    "pairwise_exact_similarity",
+    "pairwise_signature_similarity",
+    "prev_day_url",
+    "read_rank_csv",
+    "read_rank_table",
+    "read_signatures",
+    "report_lines",
+    "run_report",
+    "signature_pairs",
+    "similarity_report",
+    "sketch_similarity",
+    "stream_rank_csv",
+    "top_spot_changes",
+    "top_spot_departures",
+    "top_urls",
+    "tune",
+    "upsert_rank_table",
+    "url_counts",
+    "write_rank_table",
+    "write_signature_part",
+]

@@ -115,7 +115,7 @@ def sketch_similarity(
     """
     first, second = devices
     members = df.where(F.col(cols.group).isin(first, second)).select(
-        cols.date, cols.group, element_text(cols.element).alias("_element")
+        cols.date, cols.group, xxhash_id(cols.element).alias("_element")
     )
     sketches = members.groupBy(cols.date, cols.group).agg(
         F.theta_sketch_agg("_element", log_entries).alias("_sketch")

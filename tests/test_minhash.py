@@ -67,9 +67,12 @@ def test_element_text_keeps_the_place_of_missing_values(spark):
 
 
 def element_ids(values):
-    text = "\u0001".join("" if v is None else str(v) for v in values).encode()
-    md5 = int(hashlib.md5(text).hexdigest()[:15], 16)
-    return md5, xxhash.xxh64_intdigest(text, seed=42) >> 4
+    texts = ["" if v is None else str(v) for v in values]
+    md5 = int(hashlib.md5("\u0001".join(texts).encode()).hexdigest()[:15], 16)
+    state = 42
+    for text in texts:
+        state = xxhash.xxh64_intdigest(text.encode(), seed=state)
+    return md5, state >> 4
 
 
 def test_element_ids(spark):

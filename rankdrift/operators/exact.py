@@ -12,6 +12,8 @@ from rankdrift.functions.hashing import element_text, xxhash_id
 from rankdrift.functions.signatures import percent
 from rankdrift.schema import DEVICES, RANK_COLUMNS, RankColumns
 
+MASK_BITS = 62
+
 
 def _element_key(element_key: str, cols: RankColumns) -> list[Column]:
     """Grouping columns that stand for an element.
@@ -29,21 +31,26 @@ def _element_key(element_key: str, cols: RankColumns) -> list[Column]:
 
 def _memberships(
     df: DataFrame, groups: Sequence[str], element_key: str, cols: RankColumns
-) -> DataFrame:
-    """One row per date and element; bit i of ``mask`` says it is in ``groups[i]``.
+) -> tuple[DataFrame, list[Column]]:
+    """One row per date and element, and for each group a column that says if it is in there.
 
-    This is the only shuffle that grows with the data. The masks are combined
-    before it, so copies of an element cost nothing.
+    Membership is kept as bits, ``MASK_BITS`` groups per BIGINT. This is the
+    only shuffle that grows with the data, and copies of an element are
+    combined before it.
     """
-    if not 2 <= len(set(groups)) == len(groups) <= 62:
-        raise ValueError("give 2 to 62 different groups")
-    bit = F.lit(None)
-    for i, group in enumerate(groups):
-        bit = F.when(F.col(cols.group) == group, F.lit(1 << i).cast("bigint")).otherwise(bit)
+    if len(groups) < 2 or len(set(groups)) != len(groups):
+        raise ValueError("give two or more different groups")
+    masks, present = [], []
+    for start in range(0, len(groups), MASK_BITS):
+        name = f"_mask{len(masks)}"
+        bit = F.lit(0).cast("bigint")
+        for i, group in enumerate(groups[start : start + MASK_BITS]):
+            mark = F.lit(1 << i).cast("bigint")
+            bit = F.when(F.col(cols.group) == group, mark).otherwise(bit)
+            present.append(F.col(name).bitwiseAND(mark) != 0)
+        masks.append(F.bit_or(bit).alias(name))
     members = df.where(F.col(cols.group).isin(*groups))
-    return members.groupBy(cols.date, *_element_key(element_key, cols)).agg(
-        F.bit_or(bit).alias("mask")
-    )
+    return members.groupBy(cols.date, *_element_key(element_key, cols)).agg(*masks), present
 
 
 def pairwise_exact_similarity(
@@ -57,22 +64,23 @@ def pairwise_exact_similarity(
     A pair is 0 on a date where one side has no rows, and on a date where
     neither has any while another group does.
     """
-    members = _memberships(df, groups, element_key, cols)
+    members, present = _memberships(df, groups, element_key, cols)
     pairs = list(combinations(range(len(groups)), 2))
-    sums = []
+    sizes = [F.count_if(here).alias(f"_n{i}") for i, here in enumerate(present)]
+    shared = [F.count_if(present[i] & present[j]).alias(f"_n{i}_{j}") for i, j in pairs]
+    rows = []
     for i, j in pairs:
-        hits = F.col("mask").bitwiseAND(F.lit(1 << i | 1 << j))
-        sums.append(F.count_if(hits == (1 << i | 1 << j)).alias(f"_both_{i}_{j}"))
-        sums.append(F.count_if(hits != 0).alias(f"_any_{i}_{j}"))
-    rows = [
-        F.struct(
-            F.lit(groups[i]).alias(f"{cols.group}_a"),
-            F.lit(groups[j]).alias(f"{cols.group}_b"),
-            percent(F.col(f"_both_{i}_{j}"), F.col(f"_any_{i}_{j}")).alias("similarity"),
+        both = F.col(f"_n{i}_{j}")
+        either = F.col(f"_n{i}") + F.col(f"_n{j}") - both
+        rows.append(
+            F.struct(
+                F.lit(groups[i]).alias(f"{cols.group}_a"),
+                F.lit(groups[j]).alias(f"{cols.group}_b"),
+                percent(both, either).alias("similarity"),
+            )
         )
-        for i, j in pairs
-    ]
-    return members.groupBy(cols.date).agg(*sums).select(cols.date, F.inline(F.array(*rows)))
+    counts = members.groupBy(cols.date).agg(*sizes, *shared)
+    return counts.select(cols.date, F.inline(F.array(*rows)))
 
 
 def exact_similarity(

@@ -1,15 +1,28 @@
-"""Rank facts read out of an event log.
-
-Users of events stand in for keywords, the payload ``k`` for rank and URL.
-"""
+"""Rank facts read out of other tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rankdrift.schema import RankColumns
+
+# Shipments as rank facts under their own names: the place of a supplier on the
+# orders shipped with one line status, compared between return flags.
+_SHIPMENT = {
+    "subject": ("l_linestatus",),
+    "group": "l_returnflag",
+    "rank": "l_linenumber",
+    "entity": "l_suppkey",
+}
+SHIPMENTS_BY_DAY = RankColumns(date="ship_date", **_SHIPMENT)
+SHIPMENTS_BY_MONTH = RankColumns(date="ship_month", **_SHIPMENT)
+
 
 def rank_facts_of(events: DataFrame) -> DataFrame:
-    """The seven rank columns plus ``event_id`` and ``ts``, the order of arrival."""
+    """The seven rank columns plus ``event_id`` and ``ts``, the order of arrival.
+
+    Users of events stand in for keywords, the payload ``k`` for rank and URL.
+    """
     payload = "cast(get_json_object(props, '$.k') as int) AS k"
     return events.selectExpr("event_id", "ts", "user_id", "event_type", payload).selectExpr(
         "concat('kw', user_id % 5) AS keyword",
@@ -26,3 +39,14 @@ def rank_facts_of(events: DataFrame) -> DataFrame:
 
 def rank_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_facts_of(spark.read.parquet(f"{sf_dir}/events.parquet"))
+
+
+def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr(
+        "l_linestatus",
+        "l_returnflag",
+        "l_linenumber",
+        "l_suppkey",
+        "cast(l_shipdate AS date) AS ship_date",
+        "cast(trunc(l_shipdate, 'month') AS date) AS ship_month",
+    )

@@ -123,6 +123,18 @@ def test_every_pair_of_three_devices(spark):
     ]
 
 
+def test_more_groups_than_a_mask_has_bits(spark, monkeypatch):
+    monkeypatch.setattr(exact, "MASK_BITS", 2)
+    shares = {"a": {1, 2}, "b": {2, 3}, "c": {1, 2, 3}, "d": {9}, "e": {2}}
+    df = facts(spark, [fact(g, rank=r) for g, ranks in shares.items() for r in ranks])
+    got = exact.pairwise_exact_similarity(df, tuple(shares))
+    expected = sorted(
+        (x, y, 100 * len(shares[x] & shares[y]) // len(shares[x] | shares[y]))
+        for x in shares for y in shares if x < y
+    )
+    assert sorted(rows(got, "device_a", "device_b", "similarity")) == expected
+
+
 def test_groups_have_to_differ(spark):
     with pytest.raises(ValueError):
         exact.exact_similarity(edge_facts(spark), devices=("desktop", "desktop"))

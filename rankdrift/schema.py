@@ -30,8 +30,8 @@ SIGNATURE_SCHEMA = T.StructType(
     ]
 )
 
-RANK_TABLE_NAME = "stat_rank"
-SIGNATURE_TABLE_NAME = "stat_signature"
+RANK_TABLE_NAME = "rank_table"
+SIGNATURE_TABLE_NAME = "signature_table"
 
 
 @dataclass(frozen=True)

@@ -87,6 +87,29 @@ def test_table_files_are_sorted_by_rank_within_a_date(spark, tmp_path):
     assert ranks == sorted(ranks)
 
 
+def test_a_large_day_is_written_by_several_tasks(spark, tmp_path):
+    """Small days stay one file, but for those that hash together with the large one."""
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200KB")
+    try:
+        days = F.when(F.col("id") % 10 < 9, 1).otherwise((F.col("id") % 7 + 2).cast("int"))
+        df = spark.range(0, 100000, 1, 8).select(
+            F.concat(F.lit("k"), F.xxhash64("id")).alias("keyword"),
+            F.lit("US").alias("market"),
+            F.lit("").alias("loc"),
+            F.lit("desktop").alias("device"),
+            F.date_add(F.lit("2017-07-01").cast("date"), days).alias("crawl_date"),
+            F.lit(1).alias("rank"),
+            F.concat(F.lit("u"), F.xxhash64("id", F.lit(1))).alias("url"),
+        )
+        rank_table.write_rank_table(df, str(tmp_path / "ranks"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = {p.name: len(list(p.glob("*.parquet"))) for p in (tmp_path / "ranks").glob("crawl*")}
+    assert files.pop("crawl_date=2017-07-02") > 4
+    assert len(files) == 7 and list(files.values()).count(1) >= 5
+    assert rank_table.read_rank_table(spark, str(tmp_path / "ranks")).count() == 100000
+
+
 def test_a_key_with_a_third_of_all_rows(spark):
     """Copies of one key meet before the shuffle, so no task receives them all."""
     n = spark.range(300000)

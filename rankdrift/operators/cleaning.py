@@ -12,7 +12,7 @@ from rankdrift.schema import RANK_COLUMNS, RankColumns
 
 def fill_location(df: DataFrame, column: str = "loc") -> DataFrame:
     """The location is part of the key, so a missing one becomes an empty string."""
-    return df.na.fill("", [column])
+    return df.na.fill("", [column]) if column in df.columns else df
 
 
 def drop_duplicate_keys(

@@ -171,9 +171,13 @@ def merge_signature_rows(
 ) -> DataFrame:
     """Combine all partial signatures of a date and device by element-wise minimum.
 
-    Empty signatures are skipped; a key that has only empty ones keeps an empty one.
+    Empty signatures are skipped; a key that has only empty ones keeps an empty
+    one. A signature of another length than ``k`` is an error.
     """
-    minima = signatures.groupBy(cols.date, cols.group).agg(
+    fits = F.coalesce(F.size("sig"), F.lit(0)).isin(-1, 0, k)
+    stop = F.raise_error(f"signature of another length than {k}").cast("boolean")
+    fitting = signatures.where(F.when(fits, True).otherwise(stop))
+    minima = fitting.groupBy(cols.date, cols.group).agg(
         *[F.expr(f"min(get(sig, {i})) AS _h{i}") for i in range(k)]
     )
     merged = ", ".join(f"_h{i}" for i in range(k))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankdrift.schema import RANK_COLUMNS, RankColumns
@@ -52,6 +52,24 @@ def departure_days_anti_join(
     return days.join(following, match, "left_anti")
 
 
+def _presence_masks(df: DataFrame, cols: RankColumns) -> DataFrame:
+    """One row per holder and block of days; bit i of ``mask`` stands for day i of the block."""
+    day = F.unix_date(cols.date)
+    bit = F.pmod(day, F.lit(BLOCK))
+    block = F.call_function("div", day - bit, F.lit(BLOCK))
+    one = F.lit(1).cast("bigint")
+
+    def mark(block: Column, mask: Column) -> Column:
+        return F.struct(block.alias("block"), mask.alias("mask"))
+
+    own = mark(block, F.call_function("shiftleft", one, bit))
+    # The first day of a block also counts as the day after the block before.
+    before = mark(block - 1, F.lit(1 << BLOCK))
+    marks = F.when(bit == 0, F.array(own, before)).otherwise(F.array(own))
+    marked = df.select(*cols.holder, F.inline(marks))
+    return marked.groupBy(*cols.holder, "block").agg(F.bit_or("mask").alias("mask"))
+
+
 def departure_counts(
     df: DataFrame, top_rank: int = 1, semantics: str = "set", cols: RankColumns = RANK_COLUMNS
 ) -> DataFrame:
@@ -63,19 +81,11 @@ def departure_counts(
     if semantics != "set":
         days = departure_days(df, top_rank, semantics, cols)
         return days.groupBy(*cols.holder).agg(F.count("*").alias("n"))
-    day = F.unix_date(cols.date)
-    bit = F.pmod(day, F.lit(BLOCK))
-    block = F.call_function("div", day - bit, F.lit(BLOCK))
-    own = F.struct(block.alias("block"), F.call_function("shiftleft", F.lit(1).cast("bigint"), bit).alias("mask"))
-    before = F.struct((block - 1).alias("block"), F.lit(1 << BLOCK).alias("mask"))
-    top = df.where(F.col(cols.rank) == top_rank)
-    marks = top.select(
-        *cols.holder, F.inline(F.when(bit == 0, F.array(own, before)).otherwise(F.array(own)))
-    )
-    masks = marks.groupBy(*cols.holder, "block").agg(F.bit_or("mask").alias("mask"))
-    stays = F.shiftright("mask", 1)
-    left = F.col("mask").bitwiseAND(F.bitwise_not(stays)).bitwiseAND(F.lit((1 << BLOCK) - 1))
-    counts = masks.groupBy(*cols.holder).agg(F.sum(F.bit_count(left)).alias("n"))
+    masks = _presence_masks(df.where(F.col(cols.rank) == top_rank), cols)
+    here_tomorrow = F.shiftright("mask", 1)
+    left = F.col("mask").bitwiseAND(F.bitwise_not(here_tomorrow))
+    within_block = left.bitwiseAND(F.lit((1 << BLOCK) - 1))
+    counts = masks.groupBy(*cols.holder).agg(F.sum(F.bit_count(within_block)).alias("n"))
     return counts.where("n > 0")
 
 

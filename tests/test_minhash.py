@@ -199,6 +199,11 @@ def test_merge_of_any_number_of_signatures(spark):
     assert merged(spark, [], []) == [([],)]
 
 
+def test_signatures_of_another_length_do_not_merge(spark):
+    with pytest.raises(Exception, match="another length than 3"):
+        merged(spark, [5, 2, 9], [5, 2, 9, 1])
+
+
 def test_pairwise_merge(spark):
     df = spark.createDataFrame(
         [([5, 2, 9], [4, 7, 9]), ([5, 2, 9], []), ([], [4, 7, 9]), ([], []), (None, [1]), ([1], None)],

@@ -119,6 +119,10 @@ def string_hash32(text: Column) -> Column:
         low = above.bitwiseAND(F.lit(0x3FF)) + 0xDC00
         return F.when(above < 0, add(state, code)).otherwise(add(add(state, high), low))
 
-    folded = F.aggregate(F.split(text, ""), F.lit(0).cast("bigint"), add_character)
-    return wrap_int32(F.when(F.length(text) == 0, F.lit(0).cast("bigint")).otherwise(folded))
-
+    zero = F.lit(0).cast("bigint")
+    characters = F.split(text, "")
+    # Most text is ASCII, where a character is a code unit and the step is simple.
+    plain = F.aggregate(characters, zero, lambda state, c: add(state, F.ascii(c)))
+    full = F.aggregate(characters, zero, add_character)
+    folded = F.when(F.octet_length(text) == F.length(text), plain).otherwise(full)
+    return wrap_int32(F.when(F.length(text) == 0, zero).otherwise(folded))

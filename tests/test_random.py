@@ -1,0 +1,139 @@
+"""All analyses against plain Python on random rank facts with gaps and copies."""
+
+import random
+from collections import Counter, defaultdict
+from datetime import timedelta
+
+import pytest
+
+from fixtures import day, fact, facts, rows
+from rankdrift.operators import cleaning, exact, minhash, top_spot, urls
+
+DAY = timedelta(days=1)
+
+
+def random_facts(seed):
+    rng = random.Random(seed)
+    return [
+        fact(
+            device=rng.choice(["desktop", "smartphone"]),
+            n=rng.choice([1, 2, 3, 4, 6, 7, 9]),
+            rank=rng.choice([1, 1, 2, 11, 12]),
+            url=rng.choice(["u1", "u2", "u3"]),
+            keyword=rng.choice(["a", "b"]),
+            market=rng.choice(["US", "CA"]),
+            loc=rng.choice([None, "", "x"]),
+        )
+        for _ in range(rng.choice([40, 150, 400]))
+    ]
+
+
+@pytest.fixture(scope="module", params=[1, 2, 3])
+def data(request, spark):
+    raw = random_facts(request.param)
+    df = facts(spark, raw).repartition(3).cache()
+    kept = {}
+    for *subject, loc, device, crawl_date, rank, url in raw:
+        key = (*subject, loc or "", device, crawl_date, rank)
+        kept[key] = min(url, kept.get(key, url))
+    clean = [(*key, url) for key, url in kept.items()]
+    clean_df = cleaning.clean_ranks(df).cache()
+    yield raw, df, clean, clean_df
+    df.unpersist()
+    clean_df.unpersist()
+
+
+def holder(row):
+    keyword, market, loc, device, _, _, url = row
+    return keyword, market, loc, device, url
+
+
+def test_clean_and_duplicates(data):
+    raw, df, clean, clean_df = data
+    assert Counter(rows(clean_df)) == Counter(clean)
+    copies = Counter(row[:6] for row in raw)
+    expected = Counter({(*key, n) for key, n in copies.items() if n > 1})
+    assert Counter(rows(cleaning.duplicate_keys(df))) == expected
+
+
+def test_url_counts(data):
+    raw, df, _, _ = data
+    counts = Counter(row[6] for row in raw if row[5] > 10)
+    assert dict(rows(urls.url_counts(df, 10))) == counts
+    first = sorted(counts.items(), key=lambda c: (-c[1], c[0]))[:2]
+    assert rows(urls.top_urls(df, 10, k=2)) == first
+
+
+def test_departures(data):
+    raw, df, _, _ = data
+    copies = Counter((holder(row), row[4]) for row in raw if row[5] == 1)
+    gone = {(h, d) for h, d in copies if (h, d + DAY) not in copies}
+    for semantics, days in (
+        ("set", gone),
+        ("compat", {key for key in gone if copies[key] == 1}),
+    ):
+        counts = Counter(h for h, _ in days)
+        got = rows(top_spot.departure_counts(df, semantics=semantics))
+        assert {tuple(h): n for *h, n in got} == counts
+        listed = rows(top_spot.departure_days(df, semantics=semantics))
+        assert {(tuple(h), d) for *h, d in listed} == days
+    listed = rows(top_spot.departure_days_anti_join(df))
+    assert {(tuple(h), d) for *h, d in listed} == gone
+
+
+def test_previous_day_and_changes(data):
+    _, _, clean, clean_df = data
+    url_of = {row[:6]: row[6] for row in clean}
+
+    def before(row):
+        *result_list, crawl_date, rank, _ = row
+        return url_of.get((*result_list, crawl_date - DAY, rank))
+
+    assert set(rows(top_spot.prev_day_url(clean_df))) == {(*r, before(r)) for r in clean}
+    changes = Counter(r[:4] for r in clean if r[5] == 1 and before(r) not in (None, r[6]))
+    assert {tuple(c): n for *c, n in rows(top_spot.top_spot_changes(clean_df))} == changes
+
+
+def test_similarities(data):
+    raw, df, _, _ = data
+    sets, copies = defaultdict(set), Counter()
+    for keyword, market, loc, device, crawl_date, rank, url in raw:
+        element = keyword, market, loc, rank, url
+        sets[crawl_date, device].add(element)
+        copies[crawl_date, element] += 1
+    expected, tally = [], []
+    for d in sorted({d for d, _ in sets}):
+        a, b = sets[d, "desktop"], sets[d, "smartphone"]
+        expected.append((d, 100 * len(a & b) // len(a | b)))
+        n = [c for (other, _), c in copies.items() if other == d]
+        tally.append((d, (sum(n) - len(n)) * 100 // len(n)))
+    assert rows(exact.exact_similarity(df)) == expected
+    assert rows(exact.exact_similarity(df, element_key="hash")) == expected
+    assert rows(exact.sketch_similarity(df)) != []
+    assert rows(exact.exact_similarity(df, semantics="compat")) == tally
+    filled = cleaning.fill_location(df)
+    filled_exact = dict(rows(exact.exact_similarity(filled)))
+    assert dict(rows(exact.sketch_similarity(filled))) == filled_exact
+    for d, estimate in rows(minhash.minhash_similarity(filled, k=400)):
+        assert abs(estimate - filled_exact[d]) <= 12
+
+
+def test_merge_in_any_order(spark):
+    rng = random.Random(5)
+    signatures = [
+        (day(rng.randint(1, 3)), rng.choice("ab"), rng.choice([[], rng.sample(range(99), 4)]))
+        for _ in range(60)
+    ]
+    expected = {}
+    for d, g, sig in signatures:
+        old = expected.setdefault((d, g), [])
+        expected[d, g] = [min(p) for p in zip(old, sig)] if old and sig else old or sig
+    for _ in range(2):
+        rng.shuffle(signatures)
+        parts = spark.createDataFrame(
+            signatures, "crawl_date date, device string, sig array<bigint>"
+        ).repartition(rng.randint(1, 6))
+        merged = minhash.merge_signature_rows(parts, 4)
+        assert {(d, g): list(s) for d, g, s in rows(merged)} == expected
+        again = minhash.merge_signature_rows(merged.union(parts), 4)
+        assert {(d, g): list(s) for d, g, s in rows(again)} == expected

@@ -31,7 +31,7 @@ from rankdrift.plans.views import (
 )
 from rankdrift.schema import RANK_COLUMNS, RANK_TABLE_NAME, SIGNATURE_TABLE_NAME, RankColumns
 from rankdrift.session import scratch_dir, tune
-from rankdrift.sources import csv_report, rank_table, signature_table
+from rankdrift.sources import rank_table, signature_table
 from rankdrift.streaming.signatures import maintain_signatures
 
 COLS = RANK_COLUMNS.all

@@ -95,13 +95,17 @@ def compat_signatures(
     seeds = df.select(cols.date, cols.group, string_hash32(text).alias("_seed"))
     return _minima(seeds, [compat_hash("_seed", a, b, modulus) for a, b in pairs], cols)
 
+
 def pairwise_signature_similarity(
     signatures: DataFrame,
     groups: Sequence[str] = DEVICES,
     estimator: str = "positional",
     cols: RankColumns = RANK_COLUMNS,
 ) -> DataFrame:
-    """Similarity per date for every pair out of a few named groups, 0 if one is missing."""
+    """Similarity per date for every pair out of a few named groups, 0 if one is missing.
+
+    ``signatures`` has one row per date and group; merge partial ones first.
+    """
     known = signatures.where(F.col(cols.group).isin(*groups) & (F.size("sig") > 0))
     sides = known.groupBy(cols.date).agg(
         *[
@@ -166,6 +170,7 @@ def minhash_similarity(
     signatures = minhash_signatures(members, k, pairs, element_id, method, cols)
     return signature_pairs(signatures, devices, estimator or "positional", cols)
 
+
 def merge_signature_rows(
     signatures: DataFrame, k: int = K, cols: RankColumns = RANK_COLUMNS
 ) -> DataFrame:

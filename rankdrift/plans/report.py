@@ -63,15 +63,15 @@ def report_lines(answers: dict[str, DataFrame]) -> DataFrame:
         text = F.format_string("%s %s: %d%% %s", F.lit(title), day, "similarity", "bar")
         return lines(section, similarity_report(answers[name]), day, text)
 
-    url, spot, change = (
-        answers[n] for n in ("top_urls", "top_spot_departures", "top_spot_changes")
-    )
-    holder, result_list = RANK_COLUMNS.holder, [*RANK_COLUMNS.subject, RANK_COLUMNS.group]
-    first = F.lit("")
+    def top(section: int, name: str, title: str, columns: list[str]) -> DataFrame:
+        text = F.concat(F.lit(f"{title}: "), listed(columns), times("n"))
+        return lines(section, answers[name], F.lit(""), text)
+
+    result_list = [*RANK_COLUMNS.subject, RANK_COLUMNS.group]
     return (
-        lines(1, url, first, F.concat(F.lit("Most frequent URL: "), "url", times("n")))
-        .union(lines(2, spot, first, F.concat(F.lit("Left rank 1 most: "), listed(holder), times("n"))))
-        .union(lines(3, change, first, F.concat(F.lit("Rank 1 changed most: "), listed(result_list), times("n"))))
+        top(1, "top_urls", "Most frequent URL", [RANK_COLUMNS.entity])
+        .union(top(2, "top_spot_departures", "Left rank 1 most", RANK_COLUMNS.holder))
+        .union(top(3, "top_spot_changes", "Rank 1 changed most", result_list))
         .union(bars(4, "estimated_similarity", "Estimated"))
         .union(bars(5, "exact_similarity", "Exact"))
         .orderBy("section", "item")

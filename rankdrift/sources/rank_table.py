@@ -31,7 +31,10 @@ def _write(df: DataFrame, path: str, partitions: str) -> None:
 
 
 def write_rank_table(df: DataFrame, path: str) -> None:
-    """Replace the table with ``df``, which ``clean_ranks`` has made unique."""
+    """Replace the table with ``df``, which ``clean_ranks`` has made unique.
+
+    ``df`` must not come from the same table: that is deleted first.
+    """
     _write(df, path, "static")
 
 

@@ -113,20 +113,20 @@ def pairwise_signature_similarity(
             for i, group in enumerate(groups)
         ]
     )
-    rows = []
-    for i, j in combinations(range(len(groups)), 2):
-        a, b = F.col(f"_s{i}"), F.col(f"_s{j}")
-        similarity = F.when(a.isNull() | b.isNull(), 0).otherwise(
-            signature_similarity(a, b, estimator)
+    pairs = [
+        F.struct(
+            F.lit(groups[i]).alias(f"{cols.group}_a"),
+            F.lit(groups[j]).alias(f"{cols.group}_b"),
+            F.col(f"_s{i}").alias("_a"),
+            F.col(f"_s{j}").alias("_b"),
         )
-        rows.append(
-            F.struct(
-                F.lit(groups[i]).alias(f"{cols.group}_a"),
-                F.lit(groups[j]).alias(f"{cols.group}_b"),
-                similarity.alias("similarity"),
-            )
-        )
-    return sides.select(cols.date, F.inline(F.array(*rows)))
+        for i, j in combinations(range(len(groups)), 2)
+    ]
+    a, b = F.col("_a"), F.col("_b")
+    similarity = F.when(a.isNull() | b.isNull(), 0).otherwise(signature_similarity(a, b, estimator))
+    return sides.select(cols.date, F.inline(F.array(*pairs))).select(
+        cols.date, f"{cols.group}_a", f"{cols.group}_b", similarity.alias("similarity")
+    )
 
 
 def signature_pairs(

@@ -34,6 +34,16 @@ from rankdrift.session import scratch_dir, tune
 from rankdrift.sources import rank_table, signature_table
 from rankdrift.streaming.signatures import maintain_signatures
 
+# The training-data operators and their pipeline may be absent; everything else works without them.
+try:
+    from rankdrift.llm import queries as llm
+except ImportError:
+    llm = None
+try:
+    import corpus_pipeline
+except ImportError:
+    corpus_pipeline = None
+
 COLS = RANK_COLUMNS.all
 K = minhash.K
 COMPAT_MODULUS = 1009
@@ -237,6 +247,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return _own_queries() | (llm.QUERIES if llm else {}) | ({"pipeline": corpus_pipeline.run} if corpus_pipeline else {})
+
+
+def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "rank_table_scan": lambda s, d: rank_facts(s, d).select(*COLS),
         "csv_report_read": csv_report_read,
@@ -542,6 +556,11 @@ changes AS (
 
 
 def oracle_sql() -> dict[str, str]:
+    piped = corpus_pipeline.ORACLE_SQL if corpus_pipeline else None
+    return _own_oracles() | (llm.ORACLES if llm else {}) | ({"pipeline": piped} if piped else {})
+
+
+def _own_oracles() -> dict[str, str]:
     clean_rows = f"{_CLEAN} SELECT * FROM cl"
     days = f"SELECT {_HOLDER}, crawl_date FROM gone"
     left = f"SELECT {_HOLDER}, count(*) AS n FROM gone GROUP BY ALL"

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,3 +61,42 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema
     )
+
+
+def words_of(text: str | None) -> list[bytes]:
+    """The words of a text, lower-cased from A to Z and parted by ASCII white space."""
+    return (text or "").encode().lower().split()
+
+
+def components(links: DataFrame) -> DataFrame:
+    """The connected components of ``links`` (a, b: long): a row (node, component) for each node, component its least node.
+
+    Each round every node takes the least label within two steps, and the graph is contracted to these labels. Labels
+    are hashed anew each round (one-to-one, as the hash of a 64-bit number is), so chains of rising ids, too, shrink by
+    a constant factor. Rounds are tables in the shared folder; nothing but a flag comes to the driver.
+    """
+    hashed = lambda c: F.xxhash64(F.col(c))
+    links = links.where("a <> b")
+    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    nodes = written(both.distinct(), "links")
+    edges = nodes.select(hashed("a").alias("u"), hashed("b").alias("v"))
+    steps = []
+    while not edges.isEmpty():
+        one = edges.groupBy("u").agg(F.min("v").alias("least")).select("u", F.least("u", "least").alias("least"))
+        two = edges.join(one.withColumnsRenamed({"u": "v"}), "v").groupBy("u").agg(F.min("least").alias("to"))
+        steps.append(step := written(two, "step"))
+        moved = (
+            edges.join(step, "u")
+            .select("v", hashed("to").alias("from"))
+            .join(step.withColumnRenamed("u", "v"), "v")
+            .select(F.col("from").alias("u"), hashed("to").alias("v"))
+        )
+        edges = written(moved.where("u <> v").distinct(), "edges")
+    label = nodes.select(F.col("a").alias("node")).distinct().withColumn("label", hashed("node"))
+    for step in steps:
+        label = label.join(step.withColumnRenamed("u", "label"), "label", "left").select(
+            "node", F.xxhash64(F.coalesce("to", "label")).alias("label")
+        )
+    label = written(label, "labels")
+    least = label.groupBy("label").agg(F.min("node").alias("component"))
+    return label.join(least, "label").select("node", "component")

@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rankdrift.llm.near_duplicates import op9_minhash_tensored
 from rankdrift.llm.packing import op7_harmonic_packing
 from rankdrift.llm.records import op1_token_records
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_records": op1_token_records,
     "op7_harmonic_packing": op7_harmonic_packing,
+    "op9_minhash_tensored": op9_minhash_tensored,
 }
 ORACLES: dict[str, str] = {}

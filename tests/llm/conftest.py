@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import types as T
 
 SF = "/root/testdata/sf0.001"
 #: Texts for the defined cases: null, empty, white space, very long, ties, other scripts, control strings.
@@ -28,4 +27,4 @@ def odd_documents(spark):
 
 @pytest.fixture(scope="session")
 def no_documents(spark):
-    return spark.createDataFrame([], T._parse_datatype_string("doc_id long, text string, lang string, source string, n_chars long"))
+    return spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")

@@ -2,13 +2,12 @@ import random
 from collections import defaultdict
 
 import duckdb
-from pyspark.sql import types as T
 
 from rankdrift.llm import near_duplicates as nd
 from rankdrift.llm.common import components
 from tests.llm.conftest import ODD_TEXTS
 
-SCHEMA = T._parse_datatype_string("doc_id long, text string, n long, rep string, component string")
+SCHEMA = "doc_id long, text string, n long, rep string, component string"
 
 
 def shingles(text):

@@ -6,13 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rankdrift.llm.decontamination import op4_pigeonhole_edits
 from rankdrift.llm.near_duplicates import op9_minhash_tensored
 from rankdrift.llm.packing import op7_harmonic_packing
+from rankdrift.llm.pseudonyms import op3_feistel_pseudonyms
+from rankdrift.llm.quality import op8_neighbour_quality
 from rankdrift.llm.records import op1_token_records
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_records": op1_token_records,
+    "op3_feistel_pseudonyms": op3_feistel_pseudonyms,
+    "op4_pigeonhole_edits": op4_pigeonhole_edits,
     "op7_harmonic_packing": op7_harmonic_packing,
+    "op8_neighbour_quality": op8_neighbour_quality,
     "op9_minhash_tensored": op9_minhash_tensored,
 }
 ORACLES: dict[str, str] = {}

@@ -1,0 +1,80 @@
+import random
+
+import duckdb
+from rankdrift.llm import decontamination as dc
+from tests.llm.conftest import ODD_TEXTS
+
+
+def least_distance(item, text):
+    """The least edit distance of the item to any stretch of the text, by the plain recurrence, and its first end."""
+    above = list(range(len(item) + 1))
+    best = above[-1], 0
+    for at, letter in enumerate(text, 1):
+        column = [0]
+        for k, other in enumerate(item, 1):
+            column.append(min(above[k] + 1, column[k - 1] + 1, above[k - 1] + (letter != other)))
+        above = column
+        best = min(best, (above[-1], at))
+    return best
+
+
+def test_myers_against_the_recurrence():
+    pick = random.Random(1)
+    for _ in range(300):
+        item = "".join(pick.choices("ab c", k=pick.randint(1, 70)))
+        text = "".join(pick.choices("ab c", k=pick.randint(0, 90)))
+        assert dc.Matcher(item).best(text) == least_distance(item, text)
+
+
+def edited(text, n, pick):
+    letters = list(text)
+    for _ in range(n):
+        at = pick.randrange(len(letters))
+        letters[at : at + 1] = pick.choice([[], [pick.choice("xyz")], [letters[at], pick.choice("xyz")]])
+    return "".join(letters)
+
+
+def test_finder_against_comparing_with_all_items():
+    pick = random.Random(2)
+    words = "one two three four five six seven eight nine ten eleven twelve".split()
+    items = [(k, " ".join(pick.choices(words, k=pick.randint(6, 20)))) for k in range(12)]
+    finder = dc.PassageFinder(items)
+    for _ in range(120):
+        item_id, item = pick.choice(items)
+        n = pick.randint(0, 1 + dc.budget(dc.normalised(item)))
+        text = " ".join(pick.choices(words, k=15)) + ". " + edited(item, n, pick) + "\n " + " ".join(pick.choices(words, k=15))
+        want = []
+        for other, passage in items:
+            passage = dc.normalised(passage)
+            distance, place = least_distance(passage, dc.normalised(text))
+            if distance <= dc.budget(passage):
+                want.append((other, distance, place))
+        got = finder.find(text)
+        assert [h[:2] for h in got] == [h[:2] for h in want]
+        assert n > dc.budget(dc.normalised(item)) or item_id in [h[0] for h in got]
+
+
+def test_query_finds_all_verbatim_passages(spark):
+    sf = "/root/testdata/sf0.01"
+    got = {(r.doc_id, r.item_id): r.distance for r in dc.op4_pigeonhole_edits(spark, sf).collect()}
+    verbatim = duckdb.sql(
+        f"SELECT doc_id, item_id FROM '{sf}/documents.parquet' d, '{sf}/benchmark.parquet' b WHERE contains(d.text, b.text)"
+    ).fetchall()
+    assert verbatim and all(got[pair] == 0 for pair in verbatim)
+    assert len(got) < 2 * len(verbatim)
+
+
+def test_odd_rows_and_blocks(spark, odd_documents, no_documents):
+    item = "Same text, twice: it's HERE. And a good deal more of it follows"
+    schema = "item_id long, text string, extra string"
+    few = spark.createDataFrame([(1, "Same text, twice - its here!", "x"), (2, None, "x"), (None, item, "x"), (3, "short", ""), (4, "word " * 12, "")], schema)
+    for block in (10, 1_000_000):
+        got = sorted(map(tuple, dc.contaminated(odd_documents, few, block).select("doc_id", "item_id", "distance").collect()))
+        assert got == [(4, 4, 0), (6, 1, 1), (6, 1, 1), (7, 1, 1)]
+    left = dc.without_benchmark(odd_documents, few)
+    assert left.columns == odd_documents.columns
+    assert left.count() == len(ODD_TEXTS) + 2 - 4
+    assert dc.contaminated(no_documents, few).count() == 0
+    none = spark.createDataFrame([], schema)
+    assert dc.contaminated(odd_documents, none).count() == 0
+    assert dc.without_benchmark(odd_documents, none).count() == len(ODD_TEXTS) + 2

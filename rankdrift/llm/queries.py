@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rankdrift.llm.chat import OP6_SQL, op6_chat_format
 from rankdrift.llm.decontamination import op4_pigeonhole_edits
 from rankdrift.llm.near_duplicates import op9_minhash_tensored
 from rankdrift.llm.packing import op7_harmonic_packing
@@ -17,8 +18,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_records": op1_token_records,
     "op3_feistel_pseudonyms": op3_feistel_pseudonyms,
     "op4_pigeonhole_edits": op4_pigeonhole_edits,
+    "op6_chat_format": op6_chat_format,
     "op7_harmonic_packing": op7_harmonic_packing,
     "op8_neighbour_quality": op8_neighbour_quality,
     "op9_minhash_tensored": op9_minhash_tensored,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op6_chat_format": OP6_SQL}

@@ -1,0 +1,68 @@
+import hashlib
+
+import duckdb
+from pyspark.sql import functions as F
+
+from rankdrift.llm import chat
+from tests.llm.conftest import ODD_TEXTS, SF
+
+STRANGE = ["\\", "<", "<|", "\\<|end|>", "\\s\\l", "<|turn|>user<|says|>x<|end|>", "a\\\\l<|", "|", "s", "l", "\\\\", "<\\", "a < b"]
+
+
+def test_query_against_sql(spark):
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW conversations AS FROM '{SF}/conversations.parquet'")
+    want = duck.execute(chat.OP6_SQL)
+    columns = [c[0] for c in want.description]
+    got = chat.op6_chat_format(spark, SF)
+    assert got.columns == columns
+    assert sorted(map(tuple, got.collect())) == sorted(want.fetchall())
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert not any(node in plan for node in ("Python", "Arrow", "Pandas", "ExternalRDD"))
+
+
+def test_escaping_is_undone(spark):
+    texts = [*STRANGE, *(t for t in ODD_TEXTS if t), *(a + b for a in STRANGE for b in STRANGE)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("e", chat.escaped(F.col("t")))
+    rows = df.withColumn("u", chat.unescaped(F.col("e"))).collect()
+    assert all(r.t == r.u and "<|" not in r.e and not r.e.endswith("<") for r in rows)
+
+
+def test_parts(spark):
+    part = "type string, text string, ref string, width int, height int, seconds double, pages int"
+    schema = f"conv_id long, turn int, role string, body string, place string, parts array<struct<{part.replace(' string', ': string').replace(' int', ': int').replace(' double', ': double')}>>"
+    text = lambda t: ("text", t, None, None, None, None, None)
+    rows = [
+        (1, 1, "assistant", "x", "y", [text("Two "), ("image", None, "c.png", 1, 1, None, None), text("cats<"), text("|\\"), text("s.")]),
+        (1, 0, "user", "x", "y", [text("See "), ("image", None, "a.png", 57, 28, None, None), ("audio", None, "b.wav", None, None, 2.5, None)]),
+        (1, 2, None, "x", "y", [("document", None, "d.pdf", None, None, None, 3), ("video", "v", None, None, None, None, None), None]),
+        (2, None, "user", "x", "y", None),
+    ]
+    got = {r.conv_id: r for r in chat.format_conversations(spark.createDataFrame(rows, schema)).collect()}
+    one = got[1]
+    assert one.formatted == (
+        "<|turn|>user<|says|>See <|image:1|><|audio:2|><|end|>"
+        "<|turn|>assistant<|says|>Two <|image:3|>cats\\l|\\ss.<|end|>"
+        "<|turn|><|says|><|document:4|><|unknown:5|><|end|>"
+    )
+    assert [tuple(a) for a in one.attachments] == [
+        (1, "image", "a.png", 3), (2, "audio", "b.wav", 32), (3, "image", "c.png", 1), (4, "document", "d.pdf", 768), (5, "unknown", None, 0),
+    ]
+    assert one.expanded_tokens == 804
+    assert [one.formatted[s.start : s.stop] for s in one.loss_spans] == ["Two ", "cats\\l", "|\\s", "s."]
+    assert got[2].formatted == "<|turn|>user<|says|><|end|>" and got[2].attachments == []
+
+
+def test_odd_rows(spark):
+    rows = [(1, 0, "user", t) for t in ODD_TEXTS] + [(None, 0, None, None), (2, 1, "assistant", s := "".join(STRANGE)), (2, 1, "assistant", s)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    turns = turns.withColumn("parts", chat.text_part(F.coalesce("text", F.lit(""))))
+    done = chat.format_conversations(turns)
+    read = done.select("conv_id", chat.read_turns(F.col("formatted")).alias("t"), chat.loss_text(F.col("formatted"), F.col("loss_spans")).alias("l"))
+    got = {r.conv_id: r for r in read.collect()}
+    assert sorted(x.text for x in got[1].t) == sorted(t or "" for t in ODD_TEXTS)
+    assert [tuple(x) for x in got[None].t] == [("", "")]
+    assert [x.text for x in got[2].t] == [s, s] and got[2].l == s + s
+    assert chat.format_conversations(turns.where("false")).count() == 0
+    digest = hashlib.sha256((s + s).encode()).hexdigest()
+    assert done.where("conv_id = 2").select(F.sha2(chat.loss_text(F.col("formatted"), F.col("loss_spans")), 256)).first()[0] == digest

@@ -31,7 +31,7 @@ _ATTACHED = ("image", "audio", "document")
 
 
 def escaped(text: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(text, r"\\(?=[ls]|\z)", r"\\\\s"), r"<(?=\||\z)", r"\\\\l")
+    return F.regexp_replace(F.regexp_replace(text, r"\\(?=[ls]|\z)", r"\\s"), r"<(?=\||\z)", r"\\l")
 
 
 def unescaped(text: Column) -> Column:

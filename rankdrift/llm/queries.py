@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rankdrift.llm.chat import OP6_SQL, op6_chat_format
 from rankdrift.llm.decontamination import op4_pigeonhole_edits
+from rankdrift.llm.embeddings import op10_itq_hamming
 from rankdrift.llm.main_text import op5_min_cut_text
 from rankdrift.llm.near_duplicates import op9_minhash_tensored
 from rankdrift.llm.packing import op7_harmonic_packing
@@ -24,5 +25,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_harmonic_packing": op7_harmonic_packing,
     "op8_neighbour_quality": op8_neighbour_quality,
     "op9_minhash_tensored": op9_minhash_tensored,
+    "op10_itq_hamming": op10_itq_hamming,
 }
 ORACLES: dict[str, str] = {"op6_chat_format": OP6_SQL}

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from rankdrift.llm.chat import OP6_SQL, op6_chat_format
 from rankdrift.llm.decontamination import op4_pigeonhole_edits
 from rankdrift.llm.embeddings import op10_itq_hamming
+from rankdrift.llm.language import op2_language_fusion
 from rankdrift.llm.main_text import op5_min_cut_text
 from rankdrift.llm.near_duplicates import op9_minhash_tensored
 from rankdrift.llm.packing import op7_harmonic_packing
@@ -18,6 +19,7 @@ from rankdrift.llm.records import op1_token_records
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_records": op1_token_records,
+    "op2_language_fusion": op2_language_fusion,
     "op3_feistel_pseudonyms": op3_feistel_pseudonyms,
     "op4_pigeonhole_edits": op4_pigeonhole_edits,
     "op5_min_cut_text": op5_min_cut_text,

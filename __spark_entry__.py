@@ -23,15 +23,19 @@ from rankdrift.functions.signatures import merge_signatures
 from rankdrift.operators import cleaning, compare, exact, minhash, top_spot, urls
 from rankdrift.plans import report
 from rankdrift.plans.views import (
+    PARTS_BY_YEAR,
     SHIPMENTS_BY_DAY,
     SHIPMENTS_BY_MONTH,
+    WEEKLY,
+    part_sales,
     rank_facts,
     rank_facts_of,
     shipments,
+    wide_rank_facts,
 )
 from rankdrift.schema import RANK_COLUMNS, RANK_TABLE_NAME, SIGNATURE_TABLE_NAME, RankColumns
 from rankdrift.session import scratch_dir, tune
-from rankdrift.sources import rank_table, signature_table
+from rankdrift.sources import csv_report, rank_table, signature_table
 from rankdrift.streaming.signatures import maintain_signatures
 
 # The training-data operators and their pipeline may be absent; everything else works without them.
@@ -50,8 +54,10 @@ COMPAT_MODULUS = 1009
 START, END = "2024-01-08", "2024-01-14"
 # Keywords as the compared sets: more than two of them, unlike devices.
 BY_KEYWORD = RankColumns(subject=("market", "loc"), group="keyword")
-RETURN_FLAGS = ("A", "N", "R")
-KEYWORDS = ("kw0", "kw1", "kw2", "kw3", "kw4")
+DEVICES = ("desktop", "smartphone")
+# Percent points by which an estimate may differ from the exact similarity: four standard errors of 100 hash functions,
+# or of a sketch of 256 entries, and one for cutting off.
+MINHASH_BOUND, SKETCH_ENTRIES, SKETCH_BOUND = 21, 8, 14
 
 
 def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,6 +92,34 @@ def csv_report_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_table.load_ranks(spark, csv=_csv_copy(spark, sf_dir))
 
 
+# By event_id % 8: a year for a date, a date without zeros, rank 0, an eighth field, a line break within quotes.
+_REPORT_LINE = """
+  concat(if(event_id % 8 = 4, '"', ''), keyword, if(event_id % 8 = 4, '\\n"', ''), ',', market, ',', coalesce(loc, ''), ',', device, ',',
+    CASE event_id % 8 WHEN 0 THEN date_format(crawl_date, 'yyyy') WHEN 1 THEN date_format(crawl_date, 'yyyy-M-d')
+                      ELSE cast(crawl_date AS string) END, ',',
+    if(event_id % 8 = 2, 0, rank), ',', url, if(event_id % 8 = 3, ',x', ''))"""
+
+
+def _judged_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rank facts as report lines, of which five in eight are bad, read again."""
+    path = scratch_dir(spark, "lines")
+    header = spark.range(1).selectExpr("'Keyword,Market,Location,Device,Crawl Date,Rank,URL' AS line")
+    header.write.text(f"{path}/0")
+    rank_facts(spark, sf_dir).selectExpr(f"{_REPORT_LINE} AS line").write.text(f"{path}/1")
+    options = csv_report.CSV_OPTIONS | {"header": "false"}
+    text = spark.read.options(**options).schema(csv_report.TEXT_SCHEMA).csv(f"{path}/*")
+    return csv_report.parse_rows(text, on_bad="keep")
+
+
+def csv_good_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return csv_report.good_rows(_judged_report(spark, sf_dir))
+
+
+def csv_bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many bad rows there are, the header among them."""
+    return csv_report.bad_rows(_judged_report(spark, sf_dir)).agg(F.count("*").alias("n"))
+
+
 def rank_table_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = scratch_dir(spark, RANK_TABLE_NAME)
     rank_table.write_rank_table(_clean(spark, sf_dir), table)
@@ -99,11 +133,14 @@ def date_range_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Morning crawls first, then the afternoon ones on top of them."""
+    """Morning crawls first, then the afternoon ones of every other day on top of them."""
+    return _upserted(spark, rank_facts(spark, sf_dir))
+
+
+def _upserted(spark: SparkSession, facts: DataFrame) -> DataFrame:
     table = scratch_dir(spark, RANK_TABLE_NAME)
-    facts = rank_facts(spark, sf_dir)
     rank_table.upsert_rank_table(facts.where("hour(ts) < 12"), table, ["event_id"])
-    rank_table.upsert_rank_table(facts.where("hour(ts) >= 12"), table, ["event_id"])
+    rank_table.upsert_rank_table(facts.where("hour(ts) >= 12 AND day(ts) % 2 = 0"), table, ["event_id"])
     return rank_table.read_rank_table(spark, table)
 
 
@@ -153,7 +190,7 @@ def pairwise_minhash_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     signatures = minhash.minhash_signatures(
         rank_facts(spark, sf_dir), element_id="md5", cols=BY_KEYWORD
     )
-    return minhash.pairwise_signature_similarity(signatures, KEYWORDS, cols=BY_KEYWORD)
+    return minhash.pairwise_signature_similarity(signatures, cols=BY_KEYWORD)
 
 
 def minhash_similarity_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,10 +206,12 @@ def _half_signatures(spark: SparkSession, sf_dir: str, half: str) -> DataFrame:
 
 
 def signature_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Signatures of the morning and the afternoon crawls, merged."""
+    """Signatures of the morning and the afternoon crawls and of none, merged."""
     parts = _half_signatures(spark, sf_dir, "hour(ts) < 12").unionByName(
         _half_signatures(spark, sf_dir, "hour(ts) >= 12")
     )
+    days = rank_facts(spark, sf_dir).select("crawl_date", "device").distinct()
+    parts = parts.unionByName(days.withColumn("sig", F.array().cast("array<bigint>")))
     return _signature_text(minhash.merge_signature_rows(parts, K))
 
 
@@ -188,24 +227,49 @@ def signature_merge_pairwise(spark: SparkSession, sf_dir: str) -> DataFrame:
 def signature_table_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two parts written to a signature table, compacted and read back."""
     path, compacted = (scratch_dir(spark, SIGNATURE_TABLE_NAME) for _ in range(2))
+    settings = signature_table.signature_settings(K, element_id="md5")
     for part, half in (("am", "hour(ts) < 12"), ("pm", "hour(ts) >= 12")):
-        signature_table.write_signature_part(_half_signatures(spark, sf_dir, half), path, part)
-    signature_table.compact_signatures(spark, path, compacted, K)
-    return _signature_text(signature_table.read_signatures(spark, compacted, K))
+        signature_table.write_signature_part(_half_signatures(spark, sf_dir, half), path, part, settings)
+    signature_table.compact_signatures(spark, path, compacted, K, settings)
+    return _signature_text(signature_table.read_signatures(spark, compacted, K, settings=settings))
 
 
 def signature_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream over files that arrive one after the other: afternoons, evenings, late mornings, and afternoons again."""
     tune(spark)
-    path, checkpoint = scratch_dir(spark, SIGNATURE_TABLE_NAME), scratch_dir(spark, "checkpoint")
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    # A pattern, because the table may be one file or a folder of files.
-    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
-    facts = rank_facts_of(events)
+    names = (SIGNATURE_TABLE_NAME, "checkpoint", "arriving")
+    path, checkpoint, arriving = (scratch_dir(spark, name) for name in names)
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    for first, last in ((12, 18), (18, 24), (0, 12), (12, 18)):
+        events.where(f"hour(ts) >= {first} AND hour(ts) < {last}").write.mode("append").parquet(arriving)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(arriving)
     query = maintain_signatures(
-        facts, path, checkpoint, "events", K, element_id="md5", once=True
+        rank_facts_of(stream), path, checkpoint, "events", K, element_id="md5", once=True
     )
     query.awaitTermination()
-    return _signature_text(signature_table.read_signatures(spark, path, K))
+    settings = signature_table.signature_settings(K, element_id="md5")
+    return _signature_text(signature_table.read_signatures(spark, path, K, settings=settings))
+
+
+def _within(estimate: DataFrame, exactly: DataFrame, bound: int, cols: RankColumns) -> DataFrame:
+    """Per date the exact similarity and if the estimate is within the bound."""
+    compared = compare.estimate_vs_exact(estimate, exactly, cols)
+    return compared.select(cols.date, "exact", (F.col("difference") <= bound).alias("within"))
+
+
+def wide_minhash_within(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The default estimate (xxhash64, hash functions) against the exact similarity."""
+    tune(spark)
+    facts = wide_rank_facts(spark, sf_dir)
+    estimate = minhash.minhash_similarity(facts, DEVICES, cols=WEEKLY)
+    return _within(estimate, exact.exact_similarity(facts, DEVICES, cols=WEEKLY), MINHASH_BOUND, WEEKLY)
+
+
+def wide_sketch_within(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of sets that are far larger than these."""
+    sales = part_sales(spark, sf_dir)
+    estimate = exact.sketch_similarity(sales, log_entries=SKETCH_ENTRIES, cols=PARTS_BY_YEAR)
+    return _within(estimate, exact.exact_similarity(sales, cols=PARTS_BY_YEAR), SKETCH_BOUND, PARTS_BY_YEAR)
 
 
 def estimate_vs_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -238,7 +302,7 @@ def shipments_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     signatures = minhash.minhash_signatures(
         shipments(spark, sf_dir), element_id="md5", cols=SHIPMENTS_BY_MONTH
     )
-    return minhash.pairwise_signature_similarity(signatures, RETURN_FLAGS, cols=SHIPMENTS_BY_MONTH)
+    return minhash.pairwise_signature_similarity(signatures, cols=SHIPMENTS_BY_MONTH)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -281,8 +345,24 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             rank_facts(s, d), semantics="compat"
         ),
         "pairwise_similarity": lambda s, d: exact.pairwise_exact_similarity(
-            rank_facts(s, d), KEYWORDS, cols=BY_KEYWORD
+            rank_facts(s, d), cols=BY_KEYWORD
         ),
+        "csv_good_rows": csv_good_rows,
+        "csv_bad_rows": csv_bad_rows,
+        "wide_clean": lambda s, d: cleaning.clean_ranks(wide_rank_facts(s, d), ["event_id"]),
+        "wide_upsert": lambda s, d: _upserted(s, wide_rank_facts(s, d)),
+        "wide_departures": lambda s, d: top_spot.departure_counts(wide_rank_facts(s, d)),
+        "wide_similarity": lambda s, d: exact.exact_similarity(
+            wide_rank_facts(s, d), DEVICES, cols=WEEKLY
+        ),
+        "wide_missing_devices": lambda s, d: exact.exact_similarity(
+            wide_rank_facts(s, d).where("day(crawl_date) % 2 = 0 OR device = 'tablet'"), DEVICES
+        ),
+        "wide_pairwise_similarity": lambda s, d: exact.pairwise_exact_similarity(
+            wide_rank_facts(s, d), cols=WEEKLY
+        ),
+        "wide_minhash_within": wide_minhash_within,
+        "wide_sketch_within": wide_sketch_within,
         "similarity_sketch": lambda s, d: exact.sketch_similarity(rank_facts(s, d)),
         "distinct_elements": lambda s, d: exact.distinct_elements(rank_facts(s, d)),
         "element_hashes": element_hashes,
@@ -312,7 +392,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "shipments_prev_supplier": shipments_prev_supplier,
         "shipments_similarity": lambda s, d: exact.pairwise_exact_similarity(
-            shipments(s, d), RETURN_FLAGS, cols=SHIPMENTS_BY_MONTH
+            shipments(s, d), cols=SHIPMENTS_BY_MONTH
         ),
         "shipments_minhash": shipments_minhash,
     }
@@ -333,13 +413,49 @@ r AS (
   FROM events)"""
 
 
-def _kept(order: str, name: str = "cl") -> str:
+_W = """
+w AS (
+  SELECT 'kw' || user_id AS keyword,
+         CASE WHEN event_type IN ('signup', 'click') THEN 'US-en' ELSE 'CA-en' END AS market,
+         CASE WHEN event_type IN ('signup', 'view') THEN NULL ELSE event_type END AS loc,
+         CASE WHEN user_id % 10 = 0 THEN 'tablet' WHEN event_id % 2 = 0 THEN 'desktop' ELSE 'smartphone' END AS device,
+         CAST(ts AS DATE) AS crawl_date, CAST(date_trunc('week', ts) AS DATE) AS crawl_week,
+         CAST(CAST(props->>'k' AS INTEGER) % 20 + 1 AS INTEGER) AS "rank",
+         'site' || user_id || '.example/' || (CAST(props->>'k' AS INTEGER) // 10) AS url,
+         event_id, ts
+  FROM events)"""
+_LATEST = "hour(ts) >= 12 DESC, event_id DESC"
+_UPSERTED = "(SELECT * FROM {0} WHERE hour(ts) < 12 OR day(ts) % 2 = 0)"
+
+
+def _pairwise(start: str, source: str, date: str, group: str, element: str) -> str:
+    """Pairs of sets that share an element on a date."""
+    return f"""{start},
+    sets AS (SELECT DISTINCT {date}, {group} AS g, row({element}) AS e FROM {source}),
+    sizes AS (SELECT {date}, g, count(*) AS n FROM sets GROUP BY ALL),
+    both_in AS (SELECT a.{date}, a.g AS ga, b.g AS gb, count(*) AS n
+                FROM sets a JOIN sets b ON a.{date} = b.{date} AND a.e IS NOT DISTINCT FROM b.e AND a.g < b.g GROUP BY ALL)
+    SELECT p.{date}, ga AS {group}_a, gb AS {group}_b, CAST(p.n * 100 // (a.n + b.n - p.n) AS INTEGER) AS similarity
+    FROM both_in p JOIN sizes a ON a.{date} = p.{date} AND a.g = ga JOIN sizes b ON b.{date} = p.{date} AND b.g = gb"""
+
+
+def _two_sets(source: str, date: str) -> str:
+    """Similarity of desktop and smartphone on every date, 0 where one has no rows."""
+    return f"""
+    SELECT {date}, CAST(coalesce(count(*) FILTER (WHERE n = 2) * 100 // nullif(count(*) FILTER (WHERE n > 0), 0), 0) AS INTEGER) AS similarity
+    FROM (SELECT {date}, keyword, market, loc, "rank", url,
+                 count(DISTINCT device) FILTER (WHERE device IN ('desktop', 'smartphone')) AS n
+          FROM {source} GROUP BY ALL)
+    GROUP BY {date}"""
+
+
+def _kept(order: str, name: str = "cl", source: str = "r") -> str:
     return f"""
 {name} AS (
   SELECT keyword, market, coalesce(loc, '') AS loc, device, crawl_date, "rank", url
   FROM (SELECT *, row_number() OVER (
           PARTITION BY keyword, market, coalesce(loc, ''), device, crawl_date, "rank"
-          ORDER BY {order}) AS nth FROM r)
+          ORDER BY {order}) AS nth FROM {source})
   WHERE nth = 1)"""
 
 
@@ -451,12 +567,8 @@ sigs AS (
   FROM (SELECT crawl_date, keyword, CAST('0x' || substr(md5({_KEYWORD_ELEMENT}), 1, 15) AS BIGINT) AS x FROM r)
   GROUP BY crawl_date, keyword),
 pairs AS (
-  SELECT d.crawl_date, ka.k AS keyword_a, kb.k AS keyword_b, a.sig AS a, b.sig AS b
-  FROM (SELECT DISTINCT crawl_date FROM sigs) d
-  JOIN (SELECT unnest({list(KEYWORDS)}) AS k) ka ON true
-  JOIN (SELECT unnest({list(KEYWORDS)}) AS k) kb ON ka.k < kb.k
-  LEFT JOIN sigs a ON a.crawl_date = d.crawl_date AND a.keyword = ka.k
-  LEFT JOIN sigs b ON b.crawl_date = d.crawl_date AND b.keyword = kb.k)"""
+  SELECT a.crawl_date, a.keyword AS keyword_a, b.keyword AS keyword_b, a.sig AS a, b.sig AS b
+  FROM sigs a JOIN sigs b ON a.crawl_date = b.crawl_date AND a.keyword < b.keyword)"""
 
 
 _S = """
@@ -464,12 +576,6 @@ s AS (
   SELECT l_linestatus, l_returnflag, l_linenumber, l_suppkey, CAST(l_shipdate AS DATE) AS ship_date,
          CAST(date_trunc('month', l_shipdate) AS DATE) AS ship_month
   FROM lineitem)"""
-_FLAG_PAIRS = f"""
-dates AS (SELECT DISTINCT ship_month FROM s),
-flags AS (SELECT unnest({list(RETURN_FLAGS)}) AS flag),
-pairs AS (
-  SELECT ship_month, a.flag AS l_returnflag_a, b.flag AS l_returnflag_b
-  FROM dates JOIN flags a ON true JOIN flags b ON a.flag < b.flag)"""
 _SHIPMENT_ID = """CAST('0x' || substr(md5(concat_ws(chr(1), l_linestatus, CAST(l_linenumber AS VARCHAR),
   CAST(l_suppkey AS VARCHAR))), 1, 15) AS BIGINT)"""
 
@@ -488,22 +594,13 @@ def _shipments() -> dict[str, str]:
             clean AS (SELECT {slot}, ship_date, min(l_suppkey) AS l_suppkey FROM s GROUP BY ALL)
             SELECT *, CASE WHEN lag(ship_date) OVER w = ship_date - 1 THEN lag(l_suppkey) OVER w END AS prev_l_suppkey
             FROM clean WINDOW w AS (PARTITION BY {slot} ORDER BY ship_date)""",
-        "shipments_similarity": f"""WITH {_S}, {_FLAG_PAIRS},
-            sets AS (SELECT ship_month, {slot.replace('l_returnflag, ', '')}, l_suppkey,
-                       list(DISTINCT l_returnflag) AS fs FROM s GROUP BY ALL)
-            SELECT p.ship_month, l_returnflag_a, l_returnflag_b, CAST(
-              count(*) FILTER (WHERE list_contains(fs, l_returnflag_a) AND list_contains(fs, l_returnflag_b)) * 100
-              // count(*) FILTER (WHERE list_contains(fs, l_returnflag_a) OR list_contains(fs, l_returnflag_b))
-              AS INTEGER) AS similarity
-            FROM pairs p JOIN sets USING (ship_month) GROUP BY ALL""",
-        "shipments_minhash": f"""WITH {_S}, {_FLAG_PAIRS},
+        "shipments_similarity": _pairwise(f"WITH {_S}", "s", "ship_month", "l_returnflag", "l_linestatus, l_linenumber, l_suppkey"),
+        "shipments_minhash": f"""WITH {_S},
             sigs AS (SELECT ship_month, l_returnflag, [{_MINIMA}] AS sig
                      FROM (SELECT ship_month, l_returnflag, {_SHIPMENT_ID} AS x FROM s) GROUP BY ALL)
-            SELECT p.ship_month, l_returnflag_a, l_returnflag_b, CAST(coalesce(
-              len(list_filter(list_zip(a.sig, b.sig), lambda p: p[1] = p[2])) * 100 // {K}, 0) AS INTEGER) AS similarity
-            FROM pairs p
-            LEFT JOIN sigs a ON a.ship_month = p.ship_month AND a.l_returnflag = l_returnflag_a
-            LEFT JOIN sigs b ON b.ship_month = p.ship_month AND b.l_returnflag = l_returnflag_b""",
+            SELECT a.ship_month, a.l_returnflag AS l_returnflag_a, b.l_returnflag AS l_returnflag_b, CAST(
+              len(list_filter(list_zip(a.sig, b.sig), lambda p: p[1] = p[2])) * 100 // {K} AS INTEGER) AS similarity
+            FROM sigs a JOIN sigs b ON a.ship_month = b.ship_month AND a.l_returnflag < b.l_returnflag""",
     }
 
 
@@ -571,14 +668,6 @@ compared AS (
   SELECT crawl_date, est.similarity AS estimate, ex.similarity AS exact,
          abs(est.similarity - ex.similarity) AS difference
   FROM est JOIN ex USING (crawl_date))"""
-    pairs = [(a, b) for i, a in enumerate(KEYWORDS) for b in KEYWORDS[i + 1 :]]
-    pair_rows = " UNION ALL ".join(
-        f"""SELECT crawl_date, '{a}' AS keyword_a, '{b}' AS keyword_b, CAST(coalesce(
-          count(*) FILTER (WHERE list_has_all(kws, ['{a}', '{b}'])) * 100
-          // nullif(count(*) FILTER (WHERE list_has_any(kws, ['{a}', '{b}'])), 0), 0) AS INTEGER) AS similarity
-        FROM sets GROUP BY crawl_date"""
-        for a, b in pairs
-    )
     return {
         "rank_table_scan": f"{_RAW} SELECT {_COLUMNS} FROM r",
         "csv_report_read": f"{_RAW} SELECT {_COLUMNS} FROM r",
@@ -586,7 +675,7 @@ compared AS (
         "duplicate_keys": f"""{_RAW} SELECT keyword, market, loc, device, crawl_date, "rank", count(*) AS n
             FROM r GROUP BY ALL HAVING count(*) > 1""",
         "rank_table_rewrite": clean_rows,
-        "upsert_latest": f"WITH {_R}, {_kept('hour(ts) >= 12 DESC, event_id DESC')} SELECT * FROM cl",
+        "upsert_latest": f"WITH {_R}, {_kept(_LATEST, source=_UPSERTED.format('r'))} SELECT * FROM cl",
         "date_range_scan": f"{clean_rows} WHERE crawl_date BETWEEN DATE '{START}' AND DATE '{END}'",
         "url_counts": f'{_CLEAN} SELECT url, count(*) AS n FROM cl WHERE "rank" > 10 GROUP BY url',
         "top_url_past_rank": f"""{_CLEAN} SELECT url, count(*) AS n FROM cl WHERE "rank" > 10
@@ -607,10 +696,23 @@ compared AS (
             SELECT crawl_date, CAST((sum(c) - count(*)) * 100 // count(*) AS INTEGER) AS similarity
             FROM (SELECT crawl_date, keyword, market, loc, "rank", url, count(*) AS c FROM r GROUP BY ALL)
             GROUP BY crawl_date""",
-        "pairwise_similarity": f"""{_RAW},
-            sets AS (SELECT crawl_date, market, loc, "rank", url, list(DISTINCT keyword) AS kws
-                     FROM r GROUP BY ALL)
-            {pair_rows}""",
+        "pairwise_similarity": _pairwise(_RAW, "r", "crawl_date", "keyword", 'market, loc, "rank", url'),
+        "csv_good_rows": f"{_RAW} SELECT {_COLUMNS} FROM r WHERE event_id % 8 > 4",
+        "csv_bad_rows": f"{_RAW} SELECT 1 + count(*) + count(*) FILTER (WHERE event_id % 8 = 4) AS n FROM r WHERE event_id % 8 <= 4",
+        "wide_clean": f"WITH {_W}, {_kept('event_id, url', source='w')} SELECT * FROM cl",
+        "wide_upsert": f"WITH {_W}, {_kept(_LATEST, source=_UPSERTED.format('w'))} SELECT * FROM cl",
+        "wide_departures": f"WITH {_W}, {_departures('w')} {left}",
+        "wide_similarity": f"WITH {_W} {_two_sets('w', 'crawl_week')}",
+        "wide_missing_devices": f"""WITH {_W},
+            part AS (SELECT * FROM w WHERE day(crawl_date) % 2 = 0 OR device = 'tablet') {_two_sets('part', 'crawl_date')}""",
+        "wide_pairwise_similarity": _pairwise(f"WITH {_W}", "w", "crawl_week", "device", 'keyword, market, loc, "rank", url'),
+        "wide_minhash_within": f"WITH {_W} SELECT crawl_week, similarity AS exact, true AS within FROM ({_two_sets('w', 'crawl_week')})",
+        "wide_sketch_within": """
+            SELECT ship_year, CAST(count(*) FILTER (WHERE n = 2) * 100 // count(*) AS INTEGER) AS exact, true AS within
+            FROM (SELECT CAST(date_trunc('year', l_shipdate) AS DATE) AS ship_year, l_linestatus, l_linenumber, l_partkey,
+                         count(DISTINCT l_returnflag = 'N') AS n
+                  FROM lineitem GROUP BY ALL)
+            GROUP BY ship_year""",
         "similarity_sketch": exact_rows,
         "distinct_elements": f"{_RAW} SELECT count(DISTINCT {_ELEMENT_PLAIN}) AS n FROM r",
         "element_hashes": f"""{_RAW},

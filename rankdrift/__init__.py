@@ -1,5 +1,6 @@
 """Analyses of daily search-rank reports as plain Spark DataFrame jobs."""
 
+from rankdrift.functions.signatures import merge_signatures, signature_similarity
 from rankdrift.operators.cleaning import (
     clean_ranks,
     date_range,
@@ -44,6 +45,7 @@ from rankdrift.sources.rank_table import (
 from rankdrift.sources.signature_table import (
     compact_signatures,
     read_signatures,
+    signature_settings,
     write_signature_part,
 )
 from rankdrift.streaming.signatures import maintain_signatures
@@ -74,6 +76,7 @@ __all__ = [
     "load_ranks",
     "maintain_signatures",
     "merge_signature_rows",
+    "merge_signatures",
     "minhash_signatures",
     "minhash_similarity",
     "pairwise_exact_similarity",
@@ -85,6 +88,8 @@ __all__ = [
     "report_lines",
     "run_report",
     "signature_pairs",
+    "signature_settings",
+    "signature_similarity",
     "similarity_report",
     "sketch_similarity",
     "stream_rank_csv",

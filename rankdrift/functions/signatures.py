@@ -24,7 +24,8 @@ def positional_similarity(a: Column, b: Column) -> Column:
 
 
 def value_set_similarity(a: Column, b: Column) -> Column:
-    """Percent of shared values, whatever their position."""
+    """Percent of shared values, whatever their position, not counting empty ones."""
+    a, b = (F.filter(s, lambda x: x < EMPTY) for s in (a, b))
     return percent(F.size(F.array_intersect(a, b)), F.size(F.array_union(a, b)))
 
 

@@ -19,7 +19,8 @@ from rankdrift.functions.hashing import (
     string_hash32,
 )
 from rankdrift.functions.signatures import EMPTY, signature_similarity
-from rankdrift.schema import DEVICES, RANK_COLUMNS, RankColumns
+from rankdrift.operators.exact import check_two_sets, checked_groups
+from rankdrift.schema import RANK_COLUMNS, RankColumns
 
 K = 100
 
@@ -53,13 +54,13 @@ def _bin_minima(ids: DataFrame, k: int, cols: RankColumns) -> DataFrame:
 
 def minhash_signatures(
     df: DataFrame,
-    k: int = K,
+    k: int | None = None,
     pairs: Sequence[tuple[int, int]] | None = None,
     element_id: str = "xxhash64",
     method: str = "functions",
     cols: RankColumns = RANK_COLUMNS,
 ) -> DataFrame:
-    """One signature of ``k`` hash minima per date and device.
+    """One signature of ``k`` hash minima (``K`` by default) per date and device.
 
     ``method="functions"`` hashes every element with ``k`` functions; ``pairs``
     are their coefficients (a, b), by default ``coefficients(k)``.
@@ -70,11 +71,16 @@ def minhash_signatures(
     ``element_id`` is ``"xxhash64"`` or ``"md5"``. Only signatures made with the
     same settings can be compared or merged.
     """
+    if method not in ("functions", "bins"):
+        raise ValueError(f"unknown method: {method}")
+    if element_id not in ELEMENT_IDS:
+        raise ValueError(f"unknown element id: {element_id}")
+    if pairs is not None and (method == "bins" or k not in (None, len(pairs))):
+        raise ValueError("pairs of coefficients are for hash functions, and are k")
+    k = len(pairs) if pairs is not None else K if k is None else k
     ids = df.select(cols.date, cols.group, ELEMENT_IDS[element_id](cols.element).alias("_id"))
     if method == "bins":
         return _bin_minima(ids, k, cols)
-    if method != "functions":
-        raise ValueError(f"unknown method: {method}")
     high, low = split_id(F.col("_id"))
     parts = ids.select(cols.date, cols.group, high.alias("_high"), low.alias("_low"))
     pairs = coefficients(k) if pairs is None else pairs
@@ -98,76 +104,99 @@ def compat_signatures(
 
 def pairwise_signature_similarity(
     signatures: DataFrame,
-    groups: Sequence[str] = DEVICES,
+    groups: Sequence[str] | None = None,
     estimator: str = "positional",
     cols: RankColumns = RANK_COLUMNS,
 ) -> DataFrame:
-    """Similarity per date for every pair out of a few named groups, 0 if one is missing.
+    """Similarity per date for pairs of sets.
 
-    ``signatures`` has one row per date and group; merge partial ones first.
+    Without ``groups`` every two sets that a date has are compared; with ``groups`` there is a row for every date of
+    ``signatures`` and every pair of the names, 0 where one is missing. Partial signatures of a set are an error:
+    merge them first.
     """
-    known = signatures.where(F.col(cols.group).isin(*groups) & (F.size("sig") > 0))
-    sides = known.groupBy(cols.date).agg(
-        *[
-            F.first(F.when(F.col(cols.group) == group, F.col("sig")), True).alias(f"_s{i}")
-            for i, group in enumerate(groups)
-        ]
-    )
-    pairs = [
-        F.struct(
-            F.lit(groups[i]).alias(f"{cols.group}_a"),
-            F.lit(groups[j]).alias(f"{cols.group}_b"),
-            F.col(f"_s{i}").alias("_a"),
-            F.col(f"_s{j}").alias("_b"),
-        )
-        for i, j in combinations(range(len(groups)), 2)
-    ]
-    a, b = F.col("_a"), F.col("_b")
-    similarity = F.when(a.isNull() | b.isNull(), 0).otherwise(signature_similarity(a, b, estimator))
-    return sides.select(cols.date, F.inline(F.array(*pairs))).select(
-        cols.date, f"{cols.group}_a", f"{cols.group}_b", similarity.alias("similarity")
-    )
+    checked_groups(groups)
+    a, b = f"{cols.group}_a", f"{cols.group}_b"
+    unmerged = F.raise_error("partial signatures: merge them first").cast("array<bigint>")
+    one = F.when(F.count("*") > 1, unmerged).otherwise(F.min("sig")).alias("sig")
+    known = signatures.where(F.size("sig") > 0).groupBy(cols.date, cols.group).agg(one)
+    sides = [known.select(cols.date, F.col(cols.group).alias(s), F.col("sig").alias(f"_{s}")) for s in (a, b)]
+    if groups is None:
+        both = sides[0].join(sides[1], cols.date).where(F.col(a) < F.col(b))
+    else:
+        pairs = [F.struct(F.lit(x).alias(a), F.lit(y).alias(b)) for x, y in combinations(groups, 2)]
+        both = signatures.select(cols.date).distinct().select(cols.date, F.inline(F.array(*pairs)))
+        both = both.join(sides[0], [cols.date, a], "left").join(sides[1], [cols.date, b], "left")
+    x, y = F.col(f"_{a}"), F.col(f"_{b}")
+    similarity = F.when(x.isNull() | y.isNull(), 0).otherwise(signature_similarity(x, y, estimator))
+    return both.select(cols.date, a, b, similarity.alias("similarity"))
 
 
 def signature_pairs(
     signatures: DataFrame,
-    devices: Sequence[str] = DEVICES,
+    devices: Sequence[str] | None = None,
     estimator: str = "positional",
     cols: RankColumns = RANK_COLUMNS,
 ) -> DataFrame:
-    """Similarity of two devices per date in date order, 0 where one of them is missing."""
-    first, second = devices
-    pairs = pairwise_signature_similarity(signatures, (first, second), estimator, cols)
-    return pairs.select(cols.date, "similarity").orderBy(cols.date)
+    """Similarity of two devices per date of ``signatures`` in date order, 0 where one of them is missing.
+
+    Without ``devices`` the two sets that a date has are compared, and a date with more is an error.
+    """
+    if devices is not None:
+        if len(set(devices)) != 2:
+            raise ValueError("name two devices")
+        pairs = pairwise_signature_similarity(signatures, devices, estimator, cols)
+        return pairs.select(cols.date, "similarity").orderBy(cols.date)
+    filled = F.when(F.size("sig") > 0, F.struct(cols.group, "sig"))
+    sides = signatures.groupBy(cols.date).agg(
+        F.count_distinct(F.when(F.size("sig") > 0, F.col(cols.group))).alias("_sets"),
+        F.count(filled).alias("_rows"),
+        F.min(filled).alias("_a"),
+        F.max(filled).alias("_b"),
+    )
+    unmerged = F.raise_error("partial signatures: merge them first").cast("int")
+    similarity = F.when(F.col("_sets") < 2, 0).otherwise(signature_similarity(F.col("_a.sig"), F.col("_b.sig"), estimator))
+    checked = F.when((F.col("_rows") > F.col("_sets")) & (F.col("_sets") <= 2), unmerged).otherwise(
+        check_two_sets(F.col("_sets"), similarity)
+    )
+    return sides.select(cols.date, checked.alias("similarity")).orderBy(cols.date)
 
 
 def minhash_similarity(
     df: DataFrame,
-    devices: Sequence[str] = DEVICES,
-    k: int = K,
+    devices: Sequence[str] | None = None,
+    k: int | None = None,
     pairs: Sequence[tuple[int, int]] | None = None,
-    element_id: str = "xxhash64",
-    method: str = "functions",
+    element_id: str | None = None,
+    method: str | None = None,
     modulus: int | None = None,
     estimator: str | None = None,
     semantics: str = "set",
     cols: RankColumns = RANK_COLUMNS,
 ) -> DataFrame:
-    """Estimated percent of elements that two devices share, per date in date order.
+    """Estimated percent of elements that two devices share, per date of ``df`` in date order.
 
-    ``semantics="compat"`` needs a ``modulus`` and compares signatures as sets
-    of values unless another ``estimator`` is named.
+    Devices are chosen as in ``exact_similarity``. ``semantics="compat"`` needs a ``modulus``, has its own element ids,
+    and compares signatures as sets of values unless another ``estimator`` is named. Arguments that don't go together
+    are an error.
     """
-    members = df.where(F.col(cols.group).isin(*devices))
+    if semantics not in ("set", "compat"):
+        raise ValueError(f"unknown semantics: {semantics}")
+    if devices is not None:
+        # Rows of other devices stay as a set of their own, for the dates that have no other.
+        other = F.when(F.col(cols.group).isin(*devices), F.col(cols.group)).otherwise(F.lit(""))
+        if "" in devices:
+            raise ValueError("a device must have a name")
+        df = df.withColumn(cols.group, other)
     if semantics == "compat":
         if modulus is None:
             raise ValueError("compat signatures need a modulus")
-        chosen = COMPAT_COEFFICIENTS if pairs is None else pairs
-        signatures = compat_signatures(members, modulus, chosen, cols)
+        if not (k is None and element_id is None and method is None):
+            raise ValueError("compat signatures take pairs and a modulus only")
+        signatures = compat_signatures(df, modulus, COMPAT_COEFFICIENTS if pairs is None else pairs, cols)
         return signature_pairs(signatures, devices, estimator or "value_set", cols)
-    if semantics != "set":
-        raise ValueError(f"unknown semantics: {semantics}")
-    signatures = minhash_signatures(members, k, pairs, element_id, method, cols)
+    if modulus is not None:
+        raise ValueError("only compat signatures have a modulus")
+    signatures = minhash_signatures(df, k, pairs, element_id or "xxhash64", method or "functions", cols)
     return signature_pairs(signatures, devices, estimator or "positional", cols)
 
 

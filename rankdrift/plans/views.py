@@ -18,6 +18,13 @@ SHIPMENTS_BY_DAY = RankColumns(date="ship_date", **_SHIPMENT)
 SHIPMENTS_BY_MONTH = RankColumns(date="ship_month", **_SHIPMENT)
 
 
+WEEKLY = RankColumns(date="crawl_week")
+# Parts sold under a line status and number in a year, compared between return flags.
+PARTS_BY_YEAR = RankColumns(
+    subject=("l_linestatus",), group="l_returnflag", date="ship_year", rank="l_linenumber", entity="l_partkey"
+)
+
+
 def rank_facts_of(events: DataFrame) -> DataFrame:
     """The seven rank columns plus ``event_id`` and ``ts``, the order of arrival.
 
@@ -41,6 +48,30 @@ def rank_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_facts_of(spark.read.parquet(f"{sf_dir}/events.parquet"))
 
 
+def wide_rank_facts_of(events: DataFrame) -> DataFrame:
+    """Rank facts whose keywords and URLs grow in number with the events, one keyword and site for each user.
+
+    One user in ten has a third device. ``crawl_week`` is the first day of the week.
+    """
+    payload = "cast(get_json_object(props, '$.k') as int) AS k"
+    return events.selectExpr("event_id", "ts", "user_id", "event_type", payload).selectExpr(
+        "concat('kw', user_id) AS keyword",
+        "if(event_type IN ('signup', 'click'), 'US-en', 'CA-en') AS market",
+        "if(event_type IN ('signup', 'view'), NULL, event_type) AS loc",
+        "CASE WHEN user_id % 10 = 0 THEN 'tablet' WHEN event_id % 2 = 0 THEN 'desktop' ELSE 'smartphone' END AS device",
+        "cast(ts AS date) AS crawl_date",
+        "cast(date_trunc('week', ts) AS date) AS crawl_week",
+        "k % 20 + 1 AS rank",
+        "concat('site', user_id, '.example/', k div 10) AS url",
+        "event_id",
+        "ts",
+    )
+
+
+def wide_rank_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wide_rank_facts_of(spark.read.parquet(f"{sf_dir}/events.parquet"))
+
+
 def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr(
         "l_linestatus",
@@ -50,3 +81,14 @@ def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
         "cast(l_shipdate AS date) AS ship_date",
         "cast(trunc(l_shipdate, 'month') AS date) AS ship_month",
     )
+
+
+def part_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sold parts; return flags A and R are one set of returns."""
+    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr(
+        "l_linestatus",
+        "if(l_returnflag = 'N', 'N', 'R') AS l_returnflag",
+        "l_linenumber",
+        "l_partkey",
+        "cast(trunc(l_shipdate, 'year') AS date) AS ship_year",
+    )

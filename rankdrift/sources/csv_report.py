@@ -9,10 +9,13 @@ from pyspark.sql import types as T
 from rankdrift.schema import RANK_SCHEMA
 
 BAD_ROW = "_bad_row"
+CORRUPT = "_corrupt_record"
 
 # Fields are read as text and parsed below: Spark's own CSV type errors are only
 # noticed in columns that the query happens to use.
-TEXT_SCHEMA = T.StructType([T.StructField(f.name, T.StringType()) for f in RANK_SCHEMA])
+TEXT_SCHEMA = T.StructType(
+    [*(T.StructField(f.name, T.StringType()) for f in RANK_SCHEMA), T.StructField(CORRUPT, T.StringType())]
+)
 CSV_OPTIONS = {
     "header": "true",
     "sep": ",",
@@ -20,29 +23,46 @@ CSV_OPTIONS = {
     "escape": '"',
     "ignoreLeadingWhiteSpace": "true",
     "ignoreTrailingWhiteSpace": "true",
+    # Rows with more or fewer fields; only known if all fields are parsed.
+    "columnNameOfCorruptRecord": CORRUPT,
+    "columnPruning": "false",
 }
+# The forms of a date and of a rank.
+FORMS = {"crawl_date": r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$", "rank": "^[0-9]+$"}
 
 
 def _parsed(field: T.StructField) -> Column:
     value = F.trim(field.name) if field.name == "url" else F.col(field.name)
+    if field.name in FORMS:
+        value = F.when(value.rlike(FORMS[field.name]), value)
     return value.try_cast(field.dataType).alias(field.name)
 
 
+def _good() -> Column:
+    good = F.lit(True)
+    for field in RANK_SCHEMA:
+        if not field.nullable:
+            good = good & _parsed(field).isNotNull()
+        # Half of a quoted field that went over two lines.
+        marks = F.length(field.name) - F.length(F.replace(F.col(field.name), F.lit('"'), F.lit("")))
+        good = good & (F.coalesce(marks, F.lit(0)) % 2 == 0)
+    return good & (F.col("rank").try_cast("int") >= 1)
+
+
 def parse_rows(text: DataFrame, on_bad: str = "fail") -> DataFrame:
-    """Typed rank facts from seven text columns.
+    """Typed rank facts from seven text columns, and ``_corrupt_record`` if there is one.
 
-    A row is bad if a date or rank does not parse or a required field is
-    missing. ``on_bad="fail"`` stops at the first one; ``"keep"`` returns its
-    text in ``_bad_row``, which ``good_rows`` and ``bad_rows`` tell apart.
+    A row is bad if its date isn't a day written as yyyy-MM-dd, its rank isn't a number from 1 on, a required field is
+    missing, or it has more or fewer than seven fields. Line breaks within quotes aren't supported: both halves of such
+    a row are bad. ``on_bad="fail"`` stops at the first bad row; ``"keep"`` returns its text in ``_bad_row``, which
+    ``good_rows`` and ``bad_rows`` tell apart.
     """
     if on_bad not in ("fail", "keep"):
         raise ValueError(f"unknown way with bad rows: {on_bad}")
-    good = F.lit(True)
-    for field in RANK_SCHEMA:
-        if not field.nullable:
-            good = good & _parsed(field).isNotNull()
+    good, original = F.coalesce(_good(), F.lit(False)), F.to_csv(F.struct(*RANK_SCHEMA.names))
+    if CORRUPT in text.columns:
+        good, original = good & F.col(CORRUPT).isNull(), F.coalesce(CORRUPT, original)
     fields = [_parsed(field) for field in RANK_SCHEMA]
-    original = F.to_csv(F.struct(*RANK_SCHEMA.names))
     if on_bad == "keep":
         return text.select(*fields, F.when(~good, original).alias(BAD_ROW))
     stop = F.raise_error(F.concat(F.lit("bad row in rank report: "), original))

@@ -10,11 +10,9 @@ from pyspark.sql import functions as F
 
 from rankdrift.operators.cleaning import clean_ranks, date_range, drop_duplicate_keys, fill_location
 from rankdrift.schema import RANK_COLUMNS, RANK_SCHEMA
+from rankdrift.session import scratch_dir
 from rankdrift.sources.csv_report import read_rank_csv
 
-# Up to this many dates are named one by one in the partition filter of an upsert.
-MAX_LISTED_DATES = 4000
-
 
 def _write(df: DataFrame, path: str, partitions: str) -> None:
     """Write whole date partitions, sorted by rank inside each file.
@@ -44,14 +42,20 @@ def read_rank_table(spark: SparkSession, path: str, start=None, end=None) -> Dat
     return date_range(table, start, end)
 
 
-def upsert_rank_table(incoming: DataFrame, path: str, order: Sequence[str] = ()) -> None:
+def upsert_rank_table(
+    incoming: DataFrame, path: str, order: Sequence[str] = (), staging: str | None = None
+) -> None:
     """Insert new keys and replace the URL of known ones.
 
-    Within ``incoming`` the last row by ``order`` wins. Only the date
-    partitions that occur in ``incoming`` are read and rewritten.
+    Within ``incoming`` the last row by ``order`` wins. Its rows are first written to the folder ``staging`` (by default
+    a new one below ``spark.checkpoint.dir``), so that a source which gives other rows when it is read again can't
+    touch dates whose old rows were not read. Only the date partitions that occur in ``incoming`` are rewritten; those
+    between its first and last date are read.
     """
     spark, cols = incoming.sparkSession, RANK_COLUMNS
-    incoming = fill_location(incoming.select(*dict.fromkeys([*cols.all, *order])))
+    staging = staging or scratch_dir(spark, "incoming")
+    fill_location(incoming.select(*dict.fromkeys([*cols.all, *order]))).write.parquet(staging)
+    incoming = spark.read.schema(incoming.select(*dict.fromkeys([*cols.all, *order])).schema).parquet(staging)
     try:
         table = read_rank_table(spark, path)
     except AnalysisException as missing:
@@ -59,17 +63,23 @@ def upsert_rank_table(incoming: DataFrame, path: str, order: Sequence[str] = ())
             raise
         write_rank_table(clean_ranks(incoming, order, latest=True), path)
         return
+    merged = merged_ranks(table, incoming, order)
+    if merged is not None:
+        _write(merged, path, "dynamic")
+
+
+def merged_ranks(table: DataFrame, incoming: DataFrame, order: Sequence[str] = ()) -> DataFrame | None:
+    """The new rows of all dates that occur in ``incoming``; nothing if it has no rows."""
+    cols = RANK_COLUMNS
+    first, last = incoming.agg(F.min(cols.date), F.max(cols.date)).first()
+    if first is None:
+        return None
     dates = incoming.select(cols.date).distinct()
-    listed = [row[0] for row in dates.limit(MAX_LISTED_DATES + 1).collect()]
-    if len(listed) <= MAX_LISTED_DATES:
-        touched = table.where(F.col(cols.date).isin(listed))
-    else:
-        touched = table.join(dates, cols.date, "left_semi")
+    touched = date_range(table, first, last).join(dates, cols.date, "left_semi")
     both = touched.withColumn("_batch", F.lit(0)).unionByName(
         incoming.withColumn("_batch", F.lit(1)), allowMissingColumns=True
     )
-    merged = drop_duplicate_keys(both, ["_batch", *order], latest=True)
-    _write(merged, path, "dynamic")
+    return drop_duplicate_keys(both, ["_batch", *order], latest=True)
 
 
 def load_ranks(spark: SparkSession, csv: str | None = None, table: str | None = None) -> DataFrame:

@@ -3,30 +3,74 @@
 Every batch of rank facts adds its own small part. Because a signature is a
 minimum, parts may overlap, repeat or arrive late without changing the result,
 and a batch that is run again just replaces its own part.
+
+The table is partitioned by date, then by part. Each row says with which
+settings it was made; signatures of different settings can't be merged, and
+reading them together is an error.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from rankdrift.functions.hashing import coefficients
 from rankdrift.operators.cleaning import date_range
 from rankdrift.operators.minhash import K, merge_signature_rows
 from rankdrift.schema import SIGNATURE_SCHEMA
 
+SETTINGS, PART = "settings", "part"
+TABLE_SCHEMA = T.StructType(
+    [*SIGNATURE_SCHEMA, T.StructField(SETTINGS, T.StringType(), False), T.StructField(PART, T.StringType(), False)]
+)
+
+
+def signature_settings(
+    k: int | None = None,
+    pairs: Sequence[tuple[int, int]] | None = None,
+    element_id: str = "xxhash64",
+    method: str = "functions",
+) -> str:
+    """The settings of ``minhash_signatures`` as text, coefficients by their fingerprint."""
+    k = len(pairs) if pairs is not None else K if k is None else k
+    used = [] if method == "bins" else list(map(tuple, coefficients(k) if pairs is None else pairs))
+    fingerprint = hashlib.md5(repr(used).encode()).hexdigest()[:12]
+    return f"k={k} id={element_id} method={method} coefficients={fingerprint}"
 
-def write_signature_part(signatures: DataFrame, path: str, part: str) -> None:
-    """Add the part named ``part``, or replace it if it is already there."""
-    signatures.write.mode("overwrite").parquet(f"{path}/part={part}")
+
+def write_signature_part(signatures: DataFrame, path: str, part: str, settings: str | None = None) -> None:
+    """Add the part named ``part``, or replace it on the dates that ``signatures`` has."""
+    rows = signatures.withColumn(SETTINGS, F.lit(settings or signature_settings())).withColumn(PART, F.lit(part))
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("crawl_date", PART).parquet(path)
 
 
 def read_signatures(
-    spark: SparkSession, path: str, k: int = K, start=None, end=None
+    spark: SparkSession, path: str, k: int = K, start=None, end=None, settings: str | None = None
 ) -> DataFrame:
-    """One merged signature per date and device."""
-    parts = spark.read.schema(SIGNATURE_SCHEMA).parquet(path).select(*SIGNATURE_SCHEMA.names)
-    return merge_signature_rows(date_range(parts, start, end), k)
+    """One merged signature per date and device, of the given or default settings.
+
+    A bound on the dates prunes partitions. A row of other settings within the bounds is an error.
+    """
+    parts = date_range(spark.read.schema(TABLE_SCHEMA).parquet(path), start, end)
+    wanted = settings or signature_settings(k)
+    stop = F.raise_error(F.concat(F.lit(f"signatures made with other settings than {wanted}: "), F.col(SETTINGS)))
+    same = parts.where(F.when(F.col(SETTINGS) == wanted, True).otherwise(stop.cast("boolean")))
+    return merge_signature_rows(same.select(*SIGNATURE_SCHEMA.names), k)
+
 
+def compact_signatures(
+    spark: SparkSession, path: str, new_path: str, k: int = K, settings: str | None = None
+) -> None:
+    """Write the merged signatures as the only part of a new table.
 
-def compact_signatures(spark: SparkSession, path: str, new_path: str, k: int = K) -> None:
-    """Write the merged signatures as the only part of a new table."""
-    write_signature_part(read_signatures(spark, path, k), new_path, "merged")
+    To swap it in while a stream writes to the old table: stop the stream, compact, start the stream again on the new
+    table with the same checkpoint. Parts that were written meanwhile can also be copied over afterwards, as merging
+    the same signatures twice changes nothing.
+    """
+    merged = read_signatures(spark, path, k, settings=settings)
+    write_signature_part(merged, new_path, "merged", settings or signature_settings(k))

@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from rankdrift.operators.minhash import K, minhash_signatures
+from rankdrift.operators.minhash import minhash_signatures
 from rankdrift.schema import RANK_COLUMNS, RankColumns
-from rankdrift.sources.signature_table import write_signature_part
+from rankdrift.sources.signature_table import signature_settings, write_signature_part
 
 
 def maintain_signatures(
@@ -17,7 +17,7 @@ def maintain_signatures(
     path: str,
     checkpoint: str,
     name: str,
-    k: int = K,
+    k: int | None = None,
     pairs: Sequence[tuple[int, int]] | None = None,
     element_id: str = "xxhash64",
     method: str = "functions",
@@ -27,14 +27,17 @@ def maintain_signatures(
     """Add one part to the signature table at ``path`` per micro-batch of ``facts``.
 
     Each batch is aggregated on its own and merged on reading, so the query
-    keeps no state and needs no watermark. ``name`` has to be unique per
-    checkpoint: batch n of a stream always writes the same part, which makes a
-    replay after a failure harmless. ``once`` stops when the input is used up.
+    keeps no state and needs no watermark. A part is named after the query's id,
+    which its checkpoint keeps, and the batch: a batch that is replayed after a
+    failure replaces its own part, and a stream that starts again with a new
+    checkpoint doesn't touch earlier parts. ``once`` stops when the input is used up.
     """
+    settings = signature_settings(k, pairs, element_id, method)
 
     def add_part(batch: DataFrame, number: int) -> None:
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         signatures = minhash_signatures(batch, k, pairs, element_id, method, cols)
-        write_signature_part(signatures, path, f"{name}-{number}")
+        write_signature_part(signatures, path, f"{name}-{query}-{number}", settings)
 
     writer = facts.writeStream.foreachBatch(add_part).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()

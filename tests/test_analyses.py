@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fixtures import day, edge_facts, fact, facts, rows
-from rankdrift.operators import exact, top_spot, urls
+from rankdrift.operators import exact, minhash, top_spot, urls
 from rankdrift.schema import RankColumns
 
 
@@ -107,9 +107,37 @@ def test_missing_and_empty_location_are_different_elements(spark):
 
 def test_similarity_is_symmetric_and_ignores_other_devices(spark):
     df = edge_facts(spark, [("tablet", 1, 1, "u1"), ("tablet", 9, 1, "u1")])
-    there = rows(exact.exact_similarity(df))
+    there = rows(exact.exact_similarity(df, devices=("desktop", "smartphone")))
     back = rows(exact.exact_similarity(df, devices=("smartphone", "desktop")))
-    assert there == back == [(day(1), 40), (day(2), 0), (day(3), 0), (day(4), 0)]
+    assert there == back == [(day(1), 40), (day(2), 0), (day(3), 0), (day(4), 0), (day(9), 0)]
+
+
+DAYS_OF_OTHERS = [("tablet", 9, 1, "u1"), ("watch", 9, 1, "u1")]
+
+
+@pytest.mark.parametrize(
+    "similarity",
+    [
+        exact.exact_similarity,
+        exact.sketch_similarity,
+        lambda df, devices=None: exact.exact_similarity(df, devices, semantics="compat"),
+        minhash.minhash_similarity,
+        lambda df, devices=None: minhash.minhash_similarity(df, devices, modulus=1009, semantics="compat"),
+    ],
+)
+def test_every_date_stays_whatever_devices_it_has(spark, similarity):
+    df = edge_facts(spark, DAYS_OF_OTHERS)
+    named = dict(rows(similarity(df, ("desktop", "smartphone"))))
+    assert set(named) == {day(n) for n in (1, 2, 3, 4, 9)} and named[day(9)] == 0 and named[day(1)] > 0
+    found = dict(rows(similarity(df)))
+    assert found[day(9)] == 100 and found[day(3)] == 0 and found[day(1)] == named[day(1)]
+    assert dict(rows(similarity(df, ("Desktop", "mobile")))) == dict.fromkeys(named, 0)
+
+
+@pytest.mark.parametrize("similarity", [exact.exact_similarity, exact.sketch_similarity, minhash.minhash_similarity])
+def test_more_than_two_sets_on_a_date_are_an_error(spark, similarity):
+    with pytest.raises(Exception, match="more than two sets"):
+        similarity(edge_facts(spark, [("tablet", 1, 1, "u1")])).collect()
 
 
 def test_every_pair_of_three_devices(spark):
@@ -123,8 +151,14 @@ def test_every_pair_of_three_devices(spark):
     ]
 
 
-def test_more_groups_than_a_mask_has_bits(spark, monkeypatch):
-    monkeypatch.setattr(exact, "MASK_BITS", 2)
+def test_many_groups(spark):
+    """Pairs are rows, so the plan is the same for any number of groups."""
+    df = facts(spark, [fact(f"d{g:03d}", rank=r) for g in range(100) for r in (g, g + 1)])
+    got = {(a, b): s for _, a, b, s in rows(exact.pairwise_exact_similarity(df))}
+    assert got == {(f"d{g:03d}", f"d{g + 1:03d}"): 33 for g in range(99)}
+
+
+def test_pairs_of_named_groups(spark):
     shares = {"a": {1, 2}, "b": {2, 3}, "c": {1, 2, 3}, "d": {9}, "e": {2}}
     df = facts(spark, [fact(g, rank=r) for g, ranks in shares.items() for r in ranks])
     got = exact.pairwise_exact_similarity(df, tuple(shares))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fixtures import edge_facts
 from rankdrift.operators import cleaning, exact, minhash, top_spot, urls
 from rankdrift.session import tune
-from rankdrift.sources import rank_table
+from rankdrift.sources import rank_table, signature_table
 
 
 @pytest.fixture(scope="module")
@@ -47,9 +47,9 @@ def test_departures_read_top_rows_and_never_sort(table):
 
 
 def test_exact_similarity_shuffles_elements_once(table):
-    df = exact.pairwise_exact_similarity(table)
+    df = exact.exact_similarity(table, ("desktop", "smartphone"))
     assert shuffles(df) == 2  # elements, then one row per date and task
-    assert plan(df).count("partial_bit_or") == 1
+    assert plan(df).count("partial_min") == 1
     assert "SortAggregate" not in plan(df)
 
 
@@ -71,6 +71,21 @@ def test_date_filter_prunes_partitions(table):
     assert "2017-07-02" in pruned and "2017-07-03" in pruned
 
 
+def test_upsert_prunes_partitions(table):
+    incoming = table.where("crawl_date > DATE '2017-07-02'").where("rank = 1")
+    text = plan(rank_table.merged_ranks(table, incoming))
+    pruned = re.findall(r"PartitionFilters: (.*?) PushedFilters", text)
+    assert any("2017-07-03" in filters and "2017-07-04" in filters for filters in pruned)
+
+
+def test_one_day_of_signatures_prunes_partitions(spark, table, tmp_path):
+    path = str(tmp_path / "signatures")
+    signature_table.write_signature_part(minhash.minhash_signatures(table), path, "one")
+    df = signature_table.read_signatures(spark, path, start="2017-07-02", end="2017-07-02")
+    assert "2017-07-02" in re.search(r"PartitionFilters: \[(.*?)\], Pushed", plan(df)).group(1)
+    assert df.count() == 2
+
+
 def test_signature_aggregation_is_generated_code(spark, table):
     tune(spark)
     df = minhash.minhash_signatures(table)

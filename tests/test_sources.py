@@ -8,6 +8,7 @@ from rankdrift.functions.text import day_text, dot_bar
 from rankdrift.operators import cleaning, minhash
 from rankdrift.plans import report
 from rankdrift.plans.views import rank_facts
+from rankdrift.schema import RANK_SCHEMA
 from rankdrift.session import scratch_dir, tune
 from rankdrift.sources import csv_report, rank_table, signature_table
 from rankdrift.streaming.signatures import maintain_signatures
@@ -40,6 +41,15 @@ BAD_LINES = [
     "a,US,,desktop,2017-07-01,1st,u3",
     "a,US,,desktop,2017-07-01,1",
     ",US,,desktop,2017-07-01,1,u5",
+    "a,US,,desktop,2017,1,u6",
+    "a,US,,desktop,2017-7-1,1,u7",
+    "a,US,,desktop,2017-02-30,1,u8",
+    "a,US,,desktop,2017-07-01 10:00,1,u9",
+    "a,US,,desktop,2017-07-01,0,u10",
+    "a,US,,desktop,2017-07-01,-1,u11",
+    "a,US,,desktop,2017-07-01,1,http://x/a,b",
+    "a,US,,desktop,2017-07-01,1,u12,",
+    'b",US,,desktop,2017-07-01,1,u13',
 ]
 
 
@@ -55,7 +65,7 @@ def test_bad_rows_are_kept_apart(spark, tmp_path):
     path = csv_file(tmp_path, "\n".join(["a,US,,desktop,2017-07-01,1,u1", *BAD_LINES]) + "\n")
     kept = csv_report.read_rank_csv(spark, path, on_bad="keep")
     assert rows(csv_report.good_rows(kept), "url") == [("u1",)]
-    assert csv_report.good_rows(kept).columns == [*csv_report.TEXT_SCHEMA.names]
+    assert csv_report.good_rows(kept).columns == RANK_SCHEMA.names
     texts = [t for (t,) in rows(csv_report.bad_rows(kept), "_bad_row")]
     assert texts[0] == "a,US,,desktop,yesterday,1,u2"
     assert len(texts) == len(BAD_LINES)
@@ -113,10 +123,22 @@ def test_upsert_twice_changes_nothing(spark, tmp_path):
     assert sorted(rows(table)) == sorted(rows(cleaning.clean_ranks(edge_facts(spark), latest=True)))
 
 
-def test_upsert_beyond_the_listed_dates(spark, tmp_path, monkeypatch):
+def test_upsert_of_a_source_that_changes(spark, tmp_path):
+    """What is read twice is what was staged, so no date loses rows that were not read."""
+    path = str(tmp_path / "ranks")
+    rank_table.upsert_rank_table(edge_facts(spark), path)
+    shaky = edge_facts(spark).where(F.rand() < 0.5).withColumn("url", F.concat("url", F.lit("!")))
+    for _ in range(3):
+        rank_table.upsert_rank_table(shaky, path)
+        table = rank_table.read_rank_table(spark, path)
+        assert table.count() == 11 and table.where("crawl_date = DATE '2017-07-01'").count() > 3
+    rank_table.upsert_rank_table(edge_facts(spark).where("false"), path)
+    assert rank_table.read_rank_table(spark, path).count() == 11
+
+
+def test_upsert_of_some_dates(spark, tmp_path):
     path = str(tmp_path / "ranks")
     rank_table.upsert_rank_table(edge_facts(spark), path)
-    monkeypatch.setattr(rank_table, "MAX_LISTED_DATES", 1)
     rank_table.upsert_rank_table(facts(spark, [fact(n=1, url="n"), fact(n=2, url="n")]), path)
     table = rank_table.read_rank_table(spark, path)
     new = rows(table.where("url = 'n'"), "crawl_date", "device", "rank")
@@ -173,7 +195,7 @@ def test_stream_of_report_files_equals_batch(spark, tmp_path):
     batch = minhash.minhash_signatures(csv_report.read_rank_csv(spark, str(folder)), k=16)
     streamed = signature_table.read_signatures(spark, path, k=16)
     assert sorted(rows(streamed)) == sorted(rows(batch))
-    assert len(list((tmp_path / "sig").glob("part=*"))) == 3
+    assert len({p.name for p in (tmp_path / "sig").glob("crawl_date=*/part=*")}) == 3
 
 
 def test_scratch_folder_is_new_and_below_the_checkpoint_dir(spark):
@@ -215,3 +237,49 @@ def test_report_of_the_event_view_has_both_similarities(spark):
     compared = report.analyses(clean)["estimate_vs_exact"]
     assert compared.columns == ["crawl_date", "estimate", "exact", "difference"]
     assert compared.count() == 30
+
+
+def test_signatures_of_other_settings_are_an_error(spark, tmp_path):
+    path = str(tmp_path / "signatures")
+    made = {"md5": "a", "xxhash64": "b"}
+    for element_id, part in made.items():
+        settings = signature_table.signature_settings(16, element_id=element_id)
+        signatures = minhash.minhash_signatures(edge_facts(spark), 16, element_id=element_id)
+        signature_table.write_signature_part(signatures, path, part, settings)
+    with pytest.raises(Exception, match="other settings"):
+        signature_table.read_signatures(spark, path, 16).collect()
+
+
+def test_a_new_checkpoint_keeps_earlier_parts(spark, tmp_path):
+    path, folder = str(tmp_path / "signatures"), tmp_path / "reports"
+    folder.mkdir()
+    for n in (1, 2):
+        (folder / f"{n}.csv").write_text(f"k,m,l,d,c,r,u\na,US,,desktop,2017-07-0{n},1,u{n}\n")
+        stream = csv_report.stream_rank_csv(spark, str(folder))
+        query = maintain_signatures(stream, path, str(tmp_path / f"checkpoint{n}"), "s", k=16, once=True)
+        query.awaitTermination()
+        (folder / f"{n}.csv").unlink()
+    assert signature_table.read_signatures(spark, path, 16).count() == 2
+
+
+def test_bad_signature_arguments(spark):
+    df = edge_facts(spark)
+    for wrong in (
+        {"semantics": "compat", "modulus": 7, "k": 7},
+        {"semantics": "compat", "modulus": 7, "method": "functions"},
+        {"semantics": "compat"},
+        {"modulus": 7},
+        {"method": "bins", "pairs": [(1, 2)]},
+        {"pairs": [(1, 2)], "k": 2},
+        {"devices": ("a", "a")},
+        {"method": "nonsense"},
+        {"element_id": "nonsense"},
+    ):
+        with pytest.raises(ValueError):
+            minhash.minhash_similarity(df, **wrong)
+
+
+def test_empty_bins_are_no_shared_values(spark):
+    df = facts(spark, [fact(d, url=f"{d}{n}") for d in ("desktop", "smartphone") for n in range(20)])
+    got = minhash.minhash_similarity(df, method="bins", estimator="value_set")
+    assert rows(got) == [(day(1), 0)]

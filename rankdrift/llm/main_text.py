@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rankdrift.llm.common import table
+from rankdrift.llm.common import small_batches, table
 
 # Element names of HTML, and words by which sites name parts of a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -46,10 +46,11 @@ SIDE_TAGS = frozenset("nav footer aside form menu dialog button".split())
 SIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar".split())
 MAIN_WORDS = frozenset("article articlebody body content entry main maincontent post postbody story text".split())
 SIDE_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising adsense alert banner breadcrumb breadcrumbs comment commentlist "
+    "ad adbox ads adslot adsense adunit advert advertisement advertising adverts alert banner breadcrumb breadcrumbs comment "
+    "commentlist "
     "comments consent cookie cookies copyright discussion disqus footer form gdpr header hidden legal login masthead "
     "menu menus modal nav navbar navigation newsletter notice notices notification overlay pager pagination popup promo "
-    "promoted promotion rail recommended related replies reply respond search share sharing side sidebar signup skip "
+    "promoted promotion rail reactions recommended related replies reply respond responses search share sharing side sidebar signup skip "
     "social sponsor sponsored subscribe subscription tags teaser toolbar topbar widget widgets".split()
 )
 #: Weights of the classifier.
@@ -59,6 +60,9 @@ PER_WORD, MOST_FOR_WORDS = 0.08, 3.0
 ADJACENT, SIBLING = 1.0, 0.5
 _WORD = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
+#: Names that tell a state of what they are on, such as has-sidebar.
+_STATE = re.compile(r"(?:has|is|js|no|not|with|without)[-_]")
+OWN_HEADER = frozenset("article entry post story".split())
 
 
 @dataclass(slots=True)
@@ -81,7 +85,8 @@ class Block:
 
 
 def _names(value: str) -> set[str]:
-    return set(_WORD.findall(_CAMEL.sub(" ", value).lower()))
+    parts = " ".join(name for name in value.split() if not _STATE.match(name))
+    return set(_WORD.findall(_CAMEL.sub(" ", parts).lower()))
 
 
 class _Blocks(HTMLParser):
@@ -117,7 +122,7 @@ class _Blocks(HTMLParser):
             self._links += 1
         up, given = self._at, dict(attrs)
         words = _names(f"{given.get('class') or ''} {given.get('id') or ''}") if attrs else set()
-        if up.main or words & MAIN_WORDS:
+        if up.main or words & OWN_HEADER:
             words -= {"header"}  # an article's own, with its title
         role = (given.get("role") or "").lower()
         style = (given.get("style") or "").replace(" ", "").lower()
@@ -126,6 +131,10 @@ class _Blocks(HTMLParser):
         side = tag in SIDE_TAGS or role in SIDE_ROLES or bool(words & SIDE_WORDS) or page_header or gone
         if tag in ("body", "html"):
             side = False  # sites name states of the whole page there
+        if tag == "main" or role == "main":
+            up_side, side = False, False
+        else:
+            up_side = up.side
         main = tag in MAIN_TAGS or role in ("main", "article") or given.get("itemprop") == "articleBody"
         self._at = Element(
             tag,
@@ -133,7 +142,7 @@ class _Blocks(HTMLParser):
             up.depth + 1,
             up.main or main,
             up.named_main or bool(words & MAIN_WORDS),
-            up.side or side,
+            up_side or side,
             up.unseen or tag in UNSEEN,
         )
 
@@ -332,6 +341,7 @@ def _extracted(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 def extract(pages: DataFrame, html_col: str = "html", text_col: str = "text") -> DataFrame:
     """``pages`` with its main texts as ``text_col``."""
+    small_batches(pages.sparkSession)
     return pages.withColumn(text_col, F.pandas_udf(_extracted, T.StringType())(F.col(html_col).cast("string")))
 
 

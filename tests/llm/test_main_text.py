@@ -53,6 +53,17 @@ def test_page_without_article():
     assert mt.main_text(page) == f"{text * 2}Short. {text}".strip()
 
 
+def test_names_of_states_and_wrappers():
+    text = "This is a long paragraph with many words in it, and it is the main text of the page."
+    for page in (
+        f'<div class="page has-sidebar no-comments"><p>{text}</p></div>',
+        f'<div id=sidebar-layout><main><p>{text}</p></main></div>',
+        f'<div class=main-header><a href=/>Home</a></div><article><div class=post-header><h1>T</h1></div><p>{text}</p></article>',
+    ):
+        assert mt.main_text(page).removeprefix("T ") == text
+    assert mt.main_text(f"<article><p>{text}</p><div class=adSlot><p>{text}</p></div></article>") == text
+
+
 def test_whole_table(spark):
     sf = "/root/testdata/sf0.01"
     got = {r.page_id: r for r in mt.op5_min_cut_text(spark, sf).collect()}

@@ -1,16 +1,18 @@
 """Near duplicates by MinHash with tensored banding.
 
-A text's set holds the hashes of its distinct five-word shingles. Two collections of ``SIDE`` partial keys, each made
-of ``ROWS`` minhashes, are formed for it, and a table key joins one partial key of either collection. So
-``SIDE`` ** 2 tables of 2 x ``ROWS`` minhashes each need 2 x ``SIDE`` x ``ROWS`` minhashes, not ``SIDE`` ** 2 x 2 x ``ROWS``. Two
-texts meet in a table if they agree on any key of the first collection and any of the second. At a similarity of 0.75
-they miss each other with a probability of 2 x (1 - 0.75 ** 2) ** 10 = 0.0005, at 0.85 of 0.000005.
-
-Texts with the same set are one class and are compared once. In each table bucket all members are paired with the
-bucket's least one; pairs that agree on enough partial keys are confirmed on the full sets, and links are joined to
-components. Members of a bucket that still lie in different components are then paired among each other and confirmed
-as well. So every two texts that meet in a table are linked by confirmed links, or were compared and are not similar,
-without emitting all pairs of a group of copies.
+A text's set holds the hashes of its distinct five-word shingles. Two collections of partial keys are formed for it:
+``SIDES[0]`` keys of ``ROWS[0]`` minhashes each and ``SIDES[1]`` keys of ``ROWS[1]``. A table key joins one partial key of either
+collection, so 10 x 16 tables of 5 minhashes each need 10 x 2 + 16 x 3 = 68 minhashes, not 800. Two texts meet in a table
+if they agree on any key of the first collection and any of the second. At a similarity of 0.75 they miss each other
+with a probability of (1 - 0.75 ** 2) ** 10 + (1 - 0.75 ** 3) ** 16 = 0.0004, at 0.85 of 0.000003.
+
+Texts with the same set are one class and are compared once. In each table bucket all members are paired with its most
+central one, which shares the most buckets with others. Pairs that a one-permutation sketch of ``BINS`` bins leaves
+possible are confirmed on the full sets, and links are joined to components. Members of a bucket that still lie in
+different components are then paired among each other: in small buckets by a join, in larger ones inside a task, block
+by block, so that only pairs that the sketch leaves possible are emitted. These are confirmed as well. So every two
+texts that meet in a table are linked by confirmed links, or were compared and are not similar, without emitting all
+pairs of a group of copies.
 
 Defined cases: a text without words (null, empty, white space) has an empty set and links with nothing. A text of fewer
 than five words has one shingle, the whole sequence. A null id gets a null component and is kept. Rows with the same id
@@ -23,19 +25,22 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankdrift.llm.common import batches_of, components, rows_of, table, words_of, written
 
 SHINGLE = 5
-#: Partial keys in each of the two collections, minhashes in a partial key.
-SIDE, ROWS = 10, 2
+#: Partial keys in each of the two collections, and minhashes in each of their keys.
+SIDES, ROWS = (10, 16), (2, 3)
 PERCENT = 75
-#: Of 2 x SIDE partial keys, how many a pair must share to be confirmed: at 0.75 similarity, 99.99 % of pairs share 4.
-SHARED = 4
+#: Bins of the sketch, and how many standard deviations below the least similarity its estimate may lie.
+BINS, DEVIATIONS = 512, 4
+#: Members of a bucket that are paired by a join, and members in a block of a larger one.
+SMALL, BLOCK = 8, 1000
 REMEMBERED = 300_000
 _U64 = np.uint64
 
@@ -84,30 +89,56 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
 
 
 class Sketch:
-    """The partial keys of a set, ``SIDE`` of each collection."""
+    """The partial keys of a set, those of the first collection before those of the second."""
 
     def __init__(self, seed: int = 7):
         draw = np.random.default_rng(seed)
-        n = 2 * SIDE * ROWS
+        n = sum(side * rows for side, rows in zip(SIDES, ROWS, strict=True))
         self._a = draw.integers(0, 1 << 63, n, dtype=_U64) * _U64(2) + _U64(1)
         self._b = draw.integers(0, 1 << 63, n, dtype=_U64)
 
-    def of(self, hashes: np.ndarray) -> list[int]:
+    def of(self, hashes: np.ndarray) -> np.ndarray:
         least = np.full(len(self._a), _U64(0xFFFFFFFFFFFFFFFF))
-        for at in range(0, len(hashes), 1024):
-            block = hashes[at : at + 1024]
-            for k in range(len(self._a)):
-                least[k] = min(least[k], (block * self._a[k] + self._b[k]).min())
-        keys = np.zeros(2 * SIDE, _U64)
-        for row in least.reshape(2 * SIDE, ROWS).T:
-            keys = _mixed(keys * _U64(31) + row)
-        return keys.astype(np.int64).tolist()
+        for at in range(0, len(hashes), 512):
+            values = hashes[at : at + 512, None] * self._a
+            values += self._b
+            np.minimum(least, values.min(axis=0), out=least)
+        parts, at = [], 0
+        for side, rows in zip(SIDES, ROWS, strict=True):
+            keys = np.zeros(side, _U64)
+            for row in least[at : at + side * rows].reshape(side, rows).T:
+                keys = _mixed(keys * _U64(31) + row)
+            parts.append(keys)
+            at += side * rows
+        return np.concatenate(parts)
+
+
+def bins_of(hashes: np.ndarray) -> np.ndarray:
+    """One byte for each bin: of the least hash in it, 1 to 255; 0 for an empty bin. ``hashes`` are sorted."""
+    out = np.zeros(BINS, np.uint8)
+    places = (hashes >> _U64(64 - BINS.bit_length() + 1)).astype(np.intp)
+    first = np.flatnonzero(np.diff(places, prepend=-1))
+    out[places[first]] = _mixed(hashes[first]) % _U64(255) + _U64(1)
+    return out
+
+
+def possible(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """Whether sets with these rows of bins and of these sizes may be similar enough.
+
+    The filled bins are a draw without replacement from the union, so the number that agree is hypergeometric.
+    """
+    filled = np.count_nonzero(a | b, axis=-1)
+    same = np.count_nonzero((a == b) & (a > 0), axis=-1)
+    share = percent / 100
+    union = (n_a + n_b) / (1 + share)
+    left = np.clip(1 - filled / np.maximum(union, 1), 0, 1)
+    return same >= share * filled - DEVIATIONS * np.sqrt(share * (1 - share) * filled * left) - 1
 
 
 _SKETCH = pa.schema(
-    [("doc_id", pa.int64()), ("n", pa.int64()), ("fp1", pa.int64()), ("fp2", pa.int64()), ("keys", pa.list_(pa.int64()))]
+    [("doc_id", pa.int64()), ("n", pa.int64()), ("fp1", pa.int64()), ("fp2", pa.int64()), ("keys", pa.list_(pa.int64())), ("bins", pa.binary())]
 )
-_SKETCH_DDL = "doc_id long, n long, fp1 long, fp2 long, keys array<long>"
+_SKETCH_DDL = "doc_id long, n long, fp1 long, fp2 long, keys array<long>, bins binary"
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -115,10 +146,10 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     for doc_id, text in rows_of(batches):
         hashes = shingles.of(text)
         if not len(hashes):
-            yield doc_id, 0, None, None, None
+            yield doc_id, 0, None, None, None, None
             continue
         digest = np.frombuffer(xxhash.xxh3_128_digest(hashes.tobytes()), "<i8").tolist()
-        yield doc_id, len(hashes), *digest, sketch.of(hashes)
+        yield doc_id, len(hashes), *digest, sketch.of(hashes).view(np.int64), bins_of(hashes).tobytes()
 
 
 def _confirmed(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[tuple]:
@@ -146,16 +177,70 @@ def confirm(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFr
 
 
 def _plausible(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of which sizes and shared partial keys leave a similarity of ``percent`` possible or likely."""
-    side = lambda x: reps.select(F.col("rep").alias(x), F.col("n").alias(f"n_{x}"), F.col("keys").alias(f"keys_{x}"))
-    same = F.aggregate(F.zip_with("keys_a", "keys_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-    return (
-        pairs.join(side("a"), "a")
-        .join(side("b"), "b")
-        .where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-        .where(same >= SHARED)
-        .select("a", "b")
-    )
+    """Pairs (a, b) that their sizes and sketches leave possible."""
+
+    @F.pandas_udf("boolean")
+    def likely(a: pd.Series, b: pd.Series, n_a: pd.Series, n_b: pd.Series) -> pd.Series:
+        x, y = (np.frombuffer(b"".join(c), np.uint8).reshape(-1, BINS) for c in (a, b))
+        return pd.Series(possible(x, y, n_a.to_numpy(), n_b.to_numpy(), percent))
+
+    side = lambda x: reps.select(F.col("rep").alias(x), F.col("n").alias(f"n_{x}"), F.col("bins").alias(f"bins_{x}"))
+    sized = pairs.join(side("a"), "a").join(side("b"), "b")
+    sized = sized.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+    return sized.where(likely("bins_a", "bins_b", "n_a", "n_b")).select("a", "b")
+
+
+def _across(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Possible pairs between components, of the rows of one pair of blocks of a bucket.
+
+    A pair is emitted by the first table that both its members are filed under.
+    """
+    table = int(rows["key_no"].iat[0])
+    row, column = divmod(table, SIDES[1])
+    one = rows[rows["block"] == rows["low"].iat[0]]
+    two = rows[rows["block"] == rows["high"].iat[0]]
+    own = rows["low"].iat[0] == rows["high"].iat[0]
+    bins, keys = (np.frombuffer(b"".join(two[c]), t).reshape(len(two), -1) for c, t in (("bins", np.uint8), ("keys", "<i4")))
+    group, ids, sizes = two["component"].to_numpy(), two["rep"].to_numpy(), two["n"].to_numpy()
+    a, b = [], []
+    for k, (rep, component, n, own_bins, own_keys) in enumerate(zip(one["rep"], one["component"], one["n"], one["bins"], one["keys"], strict=True)):
+        other = group != component
+        other &= (100 * sizes >= percent * n) & (100 * n >= percent * sizes)
+        if own:
+            other[: k + 1] = False
+        at = np.flatnonzero(other)
+        if not len(at):
+            continue
+        same = keys[at] == np.frombuffer(own_keys, "<i4")
+        at = at[(same[:, : SIDES[0]].argmax(axis=1) == row) & (same[:, SIDES[0] :].argmax(axis=1) == column)]
+        at = at[possible(bins[at], np.frombuffer(own_bins, np.uint8), sizes[at], n, percent)]
+        a += [rep] * len(at)
+        b += ids[at].tolist()
+    return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+
+
+def _pairs_across(apart: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Possible pairs (a < b) of members of different components in a bucket; ``apart`` has key, key_no, rep, component, size."""
+    small, large = apart.where(F.col("size") <= SMALL), apart.where(F.col("size") > SMALL)
+    other = small.select("key", F.col("rep").alias("b"), F.col("component").alias("component_b"))
+    near = small.withColumnRenamed("rep", "a").join(other, "key").where("a < b AND component <> component_b")
+    near = _plausible(near.select("a", "b").distinct(), reps, percent)
+
+    # Buckets in blocks: a row goes to every pair of blocks that its own is part of.
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    placed = large.withColumn("block", F.pmod(F.xxhash64("rep", "key"), blocks).cast("int"))
+    placed = placed.join(reps.select("rep", "n", "bins", _packed(F.col("keys")).alias("keys")), "rep")
+    placed = placed.withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    placed = placed.select("*", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"))
+    far = placed.groupBy("key", "low", "high").applyInPandas(lambda rows: _across(rows, percent), "a long, b long")
+    far = far.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return near.unionByName(far).distinct()
+
+
+def _packed(keys: Column) -> Column:
+    """The low 32 bits of each key, as one binary."""
+    hexes = F.transform(keys, lambda k: F.lpad(F.hex(k.bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0"))
+    return F.unhex(F.array_join(hexes, ""))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -165,27 +250,34 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = sketch.where("n > 0 AND doc_id IS NOT NULL").groupBy("fp1", "fp2").agg(F.min("doc_id").alias("rep"))
     classes = written(classes, "classes")
     chosen = classes.withColumn("doc_id", F.col("rep"))
-    reps = written(sketch.join(chosen, ["fp1", "fp2", "doc_id"]).select("rep", "n", "keys"), "reps")
-
-    tables = [F.xxhash64(F.lit(i * SIDE + j), F.col("keys")[i], F.col("keys")[SIDE + j]) for i in range(SIDE) for j in range(SIDE)]
-    keys = reps.select("rep", F.explode(F.array(*tables)).alias("key"))
-    shared = keys.groupBy("key").agg(F.min("rep").alias("a"), F.max("rep").alias("last")).where("a <> last").drop("last")
-    members = written(keys.join(shared, "key").select("key", "a", F.col("rep").alias("b")), "members")
-
-    pairs = written(_plausible(members.where("a <> b").select("a", "b").distinct(), reps, percent), "pairs")
+    reps = written(sketch.join(chosen, ["fp1", "fp2", "doc_id"]).select("rep", "n", "keys", "bins"), "reps")
+
+    n_tables = SIDES[0] * SIDES[1]
+    tables = [
+        F.xxhash64(F.lit(i * SIDES[1] + j), F.col("keys")[i], F.col("keys")[SIDES[0] + j])
+        for i in range(SIDES[0])
+        for j in range(SIDES[1])
+    ]
+    filed = reps.select("rep", F.posexplode(F.array(*tables)).alias("key_no", "key"))
+    shared = filed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    members = written(filed.join(shared, "key"), "members")
+
+    # The most central member of each bucket, known by the number of buckets it shares, at most n_tables.
+    degree = members.groupBy("rep").agg(F.count("*").alias("degree"))
+    rank = F.shiftleft(F.least("degree", F.lit(n_tables)), 48) + F.xxhash64("rep").bitwiseAND(F.lit((1 << 48) - 1))
+    central = members.join(degree, "rep").groupBy("key").agg(F.max_by("rep", rank).alias("a"))
+    pairs = members.join(central, "key").where("a <> rep").select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b"))
+    pairs = written(_plausible(pairs.distinct(), reps, percent), "pairs")
     links = written(confirm(pairs, rows, percent), "links")
     component = written(components(links), "components")
 
     # Buckets whose members are still apart: pair them across components, but for pairs that have been compared.
-    named = members.select("key", F.col("b").alias("rep")).join(component.withColumnRenamed("node", "rep"), "rep", "left")
-    named = named.select("key", "rep", F.coalesce("component", "rep").alias("component"))
+    named = members.join(component.withColumnRenamed("node", "rep"), "rep", "left")
+    named = named.withColumn("component", F.coalesce("component", "rep"))
     split = named.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
     apart = written(named.join(split.select("key"), "key"), "apart")
-    other = apart.withColumnsRenamed({"rep": "b", "component": "component_b"})
-    across = (
-        apart.withColumnRenamed("rep", "a").join(other, "key").where("a < b AND component <> component_b").select("a", "b")
-    ).distinct()
-    late = written(_plausible(across.join(pairs, ["a", "b"], "left_anti"), reps, percent), "late")
+    across = _pairs_across(apart, reps, percent)
+    late = written(across.join(pairs, ["a", "b"], "left_anti"), "late")
     links = links.unionByName(confirm(late, rows, percent))
     component = written(components(links), "components")
 

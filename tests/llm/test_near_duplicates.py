@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 
 import duckdb
+import numpy as np
 
 from rankdrift.llm import near_duplicates as nd
 from rankdrift.llm.common import components
@@ -65,6 +66,30 @@ def test_families_around_the_threshold(spark):
     assert got == brute(rows)
 
 
+def test_large_buckets(spark, monkeypatch):
+    """The same family with every bucket compared block by block."""
+    monkeypatch.setattr(nd, "SMALL", 1)
+    monkeypatch.setattr(nd, "BLOCK", 7)
+    test_families_around_the_threshold(spark)
+
+
+def test_sketch_keeps_similar_pairs():
+    draw, lost, kept, n_close = np.random.default_rng(8), 0, 0, 0
+    for _ in range(2000):
+        n = int(draw.integers(5, 900))
+        shared = int(np.ceil(6 / 7 * n))  # so that the similarity is 0.75 at least, and hardly more
+        pool = np.unique(draw.integers(0, 1 << 63, 2 * n + 9, dtype=np.uint64) * np.uint64(2))
+        a, b = pool[:n], np.concatenate((pool[:shared], pool[n : 2 * n - shared]))
+        a, b = np.sort(a), np.sort(b)
+        assert nd.similar(a, b)
+        lost += not nd.possible(nd.bins_of(a), nd.bins_of(b), len(a), len(b))
+        c = np.sort(np.concatenate((pool[: n // 2], pool[n : 2 * n - n // 2])))
+        if n > 200:
+            n_close += 1
+            kept += nd.possible(nd.bins_of(a), nd.bins_of(c), len(a), len(c))
+    assert lost <= 1 and kept < 0.01 * n_close
+
+
 def test_odd_rows(spark):
     rows = list(enumerate(ODD_TEXTS)) + [(6, ODD_TEXTS[6]), (None, ODD_TEXTS[6]), (None, None)]
     rows += [(20, "Three Short words"), (21, "three\tshort  WORDS"), (22, "Ärger a b c d e"), (23, "ärger a b c d e")]

@@ -22,7 +22,8 @@ from rankdrift.functions.signatures import EMPTY, signature_similarity
 from rankdrift.operators.exact import check_two_sets, checked_groups
 from rankdrift.schema import RANK_COLUMNS, RankColumns
 
-K = 100
+# With the date and the group this stays below 100 columns, beyond which Spark gives up generated code by default.
+K = 96
 
 
 def _minima(rows: DataFrame, hashes: Sequence[str], cols: RankColumns) -> DataFrame:
@@ -97,8 +98,10 @@ def compat_signatures(
 
     The usual modulus is the first prime from ``distinct_elements(df)`` on.
     """
-    text = element_text(cols.element, separator="")
-    seeds = df.select(cols.date, cols.group, string_hash32(text).alias("_seed"))
+    # The string hash is slow, so each element is hashed once.
+    text = element_text(cols.element, separator="").alias("_text")
+    elements = df.select(cols.date, cols.group, text).distinct()
+    seeds = elements.select(cols.date, cols.group, string_hash32(F.col("_text")).alias("_seed"))
     return _minima(seeds, [compat_hash("_seed", a, b, modulus) for a, b in pairs], cols)
 
 

@@ -8,13 +8,13 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Spark gives up whole-stage code generation beyond this many columns. A
-# signature has one column per hash function, 100 by default.
+# Spark gives up whole-stage code generation beyond a number of columns, 100 by
+# default. Signatures of more than 97 hash functions have more.
 MAX_FIELDS = 512
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Let signature aggregations run as generated code (about twice as fast)."""
+    """Let aggregations of long signatures run as generated code (about twice as fast)."""
     if int(spark.conf.get("spark.sql.codegen.maxFields")) < MAX_FIELDS:
         spark.conf.set("spark.sql.codegen.maxFields", MAX_FIELDS)
     return spark

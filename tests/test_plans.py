@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from fixtures import edge_facts
 from rankdrift.operators import cleaning, exact, minhash, top_spot, urls
-from rankdrift.session import tune
 from rankdrift.sources import rank_table, signature_table
 
 
@@ -87,7 +86,6 @@ def test_one_day_of_signatures_prunes_partitions(spark, table, tmp_path):
 
 
 def test_signature_aggregation_is_generated_code(spark, table):
-    tune(spark)
     df = minhash.minhash_signatures(table)
     df.collect()
     text = plan(df)

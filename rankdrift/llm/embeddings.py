@@ -206,3 +206,18 @@ def embedding_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col:
 
 def op10_itq_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+#: For small tables: all pairs of vectors.
+OP10_SQL = """
+WITH RECURSIVE good AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE len(embedding) > 0 AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+    AND list_bool_or(list_transform(embedding, lambda x: x <> 0))),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.9),
+reached AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b)
+SELECT e.vec_id, coalesce(n_links, 0) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e LEFT JOIN (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a) USING (vec_id)
+JOIN (SELECT a AS vec_id, min(b) AS component_id FROM reached GROUP BY a) c USING (vec_id)"""

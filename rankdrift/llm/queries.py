@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rankdrift.llm.chat import OP6_SQL, op6_chat_format
 from rankdrift.llm.decontamination import op4_pigeonhole_edits
-from rankdrift.llm.embeddings import op10_itq_hamming
+from rankdrift.llm.embeddings import OP10_SQL, op10_itq_hamming
 from rankdrift.llm.language import op2_language_fusion
 from rankdrift.llm.main_text import op5_min_cut_text
-from rankdrift.llm.near_duplicates import op9_minhash_tensored
+from rankdrift.llm.near_duplicates import OP9_SQL, op9_minhash_tensored
 from rankdrift.llm.packing import op7_harmonic_packing
 from rankdrift.llm.pseudonyms import op3_feistel_pseudonyms
 from rankdrift.llm.quality import op8_neighbour_quality
@@ -29,4 +29,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_minhash_tensored": op9_minhash_tensored,
     "op10_itq_hamming": op10_itq_hamming,
 }
-ORACLES: dict[str, str] = {"op6_chat_format": OP6_SQL}
+#: SQL expresses neither tokens, records and bins nor Feistel networks, fits, cuts and edit distances.
+ORACLES: dict[str, str] = {
+    "op6_chat_format": OP6_SQL,
+    "op9_minhash_tensored": OP9_SQL,
+    "op10_itq_hamming": OP10_SQL,
+}

@@ -351,6 +351,9 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "csv_bad_rows": csv_bad_rows,
         "wide_clean": lambda s, d: cleaning.clean_ranks(wide_rank_facts(s, d), ["event_id"]),
         "wide_upsert": lambda s, d: _upserted(s, wide_rank_facts(s, d)),
+        "wide_prev_day_url": lambda s, d: top_spot.prev_day_url(
+            cleaning.clean_ranks(wide_rank_facts(s, d), ["event_id"])
+        ),
         "wide_departures": lambda s, d: top_spot.departure_counts(wide_rank_facts(s, d)),
         "wide_similarity": lambda s, d: exact.exact_similarity(
             wide_rank_facts(s, d), DEVICES, cols=WEEKLY
@@ -701,6 +704,9 @@ compared AS (
         "csv_bad_rows": f"{_RAW} SELECT 1 + count(*) + count(*) FILTER (WHERE event_id % 8 = 4) AS n FROM r WHERE event_id % 8 <= 4",
         "wide_clean": f"WITH {_W}, {_kept('event_id, url', source='w')} SELECT * FROM cl",
         "wide_upsert": f"WITH {_W}, {_kept(_LATEST, source=_UPSERTED.format('w'))} SELECT * FROM cl",
+        "wide_prev_day_url": f"""WITH {_W}, {_kept('event_id, url', source='w')} SELECT {_COLUMNS},
+              CASE WHEN lag(crawl_date) OVER s = crawl_date - 1 THEN lag(url) OVER s END AS prev_url
+            FROM cl WINDOW s AS (PARTITION BY {_LIST}, "rank" ORDER BY crawl_date)""",
         "wide_departures": f"WITH {_W}, {_departures('w')} {left}",
         "wide_similarity": f"WITH {_W} {_two_sets('w', 'crawl_week')}",
         "wide_missing_devices": f"""WITH {_W},

@@ -83,6 +83,7 @@ def run_report(
 ) -> dict[str, DataFrame]:
     """Load a CSV report into the rank table and answer all questions from it.
 
+    A ``table`` that is already there is replaced by the rows of this report.
     Cleaning runs once, when the table is written; every answer then reads only
     the columns and rows it needs. With ``out`` the text report is written too.
     """

@@ -29,6 +29,18 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+#: Bytes in an Arrow batch, so that long texts don't fill a worker.
+MOST_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let the session send at most ``MOST_BYTES`` to Python workers at once; a lower setting stays."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(setting, None)
+    if now is None or not now.rstrip("b").isdigit() or int(now.rstrip("b")) > MOST_BYTES:
+        spark.conf.set(setting, MOST_BYTES)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows of ``df`` as a table in the shared folder: computed once, and safe from lost executors."""
     path = shared_folder(df.sparkSession, name)
@@ -37,9 +49,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """The rows of record batches as tuples, batch by batch."""
+    """The rows of record batches as tuples. Few of them are Python objects at a time."""
     for batch in batches:
-        yield from zip(*(column.to_pylist() for column in batch.columns), strict=True)
+        for at in range(0, batch.num_rows, 256):
+            yield from zip(*(column.to_pylist() for column in batch.slice(at, 256).columns), strict=True)
 
 
 def batches_of(rows: Iterator[tuple], schema: pa.Schema, most: int = 2000, most_bytes: int = 16 << 20) -> Iterator[pa.RecordBatch]:

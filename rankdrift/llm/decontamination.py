@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankdrift.llm.common import table
+from rankdrift.llm.common import small_batches, table
 
 #: Characters of an item for each edit that is allowed; the least length of an item; characters in a block of items.
 PER_ERROR, LEAST, BLOCK = 16, 24, 2_000_000
@@ -127,6 +127,7 @@ class PassageFinder:
 
 def passage_hits(docs_text: Column, items: list[tuple[int, str]], spark: SparkSession) -> Column:
     """The hits of one block of items in a text column: array of (item_id, distance, place)."""
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(items)
 
     @F.pandas_udf(_HITS)

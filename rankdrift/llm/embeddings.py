@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rankdrift.llm.common import components, table, written
+from rankdrift.llm.common import components, small_batches, table, written
 
 LEAST, BITS, TABLES, MOST_FITTED, ROUNDS = 0.9, 64, 4, 10_000, 50
 WIDTH = BITS // TABLES
@@ -146,6 +146,7 @@ def candidates(vectors: DataFrame) -> DataFrame:
 
 def embedding_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", least: float = LEAST) -> DataFrame:
     """A row for each row of ``vectors``: vec_id, n_links, component_id and kept."""
+    small_batches(vectors.sparkSession)
     units = written(unit_vectors(vectors, id_col, vector_col), "units")
     sample = units.orderBy(F.xxhash64("vec_id"), "vec_id").limit(MOST_FITTED).toPandas()
     if len(sample):

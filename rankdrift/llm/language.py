@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rankdrift.llm.common import batches_of, rows_of, table, written
+from rankdrift.llm.common import batches_of, rows_of, small_batches, table, written
 from rankdrift.llm.main_text import extract
 
 #: Buckets of trigrams; languages that are learnt at most (those with the most documents).
@@ -59,6 +59,7 @@ def trigrams(text: str | None) -> np.ndarray:
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> TextModel:
     """The text model of all documents with a language."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).where("lang IS NOT NULL")
     seen = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()
     found = sorted((r.lang, r.n) for r in seen)

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankdrift.llm.common import batches_of, components, rows_of, table, words_of, written
+from rankdrift.llm.common import batches_of, components, rows_of, small_batches, table, words_of, written
 
 SHINGLE = 5
 #: Partial keys in each of the two collections, and minhashes in each of their keys.
@@ -41,7 +41,7 @@ PERCENT = 75
 BINS, DEVIATIONS = 512, 4
 #: Members of a bucket that are paired by a join, and members in a block of a larger one.
 SMALL, BLOCK = 8, 1000
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 _U64 = np.uint64
 
 
@@ -245,6 +245,7 @@ def _packed(keys: Column) -> Column:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """A row for each row of ``docs``: doc_id, n_shingles, component_id and kept."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     sketch = written(rows.mapInArrow(lambda b: batches_of(_sketches(b), _SKETCH, 5000), _SKETCH_DDL), "sketch")
     classes = sketch.where("n > 0 AND doc_id IS NOT NULL").groupBy("fp1", "fp2").agg(F.min("doc_id").alias("rep"))

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rankdrift.llm.common import batches_of, rows_of, table, written
+from rankdrift.llm.common import batches_of, rows_of, small_batches, table, written
 from rankdrift.llm.tokens import END_ID, WordEncoder
 
 CAPACITY, SLACK = 2048, 64
@@ -108,6 +108,7 @@ def pack_documents(
 
     Offsets within a sequence follow from the lengths. ``padded_length`` says how long the sequence is to be.
     """
+    small_batches(docs.sparkSession)
     width = WordEncoder().width
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     first = written(

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankdrift.llm.common import table
+from rankdrift.llm.common import small_batches, table
 
 ROUNDS = 8
 #: Where a session keeps the key. The default is for tests; a production job must set its own.
@@ -291,6 +291,7 @@ def _udf(key: str, back: bool):
 
 def pseudonymised(docs: DataFrame, key: str, text_col: str = "text", count: str | None = None, back: bool = False) -> DataFrame:
     """``docs`` with pseudonyms in its texts; with ``count``, also a column of that name with the number of values."""
+    small_batches(docs.sparkSession)
     found = "_pseudonymised"
     out = docs.withColumn(found, _udf(key, back)(F.col(text_col).cast("string")))
     out = out.withColumn(text_col, F.col(f"{found}.text"))

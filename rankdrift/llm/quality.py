@@ -29,13 +29,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankdrift.llm.common import batches_of, rows_of, table
+from rankdrift.llm.common import batches_of, rows_of, small_batches, table
 
 MOST_LABELLED, DIMENSIONS, NEIGHBOURS = 4096, 64, 15
 #: Buckets for words, word shapes, pairs of shapes, and repetitions and lengths.
 WORDS, SHAPES, PAIRS, HABITS = 256, 256, 512, 32
 TERMS = WORDS + SHAPES + PAIRS + HABITS
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 #: The kind of each byte: letters (those beyond ASCII count as small ones), capitals, digits, and marks as they are.
 _SHAPE = bytes(
     ord("a") if 97 <= b <= 122 or b >= 128 else ord("A") if 65 <= b <= 90 else ord("0") if 48 <= b <= 57 else b
@@ -128,6 +128,7 @@ def held_out(id_col: str) -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = MOST_LABELLED) -> Model:
     """The model of at most ``most`` labelled documents that aren't held out."""
+    small_batches(docs.sparkSession)
     usable = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out("doc_id"))
     first = [F.xxhash64("doc_id"), "doc_id", "label"]
     chosen = usable.select(F.col("doc_id"), F.col(label).cast("double").alias("label")).orderBy(*first).limit(most)
@@ -154,6 +155,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int
 
 def scorer(spark: SparkSession, model: Model):
     """A function from a text column to a column of scores."""
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")

@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rankdrift.llm.common import batches_of, rows_of, shared_folder, table
+from rankdrift.llm.common import batches_of, rows_of, shared_folder, small_batches, table
 from rankdrift.llm.tokens import END_ID, WordEncoder
 
 MASK = 0xA282EAD8
@@ -103,6 +103,7 @@ def write_records(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col
             if out is not None:
                 out.close()
 
+    small_batches(docs.sparkSession)
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"))
     # Each task closes its file before its last index rows are committed, so an index never names an unfinished file.

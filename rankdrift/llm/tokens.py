@@ -15,7 +15,7 @@ from array import array
 END_ID = 1
 VOCABULARY = "word_bpe_49k.json"
 #: Chunks remembered by a worker in each of two generations, and the longest of them in bytes.
-REMEMBERED, LONGEST = 300_000, 40
+REMEMBERED, LONGEST = 200_000, 40
 #: ASCII marks without the apostrophe, which the tokenizer may join to letters.
 MARKS = b".,;:!?%&*$#|()[]{}-+=/<>\"@_~^`"
 

@@ -96,6 +96,7 @@ def components(links: DataFrame) -> DataFrame:
     steps = []
     while not edges.isEmpty():
         one = edges.groupBy("u").agg(F.min("v").alias("least")).select("u", F.least("u", "least").alias("least"))
+        one = written(one, "least")  # so that adaptive execution can split the edges of a hub in the join
         two = edges.join(one.withColumnsRenamed({"u": "v"}), "v").groupBy("u").agg(F.min("least").alias("to"))
         steps.append(step := written(two, "step"))
         moved = (

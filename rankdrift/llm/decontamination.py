@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from rankdrift.llm.common import small_batches, table
 
 #: Characters of an item for each edit that is allowed; the least length of an item; characters in a block of items.
-PER_ERROR, LEAST, BLOCK = 16, 24, 2_000_000
+PER_ERROR, LEAST, BLOCK = 12, 24, 2_000_000
 #: Marks and white space of ASCII become spaces.
 _SPACED = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 _HITS = "array<struct<item_id: bigint, distance: int, place: int>>"

@@ -12,7 +12,8 @@ value is its own pseudonym.
 What is found: card numbers (13 to 19 digits, valid check digit), IBANs (valid check digits), US social security
 numbers, telephone numbers with a country code or in brackets, IPv4 addresses, calendar dates from 1900 to 2099 in
 four notations, the local parts of e-mail addresses, and hexadecimal credentials that are named as such. Other numbers
-are left alone, so a text without such values comes back as it was.
+are left alone, so a text without such values comes back as it was. An international number ends where its country's
+plan has it end or, without one, where another style of number follows. What fails its check is searched from inside.
 
 Defined cases: a null text stays null and an empty one empty; both hold no value. Rows with a null id and repeated rows
 are treated like all others. Whole texts are searched. Other columns pass through unread.
@@ -131,6 +132,46 @@ def _ssn(value: str, swap: Swap) -> str | None:
     return f"{areas[n // 99]:03d}-{n % 99 + 1:02d}-{serial + 1:04d}"
 
 
+#: Digits after a country code, where the numbering plan fixes them.
+_PLANS = {"1": (10,), "7": (10,), "20": (8, 9, 10), "27": (9,), "30": (10,), "31": (9,), "32": (8, 9), "33": (9,), "34": (9,), "36": (8, 9)}
+_PLANS |= {"40": (9,), "41": (9,), "44": (9, 10), "45": (8,), "46": (7, 8, 9), "47": (8,), "48": (9,), "49": (7, 8, 9, 10, 11)}
+_PLANS |= {"51": (8, 9), "52": (10,), "54": (10, 11), "55": (10, 11), "56": (9,), "57": (10,), "61": (9,), "65": (8,), "81": (9, 10)}
+_PLANS |= {"86": (10, 11), "90": (10,), "91": (10,), "351": (9,), "353": (7, 8, 9), "380": (9,), "420": (9,), "421": (9,)}
+#: What a number in blocks parted by spaces doesn't go on with: other marks, or the form of a card number.
+_NEW_STYLE = re.compile(r" (?:\d+[.,/:-]\d|\d{13}|\d{4} \d{4} \d{4} \d|\d{4} \d{6} \d{5}(?!\d))")
+_PHONE_PART = re.compile(r"([ .-]?)(\(\d{1,4}\)|\d+)")
+
+
+def _phone_end(text: str, start: int) -> int | None:
+    """Where the international number at ``start`` ends. Digits count, but not which they are, so a pseudonym ends there too."""
+    code = re.compile(r"\+(\d{1,3})(?=\D)").match(text, start)
+    at, n, bracket, marks = code.end() if code else start + 1, 0, 0, set()
+    ends, inner = [], []
+    while n <= 14 and (part := _PHONE_PART.match(text, at)):
+        mark, run = part[1], _digits(part[2])
+        if part[2][0] == "(":
+            if n or bracket or not code:
+                break
+            bracket = len(run)
+        elif len(run) < 2:
+            break
+        elif n > bracket:
+            marks.add(mark)
+        n, at = n + len(run), part.end()
+        if not 7 <= n <= 14 or re.compile(r"\w|-\d").match(text, at):
+            continue
+        following = _PHONE_PART.match(text, at)
+        (inner if following and following[1] == "." and len(_digits(following[2])) > 1 else ends).append((n, at, marks - {" "}))
+    plan = _PLANS.get(code[1], ()) if code else ()
+    ends = ends or inner[-1:]
+    # A single digit in brackets may be a trunk prefix, which is no part of the number.
+    ends = [e for e in ends if e[0] in plan or bracket == 1 and e[0] - 1 in plan] or ends
+    for _, at, other_marks in ends:
+        if other_marks or _NEW_STYLE.match(text, at):
+            return at
+    return ends[-1][1] if ends else None
+
+
 def _phone(value: str, swap: Swap) -> str | None:
     code = re.match(r"\+\d{1,3}(?=[^\d])", value)
     rest = value[code.end() :] if code else value
@@ -224,7 +265,8 @@ KINDS = {
         _card,
     ),
     "phone": (
-        r"(?<![\w+])(?:\+\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{2,4}){2,5}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}-\d{3}-\d{4})(?!\w|-\d)",
+        # An international number ends at _phone_end.
+        r"(?<![\w+])(?:\+\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{2,4}){2}|(?:\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}-\d{3}-\d{4})(?!\w|-\d))",
         _phone,
     ),
 }
@@ -244,35 +286,64 @@ def _pattern() -> re.Pattern:
 
 
 _FORMS, _HINT = _pattern(), re.compile(r"[0-9@]")
+_FORM = {name: re.compile(form) for name, (form, _) in KINDS.items()}
+
+
+def _found_at(kind: str, text: str, start: int) -> str | None:
+    """The value of a form at a place, checked or not."""
+    match = _FORM[kind].match(text, start)
+    if match and kind == "phone" and text[start] == "+":
+        end = _phone_end(text, start)
+        return text[start:end] if end else None
+    return match[0] if match else None
 
 
 class Pseudonymiser:
     def __init__(self, key: str):
         self._swap, self._known = Feistel(key).swap, {}
 
-    def _replaced(self, match: re.Match, back: bool) -> str:
-        kind, value = match.lastgroup, match[0]
-        kind = next(k for k in _GROUPS if match[k] is not None)
+    def _swapped(self, kind: str, value: str, back: bool) -> str | None:
         if (kind, value, back) not in self._known:
             if len(self._known) >= 100_000:
                 self._known.clear()
             new = KINDS[kind][1](value, lambda name, size, x: self._swap(name, size, x, back))
-            self._known[kind, value, back] = value if new is None else new
+            self._known[kind, value, back] = new
         return self._known[kind, value, back]
 
+    def _passes(self, kind: str, text: str, start: int) -> bool:
+        value = _found_at(kind, text, start)
+        return value is not None and self._swapped(kind, value, False) is not None
+
     def replace(self, text: str | None, back: bool = False) -> tuple[str | None, int]:
         """The text with pseudonyms for its values, and how many were replaced."""
         if not text or not _HINT.search(text):
             return text, 0
-        replaced = 0
-
-        def new(match: re.Match) -> str:
-            nonlocal replaced
-            value = self._replaced(match, back)
-            replaced += value != match[0]
-            return value
-
-        return _FORMS.sub(new, text), replaced
+        out, done, at, replaced = [], 0, 0, 0
+        failed: list[tuple[str, int, int]] = []  # forms whose check failed, which are searched from inside
+        while match := _FORMS.search(text, at):
+            start = match.start()
+            first = next(k for k, kind in enumerate(_GROUPS) if match[kind] is not None)
+            failed = [f for f in failed if f[2] > start]
+            for kind in _GROUPS[first:]:
+                if (value := _found_at(kind, text, start)) is None:
+                    continue
+                if (new := self._swapped(kind, value, back)) is not None:
+                    break
+                failed.append((kind, start, start + len(value)))
+            else:
+                at = start + 1
+                continue
+            end = start + len(value)
+            if failed:
+                # What failed must fail with the pseudonym too, or the value couldn't be found again.
+                low = min(f[1] for f in failed)
+                tail = text[end : end + 60]
+                while any(self._passes(k, text[max(0, low - 1) : start] + new + tail, s - max(0, low - 1)) for k, s, _ in failed):
+                    new = self._swapped(kind, new, back)
+            out += text[done:start], new
+            replaced += new != value
+            at = done = end
+        return "".join([*out, text[done:]]), replaced
 
 
 def key_of(spark: SparkSession) -> str:

@@ -55,6 +55,39 @@ def test_permutations(size):
     assert all(x != y and f.swap("kind", size, y, back=True) == x for x, y in enumerate(images))
 
 
+PHONES = ["+1 (826) 555-4081", "+1 826 555 4081", "+1 212 555-0147", "+44 20 7946 0958", "+33 612 345 678", "+49 30 1234567"]
+AFTER_PHONES = ["190.137.223.204", "1.2.3.4", "2024", "4111 1111 1111 1111", "4111111111111111", "2024-02-29", "+1 (843) 555-7672"]
+
+
+@pytest.mark.parametrize("phone", PHONES)
+@pytest.mark.parametrize("after", AFTER_PHONES)
+def test_a_phone_number_ends_before_another_number(phone, after):
+    p = ps.Pseudonymiser("key")
+    alone = p.replace(phone)[0]
+    text, n = p.replace(f"{phone} {after}.")
+    assert alone != phone and text == f"{alone} {p.replace(after)[0]}."
+    assert n == (1 if after == "2024" else 2)
+    assert p.replace(text, back=True)[0] == f"{phone} {after}."
+
+
+def test_what_fails_its_check_is_searched_inside():
+    p = ps.Pseudonymiser("key")
+    for before in range(1000, 1200):
+        text = f"Order {before} 4111 1111 1111 1111 and +1 22 33 10.20.30.40"
+        new, n = p.replace(text)
+        assert n >= 2 and "4111 1111 1111 1111" not in new and "10.20.30.40" not in new
+        assert p.replace(new, back=True)[0] == text
+
+
+def test_numbers_in_mixed_styles_stay_whole():
+    p = ps.Pseudonymiser("key")
+    for phone in ("+44 (0)20 7946 0958", "+49 30 123-4567", "+1.212.555.0147", "+12125550147", "+1212 5550147", "+380 44 123 45-67"):
+        new, n = p.replace(f"Call {phone}, please.")
+        assert ps._found_at("phone", f"Call {phone}, please.", 5) == phone
+        assert n == 1 and re.sub(r"\d", "0", new) == re.sub(r"\d", "0", f"Call {phone}, please.")
+        assert p.replace(new, back=True)[0] == f"Call {phone}, please."
+
+
 def test_round_trip_of_random_texts():
     pick, p = random.Random(4), ps.Pseudonymiser("key")
     for _ in range(300):

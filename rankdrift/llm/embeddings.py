@@ -12,8 +12,12 @@ that meet, so by codes of which a substring differs in two bits at most, are can
 of their leaders in double precision. With the clusters' radii it says that all, none or some of the members are
 linked; only in the last case are members compared, vector by vector. No pair below the least cosine is linked.
 
-At a cosine of 0.9, the lowest that links, the tables find about 97 of 100 pairs by calculation, if bits differ
-independently; ``tests/llm/test_embeddings.py`` measures recall against brute force.
+Codes are signs of the vectors less their mean, so that bits are balanced; links are by the cosine of the vectors
+themselves. The sample says how far apart a pair at the lowest cosine that links lies after centring (its distance is the
+same, its norm is smaller). From that angle follow the least distance of codes that rules a pair out, and how many
+rotations, of ``TABLES`` tables each, find ``LEAST_FOUND`` of such pairs, if bits differ independently: one for vectors
+without a common mean, more the larger it is. If ``MOST_ROTATIONS`` aren't enough, all pairs of clusters are compared.
+``tests/llm/test_embeddings.py`` measures recall against brute force, with and without a common mean.
 
 Defined cases: vectors that are null, zero, of another than the most common length, or with null or non-finite
 components link with nothing. Rows with the same id count as one vector and are returned as often as they come. A null id
@@ -23,7 +27,7 @@ gets a null component and is kept. Other columns are not read. An empty table gi
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import acos, cos
+from math import acos, comb, cos
 
 import numpy as np
 import pandas as pd
@@ -35,8 +39,10 @@ from rankdrift.llm.common import components, small_batches, table, written
 
 LEAST, BITS, TABLES, MOST_FITTED, ROUNDS = 0.9, 64, 4, 10_000, 50
 WIDTH = BITS // TABLES
-#: Bits by which the codes of a linked pair may differ: at a cosine of 0.9 it is 9 on average, and above 20 in 1 of 10,000.
-RADIUS = 20
+#: Share of the pairs at the least cosine that the tables shall find; rotations at most, beyond which all pairs are compared.
+LEAST_FOUND, MOST_ROTATIONS = 0.96, 12
+#: Share of the pairs at the least cosine that the distance of whole codes may rule out.
+RULED_OUT = 1e-4
 #: Slack for rounding of angles.
 TINY = 1e-7
 
@@ -62,6 +68,25 @@ def fit_codes(sample: np.ndarray, bits: int = BITS, rounds: int = ROUNDS, seed:
     return mean, np.concatenate(columns, axis=1)
 
 
+def _at_most(differ: np.ndarray, n: int, most: int) -> np.ndarray:
+    """The probability that ``most`` of ``n`` bits differ at most, if each does with ``differ``."""
+    return sum(comb(n, k) * differ**k * (1 - differ) ** (n - k) for k in range(most + 1))
+
+
+def needed(sample: np.ndarray, mean: np.ndarray, least: float) -> tuple[int | None, int]:
+    """Rotations that find ``LEAST_FOUND`` of the pairs at the cosine ``least`` (none if it takes too many), and the radius of codes."""
+    if not len(sample):
+        return 1, BITS
+    around = np.maximum(((sample - mean) ** 2).sum(axis=1), 1e-300)
+    differ = np.arccos(np.clip(1 - (1 - least) / around, -1, 1)) / np.pi
+    # Vectors near the mean are the hardest; the radius is theirs.
+    hardest = np.quantile(differ, 0.99, method="higher")
+    radius = next(k for k in range(BITS + 1) if k == BITS or 1 - _at_most(hardest, BITS, k) <= RULED_OUT)
+    missed = (1 - _at_most(differ, WIDTH, 2)) ** TABLES
+    enough = (n for n in range(1, MOST_ROTATIONS + 1) if 1 - (missed**n).mean() >= LEAST_FOUND)
+    return next(enough, None), radius
+
+
 def unit_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """vec_id and unit (array<double>) of the vectors that can link, one for each id."""
     values = F.col(vector_col).cast("array<double>")
@@ -81,13 +106,17 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()) if len(column) else np.zeros((0, 1))
 
 
-def _coder(mean: np.ndarray, projection: np.ndarray):
+def _coder(mean: np.ndarray, projections: list[np.ndarray]):
+    """The codes of a vector, one for each projection."""
+    projection = np.concatenate(projections, axis=1)
+
     def code(units: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for column in units:
-            bits = (_matrix(column) - mean) @ projection > 0 if len(column) else np.zeros((0, BITS), bool)
-            yield pd.Series(np.packbits(bits, axis=1).view(">i8").ravel().astype("i8"))
+            bits = (_matrix(column) - mean) @ projection > 0 if len(column) else np.zeros((0, projection.shape[1]), bool)
+            codes = np.packbits(bits, axis=1).view(">i8").astype("i8")
+            yield pd.Series(list(codes), dtype=object)
 
-    return F.pandas_udf(code, T.LongType())
+    return F.pandas_udf(code, T.ArrayType(T.LongType()))
 
 
 def _cosine(a: Column | str, b: Column | str) -> Column:
@@ -132,34 +161,49 @@ def clusters(vectors: DataFrame, tight: float, rounds: int = 2) -> DataFrame:
     return alone
 
 
-def candidates(vectors: DataFrame) -> DataFrame:
-    """Pairs of clusters (a < b) that meet in a Hamming table; ``vectors`` has code and cluster."""
+def candidates(vectors: DataFrame, rotations: int, radius: int) -> DataFrame:
+    """Pairs of clusters (a < b) that meet in a Hamming table; ``vectors`` has codes, one for each rotation, and cluster."""
     flips = [0, *(1 << bit for bit in range(WIDTH))]
+    filed = vectors.select("cluster", F.posexplode("codes").alias("rotation", "code")) if rotations > 1 else vectors.select(
+        "cluster", F.lit(0).alias("rotation"), F.col("codes")[0].alias("code")
+    )
     keys = F.array(*(_substring(F.col("code"), k).bitwiseXOR(F.lit(flip)) for k in range(TABLES) for flip in flips))
-    filed = vectors.select("cluster", "code", F.explode(keys).alias("key"))
+    keys = F.transform(keys, lambda key: key + F.col("rotation") * F.lit(TABLES << WIDTH))
+    filed = filed.select("cluster", "code", F.explode(keys).alias("key"))
     # A cluster once for each key. Where several of its codes meet, they can't rule out a pair.
     filed = filed.groupBy("key", "cluster").agg(F.min("code").alias("code"), F.max("code").alias("other"))
     filed = filed.select("key", "cluster", F.when(F.col("code") == F.col("other"), F.col("code")).alias("code"))
     a, b = (filed.select("key", F.col("cluster").alias(s), F.col("code").alias(f"code_{s}")) for s in "ab")
-    near = F.coalesce(F.bit_count(F.col("code_a").bitwiseXOR(F.col("code_b"))) <= RADIUS, F.lit(True))
+    near = F.coalesce(F.bit_count(F.col("code_a").bitwiseXOR(F.col("code_b"))) <= radius, F.lit(True))
     return a.join(b, "key").where((F.col("a") < F.col("b")) & near).select("a", "b").distinct()
 
 
+def all_pairs(vectors: DataFrame) -> DataFrame:
+    """All pairs of clusters (a < b)."""
+    ids = vectors.select("cluster").distinct()
+    a, b = (ids.select(F.col("cluster").alias(s)) for s in "ab")
+    return a.join(b, F.col("a") < F.col("b"))
+
+
 def embedding_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", least: float = LEAST) -> DataFrame:
     """A row for each row of ``vectors``: vec_id, n_links, component_id and kept."""
     small_batches(vectors.sparkSession)
     units = written(unit_vectors(vectors, id_col, vector_col), "units")
     sample = units.orderBy(F.xxhash64("vec_id"), "vec_id").limit(MOST_FITTED).toPandas()
+    rotations, radius = 1, BITS
     if len(sample):
-        coded = units.withColumn("code", _coder(*fit_codes(_matrix(sample["unit"])))("unit"))
+        fitted = _matrix(sample["unit"])
+        rotations, radius = needed(fitted, fitted.mean(axis=0), least)
+        fits = [fit_codes(fitted, seed=5 + k) for k in range(rotations or 1)]
+        coded = units.withColumn("codes", _coder(fits[0][0], [projection for _, projection in fits])("unit"))
     else:
-        coded = units.withColumn("code", F.lit(0).cast("long"))
-    coded = written(coded, "coded")
+        coded = units.withColumn("codes", F.array(F.lit(0).cast("long")))
+    coded = written(coded.withColumn("code", F.col("codes")[0]), "coded")
 
     angle = acos(least)
     member = written(clusters(coded, cos((angle - TINY) / 2)), "clusters")
     size = written(member.groupBy("cluster").agg(F.count("*").alias("n"), F.min("cosine").alias("cosine")), "sizes")
-    pairs = candidates(coded.join(member.select("vec_id", "cluster"), "vec_id"))
+    pairs = candidates(coded.join(member.select("vec_id", "cluster"), "vec_id"), rotations, radius) if rotations else all_pairs(member)
 
     # Leaders compared; with the radii, what that says of all members.
     for side in "ab":

@@ -1,5 +1,6 @@
 import duckdb
 import numpy as np
+import pytest
 
 from rankdrift.llm import embeddings as em
 
@@ -71,6 +72,24 @@ def test_clusters_linked_in_part(spark):
     assert any(0 < want[i][0] < 59 for i in range(60))
 
 
+@pytest.mark.parametrize("share", [0.5, 0.7, 0.85, 0.95])
+def test_vectors_with_a_common_mean(spark, share):
+    """Pairs between 0.9 and 0.92 on vectors whose mean has that share of the squared norm: at least 0.9 of all links."""
+    draw = np.random.default_rng(6)
+    mean = draw.standard_normal(64)
+    mean *= np.sqrt(share) / np.linalg.norm(mean)
+    vectors = []
+    for _ in range(400):
+        rest = draw.standard_normal(64)
+        vectors.append(mean + np.sqrt(1 - share) * rest / np.linalg.norm(rest))
+    for k in range(200):
+        vectors.append(near(draw, vectors[k], draw.uniform(0.9, 0.92)))
+    rows = [(k, [float(np.float32(x)) for x in v]) for k, v in enumerate(vectors)]
+    want, got = brute(rows), result(spark, rows)
+    assert all(got[i][0] <= want[i][0] for i in want)
+    assert sum(n for n, _ in got.values()) >= 0.9 * sum(n for n, _ in want.values())
+
+
 def test_query(spark):
     sf = "/root/testdata/sf0.01"
     rows = duckdb.sql(f"SELECT vec_id, embedding FROM '{sf}/embeddings.parquet'").fetchall()

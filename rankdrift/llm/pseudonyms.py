@@ -11,7 +11,7 @@ value is its own pseudonym.
 
 What is found: card numbers (13 to 19 digits, valid check digit), IBANs (valid check digits), US social security
 numbers, telephone numbers with a country code or in brackets, IPv4 addresses, calendar dates from 1900 to 2099 in
-four notations, the local parts of e-mail addresses, and hexadecimal credentials that are named as such. Other numbers
+four notations (with slashes month first, or day first where the first number is no month), also with fields of one digit, the local parts of e-mail addresses, and hexadecimal credentials that are named as such. Other numbers
 are left alone, so a text without such values comes back as it was. An international number ends where its country's
 plan has it end or, without one, where another style of number follows. What fails its check is searched from inside.
 
@@ -23,8 +23,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from datetime import date, timedelta
+from functools import lru_cache
 from math import isqrt
 
 import pandas as pd
@@ -193,23 +195,38 @@ def _ipv4(value: str, swap: Swap) -> str | None:
 _FIRST, _DAYS = date(1900, 1, 1), (date(2100, 1, 1) - date(1900, 1, 1)).days
 
 
+@lru_cache(None)
+def _days_of(days: range, months: range) -> list[int]:
+    """The days since the first one of which day and month are in these ranges."""
+    dates = (_FIRST + timedelta(n) for n in range(_DAYS))
+    return [n for n, d in enumerate(dates) if d.day in days and d.month in months]
+
+
 def _date(value: str, swap: Swap) -> str | None:
     a, mark, b, c = re.match(r"(\d+)([-/.])(\d+)[-/.](\d+)", value).groups()
     year_first = len(a) == 4
-    year, x, y = (int(a), int(b), int(c)) if year_first else (int(c), int(a), int(b))
-    # With slashes the month comes first, as in the US; with dots, the day.
-    month, day = (x, y) if year_first or mark != "." else (y, x)
+    year, x, y = (a, b, c) if year_first else (c, a, b)
+    # With slashes the month comes first, as in the US, unless there is no such month; with dots, the day.
+    swapped = not year_first and mark == "/" and int(x) > 12
+    month, day = (x, y) if (year_first or mark != ".") and not swapped else (y, x)
     try:
-        n = (date(year, month, day) - _FIRST).days
+        n = (date(int(year), int(month), int(day)) - _FIRST).days
     except ValueError:
         return None
     if not 0 <= n < _DAYS:
         return None
-    new = _FIRST + timedelta(swap("date", _DAYS, n))
+    # Fields of one digit, and days that must come first, are formats of their own.
+    widths, first = (len(month), len(day)), 13 if swapped else 1
+    if widths == (2, 2) and not swapped:
+        new = _FIRST + timedelta(swap("date", _DAYS, n))
+    else:
+        days = _days_of(range(first, 32 if widths[1] == 2 else 10), range(1, 13 if widths[0] == 2 else 10))
+        new = _FIRST + timedelta(days[swap(f"date{widths}{first}", len(days), bisect_left(days, n))])
+    month, day = f"{new.month:0{widths[0]}d}", f"{new.day:0{widths[1]}d}"
     if year_first:
-        return f"{new.year}{mark}{new.month:02d}{mark}{new.day:02d}"
-    x, y = (new.month, new.day) if mark != "." else (new.day, new.month)
-    return f"{x:02d}{mark}{y:02d}{mark}{new.year}"
+        return f"{new.year}{mark}{month}{mark}{day}"
+    x, y = (month, day) if mark != "." and not swapped else (day, month)
+    return f"{x}{mark}{y}{mark}{new.year}"
 
 
 #: Letters that are permuted among themselves: digits, a to z, and the small letters of Latin-1 that have capitals there.
@@ -255,7 +272,7 @@ KINDS = {
     ),
     "iban": (r"\b[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)\b", _iban),
     "date": (
-        r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\w/-]|\.\d)",
+        r"(?<![\w./-])(?:\d{4}([-/])\d{1,2}\1\d{1,2}|\d{1,2}([/.])\d{1,2}\2\d{4})(?=T\d{2}|(?![\w/-]|\.\d))",
         _date,
     ),
     "ssn": (r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])", _ssn),

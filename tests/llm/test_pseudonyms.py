@@ -88,6 +88,26 @@ def test_numbers_in_mixed_styles_stay_whole():
         assert p.replace(new, back=True)[0] == f"Call {phone}, please."
 
 
+@pytest.mark.parametrize("value", ["25/12/1980", "31/1/2001", "5/3/1980", "5/13/1980", "5.3.1980", "31.1.2001", "2021-3-4", "2021/12/4"])
+def test_dates_day_first_and_of_one_digit(value):
+    p = ps.Pseudonymiser("key")
+    new, n = p.replace(f"Le {value}, oui.")
+    assert n == 1 and re.sub(r"\d", "0", new) == re.sub(r"\d", "0", f"Le {value}, oui.")
+    assert p.replace(new, back=True) == (f"Le {value}, oui.", 1)
+
+
+def test_dates_before_a_time():
+    new, n = ps.Pseudonymiser("key").replace("2021-03-04T10:00:00Z")
+    assert n == 1 and new == ps.Pseudonymiser("key").replace("2021-03-04")[0] + "T10:00:00Z"
+
+
+def test_days_first_are_permuted_among_themselves():
+    p = ps.Pseudonymiser("key")
+    dates = [f"{d}/{m:02d}/{y}" for d in range(13, 29) for m in range(1, 13) for y in range(1990, 2000)]
+    new = [p.replace(d)[0] for d in dates]
+    assert len(set(new)) == len(dates) and all(int(d[:2]) > 12 for d in new)
+
+
 def test_round_trip_of_random_texts():
     pick, p = random.Random(4), ps.Pseudonymiser("key")
     for _ in range(300):

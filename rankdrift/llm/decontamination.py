@@ -6,16 +6,21 @@ k edits holds at least one piece unchanged. One automaton finds all pieces of al
 around each piece found, Myers' bit-parallel algorithm gives the least edit distance of the whole item to any stretch
 of the text, and a distance of at most k is a hit.
 
+Items of fewer than ``LEAST`` characters after normalisation are searched without edits and as whole words; a script that is
+written without spaces needs none around it.
+
 Items are searched in blocks of about ``BLOCK`` characters, and only one block at a time is sent to the workers, so the
 size of what is sent is bounded however many items there are.
 
-Defined cases: a null or empty text holds no passage. Items of fewer than ``LEAST`` characters after normalisation
-say too little and are never found; so are null items. A null id is kept. Repeated rows give the same hits each.
+Defined cases: a null or empty text holds no passage. Null items and those of marks and white space alone are never found.
+Null ids, of documents and of items, are kept. Repeated rows give the same hits each.
 An item that occurs several times in a text is one hit, with its least distance and the first place of that.
 """
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections.abc import Iterator
 
 import ahocorasick
@@ -25,10 +30,12 @@ from pyspark.sql import functions as F
 
 from rankdrift.llm.common import small_batches, table
 
-#: Characters of an item for each edit that is allowed; the least length of an item; characters in a block of items.
+#: Characters of an item for each edit that is allowed; the least length of an item with edits; characters in a block of items.
 PER_ERROR, LEAST, BLOCK = 12, 24, 2_000_000
 #: Marks and white space of ASCII become spaces.
 _SPACED = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
+#: Letters of scripts that are written without spaces: Thai, Lao, Burmese, Khmer, kana and Han.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 _HITS = "array<struct<item_id: bigint, distance: int, place: int>>"
 
 
@@ -37,7 +44,13 @@ def normalised(text: str | None) -> str:
 
 
 def budget(item: str) -> int:
-    return len(item) // PER_ERROR
+    return len(item) // PER_ERROR if len(item) >= LEAST else 0
+
+
+def _inside_word(text: str, at: int) -> bool:
+    """Whether a word goes on across this place."""
+    around = text[at - 1 : at + 1] if at else ""
+    return len(around) == 2 and all((c.isalnum() or unicodedata.category(c)[0] == "M") and not _UNSPACED.match(c) for c in around)
 
 
 def pieces(item: str, errors: int) -> list[tuple[int, str]]:
@@ -86,7 +99,7 @@ class PassageFinder:
         found: dict[str, list[tuple[int, int]]] = {}
         for item_id, text in items:
             item = normalised(text)
-            if len(item) < LEAST:
+            if not item:
                 continue
             self._items.append((item_id, item, budget(item)))
             for offset, piece in pieces(item, budget(item)):
@@ -113,7 +126,11 @@ class PassageFinder:
                     continue  # it can't get better, and starts are tried from left to right
                 low = max(0, start - errors)
                 window = text[low : start + len(item) + errors]
-                if window[start - low :].startswith(item):
+                if len(item) < LEAST:
+                    if _inside_word(text, start) or _inside_word(text, start + len(item)):
+                        continue
+                    hit = 0, start + len(item)
+                elif window[start - low :].startswith(item):
                     hit = 0, start + len(item)
                 else:
                     if (matcher := self._matchers.get(number)) is None:
@@ -122,7 +139,7 @@ class PassageFinder:
                     hit = distance, low + stop
                 if hit[0] <= errors:
                     hits[number] = min(hits.get(number, hit), hit)
-        return sorted((self._items[n][0], *hit) for n, hit in hits.items())
+        return sorted(((self._items[n][0], *hit) for n, hit in hits.items()), key=lambda h: (h[0] is None, h[0] or 0, *h[1:]))
 
 
 def passage_hits(docs_text: Column, items: list[tuple[int, str]], spark: SparkSession) -> Column:
@@ -143,11 +160,11 @@ def passage_hits(docs_text: Column, items: list[tuple[int, str]], spark: SparkSe
 
 def item_blocks(benchmark: DataFrame, block: int = BLOCK) -> Iterator[list[tuple[int, str]]]:
     """The benchmark's items in blocks of about ``block`` characters, one block at a time."""
-    items = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", "text")
+    items = benchmark.where("text IS NOT NULL").select("item_id", "text")
     size = items.agg(F.sum(F.length("text")).alias("n")).first().n or 0
     n_blocks = -(-size // block)
     for k in range(n_blocks):
-        rows = items.where(F.pmod(F.xxhash64("item_id"), F.lit(n_blocks)) == k).collect()
+        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == k).collect()
         yield [tuple(r) for r in rows]
 
 

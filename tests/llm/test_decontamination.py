@@ -54,6 +54,24 @@ def test_finder_against_comparing_with_all_items():
         assert n > dc.budget(dc.normalised(item)) or item_id in [h[0] for h in got]
 
 
+def test_short_items_are_found_as_whole_words():
+    finder = dc.PassageFinder([(1, "Who am I?"), (2, "日本の首都はどこですか。"), (3, "?!"), (None, "Null id"), (4, "été"), (None, "a null id of more than 24 characters")])
+    found = lambda text: [i for i, *_ in finder.find(text)]
+    assert found("So, who AM i -- really?") == [1]
+    assert found("who am in") == [] == found("swho am i") == found("who am me") == found("étés ?!")
+    assert found("問:日本の首都はどこですか。東京") == [2] and found("en été.") == [4]
+    assert found("a null id, who am I") == [1, None]
+    assert finder.find("who am in, who am i") == [(1, 0, 18)]
+
+
+def test_short_items_and_null_ids_leave_the_documents(spark):
+    docs = spark.createDataFrame([(1, "Tell me: who am I?"), (2, "who am in"), (3, "it has a passage of an item without an id"), (4, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "Who am I?"), (None, "a passage of an item without an id"), (None, None)], "item_id long, text string")
+    for block in (5, 1_000_000):
+        assert sorted(r.doc_id for r in dc.without_benchmark(docs, items, block).collect()) == [2, 4]
+        assert sorted(tuple(r)[:2] for r in dc.contaminated(docs, items, block).collect()) == [(1, 1), (3, None)]
+
+
 def test_query_finds_all_verbatim_passages(spark):
     sf = "/root/testdata/sf0.01"
     got = {(r.doc_id, r.item_id): r.distance for r in dc.op4_pigeonhole_edits(spark, sf).collect()}

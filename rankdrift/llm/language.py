@@ -1,7 +1,7 @@
 """Language by Bayesian fusion of a text's likelihood with what its markup, address and host say.
 
 Text: a naive Bayes model over hashed byte trigrams, learnt from documents whose language is given, with one grouped
-sum over languages and buckets. Its log likelihoods are tempered (``TEMPER``), as neighbouring trigrams share bytes.
+sum over languages and buckets. Every language that occurs is learnt; each takes 64 KB of the driver and of each worker. Its log likelihoods are tempered (``TEMPER``), as neighbouring trigrams share bytes.
 
 Further evidence is learnt from the table at hand by grouped sums of the text's posteriors, so no list of hosts or country
 codes is needed: how often each language's texts declare a language in their markup, how often they have an address
@@ -30,8 +30,8 @@ from pyspark.sql import types as T
 from rankdrift.llm.common import batches_of, rows_of, small_batches, table, written
 from rankdrift.llm.main_text import extract
 
-#: Buckets of trigrams; languages that are learnt at most (those with the most documents).
-BUCKETS, MOST_LANGUAGES = 8192, 100
+#: Buckets of trigrams.
+BUCKETS = 8192
 #: Exponent of the text's likelihood, weight of the smoothing of trigrams, hosts, and declarations and suffixes.
 TEMPER, ALPHA, KAPPA, BETA = 1 / 3, 0.5, 5.0, 1.0
 _BLOCK = 1 << 20
@@ -61,8 +61,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Te
     """The text model of all documents with a language."""
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).where("lang IS NOT NULL")
-    seen = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()
-    found = sorted((r.lang, r.n) for r in seen)
+    found = sorted((r.lang, r.n) for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect())
     languages = [lang for lang, _ in found]
     schema = pa.schema([("lang", pa.string()), ("bucket", pa.int32()), ("n", pa.int64())])
 
@@ -74,12 +73,11 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Te
             for bucket in np.flatnonzero(counts):
                 yield lang, int(bucket), int(counts[bucket])
 
-    known = rows.where(F.col("lang").isin(languages))
-    sums = known.mapInArrow(lambda b: batches_of(counted(b), schema, 20_000), "lang string, bucket int, n long")
-    sums = sums.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect()  # MOST_LANGUAGES x BUCKETS at most
-    counts = np.zeros((len(languages), BUCKETS))
-    for r in sums:
-        counts[languages.index(r.lang), r.bucket] = r.n
+    sums = rows.mapInArrow(lambda b: batches_of(counted(b), schema, 20_000), "lang string, bucket int, n long")
+    sums = sums.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    counts, row_of = np.zeros((len(languages), BUCKETS)), {lang: k for k, lang in enumerate(languages)}
+    for r in sums.toLocalIterator():  # a part at a time: languages x BUCKETS at most in all
+        counts[row_of[r.lang], r.bucket] = r.n
     totals = counts.sum(axis=1, keepdims=True) + ALPHA * BUCKETS
     prior = np.array([n for _, n in found], float)
     return TextModel(languages, np.log((counts + ALPHA) / totals), np.log(prior / max(prior.sum(), 1)))
@@ -105,10 +103,23 @@ def _add(*logs: Column) -> Column:
     return total
 
 
-def _sums(rows: DataFrame, key: str, n: int, name: str) -> DataFrame:
-    """For each key the number of its rows by language, as an array of ``n`` sums."""
-    sums = rows.where(F.col(key).isNotNull()).groupBy(key).agg(*(F.sum(F.col("q")[k]).alias(f"s{k}") for k in range(n)))
-    return sums.select(key, F.array(*(f"s{k}" for k in range(n))).alias(name))
+def _sums(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """For each key the number of its rows by language, as an array of sums."""
+    each = rows.where(F.col(key).isNotNull()).select(key, F.posexplode("q").alias("k", "x"))
+    sums = each.groupBy(key, "k").agg(F.sum("x").alias("x")).groupBy(key).agg(F.sort_array(F.collect_list(F.struct("k", "x"))).alias(name))
+    return sums.withColumn(name, F.transform(name, lambda s: s["x"]))
+
+
+def _total(rows: DataFrame, column: str, n: int) -> np.ndarray:
+    """The sums by language of an array column."""
+    total = np.zeros(n)
+    for r in rows.select(F.posexplode(column).alias("k", "x")).groupBy("k").agg(F.sum("x").alias("x")).collect():
+        total[r.k] = r.x
+    return total
+
+
+def _array(values: np.ndarray) -> Column:
+    return F.lit(np.asarray(values, float))
 
 
 def markup_language(html: Column) -> Column:
@@ -135,22 +146,19 @@ def identify(rows: DataFrame, model: TextModel) -> DataFrame:
     if not n:
         nothing = F.lit(None)
         return rows.select(*own, nothing.cast("string").alias("language"), nothing.cast("double").alias("probability"), nothing.cast("string").alias("text_language"))
-    prior = F.array(*map(F.lit, map(float, model.log_prior)))
+    prior = _array(model.log_prior)
     domain = F.coalesce(F.nullif(F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1), F.lit("")), F.col("host"))
     told = rows.select(*own, "declared", "suffix", "host", domain.alias("domain"), _likelihoods(model)(F.col("text")).alias("l"))
     told = written(told.withColumn("q", _softmax(_add(F.col("l"), prior))), "likelihoods")
 
-    total = told.agg(*(F.sum(F.col("q")[k]).alias(f"s{k}") for k in range(n)), F.count("*").alias("n")).first()
-    share = [((total[f"s{k}"] or 0.0) + 1) / (total["n"] + n) for k in range(n)]
-    everywhere = F.array(*map(F.lit, share))
+    everywhere = _array((_total(told, "q", n) + 1) / (told.count() + n))
     for key in ("declared", "suffix"):
         # P(key | language): the language's rows with that key among its rows with any.
-        sums = _sums(told, key, n, "sums")
-        whole = sums.agg(*(F.sum(F.col("sums")[k]).alias(f"s{k}") for k in range(n)), F.count("*").alias("n")).first()
-        among = F.array(*(F.lit((whole[f"s{k}"] or 0.0) + BETA * whole["n"]) for k in range(n)))
+        sums = _sums(told, key, "sums")
+        among = _array(_total(sums, "sums", n) + BETA * sums.count())
         logs = F.zip_with("sums", among, lambda s, w: F.log((s + BETA) / w)).alias(f"p_{key}")
         told = told.join(sums.select(key, logs), key, "left")
-    told = told.join(_sums(told, "host", n, "of_host"), "host", "left").join(_sums(told, "domain", n, "of_domain"), "domain", "left")
+    told = told.join(_sums(told, "host", "of_host"), "host", "left").join(_sums(told, "domain", "of_domain"), "domain", "left")
 
     def smoothed(sums: str, towards: Column) -> Column:
         """(sums without the row's own posterior + KAPPA x towards) / (their number + KAPPA)."""
@@ -158,7 +166,7 @@ def identify(rows: DataFrame, model: TextModel) -> DataFrame:
         count = F.aggregate(others, F.lit(KAPPA), lambda a, x: a + x)
         return F.zip_with(others, towards, lambda s, p: (s + KAPPA * p) / count)
 
-    nothing = F.array(*[F.lit(0.0)] * n)
+    nothing = F.array_repeat(F.lit(0.0), n)
     told = told.withColumn("by_domain", smoothed("of_domain", everywhere))
     told = told.withColumn("by_host", F.transform(smoothed("of_host", F.col("by_domain")), lambda p: F.log(p)))
     logs = _add(F.col("l"), F.coalesce("p_declared", nothing), F.coalesce("p_suffix", nothing), F.col("by_host"))

@@ -79,6 +79,18 @@ def test_addresses_and_markup(spark):
     assert {r.h: r.m for r in df.select("h", la.markup_language(F.col("h")).alias("m")).collect()} == pages
 
 
+def test_more_than_a_hundred_languages(spark):
+    """Also of those with the fewest documents."""
+    pick = np.random.default_rng(1)
+    text = {f"l{k:03d}": " ".join("".join(pick.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(8)) for k in range(130)}
+    rows = [(t, lang) for k, (lang, t) in enumerate(text.items()) for _ in range(1 + (k < 110))]
+    model = la.train(spark.createDataFrame(rows, "text string, lang string"))
+    assert model.languages == sorted(text)
+    asked = spark.createDataFrame([(lang, t, None, None, None) for lang, t in text.items()], "id string, text string, declared string, suffix string, host string")
+    got = la.identify(asked, model).collect()
+    assert len(got) == 130 and all(r.language == r.id for r in got)
+
+
 def test_odd_rows(spark, model, odd_documents, no_documents):
     rows = odd_documents.select("doc_id", "text", F.lit(None).cast("string").alias("declared"), F.lit(None).cast("string").alias("suffix"), F.col("source").alias("host"))
     got = la.identify(rows, model).collect()

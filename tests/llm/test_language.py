@@ -101,6 +101,27 @@ def test_odd_rows(spark, model, odd_documents, no_documents):
     assert {(r.language, r.probability) for r in la.identify(rows, none).collect()} == {(None, None)}
 
 
+FOLD = "crc32(cast(cast(doc_id AS string) AS binary)) % 3"
+
+
+def test_the_query_learns_from_all_documents(spark, tmp_path):
+    docs = spark.range(60).select(F.col("id").alias("doc_id"))
+    docs = docs.withColumn("lang", F.when(F.expr(FOLD) == 1, "fr").otherwise("en")).withColumn("text", F.when(F.col("lang") == "fr", FR).otherwise(EN))
+    docs = docs.unionByName(spark.createDataFrame([(None, "xx", "zzz qqq zzz qqq zzz qqq")], "doc_id long, lang string, text string"))
+    docs.withColumn("source", F.lit(None).cast("string")).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = la.op2_language_fusion(spark, str(tmp_path)).join(docs.select(F.col("doc_id"), "lang"), "doc_id", "left").collect()
+    assert len(got) == 61 and all(r.language == (r.lang or "xx") for r in got)
+
+
+def test_accuracy_on_a_held_out_fold(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    nothing = F.lit(None).cast("string")
+    asked = docs.where(f"{FOLD} = 1").select("doc_id", "lang", "text", nothing.alias("declared"), nothing.alias("suffix"), nothing.alias("host"))
+    got = la.identify(asked, la.train(docs.where(f"{FOLD} <> 1"))).where("lang IS NOT NULL").collect()
+    assert got and sum(r.language == r.lang for r in got) >= 0.98 * len(got)
+
+
 def test_query(spark):
     sf = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{sf}/documents.parquet")

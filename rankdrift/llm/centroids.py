@@ -86,7 +86,7 @@ def lower_bounds(to_pivots: np.ndarray, centroids: np.ndarray, pivots: np.ndarra
         return bounds
     x, c = _roots(to_pivots), _roots(np.stack([squares(centroids, p) for p in pivots], axis=1))
     for p, s in combinations(range(len(pivots)), 2):
-        apart = float(_roots(squares(pivots[p], pivots[s])[None])[0])
+        apart = _roots(squares(pivots[[p]], pivots[s]))[0]
         one, other = np.outer(x[:, p], c[:, s]), np.outer(x[:, s], c[:, p])
         # The products' own rounding counts, not that of their difference, which may be far smaller.
         np.maximum(bounds, (np.abs(one - other) - SLACK * (one + other)) / (apart * (1 + SLACK)), out=bounds)

@@ -1,0 +1,102 @@
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from rankdrift.llm import centroids
+from tests.llm.conftest import SF
+
+BIG = 3.0e15
+
+
+def brute(rows, k=16, rounds=3, dimension=64):
+    """(vec_id, cluster, distance) by plain loops over Python's integers, and the centroids."""
+    kept = []
+    for vec_id, v in rows:
+        if v is not None and len(v) == dimension and all(x is not None and np.isfinite(x) for x in v):
+            digest = hashlib.sha256(f"1:{'' if vec_id is None else vec_id}".encode()).hexdigest()
+            kept.append((digest, -1 if vec_id is None else vec_id, [int(np.floor(64 * float(x))) for x in v]))
+    kept.sort()
+    cents = [list(v) for _, _, v in kept[:k]]
+
+    def nearest(v):
+        return min((sum((a - b) ** 2 for a, b in zip(v, c, strict=True)), n) for n, c in enumerate(cents))
+
+    for _ in range(rounds):
+        groups = {}
+        for _, _, v in kept:
+            groups.setdefault(nearest(v)[1], []).append(v)
+        for n, own in groups.items():
+            cents[n] = [sum(column) // len(own) for column in zip(*own, strict=True)]
+    out = []
+    for _, vec_id, v in kept:
+        d, n = nearest(v)
+        out.append((None if vec_id == -1 else vec_id, n, min(d, centroids.LARGEST)))
+    return sorted(out, key=str), cents
+
+
+def check(spark, rows, dimension=64):
+    vectors = spark.createDataFrame([(*row, "x", 1) for row in rows], "vec_id long, embedding array<double>, cluster string, hash int")
+    assigned, cents = centroids.cluster_vectors(vectors, dimension=dimension)
+    want, want_cents = brute(rows, dimension=dimension)
+    assert sorted(map(tuple, assigned.collect()), key=str) == want
+    assert [list(map(int, c)) for c in cents] == want_cents
+    return assigned, cents
+
+
+def test_against_loops(spark):
+    draw = random.Random(3)
+    hubs = [[draw.gauss(0, 1) for _ in range(64)] for _ in range(7)]
+    rows = [(n, [x + draw.gauss(0, 0.3) for x in hubs[n % 7]]) for n in range(600)]
+    rows += [(1000 + n, hubs[0]) for n in range(300)]  # a third are copies of one vector
+    check(spark, rows)
+
+
+def test_odd_rows(spark):
+    v = [0.5] * 64
+    odd = [None, [], [1.0] * 63, [1.0] * 65, [None] * 64, [float("nan")] * 64, [float("inf")] * 64, [*v[:-1], float("-inf")]]
+    rows = [(n, x) for n, x in enumerate(odd)]
+    rows += [(20, v), (20, v), (20, [-0.01] * 64), (None, v), (None, [2.0] * 64), (21, [0.0] * 64), (22, [1e-9, -1e-9] * 32)]
+    rows += [(23, [BIG] * 64), (24, [-BIG] * 64), (25, [BIG, 0.0] * 32)]  # beyond 64-bit squares
+    assigned, cents = check(spark, rows)
+    assert len(cents) == 10
+    report = centroids.cluster_report(assigned, cents)
+    assert report.count() == 10 and report.where("distance < 0 OR inertia < cluster_inertia").count() == 0
+
+
+def test_ties_go_to_the_smaller_number(spark):
+    check(spark, [(n, [float(n % 2)] * 64) for n in range(40)])
+
+
+def test_short_vectors(spark):
+    draw = random.Random(4)
+    check(spark, [(n, [draw.gauss(0, 2), draw.gauss(0, 2)]) for n in range(500)], dimension=2)
+
+
+def test_empty_table(spark):
+    none = spark.createDataFrame([], "vec_id long, embedding array<float>")
+    report = centroids.cluster_report(*centroids.cluster_vectors(none))
+    assert report.count() == 0
+    assert [n for n, _ in report.dtypes] == ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"]
+
+
+@pytest.mark.parametrize("size", [1, 1e4, 1e-3])
+def test_bounds_hold_and_rule_centroids_out(size):
+    draw = np.random.default_rng(1)
+    hubs = draw.standard_normal((16, 64)) * 500 * size
+    x = np.floor(hubs[draw.integers(0, 16, 3000)] + draw.standard_normal((3000, 64)) * 40 * size).astype(np.int64)
+    cents = np.floor(hubs).astype(np.int64)
+    pivots = centroids.pivots_of(cents)
+    near = np.stack([centroids.squares(x, p).astype(float) for p in pivots], axis=1)
+    exact = np.stack([centroids.squares(x, c) for c in cents], axis=1)
+    assert (centroids.lower_bounds(near, cents, pivots) ** 2 <= exact * (1 + 1e-12)).all()
+    cluster, distance, checked = centroids.assign(x, near, cents, pivots)
+    assert (distance == exact.min(axis=1)).all() and (cluster == exact.argmin(axis=1)).all()
+    if size >= 1:
+        assert checked < x.shape[0] * len(cents) / 2
+
+
+def test_whole_table_keeps_every_vector(spark):
+    n = spark.read.parquet(f"{SF}/embeddings.parquet").count()
+    assert centroids.op11_ptolemaic_clusters(spark, SF).count() == n

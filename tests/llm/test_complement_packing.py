@@ -1,0 +1,126 @@
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from rankdrift.llm import complement_packing as packing
+from rankdrift.llm.tokens import vocabulary_path
+from tests.llm.conftest import ODD_TEXTS, SF
+
+WHOLE = Tokenizer.from_file(vocabulary_path())
+
+
+def ids_of(text):
+    return np.array([*WHOLE.encode(text or "", add_special_tokens=False).ids, 1], "<u4")
+
+
+def check(pieces, texts, capacity=4096):
+    """Every id lies in its one piece, sequences are gapless; returns the number of sequences and the least possible."""
+    per_doc, per_sequence = defaultdict(list), defaultdict(list)
+    for p in pieces:
+        per_doc[p.doc_id].append(p)
+        per_sequence[p.sequence_id].append(p)
+    assert set(per_doc) == set(texts)
+    for doc_id, own in per_doc.items():
+        ids = ids_of(texts[doc_id])
+        assert [p.piece for p in sorted(own, key=lambda p: p.start)] == list(range(-(-len(ids) // capacity)))
+        for p in own:
+            assert p.start == p.piece * capacity and p.length == min(capacity, len(ids) - p.start)
+            assert p.ids_crc32 == zlib.crc32(ids[p.start : p.start + p.length].tobytes())
+    used = 0
+    for own in per_sequence.values():
+        at = 0
+        for p in sorted(own, key=lambda p: p.offset):
+            assert p.offset == at
+            at += p.length
+        assert at <= capacity
+        used += at
+    return len(per_sequence), -(-used // capacity)
+
+
+def test_whole_table(spark):
+    texts = dict(duckdb.sql(f"SELECT doc_id, text FROM '{SF}/documents.parquet'").fetchall())
+    made, least = check(packing.op13_complement_packing(spark, SF).collect(), texts)
+    assert made <= least * 1.01 + 1
+
+
+def test_odd_rows(spark, odd_documents):
+    docs = odd_documents.dropDuplicates(["doc_id"])
+    texts = dict(enumerate(ODD_TEXTS)) | {None: "no id"}
+    check(packing.piece_digests(packing.pack_by_complements(docs), 2).collect(), texts)
+    again = packing.piece_digests(packing.pack_by_complements(odd_documents), 2)
+    assert again.where("doc_id = 6 AND piece = 0").count() == 2
+
+
+def test_empty_table(spark, no_documents):
+    made = packing.pack_by_complements(no_documents)
+    assert made.count() == 0 and packing.piece_digests(made, 2).count() == 0
+
+
+def test_small_blocks_and_capacity(spark):
+    """Many blocks in a task, and pieces that are given up to the second round in between."""
+    draw = random.Random(5)
+    texts = {i: " ".join(["word"] * draw.choice((3, 7, 10, 40, draw.randrange(150)))) for i in range(1500)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    for block, kept in ((200, 300), (1 << 20, 1 << 20)):
+        packed = packing.pack_by_complements(docs, capacity=64, block=block, kept=kept)
+        made, least = check(packing.piece_digests(packed, 2).collect(), texts, 64)
+        assert made <= least * 1.03
+        assert packed.where(F.col("sequence_id") < 1 << 62).count() > 0
+
+
+def filled(counts, capacity, **how):
+    """Fillings of a plan, checked against the counts."""
+    used, sequences, full = Counter(), 0, 0
+    for filling, n in packing.plan(counts, capacity, **how):
+        assert n > 0 and sum(length * m for length, m in filling.items()) <= capacity
+        full += n * (sum(length * m for length, m in filling.items()) == capacity)
+        sequences += n
+        for length, m in filling.items():
+            used[length] += n * m
+    return used, sequences, full
+
+
+def test_plans():
+    draw = random.Random(6)
+    for _ in range(150):
+        capacity = draw.choice((10, 64, 300))
+        counts = {draw.randrange(1, capacity): draw.choice((1, 2, 3, 50)) for _ in range(draw.randrange(1, 40))}
+        used, _, _ = filled(counts, capacity)
+        assert used == Counter(counts)
+        used, sequences, full = filled(counts, capacity, only_full=True)
+        assert sequences == full and all(n <= counts[length] for length, n in used.items())
+
+
+def test_exact_complements_are_found():
+    assert filled({60: 5, 40: 5}, 100)[1:] == (5, 5)
+    assert filled({60: 4, 25: 4, 15: 4}, 100)[1:] == (4, 4)
+    assert filled({50: 3, 20: 3, 17: 3, 13: 3}, 100)[1:] == (3, 3)
+    assert filled({70: 2, 30: 2, 20: 2, 10: 2, 90: 1}, 100)[1] == 4
+    assert filled({25: 8}, 100)[1:] == (2, 2)
+    assert filled({1: 1000}, 100)[1:] == (10, 10)
+
+
+def test_pairs_and_triples_against_all_combinations():
+    draw = random.Random(7)
+    for _ in range(300):
+        counts = {draw.randrange(1, 40): draw.choice((1, 2, 3)) for _ in range(draw.randrange(1, 9))}
+        left = packing._Lengths(counts, 100)
+        pieces = [length for length, n in counts.items() for _ in range(n)]
+        pairs = {a + b for i, a in enumerate(pieces) for b in pieces[i + 1 :]}
+        triples = {a + b + c for i, a in enumerate(pieces) for j, b in enumerate(pieces[i + 1 :], i + 1) for c in pieces[j + 1 :]}
+        for total in range(2, 100):
+            pair, triple = left.pair(total), left.triple(total)
+            assert (pair is not None) == (total in pairs) and (pair is None or sum(pair) == total)
+            assert (triple is not None) == (total in triples) and (triple is None or sum(triple) == total)
+
+
+def test_placement():
+    counts = {60: 5, 40: 7, 7: 30}
+    placement = packing.Placement(counts, 100)
+    spots = [placement.of(length, k) for length, n in counts.items() for k in range(n)]
+    assert len(set(spots)) == len(spots) and {s for s, _ in spots} == set(range(placement.sequences))

@@ -23,6 +23,6 @@ def test_same_rows_as_duckdb(spark, name):
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(spark_entry.queries())
     assert set(ORACLES) <= set(spark_entry.oracle_sql())

@@ -20,22 +20,24 @@ from rankdrift.functions.hashing import (
     string_hash32,
 )
 from rankdrift.functions.signatures import merge_signatures
-from rankdrift.operators import cleaning, compare, exact, minhash, top_spot, urls
+from rankdrift.operators import cleaning, compare, exact, minhash, similar_sets, top_spot, urls
 from rankdrift.plans import report
 from rankdrift.plans.views import (
     PARTS_BY_YEAR,
+    RESULT_LISTS,
     SHIPMENTS_BY_DAY,
     SHIPMENTS_BY_MONTH,
     WEEKLY,
     part_sales,
     rank_facts,
     rank_facts_of,
+    result_lists,
     shipments,
     wide_rank_facts,
 )
 from rankdrift.schema import RANK_COLUMNS, RANK_TABLE_NAME, SIGNATURE_TABLE_NAME, RankColumns
 from rankdrift.session import scratch_dir, tune
-from rankdrift.sources import csv_report, rank_table, signature_table
+from rankdrift.sources import batch_table, csv_report, rank_table, signature_table
 from rankdrift.streaming.signatures import maintain_signatures
 
 # The training-data operators and their pipeline may be absent; everything else works without them.
@@ -57,6 +59,7 @@ BY_KEYWORD = RankColumns(subject=("market", "loc"), group="keyword")
 DEVICES = ("desktop", "smartphone")
 # Percent points by which an estimate may differ from the exact similarity: four standard errors of 100 hash functions,
 # or of a sketch of 256 entries, and one for cutting off.
+LEAST_SIMILAR = 50
 MINHASH_BOUND, SKETCH_ENTRIES, SKETCH_BOUND = 21, 8, 14
 
 
@@ -144,6 +147,75 @@ def _upserted(spark: SparkSession, facts: DataFrame) -> DataFrame:
     return rank_table.read_rank_table(spark, table)
 
 
+def batch_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same crawls, in batches that are never overwritten, after a batch that was given up."""
+    table, facts = scratch_dir(spark, RANK_TABLE_NAME), rank_facts(spark, sf_dir)
+    batch_table.upsert_batch(facts.where("hour(ts) < 12"), table, ["event_id"])
+    batch_table.write_rows(_clean(spark, sf_dir), table, batch_table.next_batch(spark, table))
+    batch_table.upsert_batch(facts.where("hour(ts) >= 12 AND day(ts) % 2 = 0"), table, ["event_id"])
+    return batch_table.read_batch_table(spark, table)
+
+
+def batch_date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = scratch_dir(spark, RANK_TABLE_NAME)
+    batch_table.upsert_batch(_clean(spark, sf_dir), table)
+    return batch_table.read_batch_table(spark, table, START, END)
+
+
+def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a report with bad rows and repeated keys left in the table, counted while it was written."""
+    counts = rank_table.load_rank_table(_judged_report(spark, sf_dir), scratch_dir(spark, RANK_TABLE_NAME))
+    return spark.createDataFrame(
+        [counts], "rows long, bad_rows long, days long, first_day date, last_day date, keys long, repeated_keys long"
+    )
+
+
+def loaded_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = scratch_dir(spark, RANK_TABLE_NAME)
+    rank_table.load_rank_table(wide_rank_facts(spark, sf_dir), table, ["event_id"])
+    return rank_table.read_rank_table(spark, table)
+
+
+def _lookup_table(spark: SparkSession, sf_dir: str) -> str:
+    table = scratch_dir(spark, RANK_TABLE_NAME)
+    clean = cleaning.clean_ranks(wide_rank_facts(spark, sf_dir), ["event_id"])
+    rank_table.write_rank_table(clean, table, lookup=("keyword", "url"))
+    return table
+
+
+def keyword_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_table.find_ranks(spark, _lookup_table(spark, sf_dir), keywords=("kw7", "kw11"), start=START)
+
+
+def url_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_table.find_ranks(spark, _lookup_table(spark, sf_dir), urls=("site3.example/4",))
+
+
+def _some_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rank facts without every fourth day, on which nothing was crawled."""
+    return rank_facts(spark, sf_dir).where("day(crawl_date) % 4 <> 0")
+
+
+def departure_days_crawled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    facts = _some_days(spark, sf_dir)
+    return top_spot.departure_days(facts, calendar=top_spot.crawl_days(facts))
+
+
+def departure_counts_crawled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    facts = _some_days(spark, sf_dir)
+    return top_spot.departure_counts(facts, calendar=top_spot.crawl_days(facts))
+
+
+def top_spot_runs_crawled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    facts = _some_days(spark, sf_dir)
+    return top_spot.top_spot_runs(facts, calendar=top_spot.crawl_days(facts))
+
+
+def prev_url_crawled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    facts = _some_days(spark, sf_dir)
+    return top_spot.prev_day_url(cleaning.clean_ranks(facts, ["event_id"]), calendar=top_spot.crawl_days(facts))
+
+
 # Similarity
 
 
@@ -323,6 +395,17 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rank_table_rewrite": rank_table_rewrite,
         "upsert_latest": upsert_latest,
         "date_range_scan": date_range_scan,
+        "batch_upsert": batch_upsert,
+        "batch_date_range": batch_date_range,
+        "load_counts": load_counts,
+        "loaded_table": loaded_table,
+        "keyword_lookup": keyword_lookup,
+        "url_lookup": url_lookup,
+        "departure_days_crawled": departure_days_crawled,
+        "departure_counts_crawled": departure_counts_crawled,
+        "top_spot_runs": lambda s, d: top_spot.top_spot_runs(rank_facts(s, d)),
+        "top_spot_runs_crawled": top_spot_runs_crawled,
+        "prev_url_crawled": prev_url_crawled,
         "url_counts": lambda s, d: urls.url_counts(_clean(s, d), 10),
         "top_url_past_rank": lambda s, d: urls.top_urls(_clean(s, d), 10),
         "prev_day_url": lambda s, d: top_spot.prev_day_url(_clean(s, d)),
@@ -347,6 +430,12 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pairwise_similarity": lambda s, d: exact.pairwise_exact_similarity(
             rank_facts(s, d), cols=BY_KEYWORD
         ),
+        "similar_set_pairs": lambda s, d: similar_sets.similar_sets(
+            result_lists(s, d), LEAST_SIMILAR, cols=RESULT_LISTS
+        ).pairs,
+        "similar_set_members": lambda s, d: similar_sets.similar_sets(
+            result_lists(s, d), LEAST_SIMILAR, cols=RESULT_LISTS
+        ).members,
         "csv_good_rows": csv_good_rows,
         "csv_bad_rows": csv_bad_rows,
         "wide_clean": lambda s, d: cleaning.clean_ranks(wide_rank_facts(s, d), ["event_id"]),
@@ -431,15 +520,24 @@ _LATEST = "hour(ts) >= 12 DESC, event_id DESC"
 _UPSERTED = "(SELECT * FROM {0} WHERE hour(ts) < 12 OR day(ts) % 2 = 0)"
 
 
+def _every_two(date: str, group: str, sets: str) -> str:
+    """Every two sets of a date, and a row of its own for a date with one set."""
+    return f"""
+    SELECT a.{date}, a.{group} AS ga, b.{group} AS gb FROM {sets} a JOIN {sets} b ON a.{date} = b.{date} AND a.{group} < b.{group}
+    UNION ALL SELECT {date}, min({group}), NULL FROM {sets} GROUP BY {date} HAVING count(*) = 1"""
+
+
 def _pairwise(start: str, source: str, date: str, group: str, element: str) -> str:
-    """Pairs of sets that share an element on a date."""
+    """Similarity of every two sets of a date."""
     return f"""{start},
     sets AS (SELECT DISTINCT {date}, {group} AS g, row({element}) AS e FROM {source}),
     sizes AS (SELECT {date}, g, count(*) AS n FROM sets GROUP BY ALL),
     both_in AS (SELECT a.{date}, a.g AS ga, b.g AS gb, count(*) AS n
-                FROM sets a JOIN sets b ON a.{date} = b.{date} AND a.e IS NOT DISTINCT FROM b.e AND a.g < b.g GROUP BY ALL)
-    SELECT p.{date}, ga AS {group}_a, gb AS {group}_b, CAST(p.n * 100 // (a.n + b.n - p.n) AS INTEGER) AS similarity
-    FROM both_in p JOIN sizes a ON a.{date} = p.{date} AND a.g = ga JOIN sizes b ON b.{date} = p.{date} AND b.g = gb"""
+                FROM sets a JOIN sets b ON a.{date} = b.{date} AND a.e IS NOT DISTINCT FROM b.e AND a.g < b.g GROUP BY ALL),
+    every AS ({_every_two(date, 'g', 'sizes')})
+    SELECT w.{date}, w.ga AS {group}_a, w.gb AS {group}_b, CAST(coalesce(p.n * 100 // (a.n + b.n - p.n), 0) AS INTEGER) AS similarity
+    FROM every w LEFT JOIN both_in p ON p.{date} = w.{date} AND p.ga = w.ga AND p.gb = w.gb
+    LEFT JOIN sizes a ON a.{date} = w.{date} AND a.g = w.ga LEFT JOIN sizes b ON b.{date} = w.{date} AND b.g = w.gb"""
 
 
 def _two_sets(source: str, date: str) -> str:
@@ -479,6 +577,20 @@ gone AS (
   WHERE following IS NULL OR following <> crawl_date + 1)"""
 
 
+# Days by number: of the calendar of crawled days, or as they come.
+_SOME = f"""some AS (SELECT * FROM r WHERE day(crawl_date) % 4 <> 0),
+calendar AS (SELECT crawl_date, row_number() OVER (ORDER BY crawl_date) AS d FROM (SELECT DISTINCT crawl_date FROM some))"""
+
+
+def _runs(source: str, number: str = "date_diff('day', DATE '1970-01-01', crawl_date)", extra: str = "") -> str:
+    """Stays at rank 1 by comparing each day with the one before."""
+    return f"""
+held AS (SELECT DISTINCT {_HOLDER}, crawl_date, {number} AS d FROM {source} {extra} WHERE "rank" = 1),
+marked AS (SELECT *, CASE WHEN lag(d) OVER (PARTITION BY {_HOLDER} ORDER BY d) = d - 1 THEN 0 ELSE 1 END AS fresh FROM held),
+numbered AS (SELECT *, sum(fresh) OVER (PARTITION BY {_HOLDER} ORDER BY d) AS run FROM marked),
+runs AS (SELECT {_HOLDER}, run, min(crawl_date) AS first_day, max(crawl_date) AS last_day, count(*) AS days FROM numbered GROUP BY ALL)"""
+
+
 # Each row once under its own day and once under the next one; what meets nothing has left.
 _TALLY = f"""
 marks AS (
@@ -570,8 +682,20 @@ sigs AS (
   FROM (SELECT crawl_date, keyword, CAST('0x' || substr(md5({_KEYWORD_ELEMENT}), 1, 15) AS BIGINT) AS x FROM r)
   GROUP BY crawl_date, keyword),
 pairs AS (
-  SELECT a.crawl_date, a.keyword AS keyword_a, b.keyword AS keyword_b, a.sig AS a, b.sig AS b
-  FROM sigs a JOIN sigs b ON a.crawl_date = b.crawl_date AND a.keyword < b.keyword)"""
+  SELECT w.crawl_date, ga AS keyword_a, gb AS keyword_b, a.sig AS a, b.sig AS b
+  FROM ({_every_two('crawl_date', 'keyword', 'sigs')}) w
+  LEFT JOIN sigs a ON a.crawl_date = w.crawl_date AND a.keyword = ga LEFT JOIN sigs b ON b.crawl_date = w.crawl_date AND b.keyword = gb)"""
+
+
+# Every two lists of a week, compared element by element.
+_LISTS = """
+l AS (
+  SELECT DISTINCT CAST(date_trunc('week', ts) AS DATE) AS crawl_week, 'kw' || user_id || twin AS keyword,
+         row(event_type IN ('signup', 'click'), CAST(props->>'k' AS INTEGER) % 10, CAST(props->>'k' AS INTEGER) // 50) AS e
+  FROM events, (VALUES (''), ('+')) t(twin) WHERE twin = '' OR user_id % 5 = 0),
+sets AS (SELECT crawl_week, keyword, count(*) AS n, list(e ORDER BY e) AS es FROM l GROUP BY ALL),
+same AS (SELECT crawl_week, es, min(keyword) AS representative FROM sets GROUP BY ALL),
+members AS (SELECT crawl_week, keyword, representative, n FROM sets JOIN same USING (crawl_week, es))"""
 
 
 _S = """
@@ -601,9 +725,11 @@ def _shipments() -> dict[str, str]:
         "shipments_minhash": f"""WITH {_S},
             sigs AS (SELECT ship_month, l_returnflag, [{_MINIMA}] AS sig
                      FROM (SELECT ship_month, l_returnflag, {_SHIPMENT_ID} AS x FROM s) GROUP BY ALL)
-            SELECT a.ship_month, a.l_returnflag AS l_returnflag_a, b.l_returnflag AS l_returnflag_b, CAST(
-              len(list_filter(list_zip(a.sig, b.sig), lambda p: p[1] = p[2])) * 100 // {K} AS INTEGER) AS similarity
-            FROM sigs a JOIN sigs b ON a.ship_month = b.ship_month AND a.l_returnflag < b.l_returnflag""",
+            SELECT w.ship_month, ga AS l_returnflag_a, gb AS l_returnflag_b, CAST(coalesce(
+              len(list_filter(list_zip(a.sig, b.sig), lambda p: p[1] = p[2])) * 100 // {K}, 0) AS INTEGER) AS similarity
+            FROM ({_every_two('ship_month', 'l_returnflag', 'sigs')}) w
+            LEFT JOIN sigs a ON a.ship_month = w.ship_month AND a.l_returnflag = ga
+            LEFT JOIN sigs b ON b.ship_month = w.ship_month AND b.l_returnflag = gb""",
     }
 
 
@@ -679,6 +805,8 @@ compared AS (
             FROM r GROUP BY ALL HAVING count(*) > 1""",
         "rank_table_rewrite": clean_rows,
         "upsert_latest": f"WITH {_R}, {_kept(_LATEST, source=_UPSERTED.format('r'))} SELECT * FROM cl",
+        "batch_upsert": f"WITH {_R}, {_kept(_LATEST, source=_UPSERTED.format('r'))} SELECT * FROM cl",
+        "batch_date_range": f"{clean_rows} WHERE crawl_date BETWEEN DATE '{START}' AND DATE '{END}'",
         "date_range_scan": f"{clean_rows} WHERE crawl_date BETWEEN DATE '{START}' AND DATE '{END}'",
         "url_counts": f'{_CLEAN} SELECT url, count(*) AS n FROM cl WHERE "rank" > 10 GROUP BY url',
         "top_url_past_rank": f"""{_CLEAN} SELECT url, count(*) AS n FROM cl WHERE "rank" > 10
@@ -686,6 +814,27 @@ compared AS (
         "prev_day_url": f"""{_CLEAN} SELECT {_COLUMNS},
               CASE WHEN lag(crawl_date) OVER w = crawl_date - 1 THEN lag(url) OVER w END AS prev_url
             FROM cl WINDOW w AS (PARTITION BY {_LIST}, "rank" ORDER BY crawl_date)""",
+        "load_counts": f"""{_RAW},
+            keys AS (SELECT keyword, market, coalesce(loc, '') AS l, device, crawl_date, "rank", count(*) AS n
+                     FROM r WHERE event_id % 8 > 4 GROUP BY ALL)
+            SELECT CAST(sum(n) AS BIGINT) AS rows,
+                   (SELECT 1 + count(*) + count(*) FILTER (WHERE event_id % 8 = 4) FROM r WHERE event_id % 8 <= 4) AS bad_rows,
+                   count(DISTINCT crawl_date) AS days, min(crawl_date) AS first_day, max(crawl_date) AS last_day,
+                   count(*) AS keys, count(*) FILTER (WHERE n > 1) AS repeated_keys FROM keys""",
+        "loaded_table": f"WITH {_W}, {_kept('event_id, url', source='w')} SELECT * FROM cl",
+        "keyword_lookup": f"""WITH {_W}, {_kept('event_id, url', source='w')}
+            SELECT * FROM cl WHERE keyword IN ('kw7', 'kw11') AND crawl_date >= DATE '{START}'""",
+        "url_lookup": f"WITH {_W}, {_kept('event_id, url', source='w')} SELECT * FROM cl WHERE url = 'site3.example/4'",
+        "departure_days_crawled": f"""{_RAW}, {_SOME}, {_runs('some', 'd', 'JOIN calendar USING (crawl_date)')}
+            SELECT {_HOLDER}, last_day AS crawl_date FROM runs""",
+        "departure_counts_crawled": f"""{_RAW}, {_SOME}, {_runs('some', 'd', 'JOIN calendar USING (crawl_date)')}
+            SELECT {_HOLDER}, count(*) AS n FROM runs GROUP BY ALL""",
+        "top_spot_runs": f"{_RAW}, {_runs('r')} SELECT {_HOLDER}, first_day, last_day, days FROM runs",
+        "top_spot_runs_crawled": f"""{_RAW}, {_SOME}, {_runs('some', 'd', 'JOIN calendar USING (crawl_date)')}
+            SELECT {_HOLDER}, first_day, last_day, days FROM runs""",
+        "prev_url_crawled": f"""{_RAW}, {_SOME}, {_kept('event_id, url', source='some')}
+            SELECT {_COLUMNS}, CASE WHEN lag(d) OVER w = d - 1 THEN lag(url) OVER w END AS prev_url
+            FROM cl JOIN calendar USING (crawl_date) WINDOW w AS (PARTITION BY {_LIST}, "rank" ORDER BY crawl_date)""",
         "departure_days": f"{_RAW}, {_departures('r')} {days}",
         "departure_days_anti_join": f"{_RAW}, {_departures('r')} {days}",
         "departure_counts": f"{_RAW}, {_departures('r')} {left}",
@@ -700,6 +849,16 @@ compared AS (
             FROM (SELECT crawl_date, keyword, market, loc, "rank", url, count(*) AS c FROM r GROUP BY ALL)
             GROUP BY crawl_date""",
         "pairwise_similarity": _pairwise(_RAW, "r", "crawl_date", "keyword", 'market, loc, "rank", url'),
+        "similar_set_pairs": f"""WITH {_LISTS},
+            reps AS (SELECT crawl_week, representative, min(n) AS n FROM members GROUP BY ALL),
+            mine AS (SELECT l.* FROM l JOIN reps r ON r.crawl_week = l.crawl_week AND r.representative = l.keyword),
+            shared AS (SELECT a.crawl_week, a.keyword AS ka, b.keyword AS kb, count(*) AS n
+                       FROM mine a JOIN mine b ON a.crawl_week = b.crawl_week AND a.e = b.e AND a.keyword < b.keyword GROUP BY ALL)
+            SELECT s.crawl_week, ka AS keyword_a, kb AS keyword_b, CAST(s.n * 100 // (a.n + b.n - s.n) AS INTEGER) AS similarity
+            FROM shared s JOIN reps a ON a.crawl_week = s.crawl_week AND a.representative = ka
+            JOIN reps b ON b.crawl_week = s.crawl_week AND b.representative = kb
+            WHERE s.n * 100 >= (a.n + b.n - s.n) * {LEAST_SIMILAR}""",
+        "similar_set_members": f"WITH {_LISTS} SELECT crawl_week, keyword, representative, n FROM members",
         "csv_good_rows": f"{_RAW} SELECT {_COLUMNS} FROM r WHERE event_id % 8 > 4",
         "csv_bad_rows": f"{_RAW} SELECT 1 + count(*) + count(*) FILTER (WHERE event_id % 8 = 4) AS n FROM r WHERE event_id % 8 <= 4",
         "wide_clean": f"WITH {_W}, {_kept('event_id, url', source='w')} SELECT * FROM cl",

@@ -37,14 +37,30 @@ def check_two_sets(n_sets: Column, value: Column) -> Column:
     return F.when(n_sets > 2, stop).otherwise(value)
 
 
+def all_pairs(sets: DataFrame, dates: DataFrame, cols: RankColumns, payload: dict[str, str]) -> DataFrame:
+    """Every two ``sets`` of a date as ``{group}_a`` < ``{group}_b``, and a row of its own for a date that has no two.
+
+    ``sets`` has a row for each date and set. Its ``payload`` columns are named after the side, with a prefix. In a
+    date's own row the second set is NULL, and the first one too if the date has none.
+    """
+    a, b = f"{cols.group}_a", f"{cols.group}_b"
+    sides = [
+        sets.select(cols.date, F.col(cols.group).alias(s), *(F.col(c).alias(f"{prefix}{s}") for c, prefix in payload.items()))
+        for s in (a, b)
+    ]
+    both = sides[0].join(sides[1], cols.date).where(F.col(a) < F.col(b))
+    single = sets.groupBy(cols.date).agg(F.count("*").alias("_sets"), F.min(cols.group).alias(a))
+    alone = dates.join(single, cols.date, "left").where(F.coalesce("_sets", F.lit(0)) < 2)
+    return both.unionByName(alone.select(cols.date, a), allowMissingColumns=True)
+
+
 def group_pairs(
     counts: DataFrame, groups: Sequence[str] | None, cols: RankColumns
 ) -> DataFrame:
     """One row per date and unordered pair of sets, out of ``counts`` (date, ``_groups``, ``_n``).
 
     A count says how many elements of the date are in just those groups. Pairs are rows, so the plan is the same for
-    any number of groups. Without names there is a row for each pair that shares an element; with names, one for each
-    date and pair of names.
+    any number of groups.
     """
     a, b = f"{cols.group}_a", f"{cols.group}_b"
     sizes = counts.select(cols.date, F.explode("_groups").alias("_group"), "_n")
@@ -66,6 +82,9 @@ def group_pairs(
         wanted = counts.select(cols.date).distinct().select(cols.date, F.inline(F.array(*named)))
         shared = shared.withColumnsRenamed({a: "_a", b: "_b"})
         shared = wanted.join(shared, [cols.date, "_a", "_b"], "left").drop("_a", "_b")
+    else:
+        wanted = all_pairs(sizes.withColumnRenamed("_group", cols.group), counts.select(cols.date).distinct(), cols, {})
+        shared = wanted.join(shared, [cols.date, a, b], "left")
     for side in (a, b):
         size = sizes.select(cols.date, F.col("_group").alias(side), F.col("_size").alias(f"_size_{side}"))
         shared = shared.join(size, [cols.date, side], "left")
@@ -81,8 +100,9 @@ def pairwise_exact_similarity(
 ) -> DataFrame:
     """Percent of shared elements per date, for pairs of sets.
 
-    Without ``groups`` every two sets that share an element on a date are compared. With ``groups`` there is a row for
-    every date of ``df`` and every pair of the names, 0 where one side has no rows.
+    Without ``groups`` every two sets of a date have a row, 0 if they share nothing, and a date with one set has a row in
+    which the other set is NULL. That is meant for a few sets, such as devices: for many of them use ``similar_sets``.
+    With ``groups`` there is a row for every date of ``df`` and every pair of the names, 0 where one side has no rows.
     """
     checked_groups(groups)
     own = F.col(cols.group) if groups is None else F.when(F.col(cols.group).isin(*groups), F.col(cols.group))

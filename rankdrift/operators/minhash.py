@@ -19,7 +19,7 @@ from rankdrift.functions.hashing import (
     string_hash32,
 )
 from rankdrift.functions.signatures import EMPTY, signature_similarity
-from rankdrift.operators.exact import check_two_sets, checked_groups
+from rankdrift.operators.exact import all_pairs, check_two_sets, checked_groups
 from rankdrift.schema import RANK_COLUMNS, RankColumns
 
 # With the date and the group this stays below 100 columns, beyond which Spark gives up generated code by default.
@@ -82,9 +82,15 @@ def minhash_signatures(
     ids = df.select(cols.date, cols.group, ELEMENT_IDS[element_id](cols.element).alias("_id"))
     if method == "bins":
         return _bin_minima(ids, k, cols)
+    return signatures_of_ids(ids, coefficients(k) if pairs is None else pairs, cols)
+
+
+def signatures_of_ids(
+    ids: DataFrame, pairs: Sequence[tuple[int, int]], cols: RankColumns = RANK_COLUMNS
+) -> DataFrame:
+    """Signatures of sets whose elements are known by 60-bit numbers ``_id``, per date and set."""
     high, low = split_id(F.col("_id"))
     parts = ids.select(cols.date, cols.group, high.alias("_high"), low.alias("_low"))
-    pairs = coefficients(k) if pairs is None else pairs
     return _minima(parts, [affine_hash("_high", "_low", a, b) for a, b in pairs], cols)
 
 
@@ -113,9 +119,8 @@ def pairwise_signature_similarity(
 ) -> DataFrame:
     """Similarity per date for pairs of sets.
 
-    Without ``groups`` every two sets that a date has are compared; with ``groups`` there is a row for every date of
-    ``signatures`` and every pair of the names, 0 where one is missing. Partial signatures of a set are an error:
-    merge them first.
+    Which pairs have a row is as in ``pairwise_exact_similarity``; a set that has only an empty signature is no set.
+    Partial signatures of a set are an error: merge them first.
     """
     checked_groups(groups)
     a, b = f"{cols.group}_a", f"{cols.group}_b"
@@ -124,7 +129,7 @@ def pairwise_signature_similarity(
     known = signatures.where(F.size("sig") > 0).groupBy(cols.date, cols.group).agg(one)
     sides = [known.select(cols.date, F.col(cols.group).alias(s), F.col("sig").alias(f"_{s}")) for s in (a, b)]
     if groups is None:
-        both = sides[0].join(sides[1], cols.date).where(F.col(a) < F.col(b))
+        both = all_pairs(known, signatures.select(cols.date).distinct(), cols, {"sig": "_"})
     else:
         pairs = [F.struct(F.lit(x).alias(a), F.lit(y).alias(b)) for x, y in combinations(groups, 2)]
         both = signatures.select(cols.date).distinct().select(cols.date, F.inline(F.array(*pairs)))
@@ -185,22 +190,23 @@ def minhash_similarity(
     if semantics not in ("set", "compat"):
         raise ValueError(f"unknown semantics: {semantics}")
     if devices is not None:
-        # Rows of other devices stay as a set of their own, for the dates that have no other.
-        other = F.when(F.col(cols.group).isin(*devices), F.col(cols.group)).otherwise(F.lit(""))
-        if "" in devices:
-            raise ValueError("a device must have a name")
-        df = df.withColumn(cols.group, other)
+        # Dates that have neither device keep a row, by a set without elements.
+        empty = [F.lit(devices[0]).alias(cols.group), F.array().cast("array<bigint>").alias("sig")]
+        dates = df.select(cols.date).distinct().select(cols.date, *empty)
+        df = df.where(F.col(cols.group).isin(*devices))
     if semantics == "compat":
         if modulus is None:
             raise ValueError("compat signatures need a modulus")
         if not (k is None and element_id is None and method is None):
             raise ValueError("compat signatures take pairs and a modulus only")
         signatures = compat_signatures(df, modulus, COMPAT_COEFFICIENTS if pairs is None else pairs, cols)
-        return signature_pairs(signatures, devices, estimator or "value_set", cols)
-    if modulus is not None:
-        raise ValueError("only compat signatures have a modulus")
-    signatures = minhash_signatures(df, k, pairs, element_id or "xxhash64", method or "functions", cols)
-    return signature_pairs(signatures, devices, estimator or "positional", cols)
+    else:
+        if modulus is not None:
+            raise ValueError("only compat signatures have a modulus")
+        signatures = minhash_signatures(df, k, pairs, element_id or "xxhash64", method or "functions", cols)
+    if devices is not None:
+        signatures = signatures.unionByName(dates)
+    return signature_pairs(signatures, devices, estimator or ("value_set" if semantics == "compat" else "positional"), cols)
 
 
 def merge_signature_rows(

@@ -17,8 +17,9 @@ _SHIPMENT = {
 SHIPMENTS_BY_DAY = RankColumns(date="ship_date", **_SHIPMENT)
 SHIPMENTS_BY_MONTH = RankColumns(date="ship_month", **_SHIPMENT)
 
-
 WEEKLY = RankColumns(date="crawl_week")
+# The week's results of a keyword: many sets, some of them equal.
+RESULT_LISTS = RankColumns(subject=("market",), group="keyword", date="crawl_week", rank="rank", entity="site")
 # Parts sold under a line status and number in a year, compared between return flags.
 PARTS_BY_YEAR = RankColumns(
     subject=("l_linestatus",), group="l_returnflag", date="ship_year", rank="l_linenumber", entity="l_partkey"
@@ -72,6 +73,23 @@ def wide_rank_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wide_rank_facts_of(spark.read.parquet(f"{sf_dir}/events.parquet"))
 
 
+def result_lists_of(events: DataFrame) -> DataFrame:
+    """Coarse results per keyword and week, a keyword for each user; every fifth one is there under two names."""
+    payload = "cast(get_json_object(props, '$.k') as int) AS k"
+    return events.selectExpr("ts", "user_id", "event_type", payload).selectExpr(
+        "explode(if(user_id % 5 = 0, array('', '+'), array(''))) AS twin",
+        "user_id",
+        "if(event_type IN ('signup', 'click'), 'US-en', 'CA-en') AS market",
+        "cast(date_trunc('week', ts) AS date) AS crawl_week",
+        "k % 10 + 1 AS rank",
+        "concat('site', k div 50) AS site",
+    ).selectExpr("concat('kw', user_id, twin) AS keyword", "market", "crawl_week", "rank", "site")
+
+
+def result_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return result_lists_of(spark.read.parquet(f"{sf_dir}/events.parquet"))
+
+
 def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr(
         "l_linestatus",

@@ -32,3 +32,26 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="rankdrift-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _located(spark: SparkSession, path: str):
+    """The file system of ``path`` and the path on it, as Spark itself would open them."""
+    located = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return located.getFileSystem(spark._jsc.hadoopConfiguration()), located
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, located = _located(spark, path)
+    return files.exists(located)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """The names of what lies directly in the folder; none if it doesn't exist."""
+    files, located = _located(spark, path)
+    return sorted(f.getPath().getName() for f in files.listStatus(located)) if files.exists(located) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this library has made."""
+    files, located = _located(spark, path)
+    files.delete(located, True)

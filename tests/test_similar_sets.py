@@ -1,0 +1,116 @@
+"""Pairs of similar sets against all comparisons, and the pairs that the pairwise forms have."""
+
+import random
+from itertools import combinations
+
+import pytest
+from pyspark.sql import functions as F
+
+from fixtures import day, fact, facts, rows
+from rankdrift.operators import exact, minhash, similar_sets
+from rankdrift.plans.views import RESULT_LISTS, result_lists
+
+SF = "/root/testdata/sf0.001"
+
+
+def families(n_sets, seed=1):
+    """Sets of random elements: families with a common core, and exact copies."""
+    draw = random.Random(seed)
+    cores = [draw.sample(range(1, 400), 30) for _ in range(8)]
+    sets = {}
+    for k in range(n_sets):
+        if k and k % 5 == 0:
+            sets[f"s{k:03d}"] = sets[draw.choice(sorted(sets))]
+        else:
+            core = cores[k % 8]
+            sets[f"s{k:03d}"] = frozenset([x for x in core if draw.random() < 0.85] + draw.sample(range(400, 900), draw.randrange(9)))
+    return sets
+
+
+def brute(sets, least):
+    pairs = {}
+    for a, b in combinations(sorted(sets), 2):
+        similarity = 100 * len(sets[a] & sets[b]) // len(sets[a] | sets[b])
+        if similarity >= least:
+            pairs[a, b] = similarity
+    return pairs
+
+
+@pytest.mark.parametrize("least", [50, 75, 100])
+def test_against_all_pairs(spark, least):
+    sets = families(300)
+    df = facts(spark, [fact(name, n, rank=x) for name, own in sets.items() for x in own for n in (1, 2)])
+    df = df.unionByName(df.where("rank % 3 = 0"))  # repeated rows
+    similar = similar_sets.similar_sets(df, least)
+    want = brute(sets, least)
+    assert len(want) > 50
+    every = similar_sets.every_pair(similar)
+    for n in (1, 2):
+        got = every.where(F.col("crawl_date") == F.lit(day(n)))
+        assert {(a, b): s for _, a, b, s in rows(got)} == want and got.count() == len(want)
+    members = {r.device: r for r in similar.members.where(F.col("crawl_date") == F.lit(day(1))).collect()}
+    assert members.keys() == sets.keys()
+    for name, own in sets.items():
+        assert members[name].representative == min(x for x, other in sets.items() if other == own)
+        assert members[name].n == len(own)
+    representatives = {r.representative for r in members.values()}
+    assert all({r.device_a, r.device_b} <= representatives for r in similar.pairs.collect())
+
+
+def test_a_third_of_the_sets_are_equal(spark):
+    """Copies of a set are a class; their pairs are not listed."""
+    copies = [fact(f"c{k:04d}", rank=r) for k in range(1000) for r in (1, 2, 3)]
+    others = [fact(f"o{k:04d}", rank=10 + k) for k in range(2000)]
+    similar = similar_sets.similar_sets(facts(spark, copies + others), 50)
+    assert similar.pairs.count() == 0
+    assert similar.members.where("representative = 'c0000'").count() == 1000
+
+
+def test_null_and_empty_location_differ(spark):
+    df = facts(spark, [fact("a", loc=None), fact("b", loc=""), fact("c", loc=None)])
+    assert rows(similar_sets.similar_sets(df, 20).pairs) == []
+    assert rows(similar_sets.every_pair(similar_sets.similar_sets(df, 20))) == [(day(1), "a", "c", 100)]
+
+
+def test_no_rows(spark):
+    similar = similar_sets.similar_sets(facts(spark, []), 50)
+    assert similar.pairs.count() == 0 and similar.members.count() == 0
+
+
+def test_banding():
+    for least in (20, 50, 75, 90, 99, 100):
+        n_rows, bands = similar_sets.banding(least)
+        assert n_rows * bands <= similar_sets.MOST_HASHES
+        assert (1 - (least / 100) ** n_rows) ** bands <= similar_sets.MISS
+    for wrong in (0, 101, 5):
+        with pytest.raises(ValueError):
+            similar_sets.banding(wrong)
+
+
+def test_plan_joins_bands_not_dates(spark):
+    text = similar_sets.similar_sets(result_lists(spark, SF), 50, cols=RESULT_LISTS).pairs._jdf.queryExecution().toString()
+    assert "_band" in text and "CartesianProduct" not in text and "NestedLoop" not in text
+    optimized = text[text.index("Optimized") : text.index("Physical Plan")]
+    joins = [line for line in optimized.splitlines() if "Join Inner" in line]
+    assert joins and all(line.count("crawl_week") >= 2 and line.count(" = ") >= 2 for line in joins)
+
+
+def test_both_pairwise_forms_have_the_same_rows(spark):
+    """Every two sets of a date, also such that share nothing; a row for a date with one set."""
+    df = facts(spark, [fact("a", 1, url="x"), fact("b", 1, url="y"), fact("c", 1, url="y"), fact("a", 2, url="x")])
+    exactly = sorted(rows(exact.pairwise_exact_similarity(df)), key=str)
+    assert exactly == sorted(
+        [(day(1), "a", "b", 0), (day(1), "a", "c", 0), (day(1), "b", "c", 100), (day(2), "a", None, 0)], key=str
+    )
+    signatures = minhash.minhash_signatures(df)
+    assert sorted(rows(minhash.pairwise_signature_similarity(signatures)), key=str) == exactly
+    empty = signatures.withColumn("sig", F.array().cast("array<bigint>")).where("device = 'a'")
+    assert sorted(rows(minhash.pairwise_signature_similarity(empty))) == [(day(1), None, None, 0), (day(2), None, None, 0)]
+
+
+def test_dates_without_the_named_devices(spark):
+    df = facts(spark, [fact("a", 1), fact("b", 1), fact("c", 2), fact("a", 3)])
+    want = [(day(1), 100), (day(2), 0), (day(3), 0)]
+    assert rows(minhash.minhash_similarity(df, ("a", "b"))) == want
+    assert rows(minhash.minhash_similarity(df, ("b", "a"), modulus=7, semantics="compat")) == want
+    assert rows(exact.exact_similarity(df, ("a", "b"))) == want

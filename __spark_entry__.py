@@ -578,8 +578,8 @@ gone AS (
 
 
 # Days by number: of the calendar of crawled days, or as they come.
-_SOME = f"""some AS (SELECT * FROM r WHERE day(crawl_date) % 4 <> 0),
-calendar AS (SELECT crawl_date, row_number() OVER (ORDER BY crawl_date) AS d FROM (SELECT DISTINCT crawl_date FROM some))"""
+_SOME = f"""some_days AS (SELECT * FROM r WHERE day(crawl_date) % 4 <> 0),
+calendar AS (SELECT crawl_date, row_number() OVER (ORDER BY crawl_date) AS d FROM (SELECT DISTINCT crawl_date FROM some_days))"""
 
 
 def _runs(source: str, number: str = "date_diff('day', DATE '1970-01-01', crawl_date)", extra: str = "") -> str:
@@ -825,14 +825,14 @@ compared AS (
         "keyword_lookup": f"""WITH {_W}, {_kept('event_id, url', source='w')}
             SELECT * FROM cl WHERE keyword IN ('kw7', 'kw11') AND crawl_date >= DATE '{START}'""",
         "url_lookup": f"WITH {_W}, {_kept('event_id, url', source='w')} SELECT * FROM cl WHERE url = 'site3.example/4'",
-        "departure_days_crawled": f"""{_RAW}, {_SOME}, {_runs('some', 'd', 'JOIN calendar USING (crawl_date)')}
+        "departure_days_crawled": f"""{_RAW}, {_SOME}, {_runs('some_days', 'd', 'JOIN calendar USING (crawl_date)')}
             SELECT {_HOLDER}, last_day AS crawl_date FROM runs""",
-        "departure_counts_crawled": f"""{_RAW}, {_SOME}, {_runs('some', 'd', 'JOIN calendar USING (crawl_date)')}
+        "departure_counts_crawled": f"""{_RAW}, {_SOME}, {_runs('some_days', 'd', 'JOIN calendar USING (crawl_date)')}
             SELECT {_HOLDER}, count(*) AS n FROM runs GROUP BY ALL""",
         "top_spot_runs": f"{_RAW}, {_runs('r')} SELECT {_HOLDER}, first_day, last_day, days FROM runs",
-        "top_spot_runs_crawled": f"""{_RAW}, {_SOME}, {_runs('some', 'd', 'JOIN calendar USING (crawl_date)')}
+        "top_spot_runs_crawled": f"""{_RAW}, {_SOME}, {_runs('some_days', 'd', 'JOIN calendar USING (crawl_date)')}
             SELECT {_HOLDER}, first_day, last_day, days FROM runs""",
-        "prev_url_crawled": f"""{_RAW}, {_SOME}, {_kept('event_id, url', source='some')}
+        "prev_url_crawled": f"""{_RAW}, {_SOME}, {_kept('event_id, url', source='some_days')}
             SELECT {_COLUMNS}, CASE WHEN lag(d) OVER w = d - 1 THEN lag(url) OVER w END AS prev_url
             FROM cl JOIN calendar USING (crawl_date) WINDOW w AS (PARTITION BY {_LIST}, "rank" ORDER BY crawl_date)""",
         "departure_days": f"{_RAW}, {_departures('r')} {days}",

@@ -37,7 +37,7 @@ from rankdrift.plans.views import (
 )
 from rankdrift.schema import RANK_COLUMNS, RANK_TABLE_NAME, SIGNATURE_TABLE_NAME, RankColumns
 from rankdrift.session import scratch_dir, tune
-from rankdrift.sources import batch_table, csv_report, rank_table, signature_table
+from rankdrift.sources import batch_table, csv_report, rank_table, signature_table, sketch_table
 from rankdrift.streaming.signatures import maintain_signatures
 
 # The training-data operators and their pipeline may be absent; everything else works without them.
@@ -61,6 +61,8 @@ DEVICES = ("desktop", "smartphone")
 # or of a sketch of 256 entries, and one for cutting off.
 LEAST_SIMILAR = 50
 MINHASH_BOUND, SKETCH_ENTRIES, SKETCH_BOUND = 21, 8, 14
+# Four standard errors of a HyperLogLog sketch of 2 ** 14 registers.
+DISTINCT_BOUND = 0.026
 
 
 def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,6 +120,16 @@ def csv_good_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csv_report.good_rows(_judged_report(spark, sf_dir))
 
 
+def csv_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports of which one has keywords of two lines and quotes, read whole, and the others split."""
+    path, facts = scratch_dir(spark, "reports"), rank_facts(spark, sf_dir)
+    broken = F.concat("keyword", F.lit('\n"'), "market", F.lit('"'))
+    for name, rows, keyword in (("0", "event_id % 3 = 0", broken), ("1", "event_id % 3 > 0", F.col("keyword"))):
+        some = facts.where(rows).select(*(keyword.alias(c) if c == "keyword" else c for c in COLS))
+        some.write.options(header=True, escape='"').csv(f"{path}/{name}")
+    return csv_report.read_rank_csv(spark, f"{path}/*", line_breaks=True)
+
+
 def csv_bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many bad rows there are, the header among them."""
     return csv_report.bad_rows(_judged_report(spark, sf_dir)).agg(F.count("*").alias("n"))
@@ -337,6 +349,36 @@ def wide_minhash_within(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _within(estimate, exact.exact_similarity(facts, DEVICES, cols=WEEKLY), MINHASH_BOUND, WEEKLY)
 
 
+def wide_interval_within(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per week the exact similarity, and if it lies within the bounds of the estimate."""
+    tune(spark)
+    facts = wide_rank_facts(spark, sf_dir)
+    bounds = compare.estimate_intervals(minhash.minhash_signatures(facts, cols=WEEKLY), DEVICES, 0.999, cols=WEEKLY)
+    exactly = exact.exact_similarity(facts, DEVICES, cols=WEEKLY)
+    both = bounds.join(exactly, "crawl_week")
+    return both.select("crawl_week", F.col("similarity").alias("exact"), F.expr("similarity BETWEEN low AND high").alias("within"))
+
+
+def wide_distinct_within(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Elements per device in a part of the month, from stored sketches of days, against the exact number."""
+    path, facts = scratch_dir(spark, "sketches"), wide_rank_facts(spark, sf_dir)
+    sketch_table.write_day_sketches(sketch_table.day_sketches(facts), path)
+    about = sketch_table.distinct_estimate(sketch_table.read_day_sketches(spark, path, START, END), "device")
+    some = cleaning.date_range(facts, START, END).groupBy("device")
+    exactly = some.agg(F.count_distinct(element_text(RANK_COLUMNS.element)).alias("exact"))
+    near = F.abs(F.col("n") - F.col("exact")) <= F.col("exact") * DISTINCT_BOUND
+    return about.join(exactly, "device").select("device", "exact", near.alias("within"))
+
+
+def shipments_frequent_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The most frequent suppliers by sketches of months, with what others may have at most."""
+    path, facts = scratch_dir(spark, "sketches"), shipments(spark, sf_dir)
+    cols = SHIPMENTS_BY_MONTH
+    sketch_table.write_day_sketches(sketch_table.day_sketches(facts, 3, cols=cols), path, cols)
+    sketches = sketch_table.read_day_sketches(spark, path, cols=cols)
+    return sketch_table.frequent_urls(sketches, facts, 3, k=10, cols=cols)
+
+
 def wide_sketch_within(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sketches of sets that are far larger than these."""
     sales = part_sales(spark, sf_dir)
@@ -438,6 +480,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ).members,
         "csv_good_rows": csv_good_rows,
         "csv_bad_rows": csv_bad_rows,
+        "csv_line_breaks": csv_line_breaks,
         "wide_clean": lambda s, d: cleaning.clean_ranks(wide_rank_facts(s, d), ["event_id"]),
         "wide_upsert": lambda s, d: _upserted(s, wide_rank_facts(s, d)),
         "wide_prev_day_url": lambda s, d: top_spot.prev_day_url(
@@ -455,6 +498,8 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "wide_minhash_within": wide_minhash_within,
         "wide_sketch_within": wide_sketch_within,
+        "wide_interval_within": wide_interval_within,
+        "wide_distinct_within": wide_distinct_within,
         "similarity_sketch": lambda s, d: exact.sketch_similarity(rank_facts(s, d)),
         "distinct_elements": lambda s, d: exact.distinct_elements(rank_facts(s, d)),
         "element_hashes": element_hashes,
@@ -479,6 +524,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "shipments_top_suppliers": lambda s, d: urls.top_urls(
             shipments(s, d), 3, k=10, cols=SHIPMENTS_BY_DAY
         ),
+        "shipments_frequent_suppliers": shipments_frequent_suppliers,
         "shipments_departures": lambda s, d: top_spot.departure_counts(
             shipments(s, d), cols=SHIPMENTS_BY_DAY
         ),
@@ -712,6 +758,11 @@ def _shipments() -> dict[str, str]:
     return {
         "shipments_top_suppliers": f"""WITH {_S} SELECT l_suppkey, count(*) AS n FROM s
             WHERE l_linenumber > 3 GROUP BY l_suppkey ORDER BY n DESC, l_suppkey LIMIT 10""",
+        "shipments_frequent_suppliers": f"""WITH {_S},
+            past AS (SELECT l_suppkey FROM s WHERE l_linenumber > 3),
+            total AS (SELECT 2 * CAST(ceil(3.5 * count(*) / 16384) AS BIGINT) AS bound FROM past)
+            SELECT l_suppkey, n, bound, n > bound AS certain
+            FROM (SELECT l_suppkey, count(*) AS n FROM past GROUP BY l_suppkey ORDER BY n DESC, l_suppkey LIMIT 10), total""",
         "shipments_departures": f"""WITH {_S},
             days AS (SELECT DISTINCT {holder}, ship_date FROM s WHERE l_linenumber = 1)
             SELECT {holder}, count(*) AS n FROM (
@@ -861,6 +912,8 @@ compared AS (
         "similar_set_members": f"WITH {_LISTS} SELECT crawl_week, keyword, representative, n FROM members",
         "csv_good_rows": f"{_RAW} SELECT {_COLUMNS} FROM r WHERE event_id % 8 > 4",
         "csv_bad_rows": f"{_RAW} SELECT 1 + count(*) + count(*) FILTER (WHERE event_id % 8 = 4) AS n FROM r WHERE event_id % 8 <= 4",
+        "csv_line_breaks": f"""{_RAW}
+            SELECT * EXCLUDE (event_id, ts) REPLACE (keyword || CASE WHEN event_id % 3 = 0 THEN chr(10) || chr(34) || market || chr(34) ELSE '' END AS keyword) FROM r""",
         "wide_clean": f"WITH {_W}, {_kept('event_id, url', source='w')} SELECT * FROM cl",
         "wide_upsert": f"WITH {_W}, {_kept(_LATEST, source=_UPSERTED.format('w'))} SELECT * FROM cl",
         "wide_prev_day_url": f"""WITH {_W}, {_kept('event_id, url', source='w')} SELECT {_COLUMNS},
@@ -872,6 +925,9 @@ compared AS (
             part AS (SELECT * FROM w WHERE day(crawl_date) % 2 = 0 OR device = 'tablet') {_two_sets('part', 'crawl_date')}""",
         "wide_pairwise_similarity": _pairwise(f"WITH {_W}", "w", "crawl_week", "device", 'keyword, market, loc, "rank", url'),
         "wide_minhash_within": f"WITH {_W} SELECT crawl_week, similarity AS exact, true AS within FROM ({_two_sets('w', 'crawl_week')})",
+        "wide_interval_within": f"WITH {_W} SELECT crawl_week, similarity AS exact, true AS within FROM ({_two_sets('w', 'crawl_week')})",
+        "wide_distinct_within": f"""WITH {_W} SELECT device, count(DISTINCT {_ELEMENT}) AS exact, true AS within
+            FROM w WHERE crawl_date BETWEEN DATE '{START}' AND DATE '{END}' GROUP BY device""",
         "wide_sketch_within": """
             SELECT ship_year, CAST(count(*) FILTER (WHERE n = 2) * 100 // count(*) AS INTEGER) AS exact, true AS within
             FROM (SELECT CAST(date_trunc('year', l_shipdate) AS DATE) AS ship_year, l_linestatus, l_linenumber, l_partkey,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,28 +40,30 @@ def _parsed(field: T.StructField) -> Column:
     return value.try_cast(field.dataType).alias(field.name)
 
 
-def _good() -> Column:
+def _good(whole_fields: bool) -> Column:
     good = F.lit(True)
     for field in RANK_SCHEMA:
         if not field.nullable:
             good = good & _parsed(field).isNotNull()
+        if whole_fields:
+            continue
         # Half of a quoted field that went over two lines.
         marks = F.length(field.name) - F.length(F.replace(F.col(field.name), F.lit('"'), F.lit("")))
         good = good & (F.coalesce(marks, F.lit(0)) % 2 == 0)
     return good & (F.col("rank").try_cast("int") >= 1)
 
 
-def parse_rows(text: DataFrame, on_bad: str = "fail") -> DataFrame:
+def parse_rows(text: DataFrame, on_bad: str = "fail", whole_fields: bool = False) -> DataFrame:
     """Typed rank facts from seven text columns, and ``_corrupt_record`` if there is one.
 
     A row is bad if its date isn't a day written as yyyy-MM-dd, its rank isn't a number from 1 on, a required field is
-    missing, or it has more or fewer than seven fields. Line breaks within quotes aren't supported: both halves of such
-    a row are bad. ``on_bad="fail"`` stops at the first bad row; ``"keep"`` returns its text in ``_bad_row``, which
+    missing, or it has more or fewer than seven fields. Both halves of a row with a line break within quotes are bad,
+    and so is a field with a single quote in it, unless fields are known to be whole. ``on_bad="fail"`` stops at the first bad row; ``"keep"`` returns its text in ``_bad_row``, which
     ``good_rows`` and ``bad_rows`` tell apart.
     """
     if on_bad not in ("fail", "keep"):
         raise ValueError(f"unknown way with bad rows: {on_bad}")
-    good, original = F.coalesce(_good(), F.lit(False)), F.to_csv(F.struct(*RANK_SCHEMA.names))
+    good, original = F.coalesce(_good(whole_fields), F.lit(False)), F.to_csv(F.struct(*RANK_SCHEMA.names))
     if CORRUPT in text.columns:
         good, original = good & F.col(CORRUPT).isNull(), F.coalesce(CORRUPT, original)
     fields = [_parsed(field) for field in RANK_SCHEMA]
@@ -69,12 +73,36 @@ def parse_rows(text: DataFrame, on_bad: str = "fail") -> DataFrame:
     return text.where(F.when(good, True).otherwise(stop.cast("boolean"))).select(*fields)
 
 
-def read_rank_csv(spark: SparkSession, path: str, on_bad: str = "fail") -> DataFrame:
+def read_rank_csv(
+    spark: SparkSession, path: str, on_bad: str = "fail", line_breaks: bool = False
+) -> DataFrame:
     """Rank facts of one or more report files, with the header names replaced.
 
-    Give Spark uncompressed files: a gzip file is read by a single task.
+    Give Spark uncompressed files: a gzip file is read by a single task. So is a file with line breaks within quotes,
+    which needs ``line_breaks``: a first pass over the lines then tells such files from the others, which are still
+    split. In them a quote that is never closed makes one bad row of all that follows.
+    """
+    if not line_breaks:
+        return parse_rows(spark.read.options(**CSV_OPTIONS).schema(TEXT_SCHEMA).csv(path), on_bad)
+    whole, split = files_with_line_breaks(spark, path)
+    reader = spark.read.options(**CSV_OPTIONS).schema(TEXT_SCHEMA)
+    facts = [parse_rows(reader.csv(split), on_bad)] if split or not whole else []
+    if whole:
+        facts.append(parse_rows(reader.option("multiLine", "true").csv(whole), on_bad, whole_fields=True))
+    return facts[0] if len(facts) == 1 else facts[0].unionByName(facts[1])
+
+
+def files_with_line_breaks(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
+    """The report files in which a field goes over several lines, and the others.
+
+    Such a file has a line with an odd number of quotes. The driver holds names of files, as it does for any read.
     """
-    return parse_rows(spark.read.options(**CSV_OPTIONS).schema(TEXT_SCHEMA).csv(path), on_bad)
+    lines = spark.read.text(path)
+    odd = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    found = lines.where(odd % 2 == 1).select(F.input_file_name().alias("file")).distinct()
+    whole = {unquote(row.file) for row in found.toLocalIterator()}
+    every = [unquote(file) for file in lines.inputFiles()]
+    return [f for f in every if f in whole], [f for f in every if f not in whole]
 
 
 def stream_rank_csv(

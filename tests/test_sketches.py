@@ -1,0 +1,109 @@
+"""Daily sketches, bounds of estimates, and reports with line breaks."""
+
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from fixtures import day, fact, facts, rows
+from rankdrift.functions import intervals
+from rankdrift.operators import compare, exact, minhash, urls
+from rankdrift.sources import csv_report, sketch_table
+
+
+def skewed(spark, n=60_000):
+    """URLs by a steep law: a few hold most rows, and there are far more of them than a small sketch keeps."""
+    return spark.range(0, n, 1, 4).select(
+        F.lit("a").alias("keyword"), F.lit("US").alias("market"), F.lit("").alias("loc"),
+        F.when(F.col("id") % 2 == 0, "desktop").otherwise("smartphone").alias("device"),
+        F.date_add(F.lit("2017-07-01").cast("date"), (F.col("id") % 5).cast("int")).alias("crawl_date"),
+        (F.col("id") % 30 + 1).cast("int").alias("rank"),
+        F.concat(F.lit("u"), F.floor(3 / (F.pmod(F.xxhash64("id"), F.lit(100_000)) / 100_000 + 1e-4))).alias("url"),
+    )
+
+
+def test_frequent_urls_are_the_top_urls_where_certain(spark, tmp_path):
+    path, df = str(tmp_path / "s"), skewed(spark).unionByName(skewed(spark, 9000).withColumn("url", F.concat("url", F.lit("x"))))
+    sketch_table.write_day_sketches(sketch_table.day_sketches(df, 10, 200), path)
+    sketch_table.write_day_sketches(sketch_table.day_sketches(df, 10, 200), path)  # replaced, not added
+    past = df.where("rank > 10").count()
+    for start, end in ((None, None), ("2017-07-02", "2017-07-03")):
+        ranks = df if start is None else df.where(f"crawl_date BETWEEN DATE '{start}' AND DATE '{end}'")
+        got = rows(sketch_table.frequent_urls(sketch_table.read_day_sketches(spark, path, start, end), ranks, 10, 20, 200))
+        want = rows(urls.top_urls(ranks, 10, 20))
+        certain = [r[:2] for r in got if r[3]]
+        assert len(certain) >= 2 and certain == want[: len(certain)]
+        assert all(n <= bound for _, n, bound, sure in got if not sure)
+    assert sketch_table.unseen_bound(past, 200) == 2 * math.ceil(3.5 * past / 512)
+
+
+def test_no_rows_past_the_cutoff(spark):
+    df = facts(spark, [fact(rank=1)])
+    assert rows(sketch_table.frequent_urls(sketch_table.day_sketches(df), df)) == []
+    none = facts(spark, [])
+    assert rows(sketch_table.frequent_urls(sketch_table.day_sketches(none), none)) == []
+
+
+def test_distinct_elements_of_a_range(spark):
+    df = skewed(spark).withColumn("keyword", F.concat("url", "rank"))
+    sketches = sketch_table.day_sketches(df)
+    exactly = df.select("keyword", "market", "loc", "rank", "url").distinct().count()
+    ((about,),) = rows(sketch_table.distinct_estimate(sketches))
+    assert abs(about - exactly) <= 0.03 * exactly
+
+
+def test_bounds_are_exact_binomial_ones():
+    for k, confidence in ((10, 0.9), (96, 0.95)):
+        bounds = intervals.agreement_bounds(k, confidence)
+        assert bounds[0][0] == 0 and bounds[k][1] == 100
+        for share in range(0, 101, 7):  # coverage, summed over all outcomes
+            inside = sum(
+                math.comb(k, a) * (share / 100) ** a * (1 - share / 100) ** (k - a)
+                for a, (low, high) in enumerate(bounds) if low <= share <= high
+            )
+            assert inside >= confidence - 1e-9
+    assert intervals.agreement_bounds(10, 0.95)[3] == (6, 66)  # 6.67 % to 65.25 %
+
+
+def test_intervals_hold_on_most_dates(spark):
+    n = spark.range(0, 40_000, 1, 4)
+    df = n.select(
+        F.concat(F.lit("k"), F.col("id")).alias("keyword"), F.lit("US").alias("market"), F.lit("").alias("loc"),
+        F.explode(F.when(F.col("id") % 100 < F.col("id") / 400, F.array(F.lit("a"), F.lit("b"))).otherwise(F.array(F.lit("a")))).alias("device"),
+        F.date_add(F.lit("2017-07-01").cast("date"), (F.col("id") / 400).cast("int")).alias("crawl_date"),
+        F.lit(1).alias("rank"), F.lit("u").alias("url"),
+    )
+    got = compare.estimate_intervals(minhash.minhash_signatures(df), ("a", "b"), 0.9)
+    both = got.join(exact.exact_similarity(df, ("a", "b")), "crawl_date").collect()
+    assert len(both) == 100 and sum(r.low <= r.similarity <= r.high for r in both) >= 85
+    assert all(r.low <= r.estimate <= r.high for r in both)
+
+
+def test_intervals_of_missing_devices_and_wrong_input(spark):
+    df = facts(spark, [fact("a"), fact("b"), fact("a", 2), fact("c", 3)])
+    signatures = minhash.minhash_signatures(df)
+    got = rows(compare.estimate_intervals(signatures, ("a", "b")))
+    assert got == [(day(1), 100, 96, 100), (day(2), 0, 0, 0), (day(3), 0, 0, 0)]
+    with pytest.raises(Exception, match="merge them first"):
+        compare.estimate_intervals(signatures.unionByName(signatures), ("a", "b")).collect()
+    with pytest.raises(Exception, match="another length"):
+        compare.estimate_intervals(minhash.minhash_signatures(df, 8), ("a", "b")).collect()
+    for wrong in ({"devices": ("a",)}, {"devices": ("a", "b", "c")}, {"devices": ("a", "b"), "confidence": 1}):
+        with pytest.raises(ValueError):
+            compare.estimate_intervals(signatures, **wrong)
+
+
+def test_line_breaks_within_quotes(spark, tmp_path):
+    head = "k,m,l,d,c,r,u\n"
+    (tmp_path / "a b%20c.csv").write_text(head + 'x,US,,desktop,2017-07-01,1,u1\n"two\nlines, ""and"" quotes",US,,desktop,2017-07-01,2,u2\n')
+    (tmp_path / "plain.csv").write_text(head + '"y,z",US,,desktop,2017-07-01,3,u3\nx,US,,desktop,2017-07-01,bad,u3\n')
+    (tmp_path / "three.csv").write_text(head + '"1""5\n\nx",US,"CA\n",desktop,2017-07-02,1,u4\n')
+    whole, split = csv_report.files_with_line_breaks(spark, str(tmp_path))
+    assert [w.split("/")[-1] for w in whole] == ["a b%20c.csv", "three.csv"] and split[0].endswith("plain.csv")
+    df = csv_report.read_rank_csv(spark, str(tmp_path), on_bad="keep", line_breaks=True)
+    assert sorted(r.keyword for r in csv_report.good_rows(df).collect()) == ['1"5\n\nx', 'two\nlines, "and" quotes', "x", "y,z"]
+    assert csv_report.bad_rows(df).count() == 1
+    only_plain = csv_report.read_rank_csv(spark, str(tmp_path / "plain.csv"), on_bad="keep", line_breaks=True)
+    assert only_plain.count() == 2
+    # Without the first pass both halves are bad, as before.
+    assert csv_report.good_rows(csv_report.read_rank_csv(spark, str(tmp_path), on_bad="keep")).count() == 2

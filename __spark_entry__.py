@@ -737,8 +737,9 @@ pairs AS (
 _LISTS = """
 l AS (
   SELECT DISTINCT CAST(date_trunc('week', ts) AS DATE) AS crawl_week, 'kw' || user_id || twin AS keyword,
-         row(event_type IN ('signup', 'click'), CAST(props->>'k' AS INTEGER) % 10, CAST(props->>'k' AS INTEGER) // 50) AS e
-  FROM events, (VALUES (''), ('+')) t(twin) WHERE twin = '' OR user_id % 5 = 0),
+         row(event_type IN ('signup', 'click'), CAST(props->>'k' AS INTEGER) % 20, CAST(props->>'k' AS INTEGER) // 25) AS e
+  FROM events, (VALUES (''), ('+'), ('~')) t(twin)
+  WHERE (twin = '' OR user_id % 5 = 0) AND (twin <> '~' OR CAST(props->>'k' AS INTEGER) % 7 <> 0)),
 sets AS (SELECT crawl_week, keyword, count(*) AS n, list(e ORDER BY e) AS es FROM l GROUP BY ALL),
 same AS (SELECT crawl_week, es, min(keyword) AS representative FROM sets GROUP BY ALL),
 members AS (SELECT crawl_week, keyword, representative, n FROM sets JOIN same USING (crawl_week, es))"""

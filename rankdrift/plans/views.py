@@ -74,16 +74,20 @@ def wide_rank_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def result_lists_of(events: DataFrame) -> DataFrame:
-    """Coarse results per keyword and week, a keyword for each user; every fifth one is there under two names."""
+    """Results per keyword and week, a keyword for each user.
+
+    Every fifth one is there under two more names: once the same, once without some of its results.
+    """
     payload = "cast(get_json_object(props, '$.k') as int) AS k"
     return events.selectExpr("ts", "user_id", "event_type", payload).selectExpr(
-        "explode(if(user_id % 5 = 0, array('', '+'), array(''))) AS twin",
+        "explode(if(user_id % 5 = 0, array('', '+', '~'), array(''))) AS twin",
         "user_id",
+        "k",
         "if(event_type IN ('signup', 'click'), 'US-en', 'CA-en') AS market",
         "cast(date_trunc('week', ts) AS date) AS crawl_week",
-        "k % 10 + 1 AS rank",
-        "concat('site', k div 50) AS site",
-    ).selectExpr("concat('kw', user_id, twin) AS keyword", "market", "crawl_week", "rank", "site")
+    ).where("twin <> '~' OR k % 7 <> 0").selectExpr(
+        "concat('kw', user_id, twin) AS keyword", "market", "crawl_week", "k % 20 + 1 AS rank", "concat('site', k div 25) AS site"
+    )
 
 
 def result_lists(spark: SparkSession, sf_dir: str) -> DataFrame:

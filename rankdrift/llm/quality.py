@@ -2,16 +2,16 @@
 
 Fit: a bounded sample of labelled documents (``MOST_LABELLED``, those with the least hash of their id) is turned into
 counts of hashed terms, weighted by TF-IDF and reduced to ``DIMENSIONS`` by a truncated singular value decomposition.
-Terms are the shapes of words, of pairs of neighbouring words, and of repetitions, in a few hundred hash buckets each,
+Terms are the shapes of words (the first 12 signs of a shape), of pairs of neighbouring words, and of repetitions, in a few hundred hash buckets each,
 and the words themselves. What is broadcast, the term weights, the projection and the labelled vectors, has a size
 fixed by these parameters.
 
 Score: every whole document is projected, its cosines with all labelled vectors are computed in blocks, and the
 labels of the ``NEIGHBOURS`` nearest ones vote, each weighted by its similarity.
 
-Defined cases: a text without words (null, empty, white space) gets the share of label 1 among the labelled sample; so
-does every text if there are no labels, with a share of 0.5. Labels that are null, or whose document is missing, are
-not used; of several labels of one document each counts. Rows with a null id are scored, are not held out, and never
+Defined cases: a text without words (null, empty, white space) gets the share of label 1 among the labelled sample, or
+0.5 if there is none. Documents of which none can be learnt from are an error. Labels that are null, or whose document is
+missing or has no words, are not used and take no place in the sample; of several labels of one document each counts. Rows with a null id are scored, are not held out, and never
 used to learn. Repeated rows get the same score. Columns other than the named ones are not read.
 """
 
@@ -127,12 +127,17 @@ def held_out(id_col: str) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = MOST_LABELLED) -> Model:
-    """The model of at most ``most`` labelled documents that aren't held out."""
+    """The model of at most ``most`` labelled documents that aren't held out.
+
+    They are chosen among those that can be learnt from: documents that are there, have a word and a usable label. It is an
+    error if there are documents with words, but none of them can be learnt from.
+    """
     small_batches(docs.sparkSession)
     usable = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out("doc_id"))
+    usable = usable.select(F.col("doc_id"), F.col(label).cast("double").alias("label"))
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).where(F.col("text").rlike(r"[^\x09-\x0D\x1C-\x20]"))
     first = [F.xxhash64("doc_id"), "doc_id", "label"]
-    chosen = usable.select(F.col("doc_id"), F.col(label).cast("double").alias("label")).orderBy(*first).limit(most)
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    chosen = usable.join(texts.select("doc_id"), "doc_id", "left_semi").orderBy(*first).limit(most)
     schema = pa.schema([("doc_id", pa.int64()), ("label", pa.float64()), ("terms", pa.binary())])
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -149,6 +154,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int
         .limit(most)
         .collect()  # ``most`` rows of ``TERMS`` numbers
     )
+    if not rows and not texts.isEmpty():
+        raise ValueError(f"no document can be learnt from: none has a label of {label} outside the held-out third")
     terms = np.array([np.frombuffer(r.terms, "<f4") for r in rows], np.float64).reshape(-1, TERMS)
     return fit(terms, np.array([r.label for r in rows]))
 

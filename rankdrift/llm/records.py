@@ -39,6 +39,8 @@ from rankdrift.llm.common import batches_of, rows_of, shared_folder, small_batch
 from rankdrift.llm.tokens import END_ID, WordEncoder
 
 MASK = 0xA282EAD8
+#: Files that a task which reads records in any order keeps open.
+OPEN_FILES = 32
 _LENGTH, _SUM, _HEAD = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<BqB")
 _INDEX = pa.schema(
     [("doc_id", pa.int64()), ("part", pa.int32()), ("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64())]
@@ -107,7 +109,8 @@ def write_records(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"))
     # Each task closes its file before its last index rows are committed, so an index never names an unfinished file.
-    by_id = rows.repartitionByRange("id").sortWithinPartitions("id", F.xxhash64("text"), "text")
+    # Rows of one id are ranged by their hash, so that an id with many of them fills several files.
+    by_id = rows.repartitionByRange("id", F.xxhash64("text")).sortWithinPartitions("id", F.xxhash64("text"), "text")
     by_id.mapInArrow(write, _INDEX_DDL).write.parquet(f"{folder}/index")
 
 
@@ -139,12 +142,15 @@ def record_digests(index: DataFrame, folder: str) -> DataFrame:
 
 def _read(batches: Iterator[pa.RecordBatch], folder: str, n_kept: int, digest: bool) -> Iterator[pa.RecordBatch]:
     files, root = pyarrow.fs.FileSystem.from_uri(f"{folder}/data")
-    name, data = None, None
+    opened: dict[str, pyarrow.NativeFile] = {}  # the file used last at the end
     for batch in batches:
         out = []
         for row in rows_of([batch]):
-            if row[0] != name:
-                name, data = row[0], files.open_input_file(f"{root}/{row[0]}")
+            if (data := opened.pop(row[0], None)) is None:
+                if len(opened) >= OPEN_FILES:
+                    opened.pop(next(iter(opened))).close()
+                data = files.open_input_file(f"{root}/{row[0]}")
+            opened[row[0]] = data
             data.seek(row[1])
             doc_id, ids = unpack_document(unframe(data.read(row[2])))
             out.append((doc_id, *row[3 : 3 + n_kept], *((len(ids), zlib.crc32(ids.tobytes())) if digest else (ids,))))
@@ -154,6 +160,8 @@ def _read(batches: Iterator[pa.RecordBatch], folder: str, n_kept: int, digest: b
         types += [pa.int64(), pa.int64()] if digest else [pa.list_(pa.int32())]
         columns = list(zip(*out, strict=True)) or [()] * len(names)
         yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names)
+    for data in opened.values():
+        data.close()
 
 
 def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -81,3 +81,20 @@ def test_odd_and_empty_tables(spark, odd_documents, no_documents):
             docs = written(stage(spark, docs, SF), "test-odd")
         kept = {d for r in docs.collect() for d in r.doc_ids}
         assert kept <= {None, *range(10)} - {7} and bool(kept) == bool(rows)
+
+
+def test_near_duplicates_are_judged_by_row(spark):
+    """Unique texts under a repeated id stay, and one of several equal rows."""
+    a, b, c = ("one two three four five six seven eight", "nine ten eleven twelve thirteen fourteen", "red green blue white black grey pink")
+    rows = [(3, a), (5, a), (5, b), (8, c), (8, c), (None, b), (None, "cold warm hot mild dry wet"), (None, "x y"), (9, ""), (9, ""), (10, None)]
+    docs = spark.createDataFrame([(*r, 1, "q") for r in rows], "doc_id long, text string, _row int, component_id string")
+    got = cp.near_duplicate_stage(spark, docs, SF)
+    assert got.columns == docs.columns
+    kept = sorted(((r.doc_id, r.text) for r in got.collect()), key=str)
+    groups = {}
+    for i, text in rows:
+        if text:
+            groups.setdefault({a: "a", b: "b", c: "c"}.get(text, text), []).append((i is None, i or 0, text))
+    want = [(None if none else i, text) for none, i, text in map(min, groups.values())]
+    assert kept == sorted([*want, (9, ""), (9, ""), (10, None)], key=str)
+    assert (5, b) in kept and kept.count((8, c)) == 1

@@ -53,3 +53,19 @@ def test_damage_is_found():
             records.unframe(record[:at] + bytes([record[at] ^ 1]) + record[at + 1 :])
     with pytest.raises(ValueError):
         records.unframe(record[:-1])
+
+
+def test_an_id_with_many_rows_fills_several_files(spark, tmp_path):
+    docs = spark.range(4000).selectExpr("cast(7 AS long) AS doc_id", "concat('text ', id) AS text")
+    folder = f"file://{tmp_path}/records"
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # as if rows were large
+    try:
+        records.write_records(docs, folder)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    index = records.read_index(spark, folder)
+    assert index.select("file").distinct().count() > 2
+    rows = index.orderBy("start").collect()
+    assert rows[0].start == 0 and all(b.start == a.start + a.n_tokens for a, b in zip(rows, rows[1:]))
+    back = records.read_records(index.repartition(3), folder).count()
+    assert back == 4000

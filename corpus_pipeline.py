@@ -3,8 +3,8 @@
 Every stage takes (spark, docs, sf_dir) and works on all rows that the stage before it kept. All but the last return
 the columns of ``documents``. ``run`` writes what a stage returns as Parquet to the shared folder and reads it again.
 
-Defined cases are those of the operators: rows with null ids and with empty or null texts go through all stages, and so
-do repeated rows (a repeated id is one document, whose rows stay or go together). Empty tables give empty tables.
+Defined cases are those of the operators: rows with null ids and with empty or null texts go through all stages. Rows
+are judged one by one, also if they share an id; of repeated rows with words one stays. Empty tables give empty tables.
 """
 
 from __future__ import annotations
@@ -23,10 +23,19 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group of near duplicates."""
-    found = near_duplicates.near_duplicates(docs)
-    removed = written(found.where("NOT kept").select("doc_id"), "removed")
-    return docs.join(removed, "doc_id", "left_anti").select(docs.columns)
+    """One row of each group of near duplicates, that with the least id; rows without an id come last.
+
+    Groups are of rows: of several rows with one id those with other texts are judged by these.
+    """
+    row = "_row" + "_" * max((len(c) for c in docs.columns), default=0)  # no column's name
+    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found = near_duplicates.near_duplicates(numbered.select(row, "text"), row)
+    grouped = found.select(F.col("doc_id").alias(row), "component_id").join(numbered.select(row, "doc_id"), row)
+    grouped = written(grouped, "grouped")
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", row))
+    first = grouped.groupBy("component_id").agg(least[row].alias("first"))
+    removed = written(grouped.join(first, "component_id").where(F.col(row) != F.col("first")).select(row), "removed")
+    return numbered.join(removed, row, "left_anti").select(docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -64,6 +64,102 @@ def test_names_of_states_and_wrappers():
     assert mt.main_text(f"<article><p>{text}</p><div class=adSlot><p>{text}</p></div></article>") == text
 
 
+def neutral(body):
+    return f"<html><body><div class=x0><a href=/>Home</a> <a href=/b>News</a> <a href=/c>Sport</a></div>{body}<div class=x9>© 2024 Example</div></body></html>"
+
+
+LONG_TEXT = "This is a long paragraph with many words in it, and it is the main text of the page, as one can tell from its length."
+COMMENT = "I have read this text with great interest and would like to add that it is quite right in what it says."
+
+
+def test_pages_with_neutral_names():
+    """No article element and no telling names: cues and the text itself decide."""
+    body = f"<div class=x1><h1>A heading of the text</h1><p>{LONG_TEXT}</p><p>Short one.</p><p>{LONG_TEXT}</p></div>"
+    want = f"A heading of the text {LONG_TEXT} Short one. {LONG_TEXT}"
+    assert mt.main_text(neutral(body)) == want
+    for more in (
+        f"<div class=x2><h3>3 comments</h3><div class=x3><p>{COMMENT}</p></div><div class=x3><p>{COMMENT}</p></div></div>",
+        f"<div class=x2><p>Anna, 3 hours ago</p><p>{COMMENT}</p></div>",
+        f"<div class=x4><span>Advertisement</span><p>{COMMENT}</p></div>",
+        "<div class=x5><p>We use cookies to make this site better for all. You can accept them or leave.</p></div>",
+        f"<div class=x6><h4>Commentaires</h4><p>{COMMENT}</p></div>",
+        "<div class=x7><p>Subscribe</p><p>Get our best texts by mail, every day and at no cost to you at all.</p></div>",
+    ):
+        assert mt.main_text(neutral(body + more)) == want, more
+        assert mt.main_text(neutral(more + body)) == want, more
+
+
+def test_words_of_cues_within_sentences_change_nothing():
+    text = "The minister had no comments on the replies, he says, and the advertisement was shown again in the newsletter of the town."
+    assert mt.main_text(neutral(f"<div><p>{LONG_TEXT}</p><p>{text}</p><p>{LONG_TEXT}</p></div>")) == f"{LONG_TEXT} {text} {LONG_TEXT}"
+
+
+def test_whole_pages_against_all_labellings():
+    pick = random.Random(8)
+    pages = [PAGE, neutral(f"<div><p>{LONG_TEXT}</p><p>Yes.</p><div><p>No.</p><a href=x>More</a></div></div>")]
+    for _ in range(40):
+        parts = [pick.choice([f"<p>{LONG_TEXT}</p>", "<p>Short.</p>", "<div><a href=x>link</a></div>", "<ul><li>One<li>Two</ul>", "<article><p>Yes.</p></article>"]) for _ in range(pick.randrange(1, 6))]
+        pages.append("".join(parts))
+    for page in pages:
+        blocks = mt.blocks_of(page)[:14]
+        odds, edges = mt.PLAIN.odds(blocks), mt.edges_of(blocks)
+        best = min(cost(odds, edges, x) for x in itertools.product([False, True], repeat=len(blocks)))
+        assert abs(cost(odds, edges, mt.labels_of(blocks)) - best) < 1e-6
+
+
+def test_long_groups_have_the_same_labels(monkeypatch):
+    pick = random.Random(9)
+    for _ in range(60):
+        n = pick.randint(2, 60)
+        scores = [pick.choice([-2.0, -1.0, -0.3, 0.0, 0.3, 1.0, 2.0]) for _ in range(n)]
+        edges = [(a, a + 1, pick.choice([0.4, 1.5])) for a in range(n - 1)] + [(a, a + 2, 0.3) for a in range(n - 2)]
+        monkeypatch.setattr(mt, "LONG", 10**9)
+        whole = mt.min_cut(scores, edges)
+        monkeypatch.setattr(mt, "LONG", 0)
+        assert mt.min_cut(scores, edges) == whole
+
+
+def test_the_cut_decides(spark, monkeypatch):
+    """On the given pages blocks reach the flow, and some labels are not the sign of the block's own odds."""
+    sf, flow = "/root/testdata/sf0.1", mt._flow_labels
+    model = mt.train(spark.read.parquet(f"{sf}/pages.parquet"))
+    reached = blocks_seen = differ = 0
+
+    def counted(scores, edges):
+        nonlocal reached
+        reached += len(scores)
+        return flow(scores, edges)
+
+    monkeypatch.setattr(mt, "_flow_labels", counted)
+    for (page,) in duckdb.sql(f"SELECT html FROM '{sf}/pages.parquet'").fetchall():
+        blocks = mt.blocks_of(page)
+        odds, labels = model.odds(blocks), mt.labels_of(blocks, model)
+        blocks_seen += len(blocks)
+        differ += sum((x > 0) != content for x, content in zip(odds, labels, strict=True))
+    assert reached > 0.01 * blocks_seen and differ > 0
+
+
+def test_fitted_model_needs_no_names(spark):
+    """Learnt from marked pages, the model tells blocks of pages whose marks were taken away."""
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    model = mt.train(spark.read.parquet("/root/testdata/sf0.01/pages.parquet"))
+    right = n = 0
+    for (page,) in pages.select("html").collect():
+        kinds = mt.examples(mt.blocks_of(page))
+        bare = re.sub(r"<(/?)(article|nav|footer)>", r"<\1div>", page).replace(' class="ad"', "")
+        blocks = mt.blocks_of(bare)
+        assert len(blocks) == len(kinds) and not any(b.parent.main or b.parent.side for b in blocks)
+        labels = mt.labels_of(blocks, model)
+        right += sum(x == (y == 1) for x, y, b in zip(labels, kinds, blocks, strict=True) if y >= 0)
+        n += sum(y >= 0 for y in kinds)
+    assert right >= 0.9 * n
+
+
+def test_few_examples_and_copies_of_a_page(spark):
+    pages = spark.range(500).selectExpr("id AS page_id", "'<article><p>a b c d e f</p></article>' AS html")
+    assert mt.train(pages) is mt.PLAIN and mt.train(pages.where("false")) is mt.PLAIN
+
+
 def test_whole_table(spark):
     sf = "/root/testdata/sf0.01"
     got = {r.page_id: r for r in mt.op5_min_cut_text(spark, sf).collect()}
@@ -78,6 +174,7 @@ def test_odd_pages(spark):
     rows = [(k, None, h, "x", 1) for k, h in enumerate(odd)] + [(None, "u", PAGE, "x", 1)] * 2
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars long")
     got = [(r.page_id, r.text) for r in mt.extract(pages).collect()]
+    assert got == [(r.page_id, r.text) for r in mt.extract(pages, model=mt.PLAIN).collect()]
     assert got[:6] == [(0, ""), (1, ""), (2, ""), (3, got[3][1]), (4, got[4][1]), (5, "")]
     assert got[-1] == got[-2] and got[-1][1].startswith("Title")
     assert len(got) == len(rows)

@@ -3,7 +3,11 @@
 A value found in a text is checked (see ``KINDS``), read as a number below the size of its format, permuted among the
 numbers of that format by a keyed Feistel network, and written back in the same format and at the same place. Equal
 values thus get equal pseudonyms in all documents, whatever separators they are written with; a pseudonym passes the
-same check as its value; and who has the key can undo it (``restore``).
+same check as its value; and who has the key can undo it (``restore``). A date has one pseudonym in all its notations.
+
+One exception: where digits before a value look like the start of a longer value that fails its check, as in an order
+number before a card number, a pseudonym with which the longer one would pass is permuted again. Else it couldn't be
+told where the value begins, and ``restore`` would fail. There the value has another pseudonym than elsewhere.
 
 The Feistel network works on two halves whose sizes multiply to at least the size of the format; numbers beyond that
 size are permuted again until they fall below it. With the network P, a value x becomes P^-1(P(x) + 1), so that no
@@ -11,7 +15,8 @@ value is its own pseudonym.
 
 What is found: card numbers (13 to 19 digits, valid check digit), IBANs (valid check digits), US social security
 numbers, telephone numbers with a country code or in brackets, IPv4 addresses, calendar dates from 1900 to 2099 in
-four notations (with slashes month first, or day first where the first number is no month), also with fields of one digit, the local parts of e-mail addresses, and hexadecimal credentials that are named as such. Other numbers
+four notations (with slashes month first, or day first where the first number is no month), also with fields of one digit,
+the local parts of e-mail addresses, and hexadecimal credentials that are named as such. Other numbers
 are left alone, so a text without such values comes back as it was. An international number ends where its country's
 plan has it end or, without one, where another style of number follows. What fails its check is searched from inside.
 
@@ -23,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import secrets
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from datetime import date, timedelta
@@ -36,8 +42,8 @@ from pyspark.sql import functions as F
 from rankdrift.llm.common import small_batches, table
 
 ROUNDS = 8
-#: Where a session keeps the key. The default is for tests; a production job must set its own.
-KEY_SETTING, TEST_KEY = "spark.rankdrift.pseudonym.key", "no secret: set your own key"
+#: Where a session keeps the key. Set it to link values across sessions, or to restore them in another one.
+KEY_SETTING = "spark.rankdrift.pseudonym.key"
 
 
 class Feistel:
@@ -195,6 +201,11 @@ def _ipv4(value: str, swap: Swap) -> str | None:
 _FIRST, _DAYS = date(1900, 1, 1), (date(2100, 1, 1) - date(1900, 1, 1)).days
 
 
+#: A date is permuted among those whose day and month lie in the same of these ranges, so that every notation that can
+#: write the date can write its pseudonym: with fields of one digit, and with the day first where no month can be meant.
+_DAY_RANGES, _MONTH_RANGES = (range(1, 10), range(10, 13), range(13, 32)), (range(1, 10), range(10, 13))
+
+
 @lru_cache(None)
 def _days_of(days: range, months: range) -> list[int]:
     """The days since the first one of which day and month are in these ranges."""
@@ -210,19 +221,16 @@ def _date(value: str, swap: Swap) -> str | None:
     swapped = not year_first and mark == "/" and int(x) > 12
     month, day = (x, y) if (year_first or mark != ".") and not swapped else (y, x)
     try:
-        n = (date(int(year), int(month), int(day)) - _FIRST).days
+        meant = date(int(year), int(month), int(day))
     except ValueError:
         return None
-    if not 0 <= n < _DAYS:
+    if not 0 <= (n := (meant - _FIRST).days) < _DAYS:
         return None
-    # Fields of one digit, and days that must come first, are formats of their own.
-    widths, first = (len(month), len(day)), 13 if swapped else 1
-    if widths == (2, 2) and not swapped:
-        new = _FIRST + timedelta(swap("date", _DAYS, n))
-    else:
-        days = _days_of(range(first, 32 if widths[1] == 2 else 10), range(1, 13 if widths[0] == 2 else 10))
-        new = _FIRST + timedelta(days[swap(f"date{widths}{first}", len(days), bisect_left(days, n))])
-    month, day = f"{new.month:0{widths[0]}d}", f"{new.day:0{widths[1]}d}"
+    days_in = next(r for r in _DAY_RANGES if meant.day in r)
+    months_in = next(r for r in _MONTH_RANGES if meant.month in r)
+    among = _days_of(days_in, months_in)
+    new = _FIRST + timedelta(among[swap(f"date{days_in}{months_in}", len(among), bisect_left(among, n))])
+    month, day = f"{new.month:0{len(month)}d}", f"{new.day:0{len(day)}d}"
     if year_first:
         return f"{new.year}{mark}{month}{mark}{day}"
     x, y = (month, day) if mark != "." and not swapped else (day, month)
@@ -364,7 +372,10 @@ class Pseudonymiser:
 
 
 def key_of(spark: SparkSession) -> str:
-    return spark.conf.get(KEY_SETTING, TEST_KEY)
+    """The session's key. Without a setting one is drawn at random and kept in the session."""
+    if not spark.conf.get(KEY_SETTING, None):
+        spark.conf.set(KEY_SETTING, secrets.token_hex(32))
+    return spark.conf.get(KEY_SETTING)
 
 
 def _udf(key: str, back: bool):
@@ -380,7 +391,7 @@ def _udf(key: str, back: bool):
 def pseudonymised(docs: DataFrame, key: str, text_col: str = "text", count: str | None = None, back: bool = False) -> DataFrame:
     """``docs`` with pseudonyms in its texts; with ``count``, also a column of that name with the number of values."""
     small_batches(docs.sparkSession)
-    found = "_pseudonymised"
+    found = "_pseudonymised" + "_" * max(map(len, docs.columns))  # no column's name
     out = docs.withColumn(found, _udf(key, back)(F.col(text_col).cast("string")))
     out = out.withColumn(text_col, F.col(f"{found}.text"))
     if count:

@@ -1,5 +1,6 @@
 import random
 import re
+from datetime import date, timedelta
 
 import duckdb
 import pytest
@@ -101,6 +102,47 @@ def test_dates_before_a_time():
     assert n == 1 and new == ps.Pseudonymiser("key").replace("2021-03-04")[0] + "T10:00:00Z"
 
 
+def test_every_date_of_a_year_has_one_pseudonym_in_all_notations():
+    """Against a list of the notations: one pseudonym for a date, no date's twice, and none its own."""
+    p, seen = ps.Pseudonymiser("key"), {}
+    for n in range(366):
+        d = date(1980, 1, 1) + timedelta(n)
+        forms = [f"{d:%Y-%m-%d}", f"{d:%Y/%m/%d}", f"{d:%m/%d/%Y}", f"{d:%d.%m.%Y}", f"{d.year}-{d.month}-{d.day}", f"{d.month}/{d.day}/{d.year}", f"{d.day}.{d.month}.{d.year}"]
+        if d.day > 12:
+            forms += [f"{d:%d/%m/%Y}", f"{d.day}/{d.month}/{d.year}"]
+        read = set()
+        for k, form in enumerate(forms):
+            new, found = p.replace(form)
+            assert found == 1 and p.replace(new, back=True)[0] == form
+            parts = [int(x) for x in re.split(r"\D", new)]
+            order = ["ymd", "ymd", "mdy", "dmy", "ymd", "mdy", "dmy", "dmy", "dmy"][k]
+            read.add(tuple(parts[order.index(c)] for c in "ymd"))
+        (one,) = read
+        assert one != (d.year, d.month, d.day)
+        seen.setdefault(one, []).append(d)
+    assert all(len(days) == 1 for days in seen.values())
+
+
+@pytest.mark.parametrize("kind", range(6))
+def test_date_classes_are_permuted_among_themselves(kind):
+    days, months = ps._DAY_RANGES[kind % 3], ps._MONTH_RANGES[kind // 3]
+    among, swap = ps._days_of(days, months), ps.Feistel("key").swap
+    images = [swap("d", len(among), k) for k in range(0, len(among))] if len(among) < 12_000 else []
+    assert sorted(images) in ([], list(range(len(among))))
+    assert sum(len(ps._days_of(d, m)) for d in ps._DAY_RANGES for m in ps._MONTH_RANGES) == ps._DAYS
+
+
+def test_a_session_without_a_key_draws_one(spark):
+    assert spark.conf.get(ps.KEY_SETTING, None) is None or len(ps.key_of(spark)) >= 16
+    assert ps.key_of(spark) == ps.key_of(spark) and len(ps.key_of(spark)) >= 32
+
+
+def test_own_columns_stay(spark):
+    docs = spark.createDataFrame([("Mail a.b@x.org", 1, 2)], "text string, _pseudonymised int, n int")
+    (row,) = ps.pseudonymised(docs, "key", count="n_values").collect()
+    assert row._pseudonymised == 1 and row.n == 2 and row.n_values == 1
+
+
 def test_days_first_are_permuted_among_themselves():
     p = ps.Pseudonymiser("key")
     dates = [f"{d}/{m:02d}/{y}" for d in range(13, 29) for m in range(1, 13) for y in range(1990, 2000)]

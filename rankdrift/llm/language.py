@@ -1,7 +1,8 @@
 """Language by Bayesian fusion of a text's likelihood with what its markup, address and host say.
 
 Text: a naive Bayes model over hashed byte trigrams, learnt from documents whose language is given, with one grouped
-sum over languages and buckets. Every language that occurs is learnt; each takes 64 KB of the driver and of each worker. Its log likelihoods are tempered (``TEMPER``), as neighbouring trigrams share bytes.
+sum over languages and buckets. A language is known by the first part of its tag, in small letters, so en-US and en-GB are
+one. Every language that occurs is learnt; each takes 64 KB of the driver and of each worker. Its log likelihoods are tempered (``TEMPER``), as neighbouring trigrams share bytes.
 
 Further evidence is learnt from the table at hand by grouped sums of the text's posteriors, so no list of hosts or country
 codes is needed: how often each language's texts declare a language in their markup, how often they have an address
@@ -60,7 +61,8 @@ def trigrams(text: str | None) -> np.ndarray:
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> TextModel:
     """The text model of all documents with a language."""
     small_batches(docs.sparkSession)
-    rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).where("lang IS NOT NULL")
+    primary = F.lower(F.regexp_extract(F.trim(F.col(lang_col).cast("string")), r"^([^-_\s]+)", 1))
+    rows = docs.select(primary.alias("lang"), F.col(text_col).cast("string").alias("text")).where("lang <> ''")
     found = sorted((r.lang, r.n) for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect())
     languages = [lang for lang, _ in found]
     schema = pa.schema([("lang", pa.string()), ("bucket", pa.int32()), ("n", pa.int64())])
@@ -143,12 +145,15 @@ def identify(rows: DataFrame, model: TextModel) -> DataFrame:
     """``rows`` (text, declared, suffix, host, and columns of their own) with language, probability and text_language in place of the text."""
     n, names = len(model.languages), F.array(*map(F.lit, model.languages))
     own = [c for c in rows.columns if c not in ("text", "declared", "suffix", "host")]
+    # In one column meanwhile, so that they can have any names.
+    kept = F.struct(*own) if own else F.lit(None).cast("int")
+    back = [F.col("own")[c].alias(c) for c in own]
     if not n:
         nothing = F.lit(None)
         return rows.select(*own, nothing.cast("string").alias("language"), nothing.cast("double").alias("probability"), nothing.cast("string").alias("text_language"))
     prior = _array(model.log_prior)
     domain = F.coalesce(F.nullif(F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1), F.lit("")), F.col("host"))
-    told = rows.select(*own, "declared", "suffix", "host", domain.alias("domain"), _likelihoods(model)(F.col("text")).alias("l"))
+    told = rows.select(kept.alias("own"), "declared", "suffix", "host", domain.alias("domain"), _likelihoods(model)(F.col("text")).alias("l"))
     told = written(told.withColumn("q", _softmax(_add(F.col("l"), prior))), "likelihoods")
 
     everywhere = _array((_total(told, "q", n) + 1) / (told.count() + n))
@@ -172,7 +177,7 @@ def identify(rows: DataFrame, model: TextModel) -> DataFrame:
     logs = _add(F.col("l"), F.coalesce("p_declared", nothing), F.coalesce("p_suffix", nothing), F.col("by_host"))
     told = told.withColumn("logs", logs).withColumn("p", _softmax(F.col("logs")))
     best = lambda c: F.element_at(names, F.array_position(c, F.array_max(c)).cast("int"))
-    return told.select(*own, best("p").alias("language"), F.array_max("p").alias("probability"), best("q").alias("text_language"))
+    return told.select(*back, best("p").alias("language"), F.array_max("p").alias("probability"), best("q").alias("text_language"))
 
 
 def op2_language_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -52,7 +52,7 @@ def test_fusion_against_loops(spark, model):
         for k in range(40)
     ]
     df = spark.createDataFrame([(k, *r, "z", "z") for k, r in enumerate(rows)], "id long, text string, declared string, suffix string, host string, l string, q string")
-    got = {r.id: r for r in la.identify(df.drop("l", "q"), model).collect()}
+    got = {r.id: r for r in la.identify(df, model).collect()}
     for k, p in enumerate(brute(model, rows)):
         assert got[k].language == model.languages[int(p.argmax())] and abs(got[k].probability - p.max()) < 1e-9
 
@@ -130,3 +130,15 @@ def test_query(spark):
     own = [r for r in got if r.doc_id is not None]
     assert len(own) == docs.count()
     assert sum(r.language == r.lang for r in own) >= 0.98 * len(own)
+
+
+def test_own_columns_may_have_any_names(spark):
+    docs = spark.createDataFrame([("en", EN), ("fr", FR)], "lang string, text string")
+    rows = docs.selectExpr("text", "lang AS declared", "lang AS suffix", "lang AS host", "lang AS q", "1 AS l", "2 AS domain", "3 AS p", "4 AS logs", "5 AS own")
+    got = la.identify(rows, la.train(docs)).collect()
+    assert all((r.q, r.l, r.domain, r.p, r.logs, r.own) == (r.language, 1, 2, 3, 4, 5) for r in got) and len(got) == 2
+
+
+def test_tags_count_by_their_first_part(spark):
+    docs = spark.createDataFrame([("en-US", EN), ("EN_gb", EN), (" en ", EN), ("fr-CA", FR), ("", FR), (None, FR)], "lang string, text string")
+    assert la.train(docs).languages == ["en", "fr"]

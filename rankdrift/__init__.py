@@ -49,30 +49,46 @@ from rankdrift.sources.signature_table import (
     write_signature_part,
 )
 from rankdrift.streaming.signatures import maintain_signatures
+from rankdrift.operators.compare import estimate_intervals
+from rankdrift.operators.similar_sets import SimilarSets, every_pair, similar_sets
+from rankdrift.operators.top_spot import crawl_days, top_spot_runs
+from rankdrift.sources.batch_table import read_batch_table, remove_superseded, upsert_batch
+from rankdrift.sources.rank_table import LoadCounts, find_ranks, load_rank_table
+from rankdrift.sources.sketch_table import day_sketches, distinct_estimate, frequent_urls, read_day_sketches, write_day_sketches
 
 __all__ = [
     "DEVICES",
+    "LoadCounts",
     "RANK_COLUMNS",
     "RANK_SCHEMA",
     "RankColumns",
     "SIGNATURE_SCHEMA",
+    "SimilarSets",
     "analyses",
     "bad_rows",
     "clean_ranks",
     "compact_signatures",
     "compat_signatures",
+    "crawl_days",
     "date_range",
+    "day_sketches",
     "departure_counts",
     "departure_days",
     "departure_days_anti_join",
     "distinct_elements",
+    "distinct_estimate",
     "drop_duplicate_keys",
     "duplicate_keys",
     "estimate_error",
+    "estimate_intervals",
     "estimate_vs_exact",
+    "every_pair",
     "exact_similarity",
     "fill_location",
+    "find_ranks",
+    "frequent_urls",
     "good_rows",
+    "load_rank_table",
     "load_ranks",
     "maintain_signatures",
     "merge_signature_rows",
@@ -82,23 +98,30 @@ __all__ = [
     "pairwise_exact_similarity",
     "pairwise_signature_similarity",
     "prev_day_url",
+    "read_batch_table",
+    "read_day_sketches",
     "read_rank_csv",
     "read_rank_table",
     "read_signatures",
+    "remove_superseded",
     "report_lines",
     "run_report",
     "signature_pairs",
     "signature_settings",
     "signature_similarity",
+    "similar_sets",
     "similarity_report",
     "sketch_similarity",
     "stream_rank_csv",
     "top_spot_changes",
     "top_spot_departures",
+    "top_spot_runs",
     "top_urls",
     "tune",
+    "upsert_batch",
     "upsert_rank_table",
     "url_counts",
+    "write_day_sketches",
     "write_rank_table",
     "write_signature_part",
 ]

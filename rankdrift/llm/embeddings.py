@@ -1,33 +1,38 @@
 """Near duplicates of embeddings: iterative quantisation, multi-index Hamming tables, reranking with the vectors.
 
-Fit: a bounded sample (``MOST_FITTED``, the vectors with the least hash of their id) gives a projection and a rotation that
-takes the unit vectors close to the corners of a cube (Gong and Lazebnik 2011). The signs are a code of 64 balanced bits.
-
-Clusters: codes are cut into ``TABLES`` substrings, and each vector is compared with the least id that shares one. Vectors
-within half of the link angle of a common leader are a cluster; any two of them are linked by the triangle inequality,
-so a group of copies is counted without looking at its pairs.
-
-Retrieval: in each table a cluster is filed under the substrings of its vectors and those with one bit changed; clusters
-that meet, so by codes of which a substring differs in two bits at most, are candidates. Reranking takes the cosine
-of their leaders in double precision. With the clusters' radii it says that all, none or some of the members are
-linked; only in the last case are members compared, vector by vector. No pair below the least cosine is linked.
-
-Codes are signs of the vectors less their mean, so that bits are balanced; links are by the cosine of the vectors
-themselves. The sample says how far apart a pair at the lowest cosine that links lies after centring (its distance is the
-same, its norm is smaller). From that angle follow the least distance of codes that rules a pair out, and how many
-rotations, of ``TABLES`` tables each, find ``LEAST_FOUND`` of such pairs, if bits differ independently: one for vectors
-without a common mean, more the larger it is. If ``MOST_ROTATIONS`` aren't enough, all pairs of clusters are compared.
+Fit: a bounded sample (``MOST_FITTED``, the vectors with the least hash of their id) gives a projection and rotations that
+take the unit vectors close to the corners of a cube (Gong and Lazebnik 2011). The signs are a code, ``BITS`` bits for each
+rotation. Vectors are compared with those of their own length only. A length with ``LEAST_FITTED`` vectors in the sample
+has a fit of its own; the signs of rarer lengths are taken along directions drawn from the length.
+
+Tables: the code is cut into substrings, if need be in several orders of its bits, and vectors that share one are candidates. How wide substrings are and how many
+there are follows from the number of vectors and from the sample (``plan``): the cheapest width with which ``LEAST_FOUND`` of
+the pairs at the lowest cosine that links meet, if bits differ independently. Codes are signs of the vectors less their mean,
+so that bits are balanced, or of the vectors themselves, whichever is cheaper. The former takes a pair further apart, as its
+distance is the same and its norms are smaller, and both are reckoned with. Beyond a mean of about 0.9 of the squared norm
+nearly all pairs are links, and as many candidates are looked at.
+
+Clusters: each vector is compared with the first one that shares a substring with it. Vectors within half of the link angle
+of a common leader are a cluster; any two of them are linked by the triangle inequality, so a group of copies is
+counted without looking at its pairs.
+
+Retrieval: a cluster is filed under the substrings of all its vectors, and clusters that meet are candidates. Reranking
+takes the cosine of their leaders in double precision. With the clusters' radii it says that all, none or some of the
+members are linked; only in the last case are members compared, vector by vector. No pair below the least cosine is linked.
 ``tests/llm/test_embeddings.py`` measures recall against brute force, with and without a common mean.
 
-Defined cases: vectors that are null, zero, of another than the most common length, or with null or non-finite
-components link with nothing. Rows with the same id count as one vector and are returned as often as they come. A null id
-gets a null component and is kept. Other columns are not read. An empty table gives no rows.
+Defined cases: vectors that are null, zero, or with null or non-finite components link with nothing, nor do those with a
+null id, which get a null component and are kept. Repeated rows count as one vector and are returned as often as they come.
+Different vectors of one id are vectors of their own that belong to one component; the id's number of links is the sum of
+theirs. Other columns are not read. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import acos, comb, cos
+from functools import lru_cache
+from math import acos, ceil, comb, cos, log, pi
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -37,22 +42,43 @@ from pyspark.sql import types as T
 
 from rankdrift.llm.common import components, small_batches, table, written
 
-LEAST, BITS, TABLES, MOST_FITTED, ROUNDS = 0.9, 64, 4, 10_000, 50
-WIDTH = BITS // TABLES
-#: Share of the pairs at the least cosine that the tables shall find; rotations at most, beyond which all pairs are compared.
-LEAST_FOUND, MOST_ROTATIONS = 0.96, 12
-#: Share of the pairs at the least cosine that the distance of whole codes may rule out.
+LEAST, BITS, MOST_FITTED, LEAST_FITTED, ROUNDS = 0.9, 64, 10_000, 500, 50
+#: Share of the pairs at the least cosine that the tables shall find; rotations and tables at most.
+LEAST_FOUND, MOST_ROTATIONS, MOST_TABLES = 0.98, 16, 8192
+#: Widths of substrings to choose from; what filing a vector in a table costs, in candidates looked at.
+WIDTHS, FILING = range(2, 41), 8
+#: Share of the pairs at the least cosine that the distance of a code may rule out.
 RULED_OUT = 1e-4
 #: Slack for rounding of angles.
 TINY = 1e-7
+#: Filed keys that a task makes from its vectors.
+KEYS_A_TASK = 2_000_000
 
 
-def fit_codes(sample: np.ndarray, bits: int = BITS, rounds: int = ROUNDS, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
-    """Mean and projection of iterative quantisation on unit vectors: codes are the signs of (x - mean) @ projection."""
+class Plan(NamedTuple):
+    """``tables`` substrings of ``width`` bits, and the distance of first codes beyond which a pair isn't looked at."""
+
+    centred: bool
+    width: int
+    tables: int
+    radius: int
+
+    @property
+    def rotations(self) -> int:
+        return min(MOST_ROTATIONS, ceil(self.tables * self.width / BITS))
+
+    def positions(self) -> np.ndarray:
+        """The bits of each table's substring. When the code is used up, it is shuffled and cut anew."""
+        bits = self.rotations * BITS
+        order = (np.random.default_rng(k).permutation(bits) if k else np.arange(bits) for k in range(ceil(self.tables / (bits // self.width))))
+        cut = [bit[: bits // self.width * self.width].reshape(-1, self.width) for bit in order]
+        return np.concatenate(cut)[: self.tables]
+
+
+def fit_codes(x: np.ndarray, bits: int = BITS, rounds: int = ROUNDS, seed: int = 5) -> np.ndarray:
+    """The projection of iterative quantisation on the rows of ``x``: codes are the signs of x @ projection."""
     draw = np.random.default_rng(seed)
-    dim = sample.shape[1]
-    mean = sample.mean(axis=0) if len(sample) else np.zeros(dim)
-    x = sample - mean
+    dim = x.shape[1]
     _, axes = np.linalg.eigh(x.T @ x)
     columns, left = [], bits
     while left:  # with fewer dimensions than bits, several rotations
@@ -60,12 +86,12 @@ def fit_codes(sample: np.ndarray, bits: int = BITS, rounds: int = ROUNDS, seed:
         project = axes[:, ::-1][:, :n]
         rotation, _ = np.linalg.qr(draw.standard_normal((n, n)))
         reduced = x @ project
-        for _ in range(rounds if len(sample) else 0):
+        for _ in range(rounds):
             u, _, vt = np.linalg.svd(np.where(reduced @ rotation > 0, 1.0, -1.0).T @ reduced)
             rotation = (u @ vt).T
         columns.append(project @ rotation)
         left -= n
-    return mean, np.concatenate(columns, axis=1)
+    return np.concatenate(columns, axis=1)
 
 
 def _at_most(differ: np.ndarray, n: int, most: int) -> np.ndarray:
@@ -73,82 +99,120 @@ def _at_most(differ: np.ndarray, n: int, most: int) -> np.ndarray:
     return sum(comb(n, k) * differ**k * (1 - differ) ** (n - k) for k in range(most + 1))
 
 
-def needed(sample: np.ndarray, mean: np.ndarray, least: float) -> tuple[int | None, int]:
-    """Rotations that find ``LEAST_FOUND`` of the pairs at the cosine ``least`` (none if it takes too many), and the radius of codes."""
-    if not len(sample):
-        return 1, BITS
-    around = np.maximum(((sample - mean) ** 2).sum(axis=1), 1e-300)
-    differ = np.arccos(np.clip(1 - (1 - least) / around, -1, 1)) / np.pi
-    # Vectors near the mean are the hardest; the radius is theirs.
-    hardest = np.quantile(differ, 0.99, method="higher")
-    radius = next(k for k in range(BITS + 1) if k == BITS or 1 - _at_most(hardest, BITS, k) <= RULED_OUT)
-    missed = (1 - _at_most(differ, WIDTH, 2)) ** TABLES
-    enough = (n for n in range(1, MOST_ROTATIONS + 1) if 1 - (missed**n).mean() >= LEAST_FOUND)
-    return next(enough, None), radius
+def plan(samples: list[np.ndarray], rows: int, least: float) -> Plan:
+    """The cheapest tables for ``rows`` vectors that find ``LEAST_FOUND`` of the pairs at the cosine ``least`` in each sample."""
+    plain = [np.array([acos(least) / pi])] * (len(samples) + 1)  # the last for lengths without a sample
+    spread = [np.maximum(((x - x.mean(axis=0)) ** 2).sum(axis=1), 1e-300) for x in samples]
+    apart = [np.arccos(np.clip(1 - (1 - least) / around, -1, 1)) / pi for around in spread]
+    # Two vectors at random: a bit of theirs is the same with one minus their angle, in parts of pi.
+    alike = max((1 - acos(min(1.0, float((x.mean(axis=0) ** 2).sum()))) / pi for x in samples), default=0.5)
+    plans = []
+    for centred, differ, same in ((True, [*apart, plain[-1]], 0.5), (False, plain, max(alike, 0.5))):
+        # Vectors near the mean are the hardest; the radius is theirs.
+        hardest = max(float(np.quantile(d, 0.99, method="higher")) for d in differ)
+        radius = next(k for k in range(BITS + 1) if k == BITS or 1 - _at_most(hardest, BITS, k) <= RULED_OUT)
+        for width in WIDTHS:
+            tables = max(_tables(d, width) for d in differ)
+            if tables <= MOST_TABLES:
+                plans.append((tables * (FILING + rows * same**width / 2), Plan(centred, width, tables, radius)))
+    return min(plans)[1]
+
+
+def _tables(differ: np.ndarray, width: int) -> int:
+    """How many substrings find ``LEAST_FOUND`` of pairs whose bits differ with these chances; more than ``MOST_TABLES`` if too many."""
+    # Substrings cut from the same bits: the share of bits that differ varies around the chance.
+    off = np.sqrt(differ * (1 - differ) / (MOST_ROTATIONS * BITS))
+    shared = np.concatenate([(1 - np.clip(differ + z * off, 0, 1)) ** width for z in (-1.5, -0.75, 0, 0.75, 1.5)])
+    low, high = 1, MOST_TABLES + 1
+    while low < high:
+        middle = (low + high) // 2
+        low, high = (low, middle) if 1 - ((1 - shared) ** middle).mean() >= LEAST_FOUND else (middle + 1, high)
+    return low
 
 
 def unit_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """vec_id and unit (array<double>) of the vectors that can link, one for each id."""
+    """id, size and unit (array<double>) of the different vectors that can link."""
     values = F.col(vector_col).cast("array<double>")
-    rows = vectors.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("vec_id"), values.alias("v"))
+    rows = vectors.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), values.alias("v"))
     # The largest component first, so that squares neither overflow nor vanish.
     finite = F.forall("v", lambda x: F.coalesce((F.abs(x) < float("inf")) & ~F.isnan(x), F.lit(False)))
     rows = rows.where(F.col("v").isNotNull() & (F.size("v") > 0) & finite)
     rows = rows.withColumn("top", F.array_max(F.transform("v", lambda x: F.abs(x)))).where("top > 0")
-    sizes = rows.groupBy(F.size("v").alias("size")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.desc("size")).first()
-    rows = rows.where(F.size("v") == sizes["size"]) if sizes else rows
-    rows = rows.groupBy("vec_id").agg(F.min(F.transform("v", lambda x: x / F.col("top"))).alias("v"))
+    rows = rows.select("id", F.transform("v", lambda x: x / F.col("top")).alias("v")).distinct()
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
-    return rows.withColumn("norm", norm).select("vec_id", F.transform("v", lambda x: x / F.col("norm")).alias("unit"))
+    unit = F.transform("v", lambda x: x / F.col("norm"))
+    return rows.withColumn("norm", norm).select("id", F.size("v").alias("size"), unit.alias("unit"))
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()) if len(column) else np.zeros((0, 1))
 
 
-def _coder(mean: np.ndarray, projections: list[np.ndarray]):
-    """The codes of a vector, one for each projection."""
-    projection = np.concatenate(projections, axis=1)
+def _by_size(units: pd.Series) -> Iterator[tuple[int, np.ndarray]]:
+    """The lengths of vectors and where vectors of each length are."""
+    sizes = units.map(len).to_numpy()
+    return ((int(size), np.flatnonzero(sizes == size)) for size in np.unique(sizes))
+
+
+@lru_cache(maxsize=64)
+def _drawn(size: int, rotation: int) -> np.ndarray:
+    return np.random.default_rng([size, rotation]).standard_normal((size, BITS))
 
-    def code(units: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for column in units:
-            bits = (_matrix(column) - mean) @ projection > 0 if len(column) else np.zeros((0, projection.shape[1]), bool)
-            codes = np.packbits(bits, axis=1).view(">i8").astype("i8")
-            yield pd.Series(list(codes), dtype=object)
 
-    return F.pandas_udf(code, T.ArrayType(T.LongType()))
+def _coder(fits: dict[int, tuple[np.ndarray, list[np.ndarray]]], tables: Plan):
+    """The first code of a vector and its substrings, each with the number of its table above it."""
+    positions = tables.positions()
+    powers = 1 << np.arange(tables.width, dtype="i8")
+    above = np.arange(tables.tables, dtype="i8") << tables.width
+
+    def code(columns: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for units in columns:
+            codes = np.zeros(len(units), "i8")
+            keys = np.zeros((len(units), tables.tables), "i8")
+            for size, every in _by_size(units):
+                mean, projections = fits.get(size, (0.0, None))
+                for at in np.array_split(every, ceil(len(every) / 1000)):
+                    x = _matrix(units.iloc[at]) - mean
+                    bits = np.concatenate(
+                        [x @ (projections[k] if projections else _drawn(size, k)) > 0 for k in range(tables.rotations)], axis=1
+                    )
+                    codes[at] = np.packbits(bits[:, :BITS], axis=1).view(">i8")[:, 0]
+                    for k, substring in enumerate(positions):
+                        keys[at, k] = bits[:, substring] @ powers
+            yield pd.DataFrame({"code": codes, "keys": list(keys + above)})
+
+    return F.pandas_udf(code, "code long, keys array<long>")
 
 
 def _cosine(a: Column | str, b: Column | str) -> Column:
     def dot(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for x, y in pairs:
-            yield pd.Series(np.einsum("ij,ij->i", _matrix(x), _matrix(y)))
+            out = np.zeros(len(x))
+            for _, at in _by_size(x):
+                out[at] = np.einsum("ij,ij->i", _matrix(x.iloc[at]), _matrix(y.iloc[at]))
+            yield pd.Series(out)
 
     return F.pandas_udf(dot, T.DoubleType())(a, b)
 
 
-def _substring(code: Column, k: int) -> Column:
-    """The k-th substring of the code, with the number of its table above it."""
-    return F.shiftrightunsigned(code, k * WIDTH).bitwiseAND(F.lit((1 << WIDTH) - 1)) + F.lit(k << WIDTH)
-
-
 def _with_vectors(pairs: DataFrame, vectors: DataFrame, *sides: str) -> DataFrame:
     for side in sides:
         pairs = pairs.join(vectors.select(F.col("vec_id").alias(side), F.col("unit").alias(f"unit_{side}")), side)
     return pairs
 
 
-def clusters(vectors: DataFrame, tight: float, rounds: int = 2) -> DataFrame:
-    """For each vector its cluster (the leader's id, least of its members') and its cosine with the leader, ``tight`` at least.
+def clusters(vectors: DataFrame, tables: Plan, tight: float, rounds: int = 2) -> DataFrame:
+    """For each vector its cluster (the leader's number, least of its members') and its cosine with the leader, ``tight`` at least.
 
-    ``vectors`` has vec_id, unit and code. Vectors without a leader are clusters of their own.
+    ``vectors`` has vec_id, size, unit and keys. Vectors without a leader are clusters of their own.
     """
+    # As many tables as find nine in ten of the vectors at that cosine.
+    enough = min(tables.tables, ceil(log(0.1) / log(1 - min(1 - acos(tight) / pi, 0.99) ** tables.width)))
     found, left = [], vectors
     for _ in range(rounds):
-        keys = F.array(*(_substring(F.col("code"), k) for k in range(TABLES)))
-        filed = left.select("vec_id", "code", F.explode(keys).alias("key"))
-        first = filed.groupBy("key").agg(F.min("vec_id").alias("a"))
-        pairs = filed.join(first, "key").where("vec_id <> a").select("a", F.col("vec_id").alias("b")).distinct()
+        filed = _spread(left.select("vec_id", "size", F.slice("keys", 1, enough).alias("keys")), enough).select("vec_id", "size", F.explode("keys").alias("key"))
+        first = filed.groupBy("size", "key").agg(F.min("vec_id").alias("a"))
+        pairs = filed.join(first, ["size", "key"]).where("vec_id <> a").select("a", F.col("vec_id").alias("b")).distinct()
         near = _with_vectors(pairs, left, "a", "b").where(_cosine("unit_a", "unit_b") >= tight)
         group = written(components(written(near.select("a", "b"), "near")), "tight")
         led = _with_vectors(group.select(F.col("node").alias("b"), F.col("component").alias("a")), left, "a", "b")
@@ -161,49 +225,46 @@ def clusters(vectors: DataFrame, tight: float, rounds: int = 2) -> DataFrame:
     return alone
 
 
-def candidates(vectors: DataFrame, rotations: int, radius: int) -> DataFrame:
-    """Pairs of clusters (a < b) that meet in a Hamming table; ``vectors`` has codes, one for each rotation, and cluster."""
-    flips = [0, *(1 << bit for bit in range(WIDTH))]
-    filed = vectors.select("cluster", F.posexplode("codes").alias("rotation", "code")) if rotations > 1 else vectors.select(
-        "cluster", F.lit(0).alias("rotation"), F.col("codes")[0].alias("code")
-    )
-    keys = F.array(*(_substring(F.col("code"), k).bitwiseXOR(F.lit(flip)) for k in range(TABLES) for flip in flips))
-    keys = F.transform(keys, lambda key: key + F.col("rotation") * F.lit(TABLES << WIDTH))
-    filed = filed.select("cluster", "code", F.explode(keys).alias("key"))
+def _spread(vectors: DataFrame, keys: int) -> DataFrame:
+    """The vectors over as many tasks as the keys that are made of them need."""
+    return vectors.repartition(max(8, ceil(vectors.count() * keys / KEYS_A_TASK)), "vec_id")
+
+
+def candidates(vectors: DataFrame, tables: Plan) -> DataFrame:
+    """Pairs of clusters (a < b) that meet in a Hamming table; ``vectors`` has vec_id, size, code, keys and cluster."""
+    filed = _spread(vectors, tables.tables).select("size", "cluster", "code", F.explode("keys").alias("key"))
     # A cluster once for each key. Where several of its codes meet, they can't rule out a pair.
-    filed = filed.groupBy("key", "cluster").agg(F.min("code").alias("code"), F.max("code").alias("other"))
-    filed = filed.select("key", "cluster", F.when(F.col("code") == F.col("other"), F.col("code")).alias("code"))
-    a, b = (filed.select("key", F.col("cluster").alias(s), F.col("code").alias(f"code_{s}")) for s in "ab")
-    near = F.coalesce(F.bit_count(F.col("code_a").bitwiseXOR(F.col("code_b"))) <= radius, F.lit(True))
-    return a.join(b, "key").where((F.col("a") < F.col("b")) & near).select("a", "b").distinct()
+    filed = filed.groupBy("size", "key", "cluster").agg(F.min("code").alias("code"), F.max("code").alias("other"))
+    filed = filed.select("size", "key", "cluster", F.when(F.col("code") == F.col("other"), F.col("code")).alias("code"))
+    a, b = (filed.select("size", "key", F.col("cluster").alias(s), F.col("code").alias(f"code_{s}")) for s in "ab")
+    near = F.coalesce(F.bit_count(F.col("code_a").bitwiseXOR(F.col("code_b"))) <= tables.radius, F.lit(True))
+    return a.join(b, ["size", "key"]).where((F.col("a") < F.col("b")) & near).select("a", "b").distinct()
 
 
-def all_pairs(vectors: DataFrame) -> DataFrame:
-    """All pairs of clusters (a < b)."""
-    ids = vectors.select("cluster").distinct()
-    a, b = (ids.select(F.col("cluster").alias(s)) for s in "ab")
-    return a.join(b, F.col("a") < F.col("b"))
+def _fits(samples: dict[int, np.ndarray], tables: Plan) -> dict[int, tuple[np.ndarray, list[np.ndarray]]]:
+    """The mean to take away and the projections, for each length that has a sample."""
+    fits = {}
+    for size, x in samples.items():
+        mean = x.mean(axis=0) if tables.centred else np.zeros(size)
+        fits[size] = mean, [fit_codes(x - mean, seed=5 + k) for k in range(tables.rotations)]
+    return fits
 
 
 def embedding_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", least: float = LEAST) -> DataFrame:
     """A row for each row of ``vectors``: vec_id, n_links, component_id and kept."""
     small_batches(vectors.sparkSession)
-    units = written(unit_vectors(vectors, id_col, vector_col), "units")
-    sample = units.orderBy(F.xxhash64("vec_id"), "vec_id").limit(MOST_FITTED).toPandas()
-    rotations, radius = 1, BITS
-    if len(sample):
-        fitted = _matrix(sample["unit"])
-        rotations, radius = needed(fitted, fitted.mean(axis=0), least)
-        fits = [fit_codes(fitted, seed=5 + k) for k in range(rotations or 1)]
-        coded = units.withColumn("codes", _coder(fits[0][0], [projection for _, projection in fits])("unit"))
-    else:
-        coded = units.withColumn("codes", F.array(F.lit(0).cast("long")))
-    coded = written(coded.withColumn("code", F.col("codes")[0]), "coded")
+    # Below, vec_id is a number of the vector; that of its row is id.
+    units = written(unit_vectors(vectors, id_col, vector_col).withColumn("vec_id", F.monotonically_increasing_id()), "units")
+    sample = units.orderBy(F.xxhash64("id"), "vec_id").limit(MOST_FITTED).select("unit").toPandas()["unit"]
+    samples = {size: _matrix(sample.iloc[at]) for size, at in _by_size(sample) if len(at) >= LEAST_FITTED}
+    tables = plan(list(samples.values()), units.count(), least)
+    coded = units.withColumn("coded", _coder(_fits(samples, tables), tables)("unit"))
+    coded = written(coded.select("vec_id", "id", "size", "unit", "coded.*"), "coded")
 
     angle = acos(least)
-    member = written(clusters(coded, cos((angle - TINY) / 2)), "clusters")
+    member = written(clusters(coded, tables, cos((angle - TINY) / 2)).join(coded.select("vec_id", "id"), "vec_id"), "clusters")
     size = written(member.groupBy("cluster").agg(F.count("*").alias("n"), F.min("cosine").alias("cosine")), "sizes")
-    pairs = candidates(coded.join(member.select("vec_id", "cluster"), "vec_id"), rotations, radius) if rotations else all_pairs(member)
+    pairs = candidates(coded.drop("unit", "id").join(member.select("vec_id", "cluster"), "vec_id"), tables)
 
     # Leaders compared; with the radii, what that says of all members.
     for side in "ab":
@@ -232,6 +293,9 @@ def embedding_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col:
     of_cluster = both(whole, "n_b", "n_a", "cluster").withColumnRenamed("n", "to_clusters")
     of_vector = both(part, F.lit(1), F.lit(1), "vec_id").withColumnRenamed("n", "to_vectors")
     edges = whole.select("a", "b").unionByName(part.select(F.col("cluster_a").alias("a"), F.col("cluster_b").alias("b")))
+    # Different vectors of one id are one component.
+    several = member.groupBy("id").agg(F.min("cluster").alias("a"), F.max("cluster").alias("last")).where("a <> last")
+    edges = edges.unionByName(member.join(several, "id").select("a", F.col("cluster").alias("b")).distinct())
     component = components(edges).withColumnRenamed("node", "cluster")
 
     links = F.col("n") - 1 + F.coalesce("to_clusters", F.lit(0)) + F.coalesce("to_vectors", F.lit(0))
@@ -239,8 +303,12 @@ def embedding_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col:
     found = (
         member.join(grouped, "cluster")
         .join(of_vector, "vec_id", "left")
-        .select("vec_id", links.alias("n_links"), F.coalesce("component", "cluster").alias("component_id"))
+        .groupBy("id")
+        .agg(F.sum(links).alias("n_links"), F.min(F.coalesce("component", "cluster")).alias("component"))
     )
+    found = written(found, "found")
+    least_id = found.groupBy("component").agg(F.min("id").alias("component_id"))
+    found = found.join(least_id, "component").select(F.col("id").alias("vec_id"), "n_links", "component_id")
     ids = vectors.select(F.col(id_col).cast("long").alias("vec_id"))
     out = ids.join(found, "vec_id", "left").select(
         "vec_id",

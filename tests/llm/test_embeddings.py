@@ -1,5 +1,7 @@
 import duckdb
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from rankdrift.llm import embeddings as em
@@ -90,6 +92,74 @@ def test_vectors_with_a_common_mean(spark, share):
     assert sum(n for n, _ in got.values()) >= 0.9 * sum(n for n, _ in want.values())
 
 
+@pytest.mark.parametrize("share", [0.0, 0.6])
+def test_large_table(spark, tmp_path, share):
+    """50,000 vectors with pairs from 0.9 on planted: links of the ids divisible by 20, by all cosines, are found."""
+    draw = np.random.default_rng(8)
+    n, dim = 50_000, 64
+    mean = draw.standard_normal(dim)
+    rest = draw.standard_normal((n, dim))
+    x = np.sqrt(share) * mean / np.linalg.norm(mean) + np.sqrt(1 - share) * rest / np.linalg.norm(rest, axis=1)[:, None]
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    for k in range(0, 10_000, 2):  # pairs
+        x[k + 1] = near(draw, x[k], draw.uniform(0.9, 0.96))
+    for k in range(10_000, 13_000, 30):  # groups
+        x[k : k + 30] = [near(draw, x[k], 0.99) for _ in range(30)]
+    x[13_000:17_000] = x[13_000]  # copies
+    x = x[draw.permutation(n)].astype("f4")
+    flat = pa.ListArray.from_arrays(pa.array(np.arange(0, n * dim + 1, dim), pa.int32()), pa.array(x.ravel()))
+    pq.write_table(pa.table({"vec_id": np.arange(n), "embedding": flat}), tmp_path / "embeddings.parquet")
+    got = {r.vec_id: r.n_links for r in em.op10_itq_hamming(spark, str(tmp_path)).collect()}
+    unit = x.astype("f8") / np.linalg.norm(x.astype("f8"), axis=1)[:, None]
+    queries = np.arange(0, n, 20)
+    want = (unit[queries] @ unit.T >= 0.9).sum(axis=1) - 1
+    found = np.array([got[k] for k in queries])
+    copies = want == 3999
+    assert len(got) == n and (found <= want).all() and (found[copies] == 3999).all() and copies.sum() > 100
+    assert found[~copies].sum() >= 0.9 * want[~copies].sum() > 500
+
+
+def test_work_grows_with_the_table():
+    """The vectors that meet in the tables by chance, for each vector, grow far less than the table."""
+    draw = np.random.default_rng(9)
+    x = draw.standard_normal((2000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    plans = [(n, em.plan([x], n, 0.9)) for n in (10_000, 1_000_000, 100_000_000)]
+    chance = [n * p.tables / 2**p.width for n, p in plans]
+    assert all(b < 10 * a for a, b in zip(chance, chance[1:], strict=False))
+    assert all(p.tables * p.width <= em.BITS * p.rotations or p.rotations == em.MOST_ROTATIONS for _, p in plans)
+    assert all(len(set(cut)) == p.width for _, p in plans for cut in p.positions())
+
+
+def test_no_cross_join(spark, capsys):
+    """Candidates come from keys, also for vectors near their mean, of which all are linked."""
+    x = np.random.default_rng(2).standard_normal((1000, 16)) * 0.05 + 1
+    tables = em.plan([x / np.linalg.norm(x, axis=1)[:, None]], len(x), 0.9)
+    vectors = spark.createDataFrame([(1, 2, 3, [4], 1)], "vec_id long, size int, code long, keys array<long>, cluster long")
+    em.candidates(vectors, tables).explain()
+    shown = capsys.readouterr().out
+    assert "SortMergeJoin" in shown and "NestedLoop" not in shown and "Cartesian" not in shown
+
+
+def test_several_vectors_of_one_id_and_lengths(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.0]), (3, [1.0, 2.0, 3.0]), (4, [2.0, 4.0, 6.0]), (5, [0.0, 2.0])]
+    rows += [(6, [1.0, 0.0, 0.0]), (7, [3.0]), (8, [5.0]), (9, [-5.0])]
+    got = result(spark, rows)
+    assert got == {1: (2, 1), 2: (1, 1), 3: (1, 3), 4: (1, 3), 5: (1, 1), 6: (0, 6), 7: (1, 7), 8: (1, 7), 9: (0, 9)}
+    draw = np.random.default_rng(12)
+    rows = []
+    for dim in (24, 48):  # one length has a fit of its own, the other one is too rare for one
+        for _ in range(700 if dim == 24 else 100):
+            v = draw.standard_normal(dim)
+            rows += [(len(rows), list(v)), (len(rows) + 1, list(near(draw, v, draw.uniform(0.9, 0.95))))]
+    rows = [(i, [float(np.float32(x)) for x in v]) for i, v in rows]
+    got = result(spark, rows)
+    for dim in (24, 48):
+        want = brute(mine := [(i, v) for i, v in rows if len(v) == dim])
+        assert all(got[i][0] <= want[i][0] for i, _ in mine)
+        assert sum(got[i][0] for i, _ in mine) >= 0.9 * sum(n for n, _ in want.values()) > 0
+
+
 def test_query(spark):
     sf = "/root/testdata/sf0.01"
     rows = duckdb.sql(f"SELECT vec_id, embedding FROM '{sf}/embeddings.parquet'").fetchall()

@@ -211,7 +211,8 @@ def clusters(vectors: DataFrame, tables: Plan, tight: float, rounds: int = 2) ->
     found, left = [], vectors
     for _ in range(rounds):
         filed = _spread(left.select("vec_id", "size", F.slice("keys", 1, enough).alias("keys")), enough).select("vec_id", "size", F.explode("keys").alias("key"))
-        first = filed.groupBy("size", "key").agg(F.min("vec_id").alias("a"))
+        # Written, so that adaptive execution can split the vectors of a frequent key in the join.
+        first = written(filed.groupBy("size", "key").agg(F.min("vec_id").alias("a")), "first")
         pairs = filed.join(first, ["size", "key"]).where("vec_id <> a").select("a", F.col("vec_id").alias("b")).distinct()
         near = _with_vectors(pairs, left, "a", "b").where(_cosine("unit_a", "unit_b") >= tight)
         group = written(components(written(near.select("a", "b"), "near")), "tight")

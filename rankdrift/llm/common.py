@@ -5,11 +5,15 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rankdrift.session import remove
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -41,13 +45,34 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(setting, MOST_BYTES)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows of ``df`` as a table in the shared folder: computed once, and safe from lost executors."""
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
+def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+    """The rows of ``df`` as a table in the shared folder: computed once, and safe from lost executors.
+
+    Without ``keep`` it is removed at the end of a ``tables_removed`` block that it was written in.
+    """
     path = shared_folder(df.sparkSession, name)
+    made = _made.get()
+    if made is not None and not keep:
+        made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def tables_removed(spark: SparkSession) -> Iterator[None]:
+    """Removes the tables that ``written`` made within the block, whose results must have been written by its end."""
+    token = _made.set([])
+    try:
+        yield
+    finally:
+        for folder in _made.get():
+            remove(spark, folder)
+        _made.reset(token)
+
+
 def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """The rows of record batches as tuples. Few of them are Python objects at a time."""
     for batch in batches:
@@ -81,36 +106,53 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
+#: A key is frequent from this share of the rows and this number of rows on: fewer than 1,000 keys are.
+FREQUENT, LEAST_FREQUENT = 1000, 256
+
+
+def looked_up(rows: DataFrame, key: str, other: str, values: DataFrame) -> DataFrame:
+    """``rows`` with the value of their ``key`` as column value. ``values`` has a row (node, value, degree) for each key.
+
+    Frequent keys, by degree, are looked up in a broadcast of fewer than ``FREQUENT`` rows. In the join their rows are
+    dealt by ``other``, so no task gets all rows of one key.
+    """
+    most = max(rows.count() // FREQUENT, LEAST_FREQUENT)
+    frequent = values.where(F.col("degree") > most).select(F.col("node").alias(key), F.col("value").alias("of_frequent"))
+    rows = rows.join(F.broadcast(frequent), key, "left")
+    rows = rows.withColumn("node", F.when(F.col("of_frequent").isNull(), F.col(key)).otherwise(F.col(other)))
+    rows = rows.join(values.select("node", "value"), "node", "left")
+    return rows.withColumn("value", F.coalesce("of_frequent", "value")).drop("node", "of_frequent")
+
+
 def components(links: DataFrame) -> DataFrame:
     """The connected components of ``links`` (a, b: long): a row (node, component) for each node, component its least node.
 
     Each round every node takes the least label within two steps, and the graph is contracted to these labels. Labels
     are hashed anew each round (one-to-one, as the hash of a 64-bit number is), so chains of rising ids, too, shrink by
-    a constant factor. Rounds are tables in the shared folder; nothing but a flag comes to the driver.
+    a constant factor. Rounds are tables in the shared folder; nothing but a count comes to the driver. Hubs, and labels of
+    many nodes, are spread (``looked_up``).
     """
     hashed = lambda c: F.xxhash64(F.col(c))
+    degree = F.count("*").alias("degree")
     links = links.where("a <> b")
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     nodes = written(both.distinct(), "links")
     edges = nodes.select(hashed("a").alias("u"), hashed("b").alias("v"))
     steps = []
     while not edges.isEmpty():
-        one = edges.groupBy("u").agg(F.min("v").alias("least")).select("u", F.least("u", "least").alias("least"))
-        one = written(one, "least")  # so that adaptive execution can split the edges of a hub in the join
-        two = edges.join(one.withColumnsRenamed({"u": "v"}), "v").groupBy("u").agg(F.min("least").alias("to"))
+        one = edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("value"), degree)
+        one = written(one.withColumn("value", F.least("node", "value")), "least")
+        two = looked_up(edges, "v", "u", one).groupBy(F.col("u").alias("node")).agg(F.min("value").alias("value"), degree)
         steps.append(step := written(two, "step"))
-        moved = (
-            edges.join(step, "u")
-            .select("v", hashed("to").alias("from"))
-            .join(step.withColumnRenamed("u", "v"), "v")
-            .select(F.col("from").alias("u"), hashed("to").alias("v"))
-        )
+        step = step.withColumn("value", hashed("value"))
+        half = written(looked_up(edges, "u", "v", step).select("v", F.col("value").alias("u")), "half")
+        moved = looked_up(half, "v", "u", step).select("u", F.col("value").alias("v"))
         edges = written(moved.where("u <> v").distinct(), "edges")
-    label = nodes.select(F.col("a").alias("node")).distinct().withColumn("label", hashed("node"))
-    for step in steps:
-        label = label.join(step.withColumnRenamed("u", "label"), "label", "left").select(
-            "node", F.xxhash64(F.coalesce("to", "label")).alias("label")
-        )
+    label = nodes.select(F.col("a").alias("node")).distinct().select(F.col("node").alias("id"), hashed("node").alias("label"))
     label = written(label, "labels")
-    least = label.groupBy("label").agg(F.min("node").alias("component"))
-    return label.join(least, "label").select("node", "component")
+    for step in steps:
+        sizes = label.groupBy(F.col("label").alias("node")).agg(degree)
+        values = sizes.join(step.select("node", "value"), "node", "left").withColumn("value", F.xxhash64(F.coalesce("value", "node")))
+        label = written(looked_up(label, "label", "id", values).select("id", F.col("value").alias("label")), "labels")
+    least = label.groupBy(F.col("label").alias("node")).agg(F.min("id").alias("value"), degree)
+    return looked_up(label, "label", "id", least).select(F.col("id").alias("node"), F.col("value").alias("component"))

@@ -3,9 +3,11 @@ from collections import defaultdict
 
 import duckdb
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from rankdrift.llm import near_duplicates as nd
-from rankdrift.llm.common import components
+from rankdrift.llm.common import components, looked_up
 from tests.llm.conftest import ODD_TEXTS
 
 SCHEMA = "doc_id long, text string, n long, rep string, component string"
@@ -108,9 +110,10 @@ def test_empty_table(spark):
     assert result(spark, []) == []
 
 
-def test_components(spark):
+@pytest.mark.parametrize("hub", [60, 3000])
+def test_components(spark, hub):
     pick = random.Random(2)
-    links = [(k, k + 1) for k in range(100, 400)] + [(0, k) for k in range(1, 60)] + [(k, 999) for k in range(900, 960)]
+    links = [(k, k + 1) for k in range(100, 400)] + [(5000, 5000 + k) for k in range(1, hub)] + [(k, 999) for k in range(900, 960)]
     links += [(pick.randrange(2000, 2400), pick.randrange(2000, 2400)) for _ in range(250)] + [(7, 7)]
     root = {}
 
@@ -125,3 +128,15 @@ def test_components(spark):
             root[y] = x
     got = dict(map(tuple, components(spark.createDataFrame(links, "a long, b long")).collect()))
     assert got == {x: find(x) for x in root}
+
+
+def test_frequent_keys_are_spread(spark):
+    """Every key's value is found, of frequent keys, of other ones and of one without a value."""
+    rows = spark.createDataFrame([(k % 7 if k < 4000 else k, k) for k in range(6000)], "key long, other long")
+    values = rows.groupBy(F.col("key").alias("node")).agg((F.col("node") * 2).alias("value"), F.count("*").alias("degree"))
+    values = values.where("node <> 4001")
+    got = looked_up(rows, "key", "other", values)
+    assert got.columns == ["key", "other", "value"]
+    assert {(r.key, r.other): r.value for r in got.collect()} == {
+        (r.key, r.other): None if r.key == 4001 else r.key * 2 for r in rows.collect()
+    }

@@ -1,9 +1,12 @@
+import os
+from urllib.parse import urlparse
+
 import duckdb
 import pytest
 
 import corpus_pipeline as cp
 from rankdrift.llm import decontamination, pseudonyms
-from rankdrift.llm.common import written
+from rankdrift.llm.common import tables_removed, written
 from tests.llm.test_near_duplicates import brute
 
 SF = "/root/testdata/sf0.01"
@@ -98,3 +101,14 @@ def test_near_duplicates_are_judged_by_row(spark):
     want = [(None if none else i, text) for none, i, text in map(min, groups.values())]
     assert kept == sorted([*want, (9, ""), (9, ""), (10, None)], key=str)
     assert (5, b) in kept and kept.count((8, c)) == 1
+
+
+def test_tables_of_a_stage_are_removed(spark):
+    rows = spark.range(3)
+    with tables_removed(spark):
+        gone = written(rows, "gone")
+        kept = written(gone.where("id > 0"), "kept", keep=True)
+    assert kept.count() == 2
+    assert [os.path.exists(urlparse(df.inputFiles()[0]).path) for df in (gone, kept)] == [False, True]
+    later = written(rows, "later")
+    assert later.count() == 3

@@ -1,7 +1,8 @@
 """From raw documents to packed training sequences.
 
 Every stage takes (spark, docs, sf_dir) and works on all rows that the stage before it kept. All but the last return
-the columns of ``documents``. ``run`` writes what a stage returns as Parquet to the shared folder and reads it again.
+the columns of ``documents``. ``run`` writes what a stage returns as Parquet to the shared folder and reads it again;
+what the stage itself wrote there on its way is then removed.
 
 Defined cases are those of the operators: rows with null ids and with empty or null texts go through all stages. Rows
 are judged one by one, also if they share an id; of repeated rows with words one stays. Empty tables give empty tables.
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankdrift.llm import decontamination, near_duplicates, packing, pseudonyms, quality
-from rankdrift.llm.common import table, written
+from rankdrift.llm.common import looked_up, table, tables_removed, written
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,8 +34,8 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     grouped = found.select(F.col("doc_id").alias(row), "component_id").join(numbered.select(row, "doc_id"), row)
     grouped = written(grouped, "grouped")
     least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", row))
-    first = grouped.groupBy("component_id").agg(least[row].alias("first"))
-    removed = written(grouped.join(first, "component_id").where(F.col(row) != F.col("first")).select(row), "removed")
+    first = grouped.groupBy(F.col("component_id").alias("node")).agg(least[row].alias("value"), F.count("*").alias("degree"))
+    removed = written(looked_up(grouped, "component_id", row, first).where(F.col(row) != F.col("value")).select(row), "removed")
     return numbered.join(removed, row, "left_anti").select(docs.columns)
 
 
@@ -69,5 +70,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with tables_removed(spark):
+            docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}", keep=True)
     return docs

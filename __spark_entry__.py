@@ -23,11 +23,13 @@ from rankdrift.functions.signatures import merge_signatures
 from rankdrift.operators import cleaning, compare, exact, minhash, similar_sets, top_spot, urls
 from rankdrift.plans import report
 from rankdrift.plans.views import (
+    DAY_LEADERS,
     PARTS_BY_YEAR,
     RESULT_LISTS,
     SHIPMENTS_BY_DAY,
     SHIPMENTS_BY_MONTH,
     WEEKLY,
+    day_leaders,
     part_sales,
     rank_facts,
     rank_facts_of,
@@ -135,6 +137,11 @@ def csv_bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csv_report.bad_rows(_judged_report(spark, sf_dir)).agg(F.count("*").alias("n"))
 
 
+def csv_bad_row_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bad rows as they stand in the files, the header among them."""
+    return csv_report.bad_rows(_judged_report(spark, sf_dir)).select(F.col(csv_report.BAD_ROW).alias("line"))
+
+
 def rank_table_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = scratch_dir(spark, RANK_TABLE_NAME)
     rank_table.write_rank_table(_clean(spark, sf_dir), table)
@@ -283,6 +290,19 @@ def minhash_similarity_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.minhash_similarity(facts, modulus=COMPAT_MODULUS, semantics="compat")
 
 
+def compat_modulus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    facts = wide_rank_facts(spark, sf_dir)
+    return exact.distinct_elements(facts).withColumn("modulus", F.lit(minhash.compat_modulus(facts)).cast("long"))
+
+
+def wide_similarity_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Compat signatures as earlier jobs made them: the modulus follows from the number of distinct elements."""
+    tune(spark)
+    facts = wide_rank_facts(spark, sf_dir)
+    modulus = minhash.compat_modulus(facts)
+    return minhash.minhash_similarity(facts, DEVICES, modulus=modulus, semantics="compat")
+
+
 def _half_signatures(spark: SparkSession, sf_dir: str, half: str) -> DataFrame:
     tune(spark)
     facts = rank_facts(spark, sf_dir).where(half)
@@ -411,6 +431,10 @@ def shipments_prev_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_spot.prev_day_url(clean, SHIPMENTS_BY_DAY)
 
 
+def shipments_prev_leader(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_spot.prev_day_url(day_leaders(spark, sf_dir), DAY_LEADERS)
+
+
 def shipments_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     tune(spark)
     signatures = minhash.minhash_signatures(
@@ -480,6 +504,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ).members,
         "csv_good_rows": csv_good_rows,
         "csv_bad_rows": csv_bad_rows,
+        "csv_bad_row_texts": csv_bad_row_texts,
         "csv_line_breaks": csv_line_breaks,
         "wide_clean": lambda s, d: cleaning.clean_ranks(wide_rank_facts(s, d), ["event_id"]),
         "wide_upsert": lambda s, d: _upserted(s, wide_rank_facts(s, d)),
@@ -508,6 +533,8 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "minhash_signatures_xxhash": minhash_signatures_xxhash,
         "minhash_similarity": minhash_similarity,
         "minhash_similarity_compat": minhash_similarity_compat,
+        "compat_modulus": compat_modulus,
+        "wide_similarity_compat": wide_similarity_compat,
         "minhash_signatures_binned": minhash_signatures_binned,
         "minhash_similarity_binned": minhash_similarity_binned,
         "pairwise_minhash_similarity": pairwise_minhash_similarity,
@@ -529,6 +556,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             shipments(s, d), cols=SHIPMENTS_BY_DAY
         ),
         "shipments_prev_supplier": shipments_prev_supplier,
+        "shipments_prev_leader": shipments_prev_leader,
         "shipments_similarity": lambda s, d: exact.pairwise_exact_similarity(
             shipments(s, d), cols=SHIPMENTS_BY_MONTH
         ),
@@ -773,6 +801,14 @@ def _shipments() -> dict[str, str]:
             clean AS (SELECT {slot}, ship_date, min(l_suppkey) AS l_suppkey FROM s GROUP BY ALL)
             SELECT *, CASE WHEN lag(ship_date) OVER w = ship_date - 1 THEN lag(l_suppkey) OVER w END AS prev_l_suppkey
             FROM clean WINDOW w AS (PARTITION BY {slot} ORDER BY ship_date)""",
+        "shipments_prev_leader": f"""WITH leaders AS (
+              SELECT * EXCLUDE (nth) FROM (
+                SELECT {slot}, CAST(l_shipdate AS DATE) AS ship_date, l_suppkey, row_number() OVER (
+                  PARTITION BY {slot}, CAST(l_shipdate AS DATE) ORDER BY l_extendedprice DESC, l_orderkey) AS nth
+                FROM lineitem)
+              WHERE nth = 1)
+            SELECT *, CASE WHEN lag(ship_date) OVER w = ship_date - 1 THEN lag(l_suppkey) OVER w END AS prev_l_suppkey
+            FROM leaders WINDOW w AS (PARTITION BY {slot} ORDER BY ship_date)""",
         "shipments_similarity": _pairwise(f"WITH {_S}", "s", "ship_month", "l_returnflag", "l_linestatus, l_linenumber, l_suppkey"),
         "shipments_minhash": f"""WITH {_S},
             sigs AS (SELECT ship_month, l_returnflag, [{_MINIMA}] AS sig
@@ -785,16 +821,26 @@ def _shipments() -> dict[str, str]:
     }
 
 
-def _compat_similarity() -> str:
+# The first prime from the number of distinct elements on.
+_MODULUS = """
+distinct_elements AS (SELECT count(DISTINCT element) AS n FROM (SELECT *, {element} AS element FROM {source})),
+modulus AS (
+  SELECT n, (SELECT min(p) FROM (SELECT unnest(range(greatest(n, 2), 2 * n + 3)) AS p)
+             WHERE NOT EXISTS (SELECT 1 FROM (SELECT unnest(range(2, CAST(sqrt(2 * n + 3) AS BIGINT) + 1)) AS q)
+                               WHERE q * q <= p AND p % q = 0)) AS modulus
+  FROM distinct_elements)"""
+
+
+def _compat_similarity(start: str = _R, source: str = "r", modulus: str = str(COMPAT_MODULUS), sized: str = "") -> str:
     wrapped = "(CASE WHEN {0} % 4294967296 >= 2147483648 THEN {0} % 4294967296 - 4294967296 ELSE {0} % 4294967296 END)"
     # Adding a multiple of 2^32 first keeps the remainder positive.
     minima = ", ".join(
-        "min(abs(" + wrapped.format(f"(seed * {a} + {b} + 1099511627776)") + f" % {COMPAT_MODULUS}))"
+        "min(abs(" + wrapped.format(f"(seed * {a} + {b} + 1099511627776)") + f" % {modulus}))"
         for a, b in COMPAT_COEFFICIENTS
     )
-    return f"""WITH {_R},
-seeds AS (SELECT crawl_date, device, {_STRING_HASH} FROM (SELECT *, {_ELEMENT_PLAIN} AS element FROM r))),
-sigs AS (SELECT crawl_date, device, [{minima}] AS sig FROM seeds GROUP BY crawl_date, device)
+    return f"""WITH {start},
+seeds AS (SELECT crawl_date, device, {_STRING_HASH} FROM (SELECT *, {_ELEMENT_PLAIN} AS element FROM {source}))),
+sigs AS (SELECT crawl_date, device, [{minima}] AS sig FROM seeds{sized} GROUP BY crawl_date, device)
 SELECT crawl_date, CAST(coalesce(
   len(list_intersect(list_distinct(a), list_distinct(b))) * 100 // len(list_distinct(list_concat(a, b))), 0) AS INTEGER) AS similarity
 FROM ({_PAIRED})"""
@@ -840,6 +886,7 @@ def oracle_sql() -> dict[str, str]:
 
 def _own_oracles() -> dict[str, str]:
     clean_rows = f"{_CLEAN} SELECT * FROM cl"
+    modulus = _MODULUS.format(element=_ELEMENT_PLAIN, source="w")
     days = f"SELECT {_HOLDER}, crawl_date FROM gone"
     left = f"SELECT {_HOLDER}, count(*) AS n FROM gone GROUP BY ALL"
     top_left = f"ORDER BY n DESC, {', '.join(c + ' NULLS FIRST' for c in _HOLDER.split(', '))} LIMIT 5"
@@ -913,6 +960,16 @@ compared AS (
         "similar_set_members": f"WITH {_LISTS} SELECT crawl_week, keyword, representative, n FROM members",
         "csv_good_rows": f"{_RAW} SELECT {_COLUMNS} FROM r WHERE event_id % 8 > 4",
         "csv_bad_rows": f"{_RAW} SELECT 1 + count(*) + count(*) FILTER (WHERE event_id % 8 = 4) AS n FROM r WHERE event_id % 8 <= 4",
+        "csv_bad_row_texts": f"""{_RAW},
+            lines AS (SELECT *, concat(',', market, ',', coalesce(loc, ''), ',', device, ',') AS middle,
+                             strftime(crawl_date, '%Y-%m-%d') AS day FROM r)
+            SELECT 'Keyword,Market,Location,Device,Crawl Date,Rank,URL' AS line
+            UNION ALL SELECT concat(keyword, middle, year(crawl_date), ',', "rank", ',', url) FROM lines WHERE event_id % 8 = 0
+            UNION ALL SELECT concat(keyword, middle, strftime(crawl_date, '%Y-%-m-%-d'), ',', "rank", ',', url) FROM lines WHERE event_id % 8 = 1
+            UNION ALL SELECT concat(keyword, middle, day, ',0,', url) FROM lines WHERE event_id % 8 = 2
+            UNION ALL SELECT concat(keyword, middle, day, ',', "rank", ',', url, ',x') FROM lines WHERE event_id % 8 = 3
+            UNION ALL SELECT '"' || keyword FROM lines WHERE event_id % 8 = 4
+            UNION ALL SELECT concat('"', middle, day, ',', "rank", ',', url) FROM lines WHERE event_id % 8 = 4""",
         "csv_line_breaks": f"""{_RAW}
             SELECT * EXCLUDE (event_id, ts) REPLACE (keyword || CASE WHEN event_id % 3 = 0 THEN chr(10) || chr(34) || market || chr(34) ELSE '' END AS keyword) FROM r""",
         "wide_clean": f"WITH {_W}, {_kept('event_id, url', source='w')} SELECT * FROM cl",
@@ -945,6 +1002,8 @@ compared AS (
         "minhash_signatures": _signature_rows("cl"),
         "minhash_similarity": f"{_CLEAN}, {_signatures('cl')}, {_ESTIMATE} SELECT * FROM est",
         "minhash_similarity_compat": _compat_similarity(),
+        "compat_modulus": f"WITH {_W}, {modulus} SELECT n, modulus FROM modulus",
+        "wide_similarity_compat": _compat_similarity(f"{_W}, {modulus}", "w", "modulus", ", modulus"),
         "minhash_signatures_binned": f"""{_CLEAN}, {_BINNED}
             SELECT crawl_date, device, array_to_string(sig, ',') AS sig FROM sigs""",
         "minhash_similarity_binned": f"{_CLEAN}, {_BINNED}, {_BINNED_ESTIMATE} SELECT * FROM est",

@@ -16,6 +16,7 @@ from rankdrift.operators.exact import (
     sketch_similarity,
 )
 from rankdrift.operators.minhash import (
+    compat_modulus,
     compat_signatures,
     merge_signature_rows,
     minhash_signatures,
@@ -68,6 +69,7 @@ __all__ = [
     "bad_rows",
     "clean_ranks",
     "compact_signatures",
+    "compat_modulus",
     "compat_signatures",
     "crawl_days",
     "date_range",

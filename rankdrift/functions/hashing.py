@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Sequence
+from math import isqrt
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -101,6 +102,14 @@ def compat_hash(seed: str, a: int, b: int, modulus: int) -> str:
     return f"abs(({wrapped}) % {modulus}L)"
 
 
+def first_prime_from(n: int) -> int:
+    """The least prime that is not below ``n``."""
+    candidate = max(n, 2)
+    while any(candidate % divisor == 0 for divisor in range(2, isqrt(candidate) + 1)):
+        candidate += 1
+    return candidate
+
+
 def wrap_int32(value: Column) -> Column:
     """The signed 32-bit integer that ``value`` overflows to."""
     return (value + 2**31).bitwiseAND(F.lit(2**32 - 1)) - 2**31

@@ -15,11 +15,12 @@ from rankdrift.functions.hashing import (
     coefficients,
     compat_hash,
     element_text,
+    first_prime_from,
     split_id,
     string_hash32,
 )
 from rankdrift.functions.signatures import EMPTY, signature_similarity
-from rankdrift.operators.exact import all_pairs, check_two_sets, checked_groups
+from rankdrift.operators.exact import all_pairs, check_two_sets, checked_groups, distinct_elements
 from rankdrift.schema import RANK_COLUMNS, RankColumns
 
 # With the date and the group this stays below 100 columns, beyond which Spark gives up generated code by default.
@@ -94,6 +95,14 @@ def signatures_of_ids(
     return _minima(parts, [affine_hash("_high", "_low", a, b) for a, b in pairs], cols)
 
 
+def compat_modulus(df: DataFrame, cols: RankColumns = RANK_COLUMNS) -> int:
+    """The usual modulus of compat signatures of ``df``: the first prime from its number of distinct elements on.
+
+    Runs one job; a single number comes to the driver. Signatures can be merged only if they share a modulus, so keep it with them.
+    """
+    return first_prime_from(distinct_elements(df, cols).first().n)
+
+
 def compat_signatures(
     df: DataFrame,
     modulus: int,
@@ -102,7 +111,7 @@ def compat_signatures(
 ) -> DataFrame:
     """Signatures from 32-bit string hashes and a caller-chosen modulus.
 
-    The usual modulus is the first prime from ``distinct_elements(df)`` on.
+    The usual modulus is ``compat_modulus`` of the whole table.
     """
     # The string hash is slow, so each element is hashed once.
     text = element_text(cols.element, separator="").alias("_text")

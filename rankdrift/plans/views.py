@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rankdrift.schema import RankColumns
 
@@ -15,6 +16,8 @@ _SHIPMENT = {
     "entity": "l_suppkey",
 }
 SHIPMENTS_BY_DAY = RankColumns(date="ship_date", **_SHIPMENT)
+# The same places, each held by one supplier a day.
+DAY_LEADERS = RankColumns(date="ship_date", **_SHIPMENT)
 SHIPMENTS_BY_MONTH = RankColumns(date="ship_month", **_SHIPMENT)
 
 WEEKLY = RankColumns(date="crawl_week")
@@ -105,6 +108,14 @@ def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def day_leaders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each place and day the supplier of the dearest shipment; place and day are a key."""
+    price = F.struct("l_extendedprice", (-F.col("l_orderkey")).alias("_earlier"))
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    place = ["l_linestatus", "l_returnflag", "l_linenumber", F.col("l_shipdate").cast("date").alias("ship_date")]
+    return lines.groupBy(*place).agg(F.max_by("l_suppkey", price).alias("l_suppkey"))
+
+
 def part_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sold parts; return flags A and R are one set of returns."""
     return spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr(

@@ -259,3 +259,31 @@ def test_row_order_and_partitions_do_not_matter(spark):
     assert sorted(rows(minhash.minhash_signatures(df))) == sorted(
         rows(minhash.minhash_signatures(shuffled))
     )
+
+
+def test_first_prime_from():
+    primes = [n for n in range(2, 2000) if all(n % q for q in range(2, n))]
+    assert [hashing.first_prime_from(n) for n in range(1900)] == [min(p for p in primes if p >= n) for n in range(1900)]
+    assert hashing.first_prime_from(2**31 - 4) == 2**31 - 1
+
+
+def test_compat_modulus_follows_the_distinct_elements(spark):
+    df = facts(spark, [fact(device, rank=rank) for rank in range(1, 9) for device in ("desktop", "smartphone")])
+    assert minhash.compat_modulus(df) == 11
+    assert minhash.compat_modulus(df.limit(0)) == 2
+
+
+def test_similarities_come_in_date_order(spark):
+    """Also if the rows come in another order and the sort has many partitions."""
+    days = [fact(device, d, r) for d in range(1, 29) for device in ("desktop", "smartphone") for r in (1, 2)]
+    df = facts(spark, days[::-1]).repartition(8, F.rand(3))
+    sigs = minhash.minhash_signatures(df, k=4)
+    for similar in (
+        exact.exact_similarity(df),
+        exact.exact_similarity(df, semantics="compat"),
+        exact.sketch_similarity(df),
+        minhash.minhash_similarity(df, k=4),
+        minhash.minhash_similarity(df, ("desktop", "smartphone"), k=4),
+        minhash.signature_pairs(sigs),
+    ):
+        assert rows(similar, "crawl_date") == [(day(d),) for d in range(1, 29)]

@@ -1,10 +1,12 @@
 """Near duplicates by MinHash with tensored banding.
 
 A text's set holds the hashes of its distinct five-word shingles. Two collections of partial keys are formed for it:
-``SIDES[0]`` keys of ``ROWS[0]`` minhashes each and ``SIDES[1]`` keys of ``ROWS[1]``. A table key joins one partial key of either
+``sides[0]`` keys of ``rows[0]`` minhashes each and ``sides[1]`` keys of ``rows[1]``. A table key joins one partial key of either
 collection, so 10 x 16 tables of 5 minhashes each need 10 x 2 + 16 x 3 = 68 minhashes, not 800. Two texts meet in a table
 if they agree on any key of the first collection and any of the second. At a similarity of 0.75 they miss each other
-with a probability of (1 - 0.75 ** 2) ** 10 + (1 - 0.75 ** 3) ** 16 = 0.0004, at 0.85 of 0.000003.
+with a probability of (1 - 0.75 ** 2) ** 10 + (1 - 0.75 ** 3) ** 16 = 0.0004, at 0.85 of 0.000003. How many keys and
+minhashes there are follows from the number of documents (``banding_of``): longer keys keep unrelated texts apart, and more
+tables keep the probability of a miss where it is.
 
 Texts with the same set are one class and are compared once. In each table bucket all members are paired with its most
 central one, which shares the most buckets with others. Pairs that a one-permutation sketch of ``BINS`` bins leaves
@@ -22,7 +24,9 @@ than the two named ones are not read. An empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -34,9 +38,12 @@ from pyspark.sql import functions as F
 from rankdrift.llm.common import batches_of, components, rows_of, small_batches, table, words_of, written
 
 SHINGLE = 5
-#: Partial keys in each of the two collections, and minhashes in each of their keys.
-SIDES, ROWS = (10, 16), (2, 3)
 PERCENT = 75
+#: Bound of the probability that two texts of the least similarity share no table.
+MISSED = 0.00042
+#: Similarity that unrelated texts are taken to have, what a pair of them costs in table keys (by bytes shuffled, about
+#: 1,200 to 24), and the most minhashes in a partial key.
+UNRELATED, PAIR_COST, MOST_ROWS = 0.03, 50, 6
 #: Bins of the sketch, and how many standard deviations below the least similarity its estimate may lie.
 BINS, DEVIATIONS = 512, 4
 #: Members of a bucket that are paired by a join, and members in a block of a larger one.
@@ -45,6 +52,46 @@ REMEMBERED = 100_000
 _U64 = np.uint64
 
 
+@dataclass(frozen=True)
+class Banding:
+    """Partial keys in each of the two collections, and minhashes in each of their keys."""
+
+    sides: tuple[int, int]
+    rows: tuple[int, int]
+
+    @property
+    def n_tables(self) -> int:
+        return self.sides[0] * self.sides[1]
+
+    def missed(self, similarity: float) -> float:
+        """A bound of the probability that two texts of that similarity share no table."""
+        return sum((1 - similarity**rows) ** side for side, rows in zip(self.sides, self.rows, strict=True))
+
+    def met(self, similarity: float) -> float:
+        """The probability that they share one."""
+        return math.prod(1 - (1 - similarity**rows) ** side for side, rows in zip(self.sides, self.rows, strict=True))
+
+
+def banding_of(n: int, percent: int = PERCENT) -> Banding:
+    """The banding with the least table keys and unrelated pairs to look at for a text among ``n``.
+
+    Whatever ``n`` is, texts of the least similarity miss each other with a probability of ``MISSED`` at most. It is an error
+    if that similarity is below 50 percent, which would take thousands of tables.
+    """
+    if not 50 <= percent <= 100:
+        raise ValueError("near duplicates have a similarity of 50 to 100 percent")
+    # A probability that isn't quite 1, as its logarithm is needed.
+    agree = [min(percent / 100, 0.99) ** rows for rows in range(MOST_ROWS + 1)]
+    fitting = []
+    for one in range(2, MOST_ROWS + 1):
+        first = math.floor(math.log(MISSED) / math.log(1 - agree[one])) + 1
+        for other in range(max(3, one), MOST_ROWS + 1):
+            for side in range(first, 3 * first):
+                left = MISSED - (1 - agree[one]) ** side
+                fitting.append(Banding((side, math.ceil(math.log(left) / math.log(1 - agree[other]))), (one, other)))
+    return min(fitting, key=lambda b: (b.n_tables + PAIR_COST * n * b.met(UNRELATED), b.rows, b.sides))
+
+
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= REMEMBERED:
@@ -91,9 +138,10 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
 class Sketch:
     """The partial keys of a set, those of the first collection before those of the second."""
 
-    def __init__(self, seed: int = 7):
+    def __init__(self, banding: Banding, seed: int = 7):
         draw = np.random.default_rng(seed)
-        n = sum(side * rows for side, rows in zip(SIDES, ROWS, strict=True))
+        self._collections = list(zip(banding.sides, banding.rows, strict=True))
+        n = sum(side * rows for side, rows in self._collections)
         self._a = draw.integers(0, 1 << 63, n, dtype=_U64) * _U64(2) + _U64(1)
         self._b = draw.integers(0, 1 << 63, n, dtype=_U64)
 
@@ -104,7 +152,7 @@ class Sketch:
             values += self._b
             np.minimum(least, values.min(axis=0), out=least)
         parts, at = [], 0
-        for side, rows in zip(SIDES, ROWS, strict=True):
+        for side, rows in self._collections:
             keys = np.zeros(side, _U64)
             for row in least[at : at + side * rows].reshape(side, rows).T:
                 keys = _mixed(keys * _U64(31) + row)
@@ -141,8 +189,8 @@ _SKETCH = pa.schema(
 _SKETCH_DDL = "doc_id long, n long, fp1 long, fp2 long, keys array<long>, bins binary"
 
 
-def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    shingles, sketch = Shingles(), Sketch()
+def _sketches(batches: Iterator[pa.RecordBatch], banding: Banding) -> Iterator[tuple]:
+    shingles, sketch = Shingles(), Sketch(banding)
     for doc_id, text in rows_of(batches):
         hashes = shingles.of(text)
         if not len(hashes):
@@ -190,13 +238,13 @@ def _plausible(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     return sized.where(likely("bins_a", "bins_b", "n_a", "n_b")).select("a", "b")
 
 
-def _across(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
+def _across(rows: pd.DataFrame, percent: int, sides: tuple[int, int]) -> pd.DataFrame:
     """Possible pairs between components, of the rows of one pair of blocks of a bucket.
 
     A pair is emitted by the first table that both its members are filed under.
     """
     table = int(rows["key_no"].iat[0])
-    row, column = divmod(table, SIDES[1])
+    row, column = divmod(table, sides[1])
     one = rows[rows["block"] == rows["low"].iat[0]]
     two = rows[rows["block"] == rows["high"].iat[0]]
     own = rows["low"].iat[0] == rows["high"].iat[0]
@@ -212,14 +260,14 @@ def _across(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
         if not len(at):
             continue
         same = keys[at] == np.frombuffer(own_keys, "<i4")
-        at = at[(same[:, : SIDES[0]].argmax(axis=1) == row) & (same[:, SIDES[0] :].argmax(axis=1) == column)]
+        at = at[(same[:, : sides[0]].argmax(axis=1) == row) & (same[:, sides[0] :].argmax(axis=1) == column)]
         at = at[possible(bins[at], np.frombuffer(own_bins, np.uint8), sizes[at], n, percent)]
         a += [rep] * len(at)
         b += ids[at].tolist()
     return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
 
-def _pairs_across(apart: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+def _pairs_across(apart: DataFrame, reps: DataFrame, percent: int, sides: tuple[int, int]) -> DataFrame:
     """Possible pairs (a < b) of members of different components in a bucket; ``apart`` has key, key_no, rep, component, size."""
     small, large = apart.where(F.col("size") <= SMALL), apart.where(F.col("size") > SMALL)
     other = small.select("key", F.col("rep").alias("b"), F.col("component").alias("component_b"))
@@ -232,7 +280,7 @@ def _pairs_across(apart: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     placed = placed.join(reps.select("rep", "n", "bins", _packed(F.col("keys")).alias("keys")), "rep")
     placed = placed.withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
     placed = placed.select("*", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"))
-    far = placed.groupBy("key", "low", "high").applyInPandas(lambda rows: _across(rows, percent), "a long, b long")
+    far = placed.groupBy("key", "low", "high").applyInPandas(lambda rows: _across(rows, percent, sides), "a long, b long")
     far = far.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     return near.unionByName(far).distinct()
 
@@ -243,29 +291,33 @@ def _packed(keys: Column) -> Column:
     return F.unhex(F.array_join(hexes, ""))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """A row for each row of ``docs``: doc_id, n_shingles, component_id and kept."""
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, banding: Banding | None = None
+) -> DataFrame:
+    """A row for each row of ``docs``: doc_id, n_shingles, component_id and kept.
+
+    Without a ``banding`` it is that of the number of documents, which are counted.
+    """
     small_batches(docs.sparkSession)
+    banding = banding or banding_of(docs.count(), percent)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    sketch = written(rows.mapInArrow(lambda b: batches_of(_sketches(b), _SKETCH, 5000), _SKETCH_DDL), "sketch")
+    sketch = written(rows.mapInArrow(lambda b: batches_of(_sketches(b, banding), _SKETCH, 5000), _SKETCH_DDL), "sketch")
     classes = sketch.where("n > 0 AND doc_id IS NOT NULL").groupBy("fp1", "fp2").agg(F.min("doc_id").alias("rep"))
     classes = written(classes, "classes")
     chosen = classes.withColumn("doc_id", F.col("rep"))
     reps = written(sketch.join(chosen, ["fp1", "fp2", "doc_id"]).select("rep", "n", "keys", "bins"), "reps")
 
-    n_tables = SIDES[0] * SIDES[1]
+    one, other = banding.sides
     tables = [
-        F.xxhash64(F.lit(i * SIDES[1] + j), F.col("keys")[i], F.col("keys")[SIDES[0] + j])
-        for i in range(SIDES[0])
-        for j in range(SIDES[1])
+        F.xxhash64(F.lit(i * other + j), F.col("keys")[i], F.col("keys")[one + j]) for i in range(one) for j in range(other)
     ]
     filed = reps.select("rep", F.posexplode(F.array(*tables)).alias("key_no", "key"))
     shared = filed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     members = written(filed.join(shared, "key"), "members")
 
-    # The most central member of each bucket, known by the number of buckets it shares, at most n_tables.
+    # The most central member of each bucket, known by the number of buckets it shares, at most that of all tables.
     degree = members.groupBy("rep").agg(F.count("*").alias("degree"))
-    rank = F.shiftleft(F.least("degree", F.lit(n_tables)), 48) + F.xxhash64("rep").bitwiseAND(F.lit((1 << 48) - 1))
+    rank = F.shiftleft(F.least("degree", F.lit(banding.n_tables)), 48) + F.xxhash64("rep").bitwiseAND(F.lit((1 << 48) - 1))
     central = members.join(degree, "rep").groupBy("key").agg(F.max_by("rep", rank).alias("a"))
     pairs = members.join(central, "key").where("a <> rep").select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b"))
     pairs = written(_plausible(pairs.distinct(), reps, percent), "pairs")
@@ -277,7 +329,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = named.withColumn("component", F.coalesce("component", "rep"))
     split = named.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
     apart = written(named.join(split.select("key"), "key"), "apart")
-    across = _pairs_across(apart, reps, percent)
+    across = _pairs_across(apart, reps, percent, banding.sides)
     late = written(across.join(pairs, ["a", "b"], "left_anti"), "late")
     links = links.unionByName(confirm(late, rows, percent))
     component = written(components(links), "components")

@@ -75,6 +75,28 @@ def test_large_buckets(spark, monkeypatch):
     test_families_around_the_threshold(spark)
 
 
+def test_longer_keys(spark, monkeypatch):
+    """The same family with the tables of a far larger corpus."""
+    wide = nd.banding_of(10**9)
+    assert wide.n_tables > 160
+    monkeypatch.setattr(nd, "banding_of", lambda n, percent: wide)
+    test_families_around_the_threshold(spark)
+
+
+def test_banding_follows_the_number_of_documents():
+    assert nd.banding_of(0) == nd.banding_of(300_000) == nd.Banding((10, 16), (2, 3))
+    for n in (10**6, 10**8, 10**11):
+        banding, fixed = nd.banding_of(n), nd.banding_of(0)
+        assert banding.missed(0.75) <= nd.MISSED and banding.n_tables < 1000
+        cost = [b.n_tables + nd.PAIR_COST * n * b.met(nd.UNRELATED) for b in (banding, fixed)]
+        assert cost[0] < cost[1]
+        # As many minhashes as the collections need, far fewer than the tables have.
+        assert sum(s * r for s, r in zip(banding.sides, banding.rows)) * 4 < banding.n_tables * sum(banding.rows)
+    assert nd.banding_of(1000, 50).missed(0.5) <= nd.MISSED and nd.banding_of(1000, 100).missed(0.99) <= nd.MISSED
+    with pytest.raises(ValueError):
+        nd.banding_of(1000, 40)
+
+
 def test_sketch_keeps_similar_pairs():
     draw, lost, kept, n_close = np.random.default_rng(8), 0, 0, 0
     for _ in range(2000):

@@ -27,18 +27,20 @@ from rankdrift.schema import RANK_COLUMNS, RankColumns
 K = 96
 
 
-def _minima(rows: DataFrame, hashes: Sequence[str], cols: RankColumns) -> DataFrame:
-    """Element-wise minimum per date and group as plain columns, then one array.
+def _minima(rows: DataFrame, hashes: Sequence[str], cols: RankColumns, more: dict[str, str] | None = None) -> DataFrame:
+    """Element-wise minimum per date and group as plain columns, then one array; ``more`` are other aggregates by name.
 
-    ``hashes`` are SQL texts. Separate columns keep the aggregation in
+    ``hashes`` and ``more`` are SQL texts. Separate columns keep the aggregation in
     fixed-width buffers that combine before the shuffle; what is shuffled does
     not grow with the sets.
     """
+    more = more or {}
     minima = rows.groupBy(cols.date, cols.group).agg(
-        *[F.expr(f"min({h}) AS _h{i}") for i, h in enumerate(hashes)]
+        *[F.expr(f"min({h}) AS _h{i}") for i, h in enumerate(hashes)],
+        *[F.expr(f"{aggregate} AS {name}") for name, aggregate in more.items()],
     )
     signature = ", ".join(f"_h{i}" for i in range(len(hashes)))
-    return minima.select(cols.date, cols.group, F.expr(f"array({signature}) AS sig"))
+    return minima.select(cols.date, cols.group, F.expr(f"array({signature}) AS sig"), *more)
 
 
 def _bin_minima(ids: DataFrame, k: int, cols: RankColumns) -> DataFrame:
@@ -87,12 +89,19 @@ def minhash_signatures(
 
 
 def signatures_of_ids(
-    ids: DataFrame, pairs: Sequence[tuple[int, int]], cols: RankColumns = RANK_COLUMNS
+    ids: DataFrame,
+    pairs: Sequence[tuple[int, int]],
+    cols: RankColumns = RANK_COLUMNS,
+    more: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Signatures of sets whose elements are known by 60-bit numbers ``_id``, per date and set."""
+    """Signatures of sets whose elements are known by 60-bit numbers ``_id``, per date and set.
+
+    ``more`` names other aggregates (SQL text) of the columns of ``ids``, which then stand beside the signature.
+    """
     high, low = split_id(F.col("_id"))
-    parts = ids.select(cols.date, cols.group, high.alias("_high"), low.alias("_low"))
-    return _minima(parts, [affine_hash("_high", "_low", a, b) for a, b in pairs], cols)
+    others = [c for c in ids.columns if more and c not in (cols.date, cols.group, "_id")]
+    parts = ids.select(cols.date, cols.group, *others, high.alias("_high"), low.alias("_low"))
+    return _minima(parts, [affine_hash("_high", "_low", a, b) for a, b in pairs], cols, more)
 
 
 def compat_modulus(df: DataFrame, cols: RankColumns = RANK_COLUMNS) -> int:

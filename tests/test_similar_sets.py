@@ -66,6 +66,22 @@ def test_a_third_of_the_sets_are_equal(spark):
     assert similar.members.where("representative = 'c0000'").count() == 1000
 
 
+def test_unlike_sets_of_few_elements_do_not_meet(spark, monkeypatch):
+    """Lists drawn from 160 elements agree on a band by chance; those pairs are not written."""
+    draw, met = random.Random(3), []
+    sets = {f"s{k:03d}": frozenset(draw.sample(range(1, 161), draw.randrange(8, 20))) for k in range(200)}
+    sets |= {f"t{k:03d}": frozenset([*sorted(sets[f"s{k:03d}"])[2:], 200 + k]) for k in range(0, 200, 5)}
+    meeting_pairs = similar_sets.meeting_pairs
+    monkeypatch.setattr(similar_sets, "meeting_pairs", lambda *a, **k: met.append(meeting_pairs(*a, **k)) or met[-1])
+    df = facts(spark, [fact(name, rank=x) for name, own in sets.items() for x in own])
+    df = df.unionByName(facts(spark, [fact("n", rank=1)]).withColumn("device", F.lit(None).cast("string")))
+    similar = similar_sets.similar_sets(df, 50)
+    want = brute(sets, 50)
+    assert len(want) >= 40 and {(a, b): s for _, a, b, s in rows(similar.pairs)} == want
+    assert met[0].count() < 2 * len(want)
+    assert similar.members.where("device IS NULL").count() == 1
+
+
 def test_null_and_empty_location_differ(spark):
     df = facts(spark, [fact("a", loc=None), fact("b", loc=""), fact("c", loc=None)])
     assert rows(similar_sets.similar_sets(df, 20).pairs) == []

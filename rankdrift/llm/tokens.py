@@ -42,15 +42,44 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+class _Learner:
+    """Encodes single chunks. It is told of the memory and keeps no reference to it: a memory in a cycle of references
+    would stay in the worker after its task, until Python happens to look for cycles."""
+
+    def __init__(self, path: str | None):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self._tokenizer = Tokenizer.from_file(path or vocabulary_path())
+        self._pieces = self._tokenizer.model.tokenize
+        self.width = 2 if self._tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
+        self._code = "H" if self.width == 2 else "I"
+
+    def bytes_of(self, ids: list[int]) -> bytes:
+        return array(self._code, ids).tobytes()
+
+    def learn(self, chunk: bytes, memory: _Memory) -> bytes:
+        core = chunk.rstrip(MARKS)
+        if core and len(core) < len(chunk) and (core.isalpha() or _simple_word(core.decode())):
+            return memory[core] + memory[chunk[len(core) :]]
+        if chunk.isalpha():  # ASCII letters only: normalisation is lower case, and the model sees them as they are
+            return self.bytes_of([p.id for p in self._pieces(chunk.lower().decode())])
+        text = chunk.decode()
+        if _simple_word(text):  # its letters stay letters
+            seen = text.lower().encode().decode("latin-1").translate(_LETTERS)
+            return self.bytes_of([p.id for p in self._pieces(seen)])
+        return self.bytes_of(self._tokenizer.encode(text, add_special_tokens=False).ids)
+
+
 class _Memory(dict):
-    """Ids of chunks; asks ``learn`` for those that are missing. Holds two generations of ``most`` chunks."""
+    """Ids of chunks; asks the learner for those that are missing. Holds two generations of ``most`` chunks."""
 
-    def __init__(self, learn, most: int):
-        self._learn, self._most, self._old = learn, most, {}
+    def __init__(self, learner: _Learner, most: int):
+        self._learner, self._most, self._old = learner, most, {}
 
     def __missing__(self, chunk: bytes) -> bytes:
         if (ids := self._old.get(chunk)) is None:
-            ids = self._learn(chunk)
+            ids = self._learner.learn(chunk, self)
         if len(chunk) <= LONGEST:
             if len(self) >= self._most:
                 self._old = dict(self)
@@ -63,30 +92,11 @@ class WordEncoder:
     """Encodes texts to little-endian unsigned ids of ``width`` bytes each."""
 
     def __init__(self, path: str | None = None, remembered: int = REMEMBERED):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self._tokenizer = Tokenizer.from_file(path or vocabulary_path())
-        self._pieces = self._tokenizer.model.tokenize
-        self.width = 2 if self._tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
+        learner = _Learner(path)
+        self.width = learner.width
         self.dtype = f"<u{self.width}"
-        self._code = "H" if self.width == 2 else "I"
-        self._ids = _Memory(self._learn, remembered).__getitem__
-
-    def _bytes(self, ids: list[int]) -> bytes:
-        return array(self._code, ids).tobytes()
-
-    def _learn(self, chunk: bytes) -> bytes:
-        core = chunk.rstrip(MARKS)
-        if core and len(core) < len(chunk) and (core.isalpha() or _simple_word(core.decode())):
-            return self._ids(core) + self._ids(chunk[len(core) :])
-        if chunk.isalpha():  # ASCII letters only: normalisation is lower case, and the model sees them as they are
-            return self._bytes([p.id for p in self._pieces(chunk.lower().decode())])
-        text = chunk.decode()
-        if _simple_word(text):  # its letters stay letters
-            seen = text.lower().encode().decode("latin-1").translate(_LETTERS)
-            return self._bytes([p.id for p in self._pieces(seen)])
-        return self._bytes(self._tokenizer.encode(text, add_special_tokens=False).ids)
+        self._bytes = learner.bytes_of
+        self._ids = _Memory(learner, remembered).__getitem__
 
     def encode(self, text: str | None) -> bytes:
         """Ids of the whole text without special tokens; of a null or empty text none."""

@@ -1,4 +1,6 @@
+import gc
 import random
+import weakref
 
 import duckdb
 import numpy as np
@@ -32,3 +34,18 @@ def test_random_strings():
     letters = "aAbé ÉßÄ'.,!%\n\t\x1c  éİıǅ1²½ª<|>日\U0001f600-st"
     for _ in range(3000):
         same(encoder, "".join(pick.choices(letters, k=pick.randint(1, 30))))
+
+
+def test_an_encoder_goes_with_its_last_reference():
+    """A worker runs task after task, each with an encoder of its own, whose memory of chunks must not pile up."""
+    gc.collect()
+    gc.disable()
+    try:
+        encoder = WordEncoder()
+        encoder.encode_document("some words, and more")
+        memory = weakref.ref(encoder._ids.__self__)
+        assert len(memory()) > 0
+        del encoder
+        assert memory() is None
+    finally:
+        gc.enable()

@@ -27,6 +27,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rankdrift.llm.common import batches_of, rows_of, shared_folder, small_batches, table
-from rankdrift.llm.tokens import END_ID, WordEncoder
+from rankdrift.llm.tokens import END_ID, REMEMBERED, WordEncoder
 
 MASK = 0xA282EAD8
 #: Files that a task which reads records in any order keeps open.
@@ -80,6 +81,12 @@ def unpack_document(payload: bytes) -> tuple[int | None, np.ndarray]:
     return (doc_id if has_id else None), np.frombuffer(payload, f"<u{width}", offset=_HEAD.size).astype("<u4")
 
 
+@cache
+def _encoder() -> WordEncoder:
+    """The one encoder of a worker: what it learnt in a task serves the next. Its memory is bounded."""
+    return WordEncoder(remembered=2 * REMEMBERED)
+
+
 def write_records(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID) -> None:
     """Encode all documents and write them in ascending id order: files in ``folder``/data, the index in ``folder``/index."""
 
@@ -87,7 +94,7 @@ def write_records(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col
         return batches_of(records(batches), _INDEX)
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        encoder, part = WordEncoder(), TaskContext.get().partitionId()
+        encoder, part = _encoder(), TaskContext.get().partitionId()
         files, root = pyarrow.fs.FileSystem.from_uri(f"{folder}/data")
         name, out, offset, start = f"{part:06d}-{uuid.uuid4().hex}.rec", None, 0, 0
         try:

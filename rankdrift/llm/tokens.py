@@ -3,7 +3,8 @@
 The ``word_bpe_49k`` tokenizer drops white space and never joins pieces across it, so a text's ids are the ids of its
 white-space-separated chunks in order, and a chunk of letters and trailing marks has the letters' ids and then the
 marks' ids. Each distinct chunk is encoded once by the ``tokenizers`` library and remembered; the memory is bounded,
-and dropping from it changes nothing but time. ``tests/llm/test_tokens.py`` holds the result against whole-text
+and dropping from it changes nothing but time. So that there are fewer distinct chunks, a text of Latin-1 characters is
+first put in lower case, with its commas and full stops set apart. ``tests/llm/test_tokens.py`` holds the result against whole-text
 encoding.
 """
 
@@ -36,6 +37,23 @@ def _simple_word(text: str) -> bool:
     return text.isalpha() and max(text) < _SIMPLE
 
 
+def _latin(text: str) -> bool:
+    """Whether no character lies beyond Latin-1: all are composed, and lower case comes one for one."""
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+def _set_apart(text: str, mark: str) -> str:
+    """``text`` with a space before each ``mark`` that stands between a letter or digit and a space."""
+    *parts, last = text.split(f"{mark} ")
+    return "".join([f"{p} {mark} " if p[-1:].isalnum() else f"{p}{mark} " for p in parts]) + last
+
+
 def vocabulary_path(name: str = VOCABULARY) -> str:
     import public_tokenizers
 
@@ -52,12 +70,23 @@ class _Learner:
 
         self._tokenizer = Tokenizer.from_file(path or vocabulary_path())
         self._pieces = self._tokenizer.model.tokenize
+        # Looked for in texts as they stand, before lower case.
+        self._special = [t.content.lower() for t in self._tokenizer.get_added_tokens_decoder().values()]
         self.width = 2 if self._tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self._code = "H" if self.width == 2 else "I"
 
     def bytes_of(self, ids: list[int]) -> bytes:
         return array(self._code, ids).tobytes()
 
+    def plain(self, text: str) -> str:
+        """A text with the same ids and fewer distinct chunks."""
+        if not _latin(text):
+            return text
+        low = text.lower()
+        if any(t in low for t in self._special):
+            return text
+        return _set_apart(_set_apart(low, ","), ".")
+
     def learn(self, chunk: bytes, memory: _Memory) -> bytes:
         core = chunk.rstrip(MARKS)
         if core and len(core) < len(chunk) and (core.isalpha() or _simple_word(core.decode())):
@@ -95,12 +124,12 @@ class WordEncoder:
         learner = _Learner(path)
         self.width = learner.width
         self.dtype = f"<u{self.width}"
-        self._bytes = learner.bytes_of
+        self._bytes, self._plain = learner.bytes_of, learner.plain
         self._ids = _Memory(learner, remembered).__getitem__
 
     def encode(self, text: str | None) -> bytes:
         """Ids of the whole text without special tokens; of a null or empty text none."""
-        return b"".join(map(self._ids, (text or "").encode().split()))
+        return b"".join(map(self._ids, self._plain(text or "").encode().split()))
 
     def encode_document(self, text: str | None, end_id: int = END_ID) -> bytes:
         """The text's ids, then the end id."""

@@ -45,6 +45,17 @@ def test_empty_table(spark, no_documents):
     assert records.record_digests(records.read_index(spark, folder), folder).count() == 0
 
 
+def test_a_worker_has_one_encoder():
+    """Not one for each task, which would load the vocabulary and learn frequent words anew."""
+    records._encoder.cache_clear()
+    try:
+        encoder = records._encoder()
+        encoder.encode("some words")
+        assert records._encoder() is encoder
+    finally:
+        records._encoder.cache_clear()
+
+
 def test_damage_is_found():
     record = records.frame(b"payload")
     assert records.unframe(record) == b"payload"

@@ -6,6 +6,7 @@ import duckdb
 import numpy as np
 from tokenizers import Tokenizer
 
+from rankdrift.llm import tokens
 from rankdrift.llm.tokens import WordEncoder, vocabulary_path
 from tests.llm.conftest import ODD_TEXTS, SF
 
@@ -36,6 +37,22 @@ def test_random_strings():
         same(encoder, "".join(pick.choices(letters, k=pick.randint(1, 30))))
 
 
+def test_random_latin_strings():
+    """Texts that are put in lower case, with commas and full stops set apart."""
+    encoder, pick = WordEncoder(), random.Random(4)
+    units = [*map(chr, range(256)), *"aZéÀ7²., '" * 20, ", ", ". ", "'s, ", ".,", "<|endoftext|>", "<|EndOfText|>", "it'S. "]
+    for _ in range(3000):
+        same(encoder, "".join(pick.choices(units, k=pick.randint(1, 30))))
+
+
+def test_words_are_learnt_once_whatever_their_case_and_marks(monkeypatch):
+    learnt, learn = [], tokens._Learner.learn
+    monkeypatch.setattr(tokens._Learner, "learn", lambda self, chunk, memory: learnt.append(chunk) or learn(self, chunk, memory))
+    text = "Été, ÉTÉ. été Word, word. WORD, wOrd"
+    same(WordEncoder(), text)
+    assert sorted(learnt) == sorted(c.encode() for c in ("été", "word", ",", "."))
+
+
 def test_an_encoder_goes_with_its_last_reference():
     """A worker runs task after task, each with an encoder of its own, whose memory of chunks must not pile up."""
     gc.collect()
